@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strataflow.llm import language_id, quality_classifier
 from strataflow.llm.byte_bpe import round_trip_digests
 from strataflow.llm.packing import pack_documents
+from strataflow.llm.simhash import near_duplicates
 from strataflow.llm.token_counts import token_counts
 
 
@@ -27,10 +29,28 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(docs)).select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.learn(docs, _table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, model).select("doc_id", quality_classifier.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_simhash": op9_simhash,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}
