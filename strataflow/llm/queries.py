@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflow.llm import language_id, quality_classifier
 from strataflow.llm.byte_bpe import round_trip_digests
+from strataflow.llm.fingerprints import compare_with_next
+from strataflow.llm.html_extract import extract
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.simhash import near_duplicates
 from strataflow.llm.token_counts import token_counts
@@ -25,6 +27,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(_table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +40,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs)).select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -48,7 +58,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_html_extraction": op7_html_extraction,
     "op9_simhash": op9_simhash,
     "op10_quality_classifier": op10_quality_classifier,
 }

@@ -7,7 +7,7 @@ import re
 #: A paragraph ends at a line break, or after a sentence mark that white space follows.
 _END = re.compile(r"\n+|(?<=[.!?])[ \t\r\f\v]+")
 #: The longest paragraph in words; beyond, cuts follow words whose digest has this many low zero bits.
-LONG_WORDS, CUT_BITS = 64, 4
+LONG_WORDS, CUT_BITS = 24, 3
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
