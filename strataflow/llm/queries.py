@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflow.llm import language_id, quality_classifier
+from strataflow.llm import language_id, quality_classifier, quality_rules
 from strataflow.llm.byte_bpe import round_trip_digests
 from strataflow.llm.fingerprints import compare_with_next
 from strataflow.llm.html_extract import extract
@@ -35,6 +35,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).drop("text")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(docs)).select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
@@ -56,6 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_document_fingerprints": op5_document_fingerprints,
@@ -65,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE_SQL}
