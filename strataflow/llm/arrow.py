@@ -41,3 +41,15 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
 def texts_of(batch: pa.RecordBatch, i: int) -> list[str]:
     """Column ``i`` as strings; null counts as empty."""
     return [x or "" for x in batch.column(i).to_pylist()]
+
+
+def filter_arrow(df: DataFrame, text_col: str, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """Rows of ``df``, all columns as they are, whose text ``keep`` says yes to. Map-only."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_bytes(batch):
+                yield part.filter(pa.array(keep(texts_of(part, at)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import map_arrow
+from strataflow.llm.arrow import filter_arrow, map_arrow
 
 #: n of the n-grams whose presence the kernel blends; bits of the table they are hashed to.
 GRAMS, BITS = (1, 2, 3), 14
@@ -18,6 +18,8 @@ PER_LANGUAGE, MAX_LANGUAGES, MAX_CHARS = 300, 200, 20_000
 #: Landmarks of a language; ridge; texts scored by one matrix product.
 LANDMARKS, RIDGE, BLOCK = 32, 1e-2, 128
 UNDETERMINED = "und"
+#: Score under which a text is too far from every learned language to be kept by ``keep_identified``.
+LEAST_SCORE = 0.35
 
 
 def _letters() -> np.ndarray:
@@ -153,6 +155,20 @@ def identify(df: DataFrame, model: KernelModel, id_col: str = "doc_id", text_col
     return map_arrow(df.select(F.col(id_col), F.col(text_col)), run, schema)
 
 
+def keep_identified(df: DataFrame, model: KernelModel, text_col: str = "text", least_score: float = LEAST_SCORE) -> DataFrame:
+    """Rows whose text has a language, with a score of at least ``least_score``; all columns as they are.
+
+    Null texts and texts without a letter go. A model that has learned no language keeps nothing. Map-only.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts: list[str]) -> list[bool]:
+        lang, score = shared.value.predict(texts)
+        return [x != UNDETERMINED and s >= least_score for x, s in zip(lang, score.tolist(), strict=True)]
+
+    return filter_arrow(df, text_col, keep)
+
+
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KernelModel:
     """Fit on the rows that are not held out (crc32 of the id as text, mod 4, is not 2)."""
     return fit(*training_sample(df, ~held_out(id_col), id_col, text_col, lang_col))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from strataflow.llm.arrow import map_arrow
+from strataflow.llm.arrow import filter_arrow, map_arrow
 
 #: Size of a vector, non-zero places of an index vector, words on each side that make a context.
 DIM, NONZERO, WINDOW = 96, 6, 2
@@ -227,3 +227,9 @@ def classify(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_co
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(np.where(score >= threshold, 1, 0), pa.int32())], names=schema.names)
 
     return map_arrow(df.select(F.col(id_col), F.col(text_col)), run, schema)
+
+
+def keep_good(df: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Rows whose whole text scores at least ``threshold``; all columns as they are. Null texts are scored like empty ones. Map-only."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return filter_arrow(df, text_col, lambda texts: (shared.value.score(texts) >= threshold).tolist())

@@ -12,6 +12,7 @@ from strataflow.llm.fingerprints import compare_with_next
 from strataflow.llm.html_extract import extract
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.simhash import near_duplicates
+from strataflow.llm.substring_dedup import dedup_substrings
 from strataflow.llm.token_counts import token_counts
 
 
@@ -48,6 +49,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_html_extraction": op7_html_extraction,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_quality_classifier": op10_quality_classifier,
 }

@@ -106,3 +106,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = low.groupBy("component").agg(F.min("low").alias("component_id"))
     named = low.select("fp", "component").join(least, "component").select("fp", "component_id")
     return fps.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of near-duplicates, that of the smallest id; all columns as they are.
+
+    Rows without an id stay if no row with an id is linked to them. Of rows that repeat the smallest
+    id one stays, which takes a shuffle by id only where such rows exist.
+    """
+    of = stored(near_duplicates(df, id_col, text_col), "components")
+    first = of.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__first"))
+    counts = first.agg(F.count("__first").alias("n"), F.countDistinct("__first").alias("d")).first()
+    kept = df.join(first.filter("__first is not null").distinct(), F.col(id_col) == F.col("__first"), "left_semi")
+    if counts["n"] > counts["d"]:
+        kept = kept.dropDuplicates([id_col])
+    alone = first.filter("__first is null").limit(1).count()
+    if alone:
+        lone = of.filter(f"`{id_col}` is null and component_id is null").select("fingerprint").distinct()
+        null_rows = df.filter(F.col(id_col).isNull())
+        marked = fingerprints(null_rows.withColumn("__row", F.monotonically_increasing_id()), "__row", text_col)
+        keys = marked.select("__row", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")).join(lone, "fingerprint", "left_semi").select("__row")
+        kept = kept.unionByName(null_rows.withColumn("__row", F.monotonically_increasing_id()).join(keys, "__row", "left_semi").drop("__row"))
+    return kept
