@@ -28,8 +28,8 @@ def digests(text: str) -> np.ndarray:
     for a, b in paragraph_spans(text):
         p = text[a:b]
         k = seen[p] = seen.get(p, -1) + 1
-        out.append(xxhash.xxh3_64_intdigest(p, k))
-    return np.array(out, dtype=np.uint64)
+        out.append(xxhash.xxh3_64_intdigest(f"{p}\0{k}" if k else p))
+    return np.unique(np.array(out, dtype=np.uint64))  # equal digests would cancel, and peeling never end
 
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
