@@ -47,14 +47,11 @@ def enumerate_journal(store: Store, source: Source, registry: Registry, journal:
             path = write_batch(raw, run, at, content)
             pages.append((run, at, content, str(path), len(content), hashlib.sha256(content).hexdigest()))
         files = store.spark.createDataFrame(pages, "run_id string, retstart bigint, content binary, raw_xml_path string, byte_size bigint, sha256 string")
-        counted = []
-        rows = None
-        for page in pages:  # a page is small and its place in the run is needed
-            got = parse_records(files.filter(F.col("retstart") == page[1])).withColumn("ordinal", F.monotonically_increasing_id() + page[1] + 1)
-            rows = got if rows is None else rows.unionByName(got)
-            counted.append(page[:2] + (got.count(),) + page[3:])
+        rows = parse_records(files, batch="retstart").withColumn("ordinal", F.col("batch") + F.col("place")).cache()
+        found = {r["batch"]: r["count"] for r in rows.groupBy("batch").count().collect()}  # a row a page
+        counted = [(*p[:2], found.get(p[1], 0), *p[3:]) for p in pages]
         with store.transaction():
-            if rows is not None:
+            if pages:
                 records = rows.withColumns({"journal_key": F.lit(journal.key), "pubmed_url": F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), "pmid", F.lit("/")), "first_seen_run_id": F.lit(run), "last_seen_run_id": F.lit(run), "source_updated_at": F.lit(clock())})
                 store.upsert("articles", records.select(*_columns("articles"), "ordinal"), order=[F.desc("ordinal")], keep=["first_seen_run_id"])
                 store.insert_ignore("enumeration_membership", rows.select(F.lit(run).alias("run_id"), "pmid", "ordinal"), order=["ordinal"])

@@ -55,27 +55,31 @@ def _record(item: ET.Element) -> dict | None:
     }
 
 
-def parse_records(files: DataFrame, content: str = "content") -> DataFrame:
+def parse_records(files: DataFrame, content: str = "content", batch: str | None = None) -> DataFrame:
     """Records of XML documents in a binary column; those without an id are left out.
 
+    With ``batch``, a column of numbers, each record has its document's as ``batch`` and its own in the
+    document, from 1, as ``place``.
+
     The tree is read in Python, since Spark's XML functions lose text around inline markup; identifiers
     and dates are normalised by column functions behind it. A document that is no XML fails the job.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split(" ")[0] for c in ("pmid", "raw_doi", "source_journal_title", "dates", "title", "abstract", "article_types", "authors", "mesh_terms")]
+        names = ["pmid", "raw_doi", "source_journal_title", "dates", "title", "abstract", "article_types", "authors", "mesh_terms", *(["batch", "place"] if batch else [])]
         for pdf in frames:
-            for raw in pdf[content]:
+            for raw, number in zip(pdf[content], pdf[batch] if batch else pdf[content], strict=True):
                 rows = [r for item in ET.fromstring(bytes(raw)).iterfind(".//PubmedArticle") if (r := _record(item))]
-                for r in rows:
+                for place, r in enumerate(rows, 1):
+                    r |= {"batch": number, "place": place}
                     r["authors"] = [{k: a.get(k) for k in ("last", "fore", "initials", "orcid", "collective")} for a in r["authors"]]
                 yield pd.DataFrame(rows, columns=names)
 
-    rows = files.select(content).mapInPandas(run, _RAW)
+    rows = files.select(content, *([batch] if batch else [])).mapInPandas(run, _RAW + (", batch bigint, place bigint" if batch else ""))
     tried = [F.when(F.get("dates", F.lit(i)).isNotNull(), partial_date(*[F.get("dates", F.lit(i))[f] for f in ("year", "month", "day", "medline")])) for i in range(len(_DATES))]
     dated = rows.withColumn("d", publication_date(tried))
     fields = {"doi": normalize_doi(F.col("raw_doi")), "publication_date": F.col("d.value"), "publication_date_precision": F.col("d.precision"), "publication_year": F.col("d.year")}
-    return dated.select(*[fields[c].alias(c) if c in fields else F.col(c) for c in [f.split(" ")[0] for f in _fields(RECORD)]])
+    return dated.select(*[fields[c].alias(c) if c in fields else F.col(c) for c in [f.split(" ")[0] for f in _fields(RECORD)]], *(["batch", "place"] if batch else []))
 
 
 def _fields(ddl: str) -> list[str]:
