@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 #: Rows of a batch handed on at once; bounds a worker's memory whatever Spark's batch size is.
 MAX_BATCH_BYTES = 8 << 20
 
 
+_HELD: list[tuple[str, Callable[[], None]]] = []
+
+
+def exclusive(name: str, drop: Callable[[], None] = lambda: None) -> None:
+    """Say that this worker now serves one operator: the tables that another one kept in it are dropped.
+
+    Workers are reused; without this a pipeline's worker would hold the tables of all its stages.
+    """
+    if _HELD and _HELD[0][0] != name:
+        _HELD.pop()[1]()
+    if not _HELD:
+        _HELD.append((name, drop))
+
+
 def by_bytes(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of ``batch`` of about ``most`` bytes; a larger single row stays whole."""
     n = batch.num_rows
@@ -53,3 +69,21 @@ def filter_arrow(df: DataFrame, text_col: str, keep: Callable[[list[str]], list[
                 yield part.filter(pa.array(keep(texts_of(part, at)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+def fitted(sample: DataFrame, fit: Callable[[list, list], Any]) -> Any:
+    """``fit`` of the two columns of a sample of bounded size, on one worker; the driver gets the model alone.
+
+    The rows go in the order of a digest of both columns, so that no partitioning changes the model.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y = [], []
+        for batch in batches:
+            x += batch.column(0).to_pylist()
+            y += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(x, y))], pa.binary())], names=["model"])
+
+    one = sample.coalesce(1).sortWithinPartitions(F.xxhash64(*sample.columns), *sample.columns)
+    got = one.mapInArrow(run, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit([], [])

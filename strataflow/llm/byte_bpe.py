@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import map_arrow
+from strataflow.llm.arrow import exclusive, map_arrow
 
 #: Segments, and pre-tokens, whose ids a worker remembers, and the longest that it remembers.
 MEMO_SEGMENTS, MEMO_PIECES, MEMO_CHARS = 400_000, 700_000, 48
@@ -166,6 +166,7 @@ def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids array<int>"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        exclusive("byte BPE", coder.cache_clear)
         c = coder(ranks_path, pattern)
         flat = [c.encode_bytes(x or "") for x in batch.column(1).to_pylist()]
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in flat])]).astype(np.int32)
@@ -180,6 +181,7 @@ def decode_documents(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids"
     schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, decoded binary"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        exclusive("byte BPE", coder.cache_clear)
         c = coder(ranks_path, pattern)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.decode(x or []) for x in batch.column(1).to_pylist()], type=pa.binary())], names=[id_col, "decoded"])
 
@@ -195,6 +197,7 @@ def round_trip_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     schema = StructType([StructField(id_col, df.schema[id_col].dataType), StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        exclusive("byte BPE", coder.cache_clear)
         c = coder(ranks_path, pattern)
         n, ids_sha, text_sha = [], [], []
         for text in batch.column(1).to_pylist():

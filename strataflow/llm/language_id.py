@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import filter_arrow, map_arrow
+from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
 
 #: n of the n-grams whose presence the kernel blends; bits of the table they are hashed to.
 GRAMS, BITS = (1, 2, 3), 14
@@ -81,6 +81,7 @@ class KernelModel:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; ``und`` and 0 without a letter."""
+        exclusive("language ID")
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         grams = [presence(t) for t in texts]
         have = [i for i, g in enumerate(grams) if g is not None]
@@ -125,18 +126,16 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_sample(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_chars: int = MAX_CHARS) -> tuple[list[str], list[str]]:
+def training_sample(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_chars: int = MAX_CHARS) -> DataFrame:
     """Whole texts and languages of at most ``per_language`` rows of each language.
 
     Rows are taken in the order of a hash of their id; of more than ``max_languages`` languages the
-    rarer ones are left out. Rows with over ``max_chars`` characters are not used. The driver gets
-    at most per_language * max_languages rows.
+    rarer ones are left out. Rows with over ``max_chars`` characters are not used.
     """
     rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"), train.alias("ok")).filter("ok and l is not null and t is not null").filter(F.length("t") <= max_chars)
     ranked = rows.select("i", "l", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")).alias("r")).filter(F.col("r") <= per_language)
     bound = ranked.groupBy("l").agg(F.max(F.struct(F.xxhash64("i"), "i")).alias("top"), F.max("r").alias("n")).orderBy(F.desc("n"), "l").limit(max_languages)
-    got = rows.join(F.broadcast(bound), "l").filter(F.struct(F.xxhash64("i"), F.col("i")) <= F.col("top")).select("t", "l").limit(per_language * max_languages).collect()
-    return [r["t"] for r in got], [r["l"] for r in got]
+    return rows.join(F.broadcast(bound), "l").filter(F.struct(F.xxhash64("i"), F.col("i")) <= F.col("top")).select("t", "l")
 
 
 def identify(df: DataFrame, model: KernelModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,4 +170,4 @@ def keep_identified(df: DataFrame, model: KernelModel, text_col: str = "text", l
 
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KernelModel:
     """Fit on the rows that are not held out (crc32 of the id as text, mod 4, is not 2)."""
-    return fit(*training_sample(df, ~held_out(id_col), id_col, text_col, lang_col))
+    return fitted(training_sample(df, ~held_out(id_col), id_col, text_col, lang_col), fit)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from strataflow.llm.arrow import filter_arrow, map_arrow
+from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
 
 #: Size of a vector, non-zero places of an index vector, words on each side that make a context.
 DIM, NONZERO, WINDOW = 96, 6, 2
@@ -21,14 +23,15 @@ MAX_ROWS, MAX_CHARS, MAX_WORDS = 4000, 20_000, 30_000
 #: The network: hidden units, passes over the sample, step, weight decay, share kept for the temperature.
 HIDDEN, EPOCHS, STEP, DECAY, CALIBRATION = 24, 60, 3e-3, 1e-4, 0.2
 #: Vectors of whole white-space words that a worker remembers.
-MEMO_ENTRIES, MEMO_CHARS = 150_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 80_000, 48
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
 
 _PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
 
-def parts(word: str) -> list[str]:
+@lru_cache(maxsize=30_000)
+def parts(word: str) -> tuple[str, ...]:
     """What a white-space word is made of: lower-cased letter runs behind a mark of their case, digit runs as one sign, and runs of other characters."""
     out = []
     for p in _PART.findall(word):
@@ -36,7 +39,7 @@ def parts(word: str) -> list[str]:
             out.append(("A" if p.isupper() and len(p) > 1 else "Aa" if p[0].isupper() else "a") + ":" + p.lower())
         else:
             out.append("0" if p[0].isdigit() else p[:3])
-    return out
+    return tuple(map(sys.intern, out))
 
 
 def index_places(part: str, dim: int = DIM) -> list[tuple[int, float]]:
@@ -104,6 +107,7 @@ class QualityModel:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def score(self, texts: list[str]) -> np.ndarray:
+        exclusive("quality classifier", parts.cache_clear)
         if not texts:
             return np.zeros(0)
         x = np.array([self.pooled(t) for t in texts])
@@ -137,8 +141,8 @@ def word_vectors(texts: list[str], max_words: int = MAX_WORDS) -> dict[str, np.n
     marks = [np.array([place[p] for p in ps if p in place] + [-1] * WINDOW, dtype=np.int64) for ps in lists]
     flat = np.concatenate(marks) if marks else np.zeros(0, np.int64)
     for d in range(1, WINDOW + 1):
-        for at in range(0, len(flat) - d, 1 << 20):
-            left, right = flat[at : at + (1 << 20)][: len(flat) - d - at], flat[at + d : at + d + (1 << 20)]
+        for at in range(0, len(flat) - d, 1 << 18):
+            left, right = flat[at : at + (1 << 18)][: len(flat) - d - at], flat[at + d : at + d + (1 << 18)]
             both = (left >= 0) & (right >= 0)
             context += summed(left[both], right[both]) + summed(right[both], left[both])
     norm = np.linalg.norm(context, axis=1, keepdims=True)
@@ -195,22 +199,20 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> tuple[list[str], list[int]]:
+def training_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
     """Whole texts and labels of at most ``max_rows`` labelled rows that are not held out, by a hash of their id.
 
-    Rows without a label or a text, and those of over ``max_chars`` characters, are not used; of
-    repeated ids the driver gets at most twice ``max_rows`` rows.
+    Rows without a label or a text, and those of over ``max_chars`` characters, are not used.
     """
     y = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & ~held_out("i")).dropDuplicates(["i"])
     y = y.orderBy(F.xxhash64("i"), "i").limit(max_rows)
     x = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t") <= max_chars)
-    got = x.join(F.broadcast(y), "i").select("t", "y").limit(2 * max_rows).collect()
-    return [r["t"] for r in got], [r["y"] for r in got]
+    return x.join(F.broadcast(y), "i").select("t", "y")
 
 
 def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
     """Fit on the labelled rows whose crc32 of the id as text, mod 5, is not 0."""
-    return fit(*training_sample(df, labels, id_col, text_col, label_col))
+    return fitted(training_sample(df, labels, id_col, text_col, label_col), fit)
 
 
 def classify(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

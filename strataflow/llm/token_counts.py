@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from strataflow.llm.arrow import map_arrow
+from strataflow.llm.arrow import exclusive, map_arrow
 
 #: Bytes of segments that one call of the encoder gets.
 ENCODE_BYTES = 1 << 20
@@ -99,6 +99,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = StructType([StructField(id_col, df.schema[id_col].dataType), StructField("n_bytes", LongType()), StructField("n_tokens", LongType()), StructField("over_limit", BooleanType())])
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        exclusive("token counts", _counter.cache_clear)
         texts = [x or "" for x in batch.column(1).to_pylist()]
         n = np.array(_counter(model_path).count(texts), dtype=np.int64)
         size = np.array([len(t.encode()) for t in texts], dtype=np.int64)
