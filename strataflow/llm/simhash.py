@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from strataflow.llm.arrow import map_arrow
+from strataflow.llm.arrow import exclusive, map_arrow
 from strataflow.llm.components import connected_components
 from strataflow.llm.scratch import stored
 
@@ -18,6 +18,8 @@ from strataflow.llm.scratch import stored
 WORDS, SEED, RADIUS = 3, 42, 3
 #: Distinct fingerprints in a bucket from which it is split by the bytes of the other half.
 HOT_BUCKET = 64
+#: What the second half's keys have on top.
+SECOND = 1 << 32
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _ODD = re.compile(rb"[\x09-\x0D]|  |^ | $")
@@ -48,6 +50,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = StructType([StructField(id_col, df.schema[id_col].dataType), StructField("fp", LongType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        exclusive("SimHash")
         fps = np.array([fingerprint(x or "", words, seed) for x in batch.column(1).to_pylist()], dtype=np.uint64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=schema.names)
 
@@ -74,19 +77,22 @@ def links(classes: DataFrame, radius: int = RADIUS, hot_bucket: int = HOT_BUCKET
     if radius > 3:
         raise ValueError("halves with balls of radius 1 find pairs of up to 3 differing bits")
     fps = classes.select("fp").distinct()
-    entry = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _half(F.col("fp"), k).alias("half"), _half(F.col("fp"), 1 - k).alias("other")) for k in (0, 1)]))
-    table = fps.select("fp", entry.alias("e")).select("fp", "e.*")
-    own = F.lit(0).cast("long")
-    steps = F.array(own, *[F.lit(1 << i).cast("long") for i in range(32)])
-    probes = table.select("fp", "k", "other", "half", F.explode(steps).alias("bit")).filter(F.col("half").bitwiseAND(F.col("bit")) == 0).select(F.col("fp").alias("q"), "k", F.col("other").alias("q_other"), F.col("half").bitwiseOR(F.col("bit")).alias("half"), (F.col("bit") == 0).alias("same"))
-    hot = table.groupBy("k", "half").count().filter(F.col("count") > hot_bucket).select("k", "half")
-    near = (F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius) & (~F.col("same") | (F.col("q") < F.col("fp")))
-
-    def by_byte(rows: DataFrame, half: str) -> DataFrame:
-        return rows.select("*", F.explode(F.array(*[F.struct(F.lit(i).alias("byte"), F.shiftright(F.col(half), 8 * i).bitwiseAND(F.lit(255)).alias("value")) for i in range(4)])).alias("x")).select(*rows.columns, "x.*")
-
-    cold = probes.join(table.join(hot, ["k", "half"], "left_anti"), ["k", "half"]).filter(near).select("q", "fp")
-    warm = by_byte(probes.join(hot, ["k", "half"], "left_semi"), "q_other").join(by_byte(table.join(hot, ["k", "half"], "left_semi"), "other"), ["k", "half", "byte", "value"]).filter(near).select("q", "fp")
+    # A key is a half with its number above it; what else a row needs follows from fingerprint and key.
+    table = fps.select("fp", F.explode(F.array(_half(F.col("fp"), 0), _half(F.col("fp"), 1) + SECOND)).alias("key"))
+    steps = F.array(*[F.lit(b).cast("long") for b in (0, *(1 << i for i in range(32)))])
+    probes = table.select(F.col("fp").alias("q"), "key", F.explode(steps).alias("bit")).filter(F.col("key").bitwiseAND(F.col("bit")) == 0).select("q", F.col("key").bitwiseOR(F.col("bit")).alias("key"))
+    hot = table.groupBy("key").count().filter(F.col("count") > hot_bucket).select("key")
+    same = F.when(F.col("key") >= SECOND, _half(F.col("q"), 1) + SECOND).otherwise(_half(F.col("q"), 0)) == F.col("key")
+    near = (F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius) & (~same | (F.col("q") < F.col("fp")))
+
+    def by_byte(rows: DataFrame, fp: str) -> DataFrame:
+        other = F.when(F.col("key") >= SECOND, _half(F.col(fp), 0)).otherwise(_half(F.col(fp), 1))
+        return rows.select(fp, "key", F.explode(F.array(*[F.shiftright(other, 8 * i).bitwiseAND(F.lit(255)) + 256 * i for i in range(4)])).alias("byte"))
+
+    # Sizes are estimated without the 17-fold probes: a broadcast chosen by them would be of any size.
+    # Merge joins on the same key also let both paths share one shuffle of the probes.
+    cold = probes.join(table.join(hot, "key", "left_anti").hint("merge"), "key").filter(near).select("q", "fp")
+    warm = by_byte(probes.join(hot.hint("merge"), "key", "left_semi"), "q").join(by_byte(table.join(hot, "key", "left_semi"), "fp").hint("merge"), ["key", "byte"]).filter(near).select("q", "fp")
     return cold.union(warm).select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct()
 
 
