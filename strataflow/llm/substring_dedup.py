@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from strataflow.llm.arrow import by_bytes
+from strataflow.llm.arrow import by_bytes, exclusive
 from strataflow.llm.bitmaps import bitmap_of, only_passing, passing
 from strataflow.llm.components import connected_components
 from strataflow.llm.scratch import stored
@@ -120,19 +120,43 @@ def _minhash(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray, bands:
     return out
 
 
+def _sketches(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Four words of the parities of each line's distinct shingles: no more bits differ between two lines than shingles do."""
+    n = ends - starts
+    line = np.repeat(np.arange(len(starts)), n)
+    flat = shingles[np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))]
+    order = np.lexsort((flat, line))
+    line, flat = line[order], flat[order]
+    again = np.concatenate([[False], (line[1:] == line[:-1]) & (flat[1:] == flat[:-1])])
+    word, bit = flat >> _U(62), np.where(again, _U(0), _U(1) << (flat >> _U(56) & _U(63)))
+    first = np.concatenate([[0], np.cumsum(n)[:-1]])
+    return [np.bitwise_xor.reduceat(np.where(word == _U(k), bit, _U(0)), first).view(np.int64) for k in range(4)]
+
+
+def any_of(conditions: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out
+
+
+SKETCH = ("s0", "s1", "s2", "s3")
+
+
 def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """A row for each unit and each line: ``doc``, ``version``, ``place``, ``start``, ``stop``, ``words``, ``h``, and a line's ``bands``.
+    """A row for each unit and each line: ``doc``, ``version``, ``place``, ``start``, ``stop``, ``words``, ``h``, and a line's ``bands`` and sketch ``s0`` to ``s3``.
 
     ``doc`` is the id (the least long for null), ``version`` a digest of the text, which tells rows of
     equal id apart. ``place`` counts units; it is -1 in lines, which are listed from ``LEAST_WORDS``
     words on. ``start`` and ``stop`` are bytes.
     """
-    schema = StructType([StructField("doc", LongType()), StructField("version", IntegerType()), StructField("place", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("words", IntegerType()), StructField("h", LongType()), StructField("bands", ArrayType(LongType()))])
+    schema = StructType([StructField("doc", LongType()), StructField("version", IntegerType()), StructField("place", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("words", IntegerType()), StructField("h", LongType()), StructField("bands", ArrayType(LongType())), *[StructField(c, LongType()) for c in SKETCH]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exclusive("substring dedup", _POWERS.clear)
         for batch in batches:
             for part in by_bytes(batch, 2 << 20):
-                columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+                columns: list[list[np.ndarray]] = [[] for _ in range(11)]
                 keys, lengths = [np.zeros(0, _U)], []
                 for doc, version, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     p = Parts(text or "")
@@ -145,7 +169,11 @@ def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: i
                     n = len(u)
                     place = np.concatenate([np.arange(k), np.full(n - k, -1)])
                     h = np.concatenate([p.unit_digests(), p.line_digests()[listed]])
-                    for c, x in zip(columns, (np.full(n, doc), np.full(n, version), place, p.starts[u], p.ends[v - 1], v - u, h.view(np.int64)), strict=True):
+                    marks = [np.zeros(n, dtype=np.int64) for _ in SKETCH]
+                    if n > k:
+                        for mark, x in zip(marks, _sketches(p.shingles(), a, z - SHINGLE + 1), strict=True):
+                            mark[k:] = x
+                    for c, x in zip(columns, (np.full(n, doc), np.full(n, version), place, p.starts[u], p.ends[v - 1], v - u, h.view(np.int64), *marks), strict=True):
                         c.append(x)
                     counts = np.zeros(n, dtype=np.int64)
                     if n > k:
@@ -157,8 +185,9 @@ def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: i
                 flat = [np.concatenate(c) for c in columns]
                 ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([*[pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(flat, kinds, strict=True)], lists], names=schema.names)
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 5]
+                made = [pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(flat, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*made[:7], lists, *made[7:]], names=schema.names)
 
     return _keyed(df, id_col, text_col).mapInArrow(run, schema)
 
@@ -198,14 +227,21 @@ def near_lines(table: DataFrame, df: DataFrame, id_col: str, text_col: str, simi
     """Pairs ``a``, ``b`` of digests of different lines with a Jaccard similarity of at least ``similarity``.
 
     A band's members are first only compared as the smallest and the largest digest, in partial
-    aggregates; bands with two different ones, and few others, are read again, and their distinct
-    members joined. A pair's shingle sets come from a second scan that skips all other lines.
+    aggregates; bands with two different ones, and few others, are read again. Their distinct
+    members are joined under a condition that no similar pair fails: the lines' sketches may not differ
+    in more bits than the shingles of such a pair do. A pair leaves the first band it shares. What leaves the join is thus about the
+    similar pairs, not a band's pairs. Their shingle sets come from a second scan that skips all
+    other lines.
     """
-    banded = table.filter("place = -1").select("h", F.explode("bands").alias("band"))
+    banded = table.filter("place = -1").select("h", "words", *SKETCH, "bands", F.posexplode("bands").alias("k", "band"))
     shared = banded.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high").select("band")
     shared = stored(shared, "bands")
-    members = stored(only_passing(banded.select("band", "h"), "band", bitmap_of(shared, "band")).join(shared, "band", "left_semi").distinct(), "members")
-    pairs = members.select("band", F.col("h").alias("a")).join(members.select("band", F.col("h").alias("b")), "band").filter("a < b").select("a", "b").distinct()
+    members = stored(only_passing(banded, "band", bitmap_of(shared, "band")).join(shared, "band", "left_semi").distinct(), "members")
+    x, y = members.alias("x"), members.alias("y")
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SKETCH), F.lit(0))
+    most = (1 - similarity) / (1 + similarity) * (F.col("x.words") + F.col("y.words") - 2 * (SHINGLE - 1)) + 1e-6
+    met = [(F.col("x.k") > j) & (F.get("x.bands", F.lit(j)) == F.get("y.bands", F.lit(j))) for j in range(tune_bands(similarity))]
+    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") < F.col("y.h")) & (apart <= most) & ~any_of(met)).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
     sets = _line_shingles(df, id_col, text_col, bitmap_of(ends, "h"))
@@ -223,11 +259,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     bands = tune_bands(similarity)
     table = stored(passage_table(df, id_col, text_col, bands, ROWS), "passages")
-    units = table.filter("place >= 0").drop("bands")
+    units = table.filter("place >= 0").drop("bands", *SKETCH)
     repeated = stored(units.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper"), "repeated")
     hits = only_passing(units, "h", bitmap_of(repeated, "h")).join(repeated, "h").filter("doc > keeper")
     named = connected_components(near_lines(table, df, id_col, text_col, similarity))
-    lines = table.filter("place = -1").drop("bands").join(named.withColumnRenamed("node", "h"), "h")
+    lines = table.filter("place = -1").drop("bands", *SKETCH).join(named.withColumnRenamed("node", "h"), "h")
     keepers = lines.groupBy("component").agg(F.min("doc").alias("keeper"))
     near = lines.join(keepers, "component").filter("doc > keeper")
     columns = ["doc", "version", "place", "start", "stop", "words", "keeper"]
