@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -11,7 +12,7 @@ from html import unescape
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from strataflow.llm.arrow import by_bytes
 from strataflow.llm.scratch import stored
@@ -193,6 +194,14 @@ def main_text(lines: list[str], zones: list[int], hashes: list[int], partner: li
     return "\n".join(lines[i] for i in left)
 
 
+def pack_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with their third column, texts, compressed one by one; null is empty."""
+    for batch in batches:
+        for part in by_bytes(batch):
+            packed = pa.array([zlib.compress((x or "").encode(), 6) for x in part.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([packed if i == 2 else c for i, c in enumerate(part.columns)], names=["packed" if i == 2 else n for i, n in enumerate(part.schema.names)])
+
+
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, ``text`` and ``n_chars`` of the main text of each page.
 
@@ -232,8 +241,8 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         size = 0
         for batch in batches:
             for part in by_bytes(batch):
-                for doc, url, html, host, path in zip(*[part.column(i).to_pylist() for i in range(5)], strict=True):
-                    got = page_lines(html or "")
+                for doc, url, raw, host, path in zip(*[part.column(i).to_pylist() for i in range(5)], strict=True):
+                    got = page_lines(zlib.decompress(raw).decode())
                     page = _Page(doc, url, host or "", path or "", [x for x, _ in got], [z for _, z in got], [_hash(x) for x, _ in got])
                     if now is not None:
                         done.append((now, now.partner(before, page), 0 if before is None else None))
@@ -246,6 +255,9 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
             done.append((now, now.partner(before), 2 if before is None else 1))
             yield rows_of(done)
 
+    # A page is compressed by itself before it is dealt: half of what the shuffle's own codec leaves.
+    fields = [StructField(id_col, kind), StructField(url_col, StringType()), StructField("packed", BinaryType()), StructField("host", StringType()), StructField("path", StringType()), StructField("tie", LongType())]
+    rows = rows.mapInArrow(pack_pages, StructType(fields))
     ranged = rows.repartitionByRange(F.col("host"), F.col("path"), F.col(id_col), F.col("tie")).sortWithinPartitions("host", "path", id_col, "tie")
     table = stored(ranged.mapInArrow(run, schema).withColumn("range", F.spark_partition_id()), "pages")
     keys = sorted((r["range"], r["at"], r["host"]) for r in table.filter("edge").select("range", "at", "host").collect())
