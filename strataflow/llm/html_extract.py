@@ -259,7 +259,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     fields = [StructField(id_col, kind), StructField(url_col, StringType()), StructField("packed", BinaryType()), StructField("host", StringType()), StructField("path", StringType()), StructField("tie", LongType())]
     rows = rows.mapInArrow(pack_pages, StructType(fields))
     ranged = rows.repartitionByRange(F.col("host"), F.col("path"), F.col(id_col), F.col("tie")).sortWithinPartitions("host", "path", id_col, "tie")
-    table = stored(ranged.mapInArrow(run, schema).withColumn("range", F.spark_partition_id()), "pages")
+    table = stored(ranged.mapInArrow(run, schema).withColumn("range", F.spark_partition_id()), "pages", level=12)
     keys = sorted((r["range"], r["at"], r["host"]) for r in table.filter("edge").select("range", "at", "host").collect())
     pairs = []
     for (ra, ata, ha), (rb, atb, hb) in zip(keys, keys[1:], strict=False):

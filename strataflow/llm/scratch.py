@@ -20,13 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and return a reader of it.
+def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
+    """Write ``df`` once as Parquet, zstd of a ``level``, in the shared folder and return a reader of it.
 
     Lost executors then cost a re-read, not a recomputation. The files are left for the folder's
     own retention rule, because any DataFrame derived from the result may still read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strataflow/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
