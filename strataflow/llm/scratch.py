@@ -1,32 +1,5 @@
 """Tables that cut lineage, in the folder all executors share."""
 
-from __future__ import annotations
+from strataflow.operators.scratch import shared_dir, stored
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only if it is unset on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="strataflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
-    """Write ``df`` once as Parquet, zstd of a ``level``, in the shared folder and return a reader of it.
-
-    Lost executors then cost a re-read, not a recomputation. The files are left for the folder's
-    own retention rule, because any DataFrame derived from the result may still read them.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/strataflow/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_dir", "stored"]

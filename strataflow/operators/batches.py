@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strataflow.functions.scalars import batch_id
+from strataflow.operators.scratch import stored
 
 
 def assign_batches(sample: DataFrame, order: Sequence[str], size: int, key: str = "pmid") -> DataFrame:
@@ -18,6 +19,23 @@ def assign_batches(sample: DataFrame, order: Sequence[str], size: int, key: str
     return sample.select(key, n.alias("n")).select(key, F.floor((F.col("n") - 1) / size).alias("batch_no"), ((F.col("n") - 1) % size + 1).alias("ordinal"))
 
 
+def global_position(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """All rows with their ``position`` (from 1) in ``order``, which has to name a total order.
+
+    Rows are dealt by ranges of the order and numbered in them; a range's offset is the number of rows
+    in the ranges before it. No task holds more than a range, and the driver gets a row a range.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    table = stored(ranged, "positions").withColumn("__range", F.shiftright("__at", 33))
+    offsets, total = [], 0
+    for r in sorted(table.groupBy("__range").count().collect()):
+        offsets.append((r["__range"], total))
+        total += r["count"]
+    known = df.sparkSession.createDataFrame(offsets, "__range long, __offset long")
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__offset") + 1
+    return table.join(F.broadcast(known), "__range").select(*df.columns, place.alias("position"))
+
+
 def batch_manifests(assigned: DataFrame, sample_id: str, prompt_version: str, key: str = "pmid") -> DataFrame:
     """A row per batch: id, ordered keys, number of records."""
     listed = assigned.groupBy("batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.col(key).cast("string").alias("k")))), lambda x: x["k"]).alias("ordered_keys"))

@@ -117,14 +117,11 @@ def audit_no_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT d.doc_id, lang, coalesce(quality, 0) = 1 AS candidate_priority, row_number() OVER (ORDER BY coalesce(quality, 0) DESC, n_chars DESC, d.doc_id DESC) AS position FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id QUALIFY position <= 500")
 def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOIN-03, PRJ-01..03, SRT-01: the head of the review queue, 500 records as one page of the export."""
+    """JOIN-03, PRJ-01..03, SRT-01: every record with its place in the review queue."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), table(spark, sf_dir, "labels")
     queue = latest.with_latest(docs, labels, ["doc_id"], [F.desc("quality")], {"quality": 0})
-    head = queue.orderBy(F.desc("quality"), F.desc("n_chars"), F.desc("doc_id")).limit(500)
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.orderBy(F.desc("quality"), F.desc("n_chars"), F.desc("doc_id"))).cast("long")
-    return head.select("doc_id", "lang", (F.col("quality") == 1).alias("candidate_priority"), place.alias("position"))
+    placed = batches.global_position(queue, [F.desc("quality"), F.desc("n_chars"), F.desc("doc_id")])
+    return placed.select("doc_id", "lang", (F.col("quality") == 1).alias("candidate_priority"), "position")
 
 
 @query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
