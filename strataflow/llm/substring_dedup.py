@@ -21,6 +21,11 @@ RECALL, ROWS = 0.98, 2
 #: Sentences under this many words join the next; units above this many words are cut at words whose digest has CUT_BITS low zero bits.
 SHORT_SENTENCE, LONG_UNIT, CUT_BITS = 6, 24, 3
 
+#: Longest run of words that need not share a chosen window with its equal elsewhere; all longer ones do.
+UNSEEN_RUN = 49
+#: Places in the passage table of what is no unit: lines, stretches from a chosen window to the next, the stretch ahead of the first one, single windows.
+LINE, STRETCH, HEAD, WINDOW = -1, -2, -3, -4
+
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -101,12 +106,38 @@ class Parts:
     def line_digests(self) -> np.ndarray:
         return _ranges(self.words, _Q, self.line_starts, self.line_ends)
 
+    def windows(self, k: int) -> np.ndarray:
+        """Digest of the k words that begin at each word."""
+        i = np.arange(max(0, self.n - k + 1))
+        return _ranges(self.words, _Q, i, i + k)
+
     def shingles(self) -> np.ndarray:
         """Digest of the shingle that begins at each word, over line ends."""
         i = np.arange(max(0, self.n - SHINGLE + 1))
         return _ranges(self.words, _Q, i, i + SHINGLE)
 
 
+def chosen(windows: np.ndarray, width: int) -> np.ndarray:
+    """Places of the least digest, the last of equal ones, of each ``width`` windows in a row (winnowing)."""
+    n = len(windows)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    low = _U((1 << 24) - 1)
+    key = (_mix(windows) & ~low) | (low - (np.arange(n, dtype=_U) & low))
+    width, have = min(width, n), 1
+    while have < width:
+        step = min(have, width - have)
+        key = np.minimum(key[:-step], key[step:])
+        have += step
+    at = np.arange(len(key))
+    return np.unique(at + ((low - (key & low)).astype(np.int64) - at) % (1 << 24))
+
+
+def _width(k: int) -> int:
+    """Windows of k words in a row of which one is chosen, so that a run of over ``UNSEEN_RUN`` words has one."""
+    return max(1, UNSEEN_RUN + 2 - k)
+
+
 def _minhash(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Band keys (lines x bands) of the shingles from start to end of each line."""
     inside = np.repeat(starts - np.concatenate([[0], np.cumsum(ends - starts)[:-1]]), ends - starts) + np.arange(int((ends - starts).sum()))
@@ -143,11 +174,13 @@ def any_of(conditions: list[Column]) -> Column:
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
-def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """A row for each unit and each line: ``doc``, ``version``, ``place``, ``start``, ``stop``, ``words``, ``h``, and a line's ``bands`` and sketch ``s0`` to ``s3``.
+def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int, k: int = LEAST_WORDS) -> DataFrame:
+    """A row for each unit, line and stretch: ``doc``, ``version``, ``place``, ``start``, ``stop``, ``words``, ``h``, and a line's ``bands`` and sketch ``s0`` to ``s3``.
 
+    A stretch goes from a chosen window of ``k`` words to the end of the next; its ``s0`` is the digest of the
+    window it begins with and its ``s1`` that of the stretch before it.
     ``doc`` is the id (the least long for null), ``version`` a digest of the text, which tells rows of
-    equal id apart. ``place`` counts units; it is -1 in lines, which are listed from ``LEAST_WORDS``
+    equal id apart. ``place`` counts units; it is ``LINE`` in lines, which are listed from ``LEAST_WORDS``
     words on. ``start`` and ``stop`` are bytes.
     """
     schema = StructType([StructField("doc", LongType()), StructField("version", IntegerType()), StructField("place", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("words", IntegerType()), StructField("h", LongType()), StructField("bands", ArrayType(LongType())), *[StructField(c, LongType()) for c in SKETCH]])
@@ -164,21 +197,28 @@ def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: i
                         continue
                     listed = p.line_ends - p.line_starts >= LEAST_WORDS
                     a, z = p.line_starts[listed], p.line_ends[listed]
-                    u, v = np.concatenate([p.unit_starts, a]), np.concatenate([p.unit_ends, z])
-                    k = len(p.unit_starts)
+                    windows = p.windows(k)
+                    c = chosen(windows, _width(k))
+                    f, t = np.concatenate([np.zeros(min(1, len(c)), c.dtype), c]), np.concatenate([c + k, np.full(min(1, len(c)), p.n)])
+                    u, v = np.concatenate([p.unit_starts, a, f]), np.concatenate([p.unit_ends, z, t])
+                    m, lines = len(p.unit_starts), len(a)
                     n = len(u)
-                    place = np.concatenate([np.arange(k), np.full(n - k, -1)])
-                    h = np.concatenate([p.unit_digests(), p.line_digests()[listed]])
+                    place = np.concatenate([np.arange(m), np.full(lines, LINE), np.full(len(f), STRETCH)])
+                    place[m + lines : m + lines + 1] = HEAD
+                    h = np.concatenate([p.unit_digests(), p.line_digests()[listed], _ranges(p.words, _Q, f, t)])
                     marks = [np.zeros(n, dtype=np.int64) for _ in SKETCH]
-                    if n > k:
+                    if lines:
                         for mark, x in zip(marks, _sketches(p.shingles(), a, z - SHINGLE + 1), strict=True):
-                            mark[k:] = x
-                    for c, x in zip(columns, (np.full(n, doc), np.full(n, version), place, p.starts[u], p.ends[v - 1], v - u, h.view(np.int64), *marks), strict=True):
-                        c.append(x)
+                            mark[m : m + lines] = x
+                    if len(c):
+                        marks[0][m + lines + 1 :] = windows[c].view(np.int64)
+                        marks[1][m + lines + 1 :] = h[m + lines : -1].view(np.int64)
+                    for column, x in zip(columns, (np.full(n, doc), np.full(n, version), place, p.starts[u], p.ends[v - 1], v - u, h.view(np.int64), *marks), strict=True):
+                        column.append(x)
                     counts = np.zeros(n, dtype=np.int64)
-                    if n > k:
+                    if lines:
                         keys.append(_minhash(p.shingles(), a, z - SHINGLE + 1, bands, rows).ravel())
-                        counts[k:] = bands
+                        counts[m : m + lines] = bands
                     lengths.append(counts)
                 if not columns[0]:
                     continue
@@ -186,7 +226,7 @@ def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: i
                 ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 5]
-                made = [pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(flat, kinds, strict=True)]
+                made = [pa.array(x.astype(kind.to_pandas_dtype()), kind) for x, kind in zip(flat, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*made[:7], lists, *made[7:]], names=schema.names)
 
     return _keyed(df, id_col, text_col).mapInArrow(run, schema)
@@ -223,6 +263,48 @@ def _line_shingles(df: DataFrame, id_col: str, text_col: str, wanted) -> DataFra
     return df.select(text_col).mapInArrow(run, schema).dropDuplicates(["h"])
 
 
+def end_windows(df: DataFrame, id_col: str, text_col: str, heads, tails, k: int) -> DataFrame:
+    """Each window of ``k`` words that may lie in a run but ahead of its first or behind its last chosen window.
+
+    Those are fewer than the width of the choice away from it. ``heads`` and ``tails`` are bitmaps of the
+    chosen windows' digests; rows are as in ``passage_table``, without bands and sketch.
+    """
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exclusive("substring dedup", _POWERS.clear)
+        reach = _width(k) - 1
+        for batch in batches:
+            for part in by_bytes(batch, 1 << 20):
+                columns: list[list[np.ndarray]] = [[] for _ in kinds]
+                for doc, version, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    p = Parts(text or "")
+                    if p.n < k:
+                        continue
+                    windows = p.windows(k)
+                    c = chosen(windows, _width(k))
+                    before, behind = c[passing(heads.value, windows[c])], c[passing(tails.value, windows[c])]
+                    if not len(before) and not len(behind):
+                        continue
+                    near = np.zeros(len(windows) + 1, dtype=np.int64)
+                    np.add.at(near, np.concatenate([np.maximum(before - reach, 0), behind]), 1)
+                    np.add.at(near, np.concatenate([before + 1, np.minimum(behind + reach + 1, len(windows))]), -1)
+                    i = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+                    n = len(i)
+                    for column, x in zip(columns, (np.full(n, doc), np.full(n, version), np.full(n, WINDOW), p.starts[i], p.ends[i + k - 1], np.full(n, k), windows[i].view(np.int64)), strict=True):
+                        column.append(x)
+                if columns[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(kind.to_pandas_dtype()), kind) for x, kind in zip(columns, kinds, strict=True)], names=["doc", "version", "place", "start", "stop", "words", "h"])
+
+    return _keyed(df, id_col, text_col).mapInArrow(run, "doc long, version int, place int, start int, stop int, words int, h long")
+
+
+def earlier(rows: DataFrame, name: str) -> DataFrame:
+    """Rows whose digest a smaller id has too, with the smallest as ``keeper``."""
+    repeated = stored(rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper"), name)
+    return only_passing(rows, "h", bitmap_of(repeated, "h")).join(repeated, "h").filter("doc > keeper")
+
+
 def near_lines(table: DataFrame, df: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     """Pairs ``a``, ``b`` of digests of different lines with a Jaccard similarity of at least ``similarity``.
 
@@ -254,20 +336,28 @@ def near_lines(table: DataFrame, df: DataFrame, id_col: str, text_col: str, simi
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """What repeats an earlier row: ``doc``, ``version`` and ``found``, an array of (place, start, stop, words, keeper).
 
-    Units with a place repeat exactly; lines (place -1) are in a component of near-equal lines. The
-    keeper is the smallest id that has the unit, or a line of the component; it keeps them all.
+    Units with a place repeat exactly, as do stretches and windows; lines (place -1) are in a component of
+    near-equal lines. The keeper is the smallest id that has the unit, or a line of the component; it
+    keeps them all.
+
+    Every run of over ``UNSEEN_RUN`` words that two rows share has a chosen window, and from its first
+    to its last one the same stretches in both. Its ends, where a chosen window's neighbouring stretches differ
+    among the rows that have it, are compared window by window. So all its words are found, whatever
+    other rows share of it.
     """
     bands = tune_bands(similarity)
-    table = stored(passage_table(df, id_col, text_col, bands, ROWS), "passages")
-    units = table.filter("place >= 0").drop("bands", *SKETCH)
-    repeated = stored(units.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper"), "repeated")
-    hits = only_passing(units, "h", bitmap_of(repeated, "h")).join(repeated, "h").filter("doc > keeper")
+    table = stored(passage_table(df, id_col, text_col, bands, ROWS, least_words), "passages")
+    hits = earlier(table.filter(F.col("place") != LINE).drop("bands", *SKETCH), "repeated")
+    seeds = table.filter(F.col("place") == STRETCH).groupBy(F.col("s0").alias("h")).agg(F.min("doc").alias("a"), F.max("doc").alias("z"), (F.min("s1") < F.max("s1")).alias("head"), (F.min("h") < F.max("h")).alias("tail"))
+    seeds = stored(seeds.filter("a < z and (head or tail)").select("h", "head", "tail"), "seeds")
+    windows = stored(end_windows(df, id_col, text_col, bitmap_of(seeds.filter("head"), "h"), bitmap_of(seeds.filter("tail"), "h"), least_words), "windows")
+    ends = earlier(windows, "ends")
     named = connected_components(near_lines(table, df, id_col, text_col, similarity))
     lines = table.filter("place = -1").drop("bands", *SKETCH).join(named.withColumnRenamed("node", "h"), "h")
     keepers = lines.groupBy("component").agg(F.min("doc").alias("keeper"))
     near = lines.join(keepers, "component").filter("doc > keeper")
     columns = ["doc", "version", "place", "start", "stop", "words", "keeper"]
-    both = hits.select(*columns).union(near.select(*columns))
+    both = hits.select(*columns).union(ends.select(*columns)).union(near.select(*columns))
     return both.groupBy("doc", "version").agg(F.collect_set(F.struct("place", "start", "stop", "words", "keeper")).alias("found"))
 
 
@@ -275,7 +365,7 @@ def spans_to_remove(found: list[dict], least_words: int = LEAST_WORDS) -> list[t
     """(start, stop, words, keeper) of each span to remove, ascending and apart.
 
     Runs of repeated units that follow each other go if they have ``least_words`` words together,
-    near-equal lines if they have as many.
+    near-equal lines, stretches and windows if they have as many. The words of spans that overlap are added.
     """
     spans = [(f["start"], f["stop"], f["words"], f["keeper"]) for f in found if f["place"] < 0 and f["words"] >= least_words]
     run: list[dict] = []
@@ -318,8 +408,9 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns ``id_col``, ``text``, ``changed``, ``n_removed_words``, ``spans`` (array of start and stop in
     bytes of the text as it came, words, and keeper, an id) and ``keeper_id`` (of the first span; null
-    if none), and ahead of them the columns named in ``carry``. Two things are removed: runs of exactly repeated units of at least ``least_words``
-    words, wherever they stand in a line, and lines (paragraphs) of as many words whose 5-word
+    if none), and ahead of them the columns named in ``carry``. Two things are removed: exact repeats of at least ``least_words``
+    words, wherever they stand in a line (all of over ``UNSEEN_RUN`` words, word for word; of shorter ones
+    runs of whole units, and what a chosen window finds), and lines (paragraphs) of as many words whose 5-word
     shingles have a Jaccard similarity of ``similarity`` or more with a line linked to an earlier
     row. Repeats within a row stay, as do those between rows of equal id. A null text stays null; null
     ids count as one smallest id; repeated rows are treated alike; an empty table gives an
@@ -339,6 +430,8 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 texts, changed, removed, spans, keeper = [], [], [], [], []
                 for text, f in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     s = spans_to_remove(f, least_words) if f else []
+                    raw = text.encode() if s else b""
+                    s = [(x, y, len(raw[x:y].split()), who) for x, y, _, who in s]
                     texts.append(without(text, [x[:2] for x in s]) if s else text)
                     changed.append(bool(s))
                     removed.append(sum(x[2] for x in s))
