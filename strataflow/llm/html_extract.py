@@ -172,7 +172,7 @@ class _Page:
     hashes: list[int]
 
     def partner(self, *others: _Page | None) -> _Page | None:
-        """Of the pages beside it on its host that are no copy of it, the one with the nearest path; of equal ones the first."""
+        """Of the nearest pages before and behind it on its host that are no copy of it, the one with the nearest path; of equal ones the first."""
         fit = [o for o in others if o and o.host == self.host and o.hashes != self.hashes]
         return max(fit, key=lambda o: _likeness(self.path, o.path), default=None)
 
@@ -202,12 +202,44 @@ def pack_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([packed if i == 2 else c for i, c in enumerate(part.columns)], names=["packed" if i == 2 else n for i, n in enumerate(part.schema.names)])
 
 
+def _digest(hashes: list[int]) -> int:
+    return xxhash.xxh3_64_intdigest(repr(hashes)) - (1 << 63)
+
+
+def _beside(faces: list[tuple[int, int, int, str, int, bool]]) -> list[tuple[int, int, int, int, bool]]:
+    """For the first and last row of equal pages of each range, where the page before and behind it is found.
+
+    ``faces`` are (range, face, at, host, digest of lines, whether the range has a page of its host next to it)
+    of each range's first and last page, ascending. What is found is the last or first page (face 2 or 1) of another
+    range or, with ``inner``, the page next to the row that this one belongs to, past any number of ranges of
+    equal pages.
+    """
+    ranges: dict[int, dict[int, tuple]] = {}
+    for r, face, *rest in faces:
+        for f in (1, 2) if face == 3 else (face,):
+            ranges.setdefault(r, {})[f] = tuple(rest)
+    out = [(r, f[k][0], r, k, True) for r, f in ranges.items() for k in (1, 2) if f[k][0] == k - 1 and f[k][3]]
+    for here, there, order in ((1, 2, sorted(ranges)), (2, 1, sorted(ranges, reverse=True))):
+        last: tuple | None = None  # range, host, digest of the range next to this one on that side, and what lies beyond its outer row
+        for r in order:
+            at, host, digest, _ = ranges[r][here]
+            target = None
+            if last and last[1] == host:
+                target = last[3] if last[2] == digest else (last[0], there, False)
+            if target:
+                out.append((r, at, *target))
+            outer_at, outer_host, outer_digest, known = ranges[r][there]
+            last = (r, outer_host, outer_digest, target if outer_at == 2 else (r, there, True) if known else None)
+    return out
+
+
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, ``text`` and ``n_chars`` of the main text of each page.
 
     Pages are dealt by ranges of (host, path, id), so that a host with many pages takes many
-    tasks; each is compared with the page before and behind it, and the first and last page of a
-    range, at most two a range, with the range next to it in a second step over those alone. Pages
+    tasks; each is compared with the nearest page before and behind it that has other lines, so that
+    equal pages in a row have the same two. The first and last such row of a range are compared with
+    the ranges beside it in a second step over those pages alone. Pages
     without a host share an empty one; null html is empty text; null ids, repeated rows and equal
     URLs (ordered by id, then html) are pages like any other; an empty table gives an empty result.
     """
@@ -221,67 +253,83 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     kind = df.schema[id_col].dataType
     arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind.simpleString(), pa.int64())
     hashes = ArrayType(LongType())
-    schema = StructType([StructField(id_col, kind), StructField(url_col, StringType()), StructField("text", StringType()), StructField("edge", BooleanType()), StructField("at", LongType()), StructField("host", StringType()), StructField("path", StringType()), StructField("lines", ArrayType(StringType())), StructField("zones", hashes), StructField("hashes", hashes), StructField("near_path", StringType()), StructField("near", hashes)])
-    kinds = [arrow_kind, pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int64())]
+    schema = StructType([StructField(id_col, kind), StructField(url_col, StringType()), StructField("text", StringType()), StructField("edge", BooleanType()), StructField("at", LongType()), StructField("host", StringType()), StructField("path", StringType()), StructField("lines", ArrayType(StringType())), StructField("zones", hashes), StructField("hashes", hashes), StructField("near_path", StringType()), StructField("near", hashes), StructField("face", LongType()), StructField("digest", LongType())])
+    kinds = [arrow_kind, pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+
+    def rows_of(pages: list[tuple]) -> pa.RecordBatch:
+        """``at`` is null for a page that is done; else 0 for the first row of equal pages of a range and 1 for the last, 2 for one that is both.
 
-    def rows_of(pages: list[tuple[_Page, _Page | None, int | None]]) -> pa.RecordBatch:
-        """``at`` is null for a page that is done; else 0 for the first and 1 for the last of a range, 2 for one that is both."""
+        ``face`` is 1 for the first page of a range, 2 for the last, 3 for one that is both, else 0; only those list hashes.
+        """
         out = []
-        for p, near, edge in pages:
+        for p, near, edge, face in pages:
             if edge is None:
-                out.append((p.page_id, p.url, p.text(near), False, None, None, None, None, None, None, None, None))
+                out.append((p.page_id, p.url, p.text(near), False, *[None] * 10))
             else:
-                out.append((p.page_id, p.url, None, True, edge, p.host, p.path, p.lines, p.zones, p.hashes, near.path if near else None, near.hashes if near else None))
+                known = (p.hashes, near.path if near else None, near.hashes if near else None, face, _digest(p.hashes)) if face else (None, None, None, 0, None)
+                out.append((p.page_id, p.url, None, True, edge, p.host, p.path, p.lines, p.zones, *known))
         columns = list(zip(*out, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = now = None
+        before = None
+        equal: list[_Page] = []
         done: list = []
         size = 0
+
+        def close(behind: _Page | None) -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            edge = (2 if before is None else 1) if behind is None else 0 if before is None else None
+            for i, p in enumerate(equal):
+                face = (before is None and i == 0) + 2 * (behind is None and i == len(equal) - 1)
+                done.append((p, p.partner(before, behind), edge, face))
+                size += sum(map(len, p.lines)) + 64 * len(p.lines)
+                if size > 4 << 20 or len(done) >= 1000:
+                    yield rows_of(done)
+                    done.clear()
+                    size = 0
+
         for batch in batches:
             for part in by_bytes(batch):
                 for doc, url, raw, host, path in zip(*[part.column(i).to_pylist() for i in range(5)], strict=True):
                     got = page_lines(zlib.decompress(raw).decode())
                     page = _Page(doc, url, host or "", path or "", [x for x, _ in got], [z for _, z in got], [_hash(x) for x, _ in got])
-                    if now is not None:
-                        done.append((now, now.partner(before, page), 0 if before is None else None))
-                        size += sum(map(len, now.lines))
-                        if size > 4 << 20 or len(done) >= 1000:
-                            yield rows_of(done)
-                            done, size = [], 0
-                    before, now = now, page
-        if now is not None:
-            done.append((now, now.partner(before), 2 if before is None else 1))
-            yield rows_of(done)
+                    if equal and page.host == equal[0].host and page.hashes == equal[0].hashes:
+                        first = equal[0]  # one copy of the lines, however many pages have them
+                        page.lines, page.hashes, page.zones = first.lines, first.hashes, first.zones if page.zones == first.zones else page.zones
+                    elif equal:
+                        yield from close(page)
+                        before, equal = equal[-1], []
+                    equal.append(page)
+        if equal:
+            yield from close(None)
+            if done:
+                yield rows_of(done)
 
     # A page is compressed by itself before it is dealt: half of what the shuffle's own codec leaves.
     fields = [StructField(id_col, kind), StructField(url_col, StringType()), StructField("packed", BinaryType()), StructField("host", StringType()), StructField("path", StringType()), StructField("tie", LongType())]
     rows = rows.mapInArrow(pack_pages, StructType(fields))
     ranged = rows.repartitionByRange(F.col("host"), F.col("path"), F.col(id_col), F.col("tie")).sortWithinPartitions("host", "path", id_col, "tie")
     table = stored(ranged.mapInArrow(run, schema).withColumn("range", F.spark_partition_id()), "pages", level=12)
-    keys = sorted((r["range"], r["at"], r["host"]) for r in table.filter("edge").select("range", "at", "host").collect())
-    pairs = []
-    for (ra, ata, ha), (rb, atb, hb) in zip(keys, keys[1:], strict=False):
-        if ra != rb and ha == hb:
-            pairs += [(ra, ata, rb, atb), (rb, atb, ra, ata)]
+    faces = sorted((r["range"], r["face"], r["at"], r["host"], r["digest"], r["known"]) for r in table.filter("face > 0").select("range", "face", "at", "host", "digest", F.col("near").isNotNull().alias("known")).collect())
     edges = table.filter("edge")
-    links = df.sparkSession.createDataFrame(pairs, "range int, at long, other_range int, other_at long")
-    others = edges.select(F.col("range").alias("other_range"), F.col("at").alias("other_at"), F.struct(F.col("path").alias("path"), F.col("hashes").alias("hashes")).alias("o"))
-    beside = F.broadcast(links).join(others, ["other_range", "other_at"]).groupBy("range", "at").agg(F.collect_list("o").alias("beside"))
-    open_ = edges.join(beside, ["range", "at"], "left").select(id_col, url_col, "host", "path", "lines", "zones", "hashes", "near_path", "near", "beside")
+    links = df.sparkSession.createDataFrame(_beside(faces), "range int, at long, other_range int, face long, inner boolean")
+    sides = table.filter("face > 0").withColumn("face", F.explode(F.when(F.col("face") == 3, F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).otherwise(F.array("face"))))
+    others = sides.select(F.col("range").alias("other_range"), "face", "path", "hashes", "near_path", "near")
+    beside = F.broadcast(links).join(others, ["other_range", "face"]).select("range", "at", F.when(F.col("inner"), F.struct(F.col("near_path").alias("path"), F.col("near").alias("hashes"))).otherwise(F.struct("path", "hashes")).alias("o")).groupBy("range", "at").agg(F.collect_list("o").alias("beside"))
+    open_ = edges.join(F.broadcast(beside), ["range", "at"], "left").select(id_col, url_col, "host", "path", "lines", "zones", "beside")
     final = StructType([StructField(id_col, kind), StructField(url_col, StringType()), StructField("text", StringType())])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                page = _Page(r[id_col], r[url_col], r["host"], r["path"], r["lines"], r["zones"], r["hashes"])
-                other = [(r["near_path"], r["near"])] if r["near"] is not None else []
-                other += [(o["path"], o["hashes"]) for o in r["beside"] or []]
-                other = [_Page(None, None, page.host, p, [], [], h) for p, h in other]
-                out.append((page.page_id, page.url, page.text(page.partner(*sorted(other, key=lambda o: (o.path, o.hashes))))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)] if out else [pa.array([], k) for k in kinds[:3]], names=final.names)
+            for part in by_bytes(batch, 1 << 20):
+                out = []
+                for r in part.to_pylist():
+                    page = _Page(r[id_col], r[url_col], r["host"], r["path"], r["lines"], r["zones"], [_hash(x) for x in r["lines"]])
+                    other = [_Page(None, None, page.host, o["path"], [], [], o["hashes"]) for o in r["beside"] or []]
+                    out.append((page.page_id, page.url, page.text(page.partner(*sorted(other, key=lambda o: (o.path, o.hashes))))))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names=final.names)
 
     text = table.filter("not edge").select(id_col, url_col, "text").union(open_.mapInArrow(finish, final))
     return text.select(id_col, url_col, "text", F.length("text").cast("long").alias("n_chars"))
