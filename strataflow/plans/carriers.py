@@ -179,14 +179,6 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").cast("date").alias("day"))
 
 
-def most_in_slice(spark: SparkSession, sf_dir: str) -> int:
-    """The limit that fits the table: a fourth of its largest key, at least the largest day."""
-    u = universe(spark, sf_dir)
-    top = u.groupBy("priority").count().agg(F.max("count")).first()[0] or 0
-    day = u.groupBy("priority", "day").count().agg(F.max("count")).first()[0] or 1
-    return max(top // 4, day)
-
-
 def as_text(df: DataFrame) -> DataFrame:
     """Dates as ISO text, which both engines write alike."""
     return df.select(*[F.col(c).cast("string").alias(c) if t == "date" else c for c, t in df.dtypes])
@@ -202,14 +194,14 @@ SELECT priority, CAST(a AS VARCHAR) AS slice_start, CAST(z AS VARCHAR) AS slice_
 
 @query(DATE_SLICES)
 def date_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PLN-01, FN-20."""
-    return as_text(slices.plan_slices(universe(spark, sf_dir), "priority", "day", FIRST, LAST, most_in_slice(spark, sf_dir)))
+    """PLN-01, FN-20: at most ``MOST`` rows a slice; a day with more raises ``SliceTooLarge``, as no slice can hold it."""
+    return as_text(slices.plan_slices(universe(spark, sf_dir), "priority", "day", FIRST, LAST, MOST))
 
 
 @query(f"SELECT priority, slice_start, slice_end, planned_count, planned_count AS members FROM ({DATE_SLICES}) WHERE planned_count > 0")
 def slice_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN-08, FLT-04: rows joined to the slice that holds their day."""
-    plan = slices.plan_slices(universe(spark, sf_dir), "priority", "day", FIRST, LAST, most_in_slice(spark, sf_dir))
+    plan = slices.plan_slices(universe(spark, sf_dir), "priority", "day", FIRST, LAST, MOST)
     inside = slices.in_slices(universe(spark, sf_dir), "day", "priority", plan).groupBy("priority", "slice_start", "slice_end").agg(F.count("*").alias("members"))
     return as_text(plan.join(inside, ["priority", "slice_start", "slice_end"]))
 

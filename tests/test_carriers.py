@@ -1,3 +1,8 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from strataflow.operators import slices
 from strataflow.plans import carriers
 
 
@@ -14,3 +19,18 @@ def test_review_queue_holds_every_document(spark, tmp_path):
     want = sorted(docs, key=lambda d: (-good.get(d[0], 0), -d[2], -d[0]))
     got = carriers.review_queue(spark, str(tmp_path)).orderBy("position").collect()
     assert [tuple(r) for r in got] == [(d[0], "en", good.get(d[0], 0) == 1, n) for n, d in enumerate(want, 1)]
+
+
+def test_slices_keep_a_fixed_limit(spark, tmp_path):
+    first = date(1995, 1, 1)
+    orders = [(n, "1-URGENT", datetime(1995, 1, 1) + timedelta(days=n % 2400)) for n in range(9000)]
+    put(spark, tmp_path / "a", "orders", orders, "o_orderkey long, o_orderpriority string, o_orderdate timestamp_ntz")
+    plan = sorted(tuple(r) for r in carriers.date_slices(spark, str(tmp_path / "a")).collect())
+    days = [o[2].date() for o in orders]
+    want = slices.plan_slices_by_count(lambda a, z: sum(a <= d <= z for d in days), first, date(2001, 12, 31), 1000)
+    assert plan == [("1-URGENT", str(a), str(z), n) for a, z, n in want] and max(p[3] for p in plan) <= 1000
+    held = carriers.slice_membership(spark, str(tmp_path / "a")).collect()
+    assert sum(r["members"] for r in held) == 9000 and all(r["members"] == r["planned_count"] <= 1000 for r in held)
+    put(spark, tmp_path / "b", "orders", [(n, "1-URGENT", datetime(1995, 1, 1)) for n in range(1001)], "o_orderkey long, o_orderpriority string, o_orderdate timestamp_ntz")
+    with pytest.raises(Exception, match="SliceTooLarge"):
+        carriers.date_slices(spark, str(tmp_path / "b")).collect()
