@@ -93,7 +93,7 @@ def year_bounds(year: Column, start: Column, end: Column) -> tuple[Column, Colum
 
 
 def midpoint(left: Column, right: Column) -> Column:
-    """Last day of the left half of a closed interval (FN-20)."""
+    """Last day of the left half of a closed interval (FN-20); half of a negative length is rounded down, as Python's ``//`` does."""
     return F.date_add(left, F.floor(F.datediff(right, left) / 2).cast("int"))
 
 

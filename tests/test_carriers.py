@@ -34,3 +34,16 @@ def test_slices_keep_a_fixed_limit(spark, tmp_path):
     put(spark, tmp_path / "b", "orders", [(n, "1-URGENT", datetime(1995, 1, 1)) for n in range(1001)], "o_orderkey long, o_orderpriority string, o_orderdate timestamp_ntz")
     with pytest.raises(Exception, match="SliceTooLarge"):
         carriers.date_slices(spark, str(tmp_path / "b")).collect()
+
+
+def test_partial_dates_cover_all_years(spark, tmp_path):
+    days = [date(1995, 1, 1) + timedelta(days=3 * n) for n in range(800)]
+    put(spark, tmp_path, "orders", [(n, datetime(d.year, d.month, d.day)) for n, d in enumerate(days)], "o_orderkey long, o_orderdate timestamp_ntz")
+    got = {r["o_orderkey"]: r for r in carriers.partial_dates(spark, str(tmp_path)).collect()}
+    start = date(1996, 1, 1)
+    assert len(got) == 800 and min(r["year"] for r in got.values()) == 1995
+    for n, d in enumerate(days):
+        text = [f"{d.year:04d}", f"{d:%Y-%m}", f"{d:%Y-%m-%d}", f"{d.year:04d}"][n % 4]
+        assert (got[n]["value"], got[n]["precision"], got[n]["year"]) == (text, ["year", "month", "day", "year"][n % 4], d.year)
+        assert got[n]["middle"] == str(start + timedelta(days=(d - start).days // 2))
+        assert got[n]["period_start"] == str(max(date(d.year, 1, 1), date(1996, 3, 1))) and got[n]["period_end"] == str(min(date(d.year, 12, 31), date(1999, 6, 30)))
