@@ -47,3 +47,10 @@ def test_partial_dates_cover_all_years(spark, tmp_path):
         assert (got[n]["value"], got[n]["precision"], got[n]["year"]) == (text, ["year", "month", "day", "year"][n % 4], d.year)
         assert got[n]["middle"] == str(start + timedelta(days=(d - start).days // 2))
         assert got[n]["period_start"] == str(max(date(d.year, 1, 1), date(1996, 3, 1))) and got[n]["period_end"] == str(min(date(d.year, 12, 31), date(1999, 6, 30)))
+
+
+def test_registry_check_counts_every_customer(spark, tmp_path):
+    put(spark, tmp_path, "nation", [(0, "A"), (1, "B"), (2, "C")], "n_nationkey int, n_name string")
+    put(spark, tmp_path, "customer", [(1, 0, 9500.0), (2, 0, -10.0), (3, 1, 9000.0)], "c_custkey long, c_nationkey int, c_acctbal double")
+    got = sorted(tuple(r) for r in carriers.registry_check(spark, str(tmp_path)).collect())
+    assert got == [(0, "A", 2, True), (1, "B", 1, True), (2, "C", 0, False)]
