@@ -23,10 +23,21 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     """Write ``df`` once as Parquet, zstd of a ``level``, in the shared folder and return a reader of it.
 
-    Lost executors then cost a re-read, not a recomputation. The files are left for the folder's
-    own retention rule, because any DataFrame derived from the result may still read them.
+    Lost executors then cost a re-read, not a recomputation. The files stay until ``discard`` is called
+    for the table, which only its maker may do: a DataFrame derived from it may still read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strataflow/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = (path,)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``stored`` made and nothing reads any more; other DataFrames are left alone."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in getattr(table, "_stored_at", ()):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
