@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strataflow.llm.scratch import stored
+from strataflow.llm.scratch import discard, stored
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,7 +13,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternating large-star and small-star steps: each step hangs a node's neighbours on the
     smallest one, by a partially aggregated minimum and a join, never by gathering a node's
     neighbours in one place. Edges halve in depth each round, so that rounds grow with the
-    logarithm of the longest chain; each round is a table in the shared folder. The driver sees a
+    logarithm of the longest chain; each round is a table in the shared folder, which the next replaces. The driver sees a
     count and a checksum a round. Nulls and loops are left out; an empty table gives none.
     """
 
@@ -30,10 +30,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = large.filter("u > v").distinct()
         low = by_smallest(large)
         small = low.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        graph = stored(small.distinct(), "edges")
+        last, graph = graph, stored(small.distinct(), "edges")
+        discard(last)
         now = graph.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
         mark = now
     roots = graph.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return graph.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    out = graph.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    out._stored_at = graph._stored_at  # for whoever has no more use for it
+    return out

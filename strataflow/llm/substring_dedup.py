@@ -1,4 +1,4 @@
-"""Substring dedup: paragraph MinHash banding, exact Jaccard, components; and repeated passages."""
+"""Substring dedup: paragraph MinHash banding, exact Jaccard, components; and exactly repeated passages."""
 
 from __future__ import annotations
 
@@ -6,29 +6,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, ByteType, DataType, IntegerType, LongType, NumericType, StringType, StructField, StructType
 
 from strataflow.llm.arrow import by_bytes, exclusive
 from strataflow.llm.bitmaps import bitmap_of, only_passing, passing
 from strataflow.llm.components import connected_components
-from strataflow.llm.scratch import stored
+from strataflow.llm.scratch import discard, stored
 
-#: Words of a shingle, least Jaccard similarity, least words of a removed span.
+#: Words of a shingle, least Jaccard similarity, least words of a paragraph that is compared.
 SHINGLE, SIMILARITY, LEAST_WORDS = 5, 0.8, 20
 #: Chance that a pair at exactly SIMILARITY collides in a band, which the bands are tuned for, with ROWS minima in each.
 RECALL, ROWS = 0.98, 2
-#: Sentences under this many words join the next; units above this many words are cut at words whose digest has CUT_BITS low zero bits.
-SHORT_SENTENCE, LONG_UNIT, CUT_BITS = 6, 24, 3
+#: Least words of an exact repeat that is removed, and words of the windows that find it.
+RUN_WORDS, SEED_WORDS = 50, 20
 
-#: Longest run of words that need not share a chosen window with its equal elsewhere; all longer ones do.
-UNSEEN_RUN = 49
-#: Places in the passage table of what is no unit: lines, stretches from a chosen window to the next, the stretch ahead of the first one, single windows.
-LINE, STRETCH, HEAD, WINDOW = -1, -2, -3, -4
+#: Kinds of rows: a stretch from a chosen window to the end of the next, the stretch ahead of the first one, a line; a single window, a line's shingles.
+STRETCH, HEAD, LINE = 0, 1, 2
+WINDOW, SHINGLES = 3, 4
+#: Bytes of texts that are cut together.
+PART_BYTES = 1 << 20
 
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_GAP = np.isin(np.arange(256), [32, *range(9, 14)])
+SKETCH = ("s0", "s1", "s2", "s3")
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -58,69 +62,90 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _ranges(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Digest of each ``values[start:end]``, the same wherever it stands."""
-    up, down = _powers(base, len(values) + 1)
-    sums = np.concatenate([np.zeros(1, _U), np.cumsum(values * up[: len(values)], dtype=_U)])
-    return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U) * _U(base))
+class _Digests:
+    """Digest of any ``values[start:end]``, the same wherever it stands."""
+
+    def __init__(self, values: np.ndarray, base: int) -> None:
+        self._base = base
+        up, self._down = _powers(base, len(values) + 1)
+        self._sums = np.concatenate([np.zeros(1, _U), np.cumsum(values * up[: len(values)], dtype=_U)])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return _mix((self._sums[ends] - self._sums[starts]) * self._down[starts] + (ends - starts).astype(_U) * _U(self._base))
+
+
+def _within(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every place from start to end of each range, one range after the other, and where each range begins among them."""
+    size = ends - starts
+    first = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])[:-1].astype(np.int64)
+    return np.repeat(starts - first, size) + np.arange(int(size.sum())), first
 
 
 class Parts:
-    """Words, units and lines of a text; places are bytes of its UTF-8.
+    """Words, lines and chosen windows of texts that stand one after the other; none crosses from one to the next.
 
-    A unit is a sentence with the short ones before it, within a line; a long one is cut at words
-    that their digests choose. Its bounds depend on the words around them alone, so that a passage
-    is cut alike wherever it stands.
+    Words are known by their place among all of them, bytes by their place in their own text.
     """
 
-    def __init__(self, text: str) -> None:
-        b = np.frombuffer(text.encode(), dtype=np.uint8)
-        gap = np.concatenate([[True], (b == 32) | ((b >= 9) & (b <= 13)), [True]])
+    def __init__(self, texts: list[str]) -> None:
+        raw = [t.encode() for t in texts]
+        b = np.frombuffer(b"".join(x + b"\n" for x in raw), dtype=np.uint8)
+        base = np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])]).astype(np.int64)
+        gap = np.concatenate([[True], _GAP[b], [True]])
         turn = np.flatnonzero(gap[1:] != gap[:-1])
-        self.starts, self.ends = turn[::2], turn[1::2]
-        n = len(self.starts)
-        self.n = n
-        if not n:
+        starts, ends = turn[::2], turn[1::2]
+        self.n = len(starts)
+        first = np.searchsorted(starts, base)  # first word of each text
+        self.doc = np.repeat(np.arange(len(raw)), np.diff(first))
+        self.first, self.last = first[self.doc], first[self.doc + 1]  # of each word's text
+        self.start, self.end = starts - base[self.doc], ends - base[self.doc]
+        if not self.n:
+            self.line_starts = self.line_ends = np.zeros(0, np.int64)
             return
-        self.words = _ranges(b.astype(_U) + _U(1), _P, self.starts, self.ends)
-        breaks = np.concatenate([[0], np.cumsum(b == 10)])
-        line_end = np.ones(n, dtype=bool)
-        line_end[:-1] = breaks[self.starts[1:]] > breaks[self.ends[:-1]]
-        last = b[self.ends - 1]
-        mark = line_end | (last == 46) | (last == 33) | (last == 63)
-        at = np.flatnonzero(mark)
-        long = np.diff(np.concatenate([[-1], at])) >= SHORT_SENTENCE
-        stop = at[long | line_end[at]]
-        size = np.diff(np.concatenate([[-1], stop]))
-        in_long = np.repeat(size > LONG_UNIT, size)
-        cut = in_long & (self.words & _U((1 << CUT_BITS) - 1) == 0)
-        cut[stop] = True
-        self.unit_ends = np.flatnonzero(cut) + 1
-        self.unit_starts = np.concatenate([[0], self.unit_ends[:-1]])
-        self.line_ends = np.flatnonzero(line_end) + 1
+        words = _Digests(b.astype(_U) + _U(1), _P)(starts, ends)
+        self.digest = _Digests(words, _Q)
+        line = np.searchsorted(np.flatnonzero(b == 10), starts)
+        self.line_ends = np.concatenate([np.flatnonzero(line[1:] != line[:-1]) + 1, [self.n]])
         self.line_starts = np.concatenate([[0], self.line_ends[:-1]])
 
-    def unit_digests(self) -> np.ndarray:
-        return _ranges(self.words, _Q, self.unit_starts, self.unit_ends)
-
-    def line_digests(self) -> np.ndarray:
-        return _ranges(self.words, _Q, self.line_starts, self.line_ends)
-
     def windows(self, k: int) -> np.ndarray:
-        """Digest of the k words that begin at each word."""
+        """Digest of the k words that begin at each word; those that cross from one text to the next mean nothing."""
         i = np.arange(max(0, self.n - k + 1))
-        return _ranges(self.words, _Q, i, i + k)
-
-    def shingles(self) -> np.ndarray:
-        """Digest of the shingle that begins at each word, over line ends."""
-        i = np.arange(max(0, self.n - SHINGLE + 1))
-        return _ranges(self.words, _Q, i, i + SHINGLE)
-
-
-def chosen(windows: np.ndarray, width: int) -> np.ndarray:
-    """Places of the least digest, the last of equal ones, of each ``width`` windows in a row (winnowing)."""
+        return self.digest(i, i + k)
+
+    def stretches(self, k: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First word of each chosen window of k words, digest of that window, end and digest of the stretch that begins there, digest of the stretch before.
+
+        Windows are chosen so that every ``run`` words in a row have one. A stretch ends where the next
+        chosen window ends, or with its text; the one before the first begins with its text.
+        """
+        w = self.windows(k)
+        i = np.arange(max(0, self.n - run + 1))
+        at = chosen(w, run - k + 1, self.doc[i] == self.doc[i + run - 1])
+        if not len(at):
+            none = np.zeros(0, _U)
+            return at, none, at, none, none
+        more = self.doc[at[1:]] == self.doc[at[:-1]]
+        end = self.last[at]
+        end[:-1][more] = at[1:][more] + k
+        h, prev = self.digest(at, end), self.digest(self.first[at], at + k)
+        prev[1:][more] = h[:-1][more]
+        return at, w[at], end, h, prev
+
+    def lines(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last word (exclusive) of each line of ``least`` words or more."""
+        ok = self.line_ends - self.line_starts >= least
+        return self.line_starts[ok], self.line_ends[ok]
+
+
+def chosen(windows: np.ndarray, width: int, valid: np.ndarray | None = None) -> np.ndarray:
+    """Places of the least digest, the last of equal ones, of each ``width`` windows in a row (winnowing).
+
+    ``valid`` says at which windows such a row may begin; by default all do, and fewer windows than
+    ``width`` are one row.
+    """
     n = len(windows)
-    if not n:
+    if not n or valid is not None and not len(valid):
         return np.zeros(0, dtype=np.int64)
     low = _U((1 << 24) - 1)
     key = (_mix(windows) & ~low) | (low - (np.arange(n, dtype=_U) & low))
@@ -129,261 +154,287 @@ def chosen(windows: np.ndarray, width: int) -> np.ndarray:
         step = min(have, width - have)
         key = np.minimum(key[:-step], key[step:])
         have += step
-    at = np.arange(len(key))
-    return np.unique(at + ((low - (key & low)).astype(np.int64) - at) % (1 << 24))
-
-
-def _width(k: int) -> int:
-    """Windows of k words in a row of which one is chosen, so that a run of over ``UNSEEN_RUN`` words has one."""
-    return max(1, UNSEEN_RUN + 2 - k)
+    at = np.arange(len(key)) if valid is None else np.flatnonzero(valid)
+    return np.unique(at + ((low - (key[at] & low)).astype(np.int64) - at) % (1 << 24))
 
 
 def _minhash(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Band keys (lines x bands) of the shingles from start to end of each line."""
-    inside = np.repeat(starts - np.concatenate([[0], np.cumsum(ends - starts)[:-1]]), ends - starts) + np.arange(int((ends - starts).sum()))
-    flat, first = shingles[inside], np.concatenate([[0], np.cumsum(ends - starts)[:-1]])
+    inside, first = _within(starts, ends)
+    flat = shingles[inside]
     out = np.zeros((len(starts), bands), dtype=_U)
     for band in range(bands):
         key = np.full(len(starts), band + 1, dtype=_U)
-        for row in range(rows):
-            key = _mix(key * _U(_P) ^ np.minimum.reduceat(_mix(flat ^ _U((band * rows + row + 1) * _Q & 0xFFFFFFFFFFFFFFFF)), first))
+        for row in range(rows):  # digests are mixed: an odd factor orders them anew
+            odd = pow(_P, band * rows + row + 1, 1 << 64) | 1
+            key = _mix(key * _U(_P) ^ np.minimum.reduceat(flat * _U(odd), first))
         out[:, band] = key
     return out
 
 
-def _sketches(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+def _sketches(shingles: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     """Four words of the parities of each line's distinct shingles: no more bits differ between two lines than shingles do."""
-    n = ends - starts
-    line = np.repeat(np.arange(len(starts)), n)
-    flat = shingles[np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))]
-    order = np.lexsort((flat, line))
-    line, flat = line[order], flat[order]
-    again = np.concatenate([[False], (line[1:] == line[:-1]) & (flat[1:] == flat[:-1])])
-    word, bit = flat >> _U(62), np.where(again, _U(0), _U(1) << (flat >> _U(56) & _U(63)))
-    first = np.concatenate([[0], np.cumsum(n)[:-1]])
+    word, bit = shingles >> _U(62), _U(1) << (shingles >> _U(56) & _U(63))
     return [np.bitwise_xor.reduceat(np.where(word == _U(k), bit, _U(0)), first).view(np.int64) for k in range(4)]
 
 
-def any_of(conditions: list[Column]) -> Column:
-    out = F.lit(False)
-    for c in conditions:
-        out = out | c
-    return out
+def _key_type(df: DataFrame, id_col: str) -> DataType:
+    """Type in which ids are compared: long for whole numbers, else string."""
+    return LongType() if isinstance(df.schema[id_col].dataType, NumericType) else StringType()
 
 
-SKETCH = ("s0", "s1", "s2", "s3")
+def _least(kind: DataType) -> int | str:
+    """What stands for a null id."""
+    return -(1 << 63) if isinstance(kind, LongType) else ""
 
 
-def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int, k: int = LEAST_WORDS) -> DataFrame:
-    """A row for each unit, line and stretch: ``doc``, ``version``, ``place``, ``start``, ``stop``, ``words``, ``h``, and a line's ``bands`` and sketch ``s0`` to ``s3``.
+def _keyed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``doc`` (the id; the least one for null), ``version`` (digest of the text), ``text``, ``dk`` and ``rk`` (digests of doc and of both) and what else is asked for."""
+    kind = _key_type(df, id_col)
+    rows = df.select(F.coalesce(F.col(id_col).cast(kind), F.lit(_least(kind))).alias("doc"), F.hash(text_col).alias("version"), F.col(text_col).alias("text"), *more)
+    return rows.select("*", F.xxhash64("doc").alias("dk"), F.xxhash64("doc", "version").alias("rk"))
 
-    A stretch goes from a chosen window of ``k`` words to the end of the next; its ``s0`` is the digest of the
-    window it begins with and its ``s1`` that of the stretch before it.
-    ``doc`` is the id (the least long for null), ``version`` a digest of the text, which tells rows of
-    equal id apart. ``place`` counts units; it is ``LINE`` in lines, which are listed from ``LEAST_WORDS``
-    words on. ``start`` and ``stop`` are bytes.
-    """
-    schema = StructType([StructField("doc", LongType()), StructField("version", IntegerType()), StructField("place", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("words", IntegerType()), StructField("h", LongType()), StructField("bands", ArrayType(LongType())), *[StructField(c, LongType()) for c in SKETCH]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exclusive("substring dedup", _POWERS.clear)
-        for batch in batches:
-            for part in by_bytes(batch, 2 << 20):
-                columns: list[list[np.ndarray]] = [[] for _ in range(11)]
-                keys, lengths = [np.zeros(0, _U)], []
-                for doc, version, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    p = Parts(text or "")
-                    if not p.n:
-                        continue
-                    listed = p.line_ends - p.line_starts >= LEAST_WORDS
-                    a, z = p.line_starts[listed], p.line_ends[listed]
-                    windows = p.windows(k)
-                    c = chosen(windows, _width(k))
-                    f, t = np.concatenate([np.zeros(min(1, len(c)), c.dtype), c]), np.concatenate([c + k, np.full(min(1, len(c)), p.n)])
-                    u, v = np.concatenate([p.unit_starts, a, f]), np.concatenate([p.unit_ends, z, t])
-                    m, lines = len(p.unit_starts), len(a)
-                    n = len(u)
-                    place = np.concatenate([np.arange(m), np.full(lines, LINE), np.full(len(f), STRETCH)])
-                    place[m + lines : m + lines + 1] = HEAD
-                    h = np.concatenate([p.unit_digests(), p.line_digests()[listed], _ranges(p.words, _Q, f, t)])
-                    marks = [np.zeros(n, dtype=np.int64) for _ in SKETCH]
-                    if lines:
-                        for mark, x in zip(marks, _sketches(p.shingles(), a, z - SHINGLE + 1), strict=True):
-                            mark[m : m + lines] = x
-                    if len(c):
-                        marks[0][m + lines + 1 :] = windows[c].view(np.int64)
-                        marks[1][m + lines + 1 :] = h[m + lines : -1].view(np.int64)
-                    for column, x in zip(columns, (np.full(n, doc), np.full(n, version), place, p.starts[u], p.ends[v - 1], v - u, h.view(np.int64), *marks), strict=True):
-                        column.append(x)
-                    counts = np.zeros(n, dtype=np.int64)
-                    if lines:
-                        keys.append(_minhash(p.shingles(), a, z - SHINGLE + 1, bands, rows).ravel())
-                        counts[m : m + lines] = bands
-                    lengths.append(counts)
-                if not columns[0]:
-                    continue
-                flat = [np.concatenate(c) for c in columns]
-                ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 5]
-                made = [pa.array(x.astype(kind.to_pandas_dtype()), kind) for x, kind in zip(flat, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*made[:7], lists, *made[7:]], names=schema.names)
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(np.asarray(x).view(np.int64) if x.dtype == _U else x.astype(np.int64), pa.int64())
 
-    return _keyed(df, id_col, text_col).mapInArrow(run, schema)
 
+def _int(x: np.ndarray) -> pa.Array:
+    return pa.array(x.astype(np.int32), pa.int32())
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.hash(text_col).alias("version"), F.col(text_col).alias("text"))
 
+def _batch(schema: list[tuple[str, pa.DataType]], n: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """Columns that are not given are null."""
+    return pa.RecordBatch.from_arrays([columns[name] if name in columns else pa.nulls(n, kind) for name, kind in schema], names=[name for name, _ in schema])
 
-def _line_shingles(df: DataFrame, id_col: str, text_col: str, wanted) -> DataFrame:
-    """``h`` and the shingle set of the lines whose digest passes the bitmap, one row a digest."""
-    schema = StructType([StructField("h", LongType()), StructField("shingles", ArrayType(LongType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_bytes(batch, 2 << 20):
-                h, sets = [], []
-                for text in part.column(0).to_pylist():
-                    p = Parts(text or "")
-                    if not p.n:
-                        continue
-                    d = p.line_digests()
-                    ok = np.flatnonzero((p.line_ends - p.line_starts >= LEAST_WORDS) & passing(wanted.value, d))
-                    if not len(ok):
-                        continue
-                    s = p.shingles()
-                    for i in ok.tolist():
-                        h.append(d[i])
-                        sets.append(np.unique(s[p.line_starts[i] : p.line_ends[i] - SHINGLE + 1]).view(np.int64))
-                if h:
-                    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(h, dtype=_U).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=schema.names)
-
-    return df.select(text_col).mapInArrow(run, schema).dropDuplicates(["h"])
-
-
-def end_windows(df: DataFrame, id_col: str, text_col: str, heads, tails, k: int) -> DataFrame:
-    """Each window of ``k`` words that may lie in a run but ahead of its first or behind its last chosen window.
-
-    Those are fewer than the width of the choice away from it. ``heads`` and ``tails`` are bitmaps of the
-    chosen windows' digests; rows are as in ``passage_table``, without bands and sketch.
+def _arrow(kind: DataType) -> pa.DataType:
+    return pa.int64() if isinstance(kind, LongType) else pa.string()
+
+
+def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int, least_words: int = LEAST_WORDS, run: int = RUN_WORDS, k: int = SEED_WORDS) -> DataFrame:
+    """A row for each stretch and each line of ``least_words`` words or more: ``kind``, ``doc``, ``version``, ``start``, ``stop``, ``h``.
+
+    ``start`` and ``stop`` are bytes, ``h`` a digest of the words. A stretch has also the digests of its
+    first window, ``seed``, and of the stretch before it, ``prev``; a line its ``bands``. Map-only.
     """
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    kind = _key_type(df, id_col)
+    schema = StructType([StructField("kind", ByteType()), StructField("doc", kind), StructField("version", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("h", LongType()), StructField("seed", LongType()), StructField("prev", LongType()), StructField("bands", ArrayType(LongType()))])
+    kinds = list(zip(schema.names, [pa.int8(), _arrow(kind), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())], strict=True))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exclusive("substring dedup", _POWERS.clear)
-        reach = _width(k) - 1
         for batch in batches:
-            for part in by_bytes(batch, 1 << 20):
-                columns: list[list[np.ndarray]] = [[] for _ in kinds]
-                for doc, version, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    p = Parts(text or "")
-                    if p.n < k:
-                        continue
-                    windows = p.windows(k)
-                    c = chosen(windows, _width(k))
-                    before, behind = c[passing(heads.value, windows[c])], c[passing(tails.value, windows[c])]
-                    if not len(before) and not len(behind):
-                        continue
-                    near = np.zeros(len(windows) + 1, dtype=np.int64)
-                    np.add.at(near, np.concatenate([np.maximum(before - reach, 0), behind]), 1)
-                    np.add.at(near, np.concatenate([before + 1, np.minimum(behind + reach + 1, len(windows))]), -1)
-                    i = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-                    n = len(i)
-                    for column, x in zip(columns, (np.full(n, doc), np.full(n, version), np.full(n, WINDOW), p.starts[i], p.ends[i + k - 1], np.full(n, k), windows[i].view(np.int64)), strict=True):
-                        column.append(x)
-                if columns[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(kind.to_pandas_dtype()), kind) for x, kind in zip(columns, kinds, strict=True)], names=["doc", "version", "place", "start", "stop", "words", "h"])
+            for part in by_bytes(batch, PART_BYTES):
+                p = Parts([t or "" for t in part.column(2).to_pylist()])
+                if not p.n:
+                    continue
 
-    return _keyed(df, id_col, text_col).mapInArrow(run, "doc long, version int, place int, start int, stop int, words int, h long")
+                def made(what: int, at: np.ndarray, end: np.ndarray, **columns: pa.Array) -> pa.RecordBatch:
+                    doc = pa.array(p.doc[at])  # noqa: B023
+                    own = {"kind": pa.array(np.full(len(at), what, np.int8)), "doc": part.column(0).take(doc), "version": part.column(1).take(doc), "start": _int(p.start[at]), "stop": _int(p.end[end - 1])}  # noqa: B023
+                    return _batch(kinds, len(at), own | columns)
+
+                at, seed, end, h, prev = p.stretches(k, run)
+                if len(at):
+                    yield made(STRETCH, at, end, h=_long(h), seed=_long(seed), prev=_long(prev))
+                    one = np.concatenate([[True], p.doc[at[1:]] != p.doc[at[:-1]]])
+                    yield made(HEAD, p.first[at[one]], at[one] + k, h=_long(prev[one]), seed=_long(seed[one]))
+                a, z = p.lines(least_words)
+                if len(a):
+                    keys = _minhash(p.windows(SHINGLE), a, z - SHINGLE + 1, bands, rows)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1) * bands, pa.int32()), _long(keys.ravel()))
+                    yield made(LINE, a, z, h=_long(p.digest(a, z)), bands=lists)
+
+    return _keyed(df, id_col, text_col).select("doc", "version", "text").mapInArrow(run_, schema)
+
+
+def details(df: DataFrame, id_col: str, text_col: str, docs: Broadcast, ends: Broadcast, lines: Broadcast, least_words: int = LEAST_WORDS, run: int = RUN_WORDS, k: int = SEED_WORDS) -> DataFrame:
+    """A second look at the rows in question: windows about the ends of runs, and lines' shingle sets.
+
+    ``docs`` is a bitmap of ``dk``; ``ends`` of a stretch's digest xor ``dk``, inverted if the run may go on
+    behind its first window instead of ahead of its last one; ``lines`` of a line's digest xor ``dk``. Each
+    window of ``k`` words that is fewer than the width of the choice away from such a chosen one is listed with ``doc``,
+    ``version``, ``start``, ``stop`` and ``h``; each such line with ``h``, ``size``, ``shingles`` (distinct)
+    and a sketch of them, ``s0`` to ``s3``.
+    """
+    kind = _key_type(df, id_col)
+    schema = StructType([StructField("kind", ByteType()), StructField("doc", kind), StructField("version", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("h", LongType()), StructField("size", IntegerType()), StructField("shingles", ArrayType(LongType())), *[StructField(c, LongType()) for c in SKETCH]])
+    kinds = list(zip(schema.names, [pa.int8(), _arrow(kind), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 4], strict=True))
+    reach = run - k
 
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exclusive("substring dedup", _POWERS.clear)
+        for batch in batches:
+            for whole in by_bytes(batch, PART_BYTES):
+                part = whole.filter(pa.array(passing(docs.value, whole.column(3).to_numpy())))
+                p = Parts([t or "" for t in part.column(2).to_pylist()])
+                if not p.n:
+                    continue
+                dk = part.column(3).to_numpy().view(_U)
+                at, _, _, h, prev = p.stretches(k, run)
+                if len(at):
+                    own = dk[p.doc[at]]
+                    before, behind = at[passing(ends.value, prev ^ own)], at[passing(ends.value, ~(h ^ own))]
+                    near = np.zeros(p.n + 1, dtype=np.int64)
+                    np.add.at(near, np.concatenate([np.maximum(before - reach, p.first[before]), behind]), 1)
+                    np.add.at(near, np.concatenate([before + 1, np.minimum(behind + reach + 1, p.last[behind] - k + 1)]), -1)
+                    i = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+                    if len(i):
+                        doc = pa.array(p.doc[i])
+                        yield _batch(kinds, len(i), {"kind": pa.array(np.full(len(i), WINDOW, np.int8)), "doc": part.column(0).take(doc), "version": part.column(1).take(doc), "start": _int(p.start[i]), "stop": _int(p.end[i + k - 1]), "h": _long(p.digest(i, i + k))})
+                a, z = p.lines(least_words)
+                if len(a):
+                    h = p.digest(a, z)
+                    ok = passing(lines.value, h ^ dk[p.doc[a]])
+                    a, z, h = a[ok], z[ok], h[ok]
+                if len(a):
+                    inside, first = _within(a, z - SHINGLE + 1)
+                    line, flat = np.repeat(np.arange(len(a)), z - SHINGLE + 1 - a), p.digest(inside, inside + SHINGLE)
+                    order = np.lexsort((flat, line))
+                    line, flat = line[order], flat[order]
+                    new = np.concatenate([[True], (line[1:] != line[:-1]) | (flat[1:] != flat[:-1])])
+                    line, flat = line[new], flat[new]
+                    size = np.bincount(line, minlength=len(a))
+                    edge = np.concatenate([[0], np.cumsum(size)])
+                    sets = pa.ListArray.from_arrays(_int(edge), _long(flat))
+                    yield _batch(kinds, len(a), {"kind": pa.array(np.full(len(a), SHINGLES, np.int8)), "h": _long(h), "size": _int(size), "shingles": sets} | {c: pa.array(x) for c, x in zip(SKETCH, _sketches(flat, edge[:-1]), strict=True)})
+
+    return _keyed(df, id_col, text_col).select("doc", "version", "text", "dk").mapInArrow(run_, schema)
+
+
+def earlier(rows: DataFrame) -> DataFrame:
+    """``doc``, ``version``, ``start``, ``stop`` and ``keeper`` of the rows whose digest a smaller id has too; the smallest is the keeper."""
+    repeated = rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper")
+    return rows.join(repeated, "h").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper")
+
+
+def open_ends(stretches: DataFrame) -> DataFrame:
+    """``key`` and ``doc``: on which side of which chosen windows, and in which row, a run may go on for a part of a stretch.
+
+    Rows that have a chosen window in common fall into classes by the stretch ahead of it, and by the one
+    that begins with it. A side with one class has nothing open; of a class with others beside it the row of the smallest
+    id speaks for all, as the whole stretch repeats it in the others. ``key`` is the stretch's digest xor that of the id,
+    inverted on the side behind.
+    """
+    sides = stretches.select("seed", "doc", F.explode(F.array(F.struct(F.lit(False).alias("behind"), F.col("prev").alias("x")), F.struct(F.lit(True).alias("behind"), F.col("h").alias("x")))).alias("s")).select("seed", "doc", "s.behind", "s.x")
+    classes = sides.groupBy("seed", "behind", "x").agg(F.min("doc").alias("doc"))
+    several = classes.groupBy("seed", "behind").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("seed", "behind")
+    key = F.col("x").bitwiseXOR(F.xxhash64("doc"))
+    return classes.join(several, ["seed", "behind"]).select(F.when(F.col("behind"), F.bitwise_not(key)).otherwise(key).alias("key"), "doc")
 
-def earlier(rows: DataFrame, name: str) -> DataFrame:
-    """Rows whose digest a smaller id has too, with the smallest as ``keeper``."""
-    repeated = stored(rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper"), name)
-    return only_passing(rows, "h", bitmap_of(repeated, "h")).join(repeated, "h").filter("doc > keeper")
 
+def _close(x: str, y: str, similarity: float) -> Column:
+    """Whether sketches and sizes leave a similarity possible: no similar pair fails this."""
+    apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in SKETCH), F.lit(0))
+    return apart <= (1 - similarity) / (1 + similarity) * (F.col(f"{x}.size") + F.col(f"{y}.size")) + 1e-6
 
-def near_lines(table: DataFrame, df: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
-    """Pairs ``a``, ``b`` of digests of different lines with a Jaccard similarity of at least ``similarity``.
 
-    A band's members are first only compared as the smallest and the largest digest, in partial
-    aggregates; bands with two different ones, and few others, are read again. Their distinct
-    members are joined under a condition that no similar pair fails: the lines' sketches may not differ
-    in more bits than the shingles of such a pair do. A pair leaves the first band it shares. What leaves the join is thus about the
-    similar pairs, not a band's pairs. Their shingle sets come from a second scan that skips all
-    other lines.
-    """
-    banded = table.filter("place = -1").select("h", "words", *SKETCH, "bands", F.posexplode("bands").alias("k", "band"))
-    shared = banded.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high").select("band")
-    shared = stored(shared, "bands")
-    members = stored(only_passing(banded, "band", bitmap_of(shared, "band")).join(shared, "band", "left_semi").distinct(), "members")
-    x, y = members.alias("x"), members.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SKETCH), F.lit(0))
-    most = (1 - similarity) / (1 + similarity) * (F.col("x.words") + F.col("y.words") - 2 * (SHINGLE - 1)) + 1e-6
-    met = [(F.col("x.k") > j) & (F.get("x.bands", F.lit(j)) == F.get("y.bands", F.lit(j))) for j in range(tune_bands(similarity))]
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") < F.col("y.h")) & (apart <= most) & ~any_of(met)).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
-    pairs = stored(pairs, "pairs")
-    ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
-    sets = _line_shingles(df, id_col, text_col, bitmap_of(ends, "h"))
-    sets = stored(sets.join(ends.distinct(), "h", "left_semi"), "shingles")
-    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("shingles").alias("y")), "b")
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a``, ``b`` of line digests whose shingle sets have that Jaccard similarity at least. Sets follow only pairs that their sketches leave possible."""
+    brief, full = sets.select("h", "size", *SKETCH), sets.select("h", "shingles")
+    close = pairs.join(brief.select(F.col("h").alias("a"), F.struct("size", *SKETCH).alias("x")), "a").join(brief.select(F.col("h").alias("b"), F.struct("size", *SKETCH).alias("y")), "b").filter(_close("x", "y", similarity)).select("a", "b")
+    both = close.join(full.select(F.col("h").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("h").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
-    """What repeats an earlier row: ``doc``, ``version`` and ``found``, an array of (place, start, stop, words, keeper).
+def band_members(table: DataFrame) -> DataFrame:
+    """``band``, ``h``, ``low`` and ``doc``: the distinct lines of each band that has two different ones, the smallest of them, and the smallest id that has the line.
 
-    Units with a place repeat exactly, as do stretches and windows; lines (place -1) are in a component of
-    near-equal lines. The keeper is the smallest id that has the unit, or a line of the component; it
-    keeps them all.
-
-    Every run of over ``UNSEEN_RUN`` words that two rows share has a chosen window, and from its first
+    A band's members are first only compared as the smallest and the largest digest, in partial
+    aggregates; bands with two different ones, and few others, are read again.
+    """
+    banded = table.filter(F.col("kind") == LINE).select("h", "doc", F.explode("bands").alias("band"))
+    shared = stored(banded.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high").select("band", "low"), "bands")
+    marks = bitmap_of(shared, "band")
+    members = stored(only_passing(banded, "band", marks).join(shared, "band").groupBy("band", "h", "low").agg(F.min("doc").alias("doc")), "members")
+    discard(shared)
+    marks.destroy()
+    return members
+
+
+def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` between digests of different lines with a Jaccard similarity of at least ``similarity``.
+
+    They connect every two such lines that share a band, without a comparison of all pairs of a band. First each
+    member is compared with the smallest of its band. Members linked to the same line need no
+    further comparison; so only bands with members of several such groups go on, and in those each member
+    outside the largest group is compared with those of other groups. A band of n near-equal lines costs n
+    comparisons; one of n lines that are not similar has n² to make, of which few leave the join.
+    """
+    first = stored(similar(members.filter("h > low").select(F.col("low").alias("a"), F.col("h").alias("b")).distinct(), sets, similarity), "links")
+    named = first.groupBy(F.col("b").alias("h")).agg(F.min("a").alias("label"))
+    up = named.select(F.col("h").alias("label"), F.col("label").alias("higher"))
+    labels = named.join(up, "label", "left").select("h", F.coalesce("higher", "label").alias("label"))
+    grouped = members.select("band", "h").join(labels, "h", "left").select("band", "h", F.coalesce("label", "h").alias("label"))
+    sizes = grouped.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("groups")).filter("groups > 1").select("band", "largest")
+    mixed = stored(grouped.join(sizes, "band").join(sets.select("h", "size", *SKETCH), "h"), "mixed")
+    x, y = mixed.filter("label != largest").alias("x"), mixed.alias("y")
+    other = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.h") < F.col("y.h")))
+    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & other & _close("x", "y", similarity)).select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
+    links = stored(first.union(similar(rest, sets, similarity)), "links")
+    discard(first, mixed)
+    return links
+
+
+def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """What repeats an earlier row: ``doc``, ``version`` and ``found``, an array of (line, start, stop, keeper).
+
+    Those with ``line`` are in a component of near-equal lines; of the others, stretches and windows repeat
+    exactly. The keeper is the smallest id that has them, or a line of the component; it keeps them all.
+
+    Every run of ``run_words`` words that two rows share has a chosen window, and from its first
     to its last one the same stretches in both. Its ends, where a chosen window's neighbouring stretches differ
     among the rows that have it, are compared window by window. So all its words are found, whatever
-    other rows share of it.
+    other rows share of it. Tables that are no longer needed are deleted.
     """
-    bands = tune_bands(similarity)
-    table = stored(passage_table(df, id_col, text_col, bands, ROWS, least_words), "passages")
-    hits = earlier(table.filter(F.col("place") != LINE).drop("bands", *SKETCH), "repeated")
-    seeds = table.filter(F.col("place") == STRETCH).groupBy(F.col("s0").alias("h")).agg(F.min("doc").alias("a"), F.max("doc").alias("z"), (F.min("s1") < F.max("s1")).alias("head"), (F.min("h") < F.max("h")).alias("tail"))
-    seeds = stored(seeds.filter("a < z and (head or tail)").select("h", "head", "tail"), "seeds")
-    windows = stored(end_windows(df, id_col, text_col, bitmap_of(seeds.filter("head"), "h"), bitmap_of(seeds.filter("tail"), "h"), least_words), "windows")
-    ends = earlier(windows, "ends")
-    named = connected_components(near_lines(table, df, id_col, text_col, similarity))
-    lines = table.filter("place = -1").drop("bands", *SKETCH).join(named.withColumnRenamed("node", "h"), "h")
+    table = stored(passage_table(df, id_col, text_col, tune_bands(similarity), ROWS, least_words, run_words), "passages")
+    seeds = table.filter(F.col("kind") == STRETCH).groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    marks = bitmap_of(seeds, "seed")
+    stretches = stored(only_passing(table.filter(F.col("kind") < LINE).drop("bands"), "seed", marks), "stretches")
+    marks.destroy()
+    members = band_members(table)
+    wanted = members.groupBy("h").agg(F.min("doc").alias("doc"))
+    asked = stored(open_ends(stretches.filter(F.col("kind") == STRETCH)).withColumn("line", F.lit(False)).union(wanted.select(F.col("h").bitwiseXOR(F.xxhash64("doc")).alias("key"), "doc").withColumn("line", F.lit(True))), "asked")
+    bitmaps = [bitmap_of(asked.select(F.xxhash64("doc").alias("dk")), "dk"), bitmap_of(asked.filter("not line"), "key"), bitmap_of(asked.filter("line"), "key")]
+    second = stored(details(df, id_col, text_col, *bitmaps, least_words, run_words), "details")
+    for b in bitmaps:
+        b.destroy()
+    sets = second.filter(F.col("kind") == SHINGLES).dropDuplicates(["h"])  # rows of equal id list a line again
+    links = near_lines(members, sets, similarity)
+    named = connected_components(links)
+    lines = table.filter(F.col("kind") == LINE).drop("bands", "seed", "prev").join(named.withColumnRenamed("node", "h"), "h")
     keepers = lines.groupBy("component").agg(F.min("doc").alias("keeper"))
-    near = lines.join(keepers, "component").filter("doc > keeper")
-    columns = ["doc", "version", "place", "start", "stop", "words", "keeper"]
-    both = hits.select(*columns).union(ends.select(*columns)).union(near.select(*columns))
-    return both.groupBy("doc", "version").agg(F.collect_set(F.struct("place", "start", "stop", "words", "keeper")).alias("found"))
+    near = lines.join(keepers, "component").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper")
+    runs = earlier(stretches).union(earlier(second.filter(F.col("kind") == WINDOW)))
+    both = runs.withColumn("line", F.lit(False)).union(near.withColumn("line", F.lit(True)))
+    found = stored(both.groupBy("doc", "version").agg(F.collect_set(F.struct("line", "start", "stop", "keeper")).alias("found")), "found")
+    discard(table, stretches, members, asked, second, links, named)
+    return found
 
 
-def spans_to_remove(found: list[dict], least_words: int = LEAST_WORDS) -> list[tuple[int, int, int, int]]:
-    """(start, stop, words, keeper) of each span to remove, ascending and apart.
+def spans_to_remove(raw: bytes, found: list[dict], run_words: int = RUN_WORDS) -> list[tuple[int, int, int, object]]:
+    """(start, stop, words, keeper) of each span of the UTF-8 ``raw`` to remove, ascending and apart.
 
-    Runs of repeated units that follow each other go if they have ``least_words`` words together,
-    near-equal lines, stretches and windows if they have as many. The words of spans that overlap are added.
+    Repeats that overlap or follow each other are one; those of fewer than ``run_words`` words stay, unless
+    a near-equal line is among them.
     """
-    spans = [(f["start"], f["stop"], f["words"], f["keeper"]) for f in found if f["place"] < 0 and f["words"] >= least_words]
-    run: list[dict] = []
-    for f in [*sorted((f for f in found if f["place"] >= 0), key=lambda f: f["place"]), None]:
-        if run and (f is None or f["place"] != run[-1]["place"] + 1):
-            if sum(x["words"] for x in run) >= least_words:
-                spans.append((run[0]["start"], run[-1]["stop"], sum(x["words"] for x in run), run[0]["keeper"]))
-            run = []
-        if f is not None:
-            run.append(f)
-    out: list[tuple[int, int, int, int]] = []
-    for s in sorted(spans, key=lambda s: (s[0], -s[1])):
-        if out and s[0] < out[-1][1]:
-            if s[1] > out[-1][1]:
-                out[-1] = (out[-1][0], s[1], out[-1][2] + s[2], out[-1][3])
+    out: list[list] = []
+    for f in sorted(found, key=lambda f: (f["start"], -f["stop"])):
+        if out and (f["start"] <= out[-1][1] or not raw[out[-1][1] : f["start"]].strip(b" \t\r\n\f\v")):
+            out[-1][1] = max(out[-1][1], f["stop"])
+            out[-1][3].append(f)
         else:
-            out.append(s)
-    return out
+            out.append([f["start"], f["stop"], f["keeper"], [f]])
+    spans: list[tuple[int, int, int, object]] = []
+    for a, b, keeper, parts in out:
+        words = len(raw[a:b].split())
+        if words >= run_words:
+            spans.append((a, b, words, keeper))
+        else:
+            spans += [(f["start"], f["stop"], len(raw[f["start"] : f["stop"]].split()), f["keeper"]) for f in parts if f["line"]]
+    return spans
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -403,40 +454,67 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return text
 
 
-def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, run_words: int = RUN_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each row with its text less what repeats a row of a smaller id.
 
     Returns ``id_col``, ``text``, ``changed``, ``n_removed_words``, ``spans`` (array of start and stop in
     bytes of the text as it came, words, and keeper, an id) and ``keeper_id`` (of the first span; null
-    if none), and ahead of them the columns named in ``carry``. Two things are removed: exact repeats of at least ``least_words``
-    words, wherever they stand in a line (all of over ``UNSEEN_RUN`` words, word for word; of shorter ones
-    runs of whole units, and what a chosen window finds), and lines (paragraphs) of as many words whose 5-word
-    shingles have a Jaccard similarity of ``similarity`` or more with a line linked to an earlier
-    row. Repeats within a row stay, as do those between rows of equal id. A null text stays null; null
-    ids count as one smallest id; repeated rows are treated alike; an empty table gives an
-    empty result. One shuffle of the texts, for the rows' spans; what leads to it shuffles numbers.
+    if none), and ahead of them the columns named in ``carry``. Two things are removed: lines (paragraphs)
+    of ``least_words`` words or more whose 5-word shingles have a Jaccard similarity of ``similarity`` or
+    more with a line linked to an earlier row; and exact repeats of ``run_words`` words or more, wherever
+    they stand in a line, word for word. Shorter exact repeats stay unless they adjoin others and have as many words
+    together. Repeats within a row stay, as do those between rows of equal id. A null text stays null; null
+    ids count as one smallest id; ids that are no numbers are compared as strings; repeated rows are treated
+    alike; an empty table gives an empty result. Only texts with something to remove, and few others, are
+    shuffled, compressed, to their spans; what leads to those shuffles numbers.
     """
-    found = repeated_spans(df, id_col, text_col, similarity, least_words)
-    own = F.struct(*[F.col(c) for c in (*carry, id_col)]).alias("__own")
-    rows = df.select(own, F.col(text_col).alias("__text"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.hash(text_col).alias("version"))
-    joined = rows.join(found, ["doc", "version"], "left").select("__own", "__text", "found")
-    span = "array<struct<start:int,stop:int,words:int,keeper:bigint>>"
-    schema = f"__own {rows.schema['__own'].dataType.simpleString()}, text string, changed boolean, n_removed_words long, spans {span}, keeper_id long"
-    span_kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("keeper", pa.int64())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = repeated_spans(df, id_col, text_col, similarity, least_words, run_words)
+    touched = bitmap_of(found.select(F.xxhash64("doc", "version").alias("rk")), "rk")
+    rows = _keyed(df, id_col, text_col, F.struct(*[F.col(c) for c in (*carry, id_col)]).alias("__own")).select("__own", "text", "doc", "version", "rk")
+    kind = _key_type(df, id_col)
+    key = kind.simpleString()
+    span = f"array<struct<start:int,stop:int,words:int,keeper:{key}>>"
+    own_type = rows.schema["__own"].dataType
+    schema = f"__own {own_type.simpleString()}, text string, changed boolean, n_removed_words long, spans {span}, keeper_id {key}"
+    span_kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("keeper", _arrow(kind))]))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in by_bytes(batch):
+            part = batch.filter(pa.array(~passing(touched.value, batch.column(4).to_numpy())))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["__own", "text"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.filter(pa.array(passing(touched.value, batch.column(4).to_numpy())))
+            texts = [None if t is None else _squeeze(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), part.column(2), part.column(3)], names=["__own", "packed", "doc", "version"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_bytes(batch, PART_BYTES):
                 texts, changed, removed, spans, keeper = [], [], [], [], []
-                for text, f in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    s = spans_to_remove(f, least_words) if f else []
-                    raw = text.encode() if s else b""
-                    s = [(x, y, len(raw[x:y].split()), who) for x, y, _, who in s]
+                for small, f in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    text = None if small is None else _unsqueeze(small)
+                    s = spans_to_remove(text.encode(), f, run_words) if f and text else []
                     texts.append(without(text, [x[:2] for x in s]) if s else text)
                     changed.append(bool(s))
                     removed.append(sum(x[2] for x in s))
                     spans.append([dict(zip(("start", "stop", "words", "keeper"), x, strict=True)) for x in s])
-                    keeper.append(s[0][3] if s and s[0][3] != -(1 << 63) else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(changed, pa.bool_()), pa.array(removed, pa.int64()), pa.array(spans, span_kind), pa.array(keeper, pa.int64())], names=["__own", "text", "changed", "n_removed_words", "spans", "keeper_id"])
+                    keeper.append(s[0][3] if s and s[0][3] != _least(kind) else None)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(changed, pa.bool_()), pa.array(removed, pa.int64()), pa.array(spans, span_kind), pa.array(keeper, _arrow(kind))], names=["__own", "text", "changed", "n_removed_words", "spans", "keeper_id"])
+
+    rest = rows.mapInArrow(plain, StructType([StructField("__own", own_type), StructField("text", StringType())]))
+    rest = rest.select("__own", "text", F.lit(False).alias("changed"), F.lit(0).cast("long").alias("n_removed_words"), F.array().cast(span).alias("spans"), F.lit(None).cast(kind).alias("keeper_id"))
+    small = rows.mapInArrow(packed, StructType([StructField("__own", own_type), StructField("packed", BinaryType()), StructField("doc", kind), StructField("version", IntegerType())]))
+    joined = small.join(found, ["doc", "version"], "left").select("__own", "packed", "found")
+    out = rest.union(joined.mapInArrow(cut, schema))
+    return out.select("__own.*", "text", "changed", "n_removed_words", "spans", "keeper_id")
+
+
+def _squeeze(text: str) -> bytes:
+    raw = text.encode()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
 
-    return joined.mapInArrow(run, schema).select("__own.*", "text", "changed", "n_removed_words", "spans", "keeper_id")
+def _unsqueeze(small: bytes) -> str:
+    return pa.decompress(small[8:], decompressed_size=int.from_bytes(small[:8], "little"), codec="zstd", asbytes=True).decode()
