@@ -66,33 +66,34 @@ def _normal_lines(text_col: str) -> Column:
     return F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), normal_line)
 
 
-def frequent_lines(df: DataFrame, host_col: str = "source", text_col: str = "text", line_documents: int = LINE_DOCUMENTS) -> DataFrame:
-    """``host`` and ``line`` (digest) of the normalised lines in more than ``line_documents`` rows of a host.
+def frequent_lines(df: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", line_documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """``host`` and ``line`` (digest) of the normalised lines in more than ``line_documents`` distinct documents of a host.
 
-    A line counts once a row. Counts are added up before the shuffle, so that a line that fills a
-    third of the corpus arrives as a row for each task.
+    A document is an id, or the text of a row without one. Rows are made distinct ahead of the count, which
+    deals a line that fills a third of the corpus to all tasks; it then arrives as a row for each.
     """
     lines = F.array_distinct(F.filter(_normal_lines(text_col), lambda x: x != ""))
-    rows = df.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.explode(F.transform(lines, lambda x: F.xxhash64(x))).alias("line"))
-    return rows.groupBy("host", "line").count().filter(F.col("count") > line_documents).select("host", "line")
+    document = F.struct(F.col(id_col).alias("id"), F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).alias("text"))
+    rows = df.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), document.alias("document"), F.explode(F.transform(lines, lambda x: F.xxhash64(x))).alias("line"))
+    return rows.groupBy("host", "line").agg(F.countDistinct("document").alias("documents")).filter(F.col("documents") > line_documents).select("host", "line")
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", line_documents: int = LINE_DOCUMENTS, least_left: int = LEAST_LEFT) -> DataFrame:
     """Judge each row by its own counts and by the lines that its host repeats.
 
-    A normalised line found in more than ``line_documents`` rows of the same host is removed from
+    A normalised line found in more than ``line_documents`` distinct documents of the same host is removed from
     each; a row whose remaining words are less than ``least_left`` percent of its words, or fewer
     than ten, is depleted and rejected. Returns ``id_col``, ``text`` (without the frequent lines),
     the base counts, ``base_failed``, ``n_words_left`` and ``kept``, one row per input row.
 
-    A null text counts as empty (0 words: base_failed), a null host as a host of its own, a null
-    id stays null, repeated rows are rows like any other, an empty table gives an empty result. No
+    A null text counts as empty (0 words: base_failed), a null host as the empty one, a null
+    id stays null, repeated rows are judged alike and count as one document, an empty table gives an empty result. No
     Python on the executors. Three shuffles, none of texts: counts of (host, line), lines against
     the frequent ones (a skewed key of that join can be split), and what was found against the
     rows, which are known by id, host and a digest of the text.
     """
     rows = df.select(F.col(id_col), F.col(text_col).alias("text"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.xxhash64(text_col).alias("digest"))
-    bad = frequent_lines(df, host_col, text_col, line_documents)
+    bad = frequent_lines(df, id_col, host_col, text_col, line_documents)
     found = rows.select(F.col(id_col).alias("i"), "host", "digest", F.posexplode(_normal_lines("text")).alias("at", "said")).filter("said != ''").select("i", "host", "digest", "at", F.xxhash64("said").alias("line"), (F.char_length("said") - F.char_length(F.translate("said", " ", "")) + 1).cast("long").alias("words"))
     hits = found.join(bad, ["host", "line"]).groupBy("i", "host", "digest").agg(F.collect_set(F.struct("at", "words")).alias("gone"))  # a set: equal rows say the same
     base = base_counts(F.col("text"))
@@ -117,8 +118,8 @@ w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda
 win AS (SELECT r, i, concat_ws(' ', ws[i], ws[i+1], ws[i+2], ws[i+3], ws[i+4]) AS g FROM w, unnest(range(1, len(ws) - 3)) AS u(i)),
 dup AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win),
 cov AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM dup, unnest(range(0, 5)) AS u(k) WHERE n > 1 GROUP BY r),
-ln AS (SELECT r, host, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) AS l FROM r, unnest(string_split(t, chr(10))) AS u(l)),
-bad AS (SELECT host, l FROM ln WHERE l <> '' GROUP BY host, l HAVING count(DISTINCT r) > {LINE_DOCUMENTS}),
+ln AS (SELECT r, host, CASE WHEN doc_id IS NULL THEN 'n' || t ELSE 'i' || doc_id END AS document, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) AS l FROM r, unnest(string_split(t, chr(10))) AS u(l)),
+bad AS (SELECT host, l FROM ln WHERE l <> '' GROUP BY host, l HAVING count(DISTINCT document) > {LINE_DOCUMENTS}),
 gone AS (SELECT r, sum(length(l) - length(replace(l, ' ', '')) + 1) AS n FROM ln JOIN bad USING (host, l) GROUP BY r),
 c AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
   (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
