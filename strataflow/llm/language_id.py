@@ -13,10 +13,10 @@ from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
 
 #: n of the n-grams whose presence the kernel blends; bits of the table they are hashed to.
 GRAMS, BITS = (1, 2, 3), 14
-#: Bounds of the sample that a model is fitted on: rows of a language, languages, characters of a row.
-PER_LANGUAGE, MAX_LANGUAGES, MAX_CHARS = 300, 200, 20_000
-#: Landmarks of a language; ridge; texts scored by one matrix product.
-LANDMARKS, RIDGE, BLOCK = 32, 1e-2, 128
+#: Bounds of the sample that a model is fitted on: rows of a language at most and at least, rows of all languages from which on each gets fewer, characters of a row.
+PER_LANGUAGE, LEAST_PER_LANGUAGE, MAX_ROWS, MAX_CHARS = 300, 8, 60_000, 20_000
+#: Landmarks of a language at most, of all languages from which on each gets fewer (one at least); ridge; blocks of text scored by one matrix product.
+LANDMARKS, MAX_LANDMARKS, RIDGE, BLOCK = 32, 2048, 1e-2, 128
 UNDETERMINED = "und"
 #: Score under which a text is too far from every learned language to be kept by ``keep_identified``.
 LEAST_SCORE = 0.35
@@ -80,16 +80,44 @@ class KernelModel:
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text; ``und`` and 0 without a letter."""
+        """Language and score of each text; ``und`` and 0 without a letter.
+
+        A text of over ``MAX_CHARS`` characters is scored in blocks of as many, like those the model
+        learned from, and has the mean of their margins by length: else its score would fall as
+        ever more n-grams are present.
+        """
         exclusive("language ID")
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        grams = [presence(t) for t in texts]
-        have = [i for i, g in enumerate(grams) if g is not None]
-        if have and self.languages:
-            m = self.margins([grams[i] for i in have])
-            best = m.argmax(axis=1)
-            for i, b, row in zip(have, best, m, strict=True):
-                lang[i], score[i] = self.languages[b], min(1.0, max(0.0, (float(row[b]) + 1) / 2))
+        if not self.languages:
+            return lang, score
+        total, weight = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        grams: list[np.ndarray] = []
+        owner: list[int] = []
+        size: list[int] = []
+
+        def add() -> None:
+            w = np.array(size, dtype=np.float64)
+            np.add.at(total, owner, self.margins(grams) * w[:, None])
+            np.add.at(weight, owner, w)
+            for x in (grams, owner, size):
+                x.clear()
+
+        for i, t in enumerate(texts):
+            for at in range(0, len(t), MAX_CHARS):
+                block = t[at : at + MAX_CHARS]
+                g = presence(block)
+                if g is not None:
+                    grams.append(g)
+                    owner.append(i)
+                    size.append(len(block))
+                if len(grams) == BLOCK:
+                    add()
+        if grams:
+            add()
+        for i in np.flatnonzero(weight).tolist():
+            row = total[i] / weight[i]
+            b = int(row.argmax())
+            lang[i], score[i] = self.languages[b], min(1.0, max(0.0, (float(row[b]) + 1) / 2))
         return lang, score
 
 
@@ -100,6 +128,7 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     names = sorted({lang for lang, _ in grams})
     if not names:
         return KernelModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0), np.float32))
+    landmarks_per_language = max(1, min(landmarks_per_language, MAX_LANDMARKS // len(names)))
     rng = np.random.default_rng(0)
     marks = []
     for name in names:
@@ -126,15 +155,18 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_sample(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Whole texts and languages of at most ``per_language`` rows of each language.
+def training_sample(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Whole texts and languages of at most ``per_language`` rows of each language, every language among them.
 
-    Rows are taken in the order of a hash of their id; of more than ``max_languages`` languages the
-    rarer ones are left out. Rows with over ``max_chars`` characters are not used.
+    Rows are taken in the order of a hash of their id; with over ``max_rows / per_language`` languages
+    each has fewer, down to ``LEAST_PER_LANGUAGE``. Rows with over ``max_chars`` characters are not used.
     """
-    rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"), train.alias("ok")).filter("ok and l is not null and t is not null").filter(F.length("t") <= max_chars)
+    rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"), train.alias("ok")).filter("ok and l is not null")
+    languages = rows.select("l").distinct().count()
+    per_language = max(LEAST_PER_LANGUAGE, min(per_language, max_rows // max(1, languages)))
+    rows = rows.filter(F.col("t").isNotNull() & (F.length("t") <= max_chars))
     ranked = rows.select("i", "l", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")).alias("r")).filter(F.col("r") <= per_language)
-    bound = ranked.groupBy("l").agg(F.max(F.struct(F.xxhash64("i"), "i")).alias("top"), F.max("r").alias("n")).orderBy(F.desc("n"), "l").limit(max_languages)
+    bound = ranked.groupBy("l").agg(F.max(F.struct(F.xxhash64("i"), "i")).alias("top"))
     return rows.join(F.broadcast(bound), "l").filter(F.struct(F.xxhash64("i"), F.col("i")) <= F.col("top")).select("t", "l")
 
 
