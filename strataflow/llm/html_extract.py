@@ -5,13 +5,16 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from strataflow.llm.arrow import by_bytes
@@ -20,7 +23,7 @@ from strataflow.llm.scratch import stored
 # HTML's elements without an end tag, those whose content is no text, those that
 # start a block, and the names by which pages mark what is not the main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|canvas|select|title"
+RAW = frozenset("script style noscript template textarea iframe svg math object canvas select title".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr ul".split())
 JUNK_TAGS = frozenset("aside button dialog footer form head menu nav".split())
 JUNK_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -28,12 +31,15 @@ JUNK_NAMES = frozenset("ad ads adv advert adverts advertisement advertising aler
 MAIN_NAMES = frozenset("articlebody article-body article-content entry-content post-body post-content main-content story-body".split())
 CLOSED_BY = {"p": BLOCK - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}, "head": {"body", "article", "div", "main", "p", "nav", "header"}}
 
-_TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>|<[!?/][^>]*>|<[a-z][^<>]*\Z", re.S | re.I
-)
+_NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
 _NAME_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
+#: Pairs of equal lines up to which a longest common subsequence is traced pair by pair.
+MOST_MATCHES = 1 << 16
+
 #: Where a line stands: in what is marked as no main text, in nothing marked, in the article.
 JUNK, PLAIN, ARTICLE = 0, 1, 2
 
@@ -56,14 +62,68 @@ def _marked(name: str, more: str, in_article: bool) -> int | None:
     return None
 
 
+def pieces(html: str) -> Iterator[tuple[str, str, str]]:
+    """A page as ("", text, ""), ("<", name, attributes) and ("</", name, ""), without comments, declarations and elements that hold no text.
+
+    A ``>`` in quotes does not end a tag. From the first quote on that nothing closes, or behind which no tag ends,
+    quotes count for nothing, so that a page is gone through once whatever is in it. A page cut off in a tag ends before it.
+    """
+    at, last, quotes = 0, html.rfind(">"), True
+    while (lt := html.find("<", at)) >= 0:
+        if lt > at:
+            yield "", html[at:lt], ""
+        head = html[lt + 1 : lt + 3]
+        if html.startswith("<!--", lt):
+            end = html.find("-->", lt + 4)
+            at = len(html) if end < 0 else end + 3
+            continue
+        m = _NAME.match(html, lt)
+        if lt > last:
+            if m and head[0] != "/" and html.find("<", lt + 1) < 0:
+                return
+        elif m:
+            name = m[1].lower()
+            end = -1
+            if quotes:
+                i = m.end()
+                while stop := _STOP.search(html, i):
+                    if stop[0] == ">":
+                        end = stop.start()
+                        break
+                    close = html.find(stop[0], stop.end())
+                    if close < 0:
+                        break
+                    i = close + 1
+                quotes = end >= 0
+            if end < 0:
+                end = html.find(">", m.end())
+            at = end + 1
+            more = html[m.end() : end]
+            if head[0] == "/":
+                yield "</", name, ""
+            elif name not in RAW:
+                yield "<", name, more
+            elif not (name in ("svg", "math") and more.endswith("/")):
+                closed = _RAW_END[name].search(html, at)
+                at = closed.end() if closed else len(html)
+            continue
+        elif head[:1] in ("!", "?", "/"):
+            at = html.find(">", lt) + 1
+            continue
+        yield "", "<", ""
+        at = lt + 1
+    if at < len(html):
+        yield "", html[at:], ""
+
+
 def page_lines(html: str) -> list[tuple[str, int]]:
     """Text and zone of each block of a page, white space as one space, empty blocks left out.
 
-    End tags that fit nothing are ignored, elements left open end with their parent, a page cut
-    off in a tag ends before it.
+    End tags that fit nothing are ignored, elements left open end with their parent.
     """
     out: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []  # open elements and their zones
+    within: Counter = Counter()  # how many of each name are open
     text: list[str] = []
     zone = PLAIN
 
@@ -73,13 +133,14 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             out.append((line, zone))
         text.clear()
 
-    at = 0
-    for m in _TAG.finditer(html):
-        if m.start() > at:
-            text.append(html[at : m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
-        if not name:
+    def leave() -> str:
+        name = stack.pop()[0]
+        within[name] -= 1
+        return name
+
+    for kind, name, more in pieces(html):
+        if not kind:
+            text.append(name)
             continue
         if name in ("br", "td", "th", "wbr", "img"):
             text.append(" " if name != "wbr" else "")
@@ -87,60 +148,96 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             if name == "hr":
                 close()
             continue
-        if m["end"]:
-            if not any(n == name for n, _ in stack):
+        if kind == "</":
+            if not within[name]:
                 continue
             if name in BLOCK:
                 close()
-            while stack.pop()[0] != name:
+            while leave() != name:
                 pass
         else:
             if name in BLOCK:
                 close()
             while stack and name in CLOSED_BY.get(stack[-1][0], ()):
-                stack.pop()
+                leave()
             if name in BLOCK:  # inline elements left open in a paragraph that ends here
-                while stack and stack[-1][0] in ("b", "i", "em", "strong", "a", "span", "u", "font", "small") and any(n == "p" for n, _ in stack):
-                    stack.pop()
+                while stack and stack[-1][0] in ("b", "i", "em", "strong", "a", "span", "u", "font", "small") and within["p"]:
+                    leave()
                 while stack and name in CLOSED_BY.get(stack[-1][0], ()):
-                    stack.pop()
+                    leave()
             now = stack[-1][1] if stack else PLAIN
             if now != JUNK:
-                marked = _marked(name, m["more"] or "", any(n == "article" for n, _ in stack))
+                marked = _marked(name, more, within["article"] > 0)
                 now = now if marked is None else marked
-            if not (m["more"] or "").endswith("/"):
+            if not more.endswith("/"):
                 stack.append((name, now))
+                within[name] += 1
         zone = stack[-1][1] if stack else PLAIN
-    if at < len(html):
-        text.append(html[at:])
     close()
     return out
 
 
 def common_lines(a: list[int], b: list[int]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``."""
-    start = 0
-    while start < min(len(a), len(b)) and a[start] == b[start]:
-        start += 1
-    stop = 0
-    while stop < min(len(a), len(b)) - start and a[-1 - stop] == b[-1 - stop]:
-        stop += 1
-    out = {*range(start), *range(len(a) - stop, len(a))}
+    """Places in ``a`` of a longest common subsequence with ``b``.
+
+    Few pairs of equal lines are traced one by one. With many, as of pages that repeat a line thousands of
+    times, ``a`` is halved where the halves' subsequences are longest together.
+    """
+    out: set[int] = set()
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        while i < j and k < m and a[i] == b[k]:
+            out.add(i)
+            i, k = i + 1, k + 1
+        while i < j and k < m and a[j - 1] == b[m - 1]:
+            out.add(j - 1)
+            j, m = j - 1, m - 1
+        if i == j or k == m:
+            continue
+        times = Counter(b[k:m])
+        if j - i == 1:
+            out |= {i} if times[a[i]] else set()
+        elif sum(times[x] for x in a[i:j]) <= MOST_MATCHES:
+            out |= _traced(a, i, j, b, k, m)
+        else:
+            half = (i + j) // 2
+            ahead, behind = _lengths(a[i:half], b[k:m]), _lengths(a[half:j][::-1], b[k:m][::-1])[::-1]
+            cut = k + max(range(m - k + 1), key=lambda x: ahead[x] + behind[x])
+            todo += [(i, half, k, cut), (half, j, cut, m)]
+    return out
+
+
+def _lengths(a: list[int], b: list[int]) -> list[int]:
+    """Length of a longest common subsequence of ``a`` with each beginning of ``b``, all of them at once in the bits of a number."""
+    where: dict[int, int] = {}
+    for j, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a:
+        hit = row & where.get(x, 0)
+        row = (row + hit | row - hit) & full
+    return [0, *accumulate(int(x == "0") for x in reversed(f"{row:0{len(b)}b}"))] if b else [0]
+
+
+def _traced(a: list[int], i: int, j: int, b: list[int], k: int, m: int) -> set[int]:
+    """Places from ``i`` to ``j`` of a longest common subsequence with ``b[k:m]``, by increasing places in ``b``."""
     places: dict[int, list[int]] = {}
-    for j in range(len(b) - stop - 1, start - 1, -1):
-        places.setdefault(b[j], []).append(j)
+    for y in range(m - 1, k - 1, -1):
+        places.setdefault(b[y], []).append(y)
     ends: list[int] = []  # smallest last place in b of a common subsequence of each length
     links: list[tuple[int, tuple | None]] = []
-    for i in range(start, len(a) - stop):
-        for j in places.get(a[i], ()):
-            k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
+    for x in range(i, j):
+        for y in places.get(a[x], ()):
+            n = bisect_left(ends, y)
+            link = (x, links[n - 1] if n else None)
+            if n == len(ends):
+                ends.append(y)
                 links.append(link)
             else:
-                ends[k], links[k] = j, link
-    node = links[-1] if links else None
+                ends[n], links[n] = y, link
+    out, node = set(), links[-1] if links else None
     while node:
         out.add(node[0])
         node = node[1]
@@ -251,7 +348,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         F.xxhash64(html_col).alias("tie"),
     )
     kind = df.schema[id_col].dataType
-    arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind.simpleString(), pa.int64())
+    arrow_kind = to_arrow_type(kind)
     hashes = ArrayType(LongType())
     schema = StructType([StructField(id_col, kind), StructField(url_col, StringType()), StructField("text", StringType()), StructField("edge", BooleanType()), StructField("at", LongType()), StructField("host", StringType()), StructField("path", StringType()), StructField("lines", ArrayType(StringType())), StructField("zones", hashes), StructField("hashes", hashes), StructField("near_path", StringType()), StructField("near", hashes), StructField("face", LongType()), StructField("digest", LongType())])
     kinds = [arrow_kind, pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
