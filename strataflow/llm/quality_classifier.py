@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,162 +17,204 @@ from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
 
 #: Size of a vector, non-zero places of an index vector, words on each side that make a context.
 DIM, NONZERO, WINDOW = 96, 6, 2
-#: Bounds of the sample a model is fitted on: labelled rows, characters of a row, words with a learned vector.
-MAX_ROWS, MAX_CHARS, MAX_WORDS = 4000, 20_000, 30_000
+#: Bounds of the sample a model is fitted on: labelled rows, characters of a row. A word has a learned vector from this share of the sample's words on, so that no more than its inverse have one.
+MAX_ROWS, MAX_CHARS, LEAST_SHARE = 4000, 20_000, 1 / 300_000
 #: The network: hidden units, passes over the sample, step, weight decay, share kept for the temperature.
 HIDDEN, EPOCHS, STEP, DECAY, CALIBRATION = 24, 60, 3e-3, 1e-4, 0.2
-#: Vectors of whole white-space words that a worker remembers.
-MEMO_ENTRIES, MEMO_CHARS = 80_000, 48
+#: Vectors that a worker remembers, and the longest word that it remembers; words whose vectors are looked at together.
+MEMO_ENTRIES, MEMO_CHARS, BLOCK = 100_000, 48, 1 << 15
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
+#: What a text is pooled to: the mean vector, its norm, and the mean cosine of words one place apart, two places apart and so on.
+WIDTH = DIM + 1 + WINDOW
 
-_PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+#: Letter runs, digit runs and runs of other characters are the words.
+_WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+CASES = ("a:", "Aa:", "A:", "")
 
 
-@lru_cache(maxsize=30_000)
-def parts(word: str) -> tuple[str, ...]:
-    """What a white-space word is made of: lower-cased letter runs behind a mark of their case, digit runs as one sign, and runs of other characters."""
-    out = []
-    for p in _PART.findall(word):
-        if p[0].isalpha():
-            out.append(("A" if p.isupper() and len(p) > 1 else "Aa" if p[0].isupper() else "a") + ":" + p.lower())
-        else:
-            out.append("0" if p[0].isdigit() else p[:3])
-    return tuple(map(sys.intern, out))
+def spelled(word: str) -> str:
+    """Name of a word: letters lower-cased behind a mark of their case, digits as one sign, others as they are."""
+    if word[0].isalpha():
+        return ("A:" if len(word) > 1 and word.isupper() else "Aa:" if word[0].isupper() else "a:") + word.lower()
+    return "0" if word[0].isdigit() else word
 
 
-def index_places(part: str, dim: int = DIM) -> list[tuple[int, float]]:
-    """The fixed sparse index vector of a word: a few places of +1 or -1 that its digest names."""
-    h = xxhash.xxh3_128_intdigest(part)
-    return [((h >> (16 * k)) % dim, 1.0 if (h >> (112 + k)) & 1 else -1.0) for k in range(NONZERO)]
+def case_of(name: str) -> int:
+    """Place in ``CASES``; the last for what is no letters."""
+    return CASES.index(name[: name.find(":") + 1]) if name[0] in "aA" and ":" in name else len(CASES) - 1
+
+
+def index_vectors(names: list[str]) -> np.ndarray:
+    """The fixed sparse index vector of each word: +1 or -1 in a few places that its digest names, to unit length."""
+    n = len(names)
+    at, sign = _places(names)
+    return np.bincount((np.arange(n)[:, None] * DIM + at).ravel(), sign.ravel(), n * DIM).reshape(n, DIM) / np.sqrt(NONZERO)
+
+
+def _places(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in names]), dtype=">u2").reshape(len(names), 8).astype(np.int64)
+    return h[:, :NONZERO] % DIM, np.where(h[:, 7:] >> np.arange(NONZERO) & 1, 1.0, -1.0)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
 @dataclass
 class QualityModel:
-    """Word vectors and network; ``score`` is the calibrated probability of label 1."""
-
-    vectors: dict[str, np.ndarray]
-    mean: np.ndarray
-    scale: np.ndarray
-    w1: np.ndarray
-    b1: np.ndarray
-    w2: np.ndarray
-    b2: float
-    temperature: float
-    _place: dict[str, int] = field(default_factory=dict, repr=False)
-    _table: np.ndarray | None = field(default=None, repr=False)
-
-    def _word(self, word: str) -> np.ndarray:
-        """Sum of the vectors of a word's parts, their number, and how many are shouted or no letters."""
-        out = np.zeros(DIM + 3, dtype=np.float32)
-        for p in parts(word):
-            v = self.vectors.get(p)
-            if v is None:
-                v = self.vectors.get(p[: p.find(":") + 1], 0) if ":" in p and p[0] in "Aa" else 0
-            out[:DIM] += v
-            out[DIM] += 1
-            out[DIM + 1] += p.startswith("A:")
-            out[DIM + 2] += not p.startswith(("a:", "A"))
+    """Word vectors and network; ``score`` is the calibrated probability of label 1.
+
+    ``names`` have the rows of ``vectors``; any other word has its index vector and the mean context of
+    the words of its case, ``cases``. ``centre`` is taken from both kinds, which then have unit length.
+    """
+
+    names: list[str]
+    vectors: np.ndarray
+    cases: np.ndarray
+    centre: np.ndarray
+    mean: np.ndarray = field(default_factory=lambda: np.zeros(WIDTH))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(WIDTH))
+    w1: np.ndarray = field(default_factory=lambda: np.zeros((WIDTH, HIDDEN)))
+    b1: np.ndarray = field(default_factory=lambda: np.zeros(HIDDEN))
+    w2: np.ndarray = field(default_factory=lambda: np.zeros(HIDDEN))
+    b2: float = 0.0
+    temperature: float = 1.0
+
+    def __post_init__(self) -> None:
+        self._place = {w: i for i, w in enumerate(self.names)}
+        self._seen: dict[str, int] = {}
+        self._table: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self.__post_init__()
+
+    def word_vectors(self, words: list[str]) -> np.ndarray:
+        """Unit vector of each word as it is written."""
+        names = [spelled(w) for w in words]
+        at = np.array([self._place.get(n, -1) for n in names], dtype=np.int64)
+        out = np.empty((len(words), DIM), dtype=np.float32)
+        known = at >= 0
+        out[known] = self.vectors[at[known]]
+        if not known.all():
+            new = [n for n, k in zip(names, known.tolist(), strict=True) if not k]
+            out[~known] = _unit(_unit(index_vectors(new) + self.cases[[case_of(n) for n in new]]) - self.centre)
+        return out
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Vectors of words in a row, from a bounded table that a worker fills as it goes."""
+        if self._table is None:
+            self._table = np.zeros((MEMO_ENTRIES, DIM), dtype=np.float32)
+        seen, table = self._seen, self._table
+        at = np.fromiter(map(seen.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        out = table[at]
+        if len(missing):
+            new: dict[str, int] = {}
+            where = [new.setdefault(words[i], len(new)) for i in missing.tolist()]
+            made = self.word_vectors(list(new))
+            out[missing] = made[where]
+            keep = [(w, i) for w, i in new.items() if len(w) <= MEMO_CHARS][: MEMO_ENTRIES - len(seen)]
+            if keep:
+                base = len(seen)
+                table[base : base + len(keep)] = made[[i for _, i in keep]]
+                seen.update({w: base + k for k, (w, _) in enumerate(keep)})
         return out
 
-    def pooled(self, text: str) -> np.ndarray:
-        """Mean word vector of a whole text with its norm, and how uniform the text is.
+    def pooled(self, texts: list[str]) -> np.ndarray:
+        """Mean vector of all words of each text, its norm, and the mean cosines of words near each other; zeros without a word.
 
-        The latter: shares of shouted and of letterless parts, of distinct words and of words that
-        equal the one before, and the log of the length.
+        Long texts are gone through in blocks, short ones share them.
         """
-        if self._table is None:
-            self._table = np.zeros((MEMO_ENTRIES, DIM + 3), dtype=np.float32)
-        place, table = self._place, self._table
-        words = text.split()
-        total = np.zeros(DIM + 3, dtype=np.float64)
-        ids = [place.get(w, -1) for w in words]
-        if -1 in ids:
-            for w in (w for w, i in zip(words, ids, strict=True) if i < 0):
-                v = self._word(w)
-                total += v
-                if len(w) <= MEMO_CHARS and w not in place and len(place) < MEMO_ENTRIES:
-                    i = place[w] = len(place)
-                    table[i] = v
-            ids = [i for i in ids if i >= 0]
-        for at in range(0, len(ids), 4096):
-            total += table[ids[at : at + 4096]].sum(axis=0)
-        n, m = max(1.0, total[DIM]), max(1, len(words))
-        mean = total[:DIM] / n
-        same = sum(map(str.__eq__, words, words[1:]))
-        return np.concatenate([mean, total[DIM + 1 :] / n, [np.linalg.norm(mean), len(set(words)) / m, same / m, np.log1p(n * (total[DIM] > 0))]])
+        lists = [_WORD.findall(t) for t in texts]
+        n = np.array([len(x) for x in lists], dtype=np.int64)
+        edge = np.concatenate([[0], np.cumsum(n)])
+        words = list(chain.from_iterable(lists))
+        total, near = np.zeros((len(texts), DIM)), np.zeros((len(texts), WINDOW))
+        doc = np.repeat(np.arange(len(texts)), n)
+        last = np.zeros((0, DIM), dtype=np.float32)
+        for at in range(0, len(words), BLOCK):
+            rows = self._rows(words[at : at + BLOCK])
+            here = doc[at : at + BLOCK]
+            cuts = np.concatenate([[0], np.flatnonzero(here[1:] != here[:-1]) + 1])
+            total[here[cuts]] += np.add.reduceat(rows, cuts, axis=0)
+            both = np.concatenate([last, rows])
+            owner = doc[at - len(last) : at + BLOCK]
+            for k in range(1, WINDOW + 1):
+                first = max(0, len(last) - k)  # pairs that end in this block
+                left, right = both[first : len(both) - k], both[first + k :]
+                ok = owner[first : len(both) - k] == owner[first + k :]
+                cos = np.where(ok, np.einsum("ij,ij->i", left, right), 0.0)
+                near[:, k - 1] += np.bincount(owner[first + k :], cos, len(texts))
+            last = both[-WINDOW:]
+        mean = total / np.maximum(n, 1)[:, None]
+        return np.hstack([mean, np.linalg.norm(mean, axis=1, keepdims=True), near / np.maximum(n[:, None] - np.arange(1, WINDOW + 1), 1)])
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def score(self, texts: list[str]) -> np.ndarray:
-        exclusive("quality classifier", parts.cache_clear)
+        exclusive("quality classifier", self._forget)
         if not texts:
             return np.zeros(0)
-        x = np.array([self.pooled(t) for t in texts])
-        return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(self.pooled(texts)) / self.temperature, -30, 30)))
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_place", "_table")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__ |= state | {"_place": {}, "_table": None}
+    def _forget(self) -> None:
+        self._seen, self._table = {}, None
 
 
-def word_vectors(texts: list[str], max_words: int = MAX_WORDS) -> dict[str, np.ndarray]:
-    """Random indexing: each frequent word's own index vector plus those of its contexts, to unit length.
+def word_model(texts: list[str], least_share: float = LEAST_SHARE) -> QualityModel:
+    """Random indexing: each word's own index vector plus those of its contexts, nearer ones with more weight, to unit length.
 
-    Beside the words, the entries ``a:``, ``Aa:`` and ``A:`` hold the mean of the words of that case,
-    for words without a vector.
+    The network is left blank.
     """
-    lists = [[p for w in t.split() for p in parts(w)] for t in texts]
-    count = Counter(p for ps in lists for p in ps)
-    names = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:max_words]]
+    lists = [[spelled(w) for w in _WORD.findall(t)] for t in texts]
+    count = Counter(w for ws in lists for w in ws)
+    least = max(2, least_share * sum(count.values()))
+    names = sorted(w for w, c in count.items() if c >= least)
+    n = len(names)
     place = {w: i for i, w in enumerate(names)}
-    spots = np.array([[d for d, _ in index_places(w)] for w in names], dtype=np.int64).reshape(len(names), NONZERO)
-    signs = np.array([[x for _, x in index_places(w)] for w in names]).reshape(len(names), NONZERO)
+    spots, signs = _places(names)
 
     def summed(at: np.ndarray, of: np.ndarray) -> np.ndarray:
-        return np.bincount((at[:, None] * DIM + spots[of]).ravel(), signs[of].ravel(), len(names) * DIM).reshape(len(names), DIM)
+        return np.bincount((at[:, None] * DIM + spots[of]).ravel(), signs[of].ravel(), n * DIM).reshape(n, DIM)
 
-    everyone = np.arange(len(names))
-    index, context = summed(everyone, everyone), np.zeros((len(names), DIM))
-    marks = [np.array([place[p] for p in ps if p in place] + [-1] * WINDOW, dtype=np.int64) for ps in lists]
-    flat = np.concatenate(marks) if marks else np.zeros(0, np.int64)
+    context = np.zeros((n, DIM))
+    flat = np.array([i for ws in lists for i in (*[place.get(w, -1) for w in ws], *[-1] * WINDOW)], dtype=np.int64)
     for d in range(1, WINDOW + 1):
         for at in range(0, len(flat) - d, 1 << 18):
             left, right = flat[at : at + (1 << 18)][: len(flat) - d - at], flat[at + d : at + d + (1 << 18)]
             both = (left >= 0) & (right >= 0)
-            context += summed(left[both], right[both]) + summed(right[both], left[both])
-    norm = np.linalg.norm(context, axis=1, keepdims=True)
-    vectors = index / np.sqrt(NONZERO) + context / np.maximum(norm, 1e-9)
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    out = dict(zip(names, vectors.astype(np.float32), strict=True))
-    for case in ("a:", "Aa:", "A:"):
-        own = [v for w, v in out.items() if w.startswith(case)]
-        if own:
-            out[case] = np.mean(own, axis=0)
-    return out
+            context += (summed(left[both], right[both]) + summed(right[both], left[both])) / d
+    context = _unit(context)
+    vectors = _unit(index_vectors(names) + context) if n else np.zeros((0, DIM))
+    case = np.array([case_of(w) for w in names], dtype=np.int64)
+    cases = np.array([context[case == k].mean(axis=0) if (case == k).any() else np.zeros(DIM) for k in range(len(CASES))])
+    share = np.array([count[w] for w in names], dtype=np.float64)
+    centre = share @ vectors / share.sum() if n else np.zeros(DIM)
+    return QualityModel(names, _unit(vectors - centre).astype(np.float32), cases, centre)
 
 
 def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
     """Fit on labelled texts. Without both labels in the sample every score is the share of label 1 (0.5 without a row)."""
     rows = sorted(zip(texts, labels, strict=True))
     texts, y = [t for t, _ in rows], np.array([b for _, b in rows], dtype=np.float64)
-    vectors = word_vectors(texts)
-    width = DIM + 6
-    blank = QualityModel(vectors, np.zeros(width), np.ones(width), np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0, 1.0)
+    model = word_model(texts)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5
-        blank.b2 = float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else 8 * (share - 0.5) * 2, -8, 8))
-        return blank
-    x = np.array([blank.pooled(t) for t in texts])
+        model.b2 = float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else 8 * (share - 0.5) * 2, -8, 8))
+        return model
+    x = np.concatenate([model.pooled(texts[at : at + 64]) for at in range(0, len(texts), 64)])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     z = (x - mean) / scale
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held, used = order[: max(1, int(CALIBRATION * len(y)))], order[max(1, int(CALIBRATION * len(y))) :]
-    theta = [rng.normal(0, 1 / np.sqrt(width), (width, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
+    theta = [rng.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
     m1, m2 = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
     step = 0
     for _ in range(EPOCHS):
@@ -187,7 +228,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
                 m1[k] = 0.9 * m1[k] + 0.1 * g
                 m2[k] = 0.999 * m2[k] + 0.001 * g * g
                 theta[k] = theta[k] - STEP * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + 1e-8)
-    model = QualityModel(vectors, mean, scale, theta[0], theta[1], theta[2], float(theta[3][0]), 1.0)
+    model.mean, model.scale, model.w1, model.b1, model.w2, model.b2 = mean, scale, theta[0], theta[1], theta[2], float(theta[3][0])
     logit = model.logits(x[held])
     sign = 2 * y[held] - 1
     grid = np.exp(np.linspace(np.log(0.25), np.log(8), 60))
@@ -202,9 +243,10 @@ def held_out(id_col: str) -> Column:
 def training_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
     """Whole texts and labels of at most ``max_rows`` labelled rows that are not held out, by a hash of their id.
 
-    Rows without a label or a text, and those of over ``max_chars`` characters, are not used.
+    Rows without a label or a text, with labels that contradict each other, and those of over ``max_chars`` characters, are not used.
     """
-    y = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & ~held_out("i")).dropDuplicates(["i"])
+    y = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & ~held_out("i"))
+    y = y.groupBy("i").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").select("i", "y")
     y = y.orderBy(F.xxhash64("i"), "i").limit(max_rows)
     x = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t") <= max_chars)
     return x.join(F.broadcast(y), "i").select("t", "y")
