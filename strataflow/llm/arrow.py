@@ -43,6 +43,16 @@ def by_bytes(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES) -> Iterator[pa.
             yield part
 
 
+def squeeze(text: str) -> bytes:
+    """``text`` compressed by itself, for a shuffle."""
+    raw = text.encode()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(small: bytes) -> str:
+    return pa.decompress(small[8:], decompressed_size=int.from_bytes(small[:8], "little"), codec="zstd", asbytes=True).decode()
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """``fn`` over byte-bounded record batches, without a shuffle."""
 
@@ -84,6 +94,6 @@ def fitted(sample: DataFrame, fit: Callable[[list, list], Any]) -> Any:
             y += batch.column(1).to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(x, y))], pa.binary())], names=["model"])
 
-    one = sample.coalesce(1).sortWithinPartitions(F.xxhash64(*sample.columns), *sample.columns)
+    one = sample.repartition(1).sortWithinPartitions(F.xxhash64(*sample.columns), *sample.columns)
     got = one.mapInArrow(run, "model binary").first()
     return pickle.loads(got["model"]) if got else fit([], [])

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, BooleanType, DataType, DoubleType, IntegerType, LongType, NumericType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import by_bytes
+from strataflow.llm.arrow import by_bytes, squeeze, unsqueeze
 from strataflow.llm.segments import paragraph_spans
 
 #: Cells that a digest goes to; cells of a fingerprint; factor by which a failed peeling grows the sketch.
 HASHES, CELLS, GROWTH = 3, 18, 2
-#: Documents whose sketches are peeled together.
-BLOCK = 512
+#: Documents whose sketches are peeled together; rows a range that its bounds are estimated from.
+BLOCK, SAMPLE = 512, 40
 
 
 def digests(text: str) -> np.ndarray:
@@ -169,49 +171,81 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def _order_key(kind: DataType) -> tuple[DataType, int | str]:
+    """Type in which ids are ordered, and what stands for a null one: whole numbers as such, others as strings."""
+    return (LongType(), -(1 << 63)) if isinstance(kind, NumericType) else (StringType(), "")
+
+
 def ordered_neighbours(df: DataFrame, id_col: str, text_col: str, parts: int | None = None) -> DataFrame:
-    """Rows dealt by ranges of the id, each range with the row that follows its last one.
+    """Rows dealt by ranges of (id, digest of the text, any digest of the row's place), each range with a row like the one that follows its last.
 
-    Ranges are cut at quantiles of the ids, so that one read of the id column alone and one
-    shuffle of the rows do; the driver sees a row for each range. Columns: ``range``, ``guest``
-    (the row belongs to the following range), ``i`` (null ids first), ``tie`` and the two columns.
+    Ranges are cut at quantiles of a sample of ``SAMPLE`` rows a range, so that rows of one id, and even equal rows,
+    take several ranges if they are many. Three scans, one of which shuffles the rows, with
+    their texts compressed; the driver sees the sample and a row for each range. Columns: ``range``, ``guest``
+    (the row belongs to the following range; each task sends one), ``i`` (null ids first), ``tie``, ``id_col`` and ``packed``.
     """
-    from pyspark.ml.feature import Bucketizer
-
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(F.col(id_col), F.col(text_col), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("i"))
-    ids = rows.select("i", F.col("i").cast("double").alias("x"))
-    cuts = sorted(set(ids.approxQuantile("x", [k / parts for k in range(1, parts)], 0.1 / parts)))
-    inner = [float("-inf"), *cuts, float("inf")]
-
-    def ranged(frame: DataFrame) -> DataFrame:
-        if len(inner) < 3:
-            return frame.withColumn("range", F.lit(0))
-        return Bucketizer(splits=inner, inputCol="x", outputCol="r").transform(frame.withColumn("x", F.col("i").cast("double"))).withColumn("range", F.col("r").cast("int")).drop("x", "r")
-
-    firsts = [(r["range"], r["low"]) for r in ranged(ids.select("i")).groupBy("range").agg(F.min("i").alias("low")).collect()]
-    firsts.sort()
-    guests = [(low, before[0]) for before, (_, low) in zip(firsts[-1:] + firsts[:-1], firsts, strict=True)]
-    hosts = F.broadcast(spark.createDataFrame(guests, "i long, host int"))
-    both = ranged(rows).join(hosts, "i", "left")
-    place = F.explode(F.array_compact(F.array(F.struct(F.col("range"), F.lit(False).alias("guest")), F.when(F.col("host").isNotNull(), F.struct(F.col("host").alias("range"), F.lit(True).alias("guest"))))))
-    dealt = both.select(id_col, text_col, "i", place.alias("p")).select("p.range", "p.guest", "i", F.xxhash64(text_col).alias("tie"), id_col, text_col)
-    return dealt.repartitionById(max(1, len(inner) - 1), F.col("range")).sortWithinPartitions("guest", "i", "tie")
+    kind, none = _order_key(df.schema[id_col].dataType)
+    keyed = df.select(F.col(id_col), F.col(text_col), F.coalesce(F.col(id_col).cast(kind), F.lit(none)).alias("i"), F.xxhash64(text_col).alias("tie"))
+    keys = keyed.select("i", "tie", F.xxhash64(F.monotonically_increasing_id()).alias("spread"))
+    n = df.select(F.col(id_col)).count()
+    sample = sorted(tuple(r) for r in (keys if n <= SAMPLE * parts else keys.sample(SAMPLE * parts / n, 1)).collect())
+    cuts = sorted({sample[len(sample) * k // parts] for k in range(1, parts)} if sample else set())
+    i_type, names = (pa.int64() if isinstance(kind, LongType) else pa.string()), ["range", "i", "tie"]
+
+    def ranges(part: pa.RecordBatch, at: int) -> list[int]:
+        """Number of the cuts up to each row, which begin ranges."""
+        return [bisect_right(cuts, key) for key in zip(*[part.column(at + k).to_pylist() for k in range(3)], strict=True)]
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low: dict[int, tuple] = {}
+        for batch in batches:
+            for r, i, tie in zip(ranges(batch, 0), batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if r not in low or (i, tie) < low[r]:
+                    low[r] = (i, tie)
+        rows = [(r, *key) for r, key in low.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int32(), i_type, pa.int64()))], names=names)
+
+    first = keys.mapInArrow(lowest, StructType([StructField("range", IntegerType()), StructField("i", kind), StructField("tie", LongType())]))
+    firsts = sorted((r["range"], r["low"]["i"], r["low"]["tie"]) for r in first.groupBy("range").agg(F.min(F.struct("i", "tie")).alias("low")).collect())
+    hosts: dict[tuple, list[int]] = {}  # ranges that a row like this one follows
+    for before, (_, i, tie) in zip(firsts[-1:] + firsts[:-1], firsts, strict=True):
+        hosts.setdefault((i, tie), []).append(before[0])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple] = set()
+        for batch in batches:
+            for part in by_bytes(batch):
+                to, row, guest = ranges(part, 2), list(range(part.num_rows)), [False] * part.num_rows
+                for at, key in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                    if key in hosts and key not in sent:
+                        sent.add(key)
+                        for r in hosts[key]:
+                            to.append(r)
+                            row.append(at)
+                            guest.append(True)
+                packed = pa.array([squeeze(x or "") for x in part.column(1).to_pylist()], pa.binary())
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(guest), part.column(2).take(take), part.column(3).take(take), part.column(0).take(take), packed.take(take)], names=["range", "guest", "i", "tie", id_col, "packed"])
+
+    schema = StructType([StructField("range", IntegerType()), StructField("guest", BooleanType()), StructField("i", kind), StructField("tie", LongType()), StructField(id_col, df.schema[id_col].dataType), StructField("packed", BinaryType())])
+    dealt = keyed.withColumn("spread", F.xxhash64(F.monotonically_increasing_id())).mapInArrow(deal, schema)
+    return dealt.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("guest", "i", "tie")
 
 
 def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS) -> DataFrame:
     """Fingerprint each row's text and an edited text, and compare with that and with the next row.
 
     The next row is the one with the next id (after the last, the first). Rows of equal id follow
-    each other by a hash of their texts; null ids come first; a single row is its own next. Null
-    texts count as empty. Returns ``id_col``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
+    each other by a hash of their texts; null ids come first; ids that are no numbers are ordered as strings; a
+    single row is its own next. Null texts count as empty. Returns ``id_col``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``. One shuffle of the texts; a worker holds
     a block of rows at a time.
     """
     kind = df.schema[id_col].dataType
     schema = StructType([StructField(id_col, kind), StructField("n_chars", LongType()), StructField("edited_sha256", StringType()), StructField("fingerprint", StringType()), StructField("edited_fingerprint", StringType()), StructField("near_edited", DoubleType()), StructField("near_next", DoubleType())])
-    arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind.simpleString(), pa.int64())
+    arrow_kind = to_arrow_type(kind)
 
     def block(ids: list, texts: list[str], sets: list[np.ndarray]) -> pa.RecordBatch:
         """Rows of all texts but the last, which only follows."""
@@ -226,11 +260,11 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ids, texts, sets, size, ended = [], [], [], 0, False
         for batch in batches:
             for part in by_bytes(batch):
-                for guest, doc, text in zip(part.column(1).to_pylist(), part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True):
+                for guest, doc, small in zip(part.column(1).to_pylist(), part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True):
                     if ended:
-                        continue  # further rows of the following range's first id
+                        continue  # what other tasks sent for the following range's first row
                     ended = guest
-                    text = text or ""
+                    text = unsqueeze(small)
                     ids.append(doc)
                     texts.append(text)
                     sets.append(digests(text))
