@@ -19,8 +19,10 @@ from strataflow.llm.scratch import stored
 
 #: Tokens of a sequence; the id that ends a document; pieces that one packing task gets on average.
 CAPACITY, END_ID, GROUP_PIECES = 2048, 0, 4096
-#: Words, and parts of words, whose ids a worker remembers, and the longest that it remembers.
-MEMO_WORDS, MEMO_PARTS, MEMO_CHARS = 200_000, 400_000, 48
+#: Words whose ids a worker remembers, and the longest that it remembers; new words that are merged together; characters of those that one call of the library gets.
+MEMO_WORDS, MEMO_CHARS, CALL_WORDS, CALL_CHARS = 300_000, 48, 1 << 15, 1 << 18
+#: Symbols up to which a part is merged here; the library's merges don't slow down with length.
+MOST_SYMBOLS = 64
 #: What the tokenizer's pattern tells apart, for characters up to U+024F without those that NFC or lower-casing treats otherwise than one by one.
 _PLAIN = re.compile("[!-~¡-©«-±´¶-¸»¿-ÖØ-ßà-öø-ÿ]+")
 _PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -30,8 +32,9 @@ class WordTokenizer:
     """Ids of a word-end BPE tokenizer file, word by word.
 
     The file's pattern drops white space and never matches across it, so a text's ids are those
-    of its words in a row. Words of plain Latin characters are split and merged here; any other
-    word goes to the library.
+    of its words in a row. The words that a batch of texts brings for the first time are encoded
+    together: words of plain Latin characters are split and merged here, all at once; others go to the
+    library as one text, whose offsets tell which ids are whose; a word with an added token in it goes alone.
     """
 
     def __init__(self, path: str) -> None:
@@ -40,52 +43,122 @@ class WordTokenizer:
         self._library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model = spec["model"]
-        self._packed = {k: int(v).to_bytes(4, "little") for k, v in model["vocab"].items()}
-        self._ranks = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): i for i, m in enumerate(model["merges"])}
-        self._suffix = model.get("end_of_word_suffix") or ""
-        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that byte-level BPE writes as themselves
-        rest = [b for b in range(256) if b not in set(shown)]
-        self._letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self._special = [t["content"] for t in spec.get("added_tokens", [])]
+        ids = {k: int(v) for k, v in spec["model"]["vocab"].items()}
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}  # bytes that byte-level BPE writes as themselves
+        rest = [b for b in range(256) if b not in shown]
+        letter = [chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)]
+        self._inner, self._final = np.array([ids[x] for x in letter], np.int64), np.array([ids[x + suffix] for x in letter], np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        keys = np.array([ids[a] << 32 | ids[b] for a, b in pairs], dtype=np.int64)
+        order = np.argsort(keys)
+        self._keys, self._rank, self._made = keys[order], order, np.array([ids[a + b] for a, b in pairs], dtype=np.int64)
         self._memo: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        symbols = [self._letter[b] for b in part.encode()]
-        symbols[-1] += self._suffix
-        if len(symbols) > 64:  # the library's merges don't slow down with length
-            return np.array(self._library.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        ranks, none = self._ranks, 1 << 60
-        order = [ranks.get(p, none) for p in zip(symbols, symbols[1:], strict=False)]
-        while order and (best := min(order)) < none:
-            i = order.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del order[i]
-            if i:
-                order[i - 1] = ranks.get((symbols[i - 1], symbols[i]), none)
-            if i < len(order):
-                order[i] = ranks.get((symbols[i], symbols[i + 1]), none)
-        got = b"".join([self._packed[s] for s in symbols])
-        if len(part) <= MEMO_CHARS and len(self._parts) < MEMO_PARTS:
-            self._parts[part] = got
-        return got
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and not any(s in word for s in self._special):
-            known = self._parts
-            got = b"".join([known[p] if p in known else self._part(p) for p in _PART.findall(word.lower())])
-        else:
-            got = np.array(self._library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(word) <= MEMO_CHARS and len(self._memo) < MEMO_WORDS:
-            self._memo[word] = got
-        return got
+
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair's merge; the number of merges if it has none."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where(self._keys[at] == key, self._rank[at], len(self._keys))
+
+    def _merged(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, one after the other, and where each part's begin.
+
+        In each round every part that still can makes its best merge, the first of equal ones.
+        """
+        size = np.array([len(p) for p in parts], dtype=np.int64)
+        raw = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        last = np.cumsum(size) - 1
+        symbol, owner, none = self._inner[raw], np.repeat(np.arange(len(parts)), size), len(self._keys)
+        symbol[last] = self._final[raw[last]]
+        rank = np.full(len(symbol), none, dtype=np.int64)  # of the merge with the symbol behind
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner] = self._ranked(symbol[inner], symbol[inner + 1])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbol):
+            starts = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), starts)
+            more = best >> 32 < none
+            if not more.all():
+                going = np.repeat(more, np.diff(np.concatenate([starts, [len(symbol)]])))
+                done.append((owner[~going], symbol[~going]))
+                shift = np.cumsum(~going)  # how far places move to the front
+                symbol, owner, rank = symbol[going], owner[going], rank[going]
+                at = best[more] & 0xFFFFFFFF
+                at -= shift[at]
+            else:
+                at = best & 0xFFFFFFFF
+            if not len(at):
+                break
+            symbol[at] = self._made[rank[at]]
+            keep = np.ones(len(symbol), dtype=bool)
+            keep[at + 1] = False
+            symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
+            at -= np.arange(len(at))  # one symbol went from each part ahead
+            changed = np.concatenate([at, at[at > 0] - 1])
+            follows = np.minimum(changed + 1, len(symbol) - 1)
+            rank[changed] = np.where((changed + 1 < len(symbol)) & (owner[changed] == owner[follows]), self._ranked(symbol[changed], symbol[follows]), none)
+        owner, symbol = (np.concatenate([d[k] for d in done]) if done else np.zeros(0, np.int64) for k in (0, 1))
+        order = np.argsort(owner, kind="stable")
+        return symbol[order], np.searchsorted(owner[order], np.arange(len(parts) + 1))
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain characters without overlong parts."""
+        parts = [[w.lower()] if w.isalpha() else _PART.findall(w.lower()) for w in words]
+        ids, cuts = self._merged([p.encode() for ps in parts for p in ps])
+        raw = ids.astype("<u4").tobytes()
+        edge = (4 * cuts[np.concatenate([[0], np.cumsum([len(ps) for ps in parts])])]).tolist()
+        return [raw[a:z] for a, z in zip(edge, edge[1:], strict=False)]
+
+    def _alone(self, word: str) -> bytes:
+        return np.array(self._library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        got = self._library.encode(" ".join(words), add_special_tokens=False)
+        starts = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])])
+        begin = np.array([a for a, _ in got.offsets], dtype=np.int64)
+        cuts = (4 * np.searchsorted(begin, starts)).tolist()
+        raw = np.array(got.ids, dtype="<u4").tobytes()
+        return [raw[a:z] for a, z in zip(cuts, cuts[1:], strict=False)]
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not remembered; some are from now on."""
+        out: dict[str, bytes] = {}
+        whole = " ".join(words)
+        found = [s for s in self._special if s in whole]
+        if found:
+            out = {w: self._alone(w) for w in words if any(s in w for s in found)}
+            words = [w for w in words if w not in out]
+        plain, most = _PLAIN.fullmatch, MOST_SYMBOLS // 2  # a character has two bytes at most
+        own = [w for w in words if len(w) <= most and plain(w)]
+        for at in range(0, len(own), CALL_WORDS):
+            some = own[at : at + CALL_WORDS]
+            out.update(zip(some, self._plain(some), strict=True))
+        rest = [w for w in words if w not in out] if len(out) < len(words) or found else []
+        while rest:
+            end, size = 0, 0
+            while end < len(rest) and (not end or size + len(rest[end]) < CALL_CHARS):
+                size += len(rest[end])
+                end += 1
+            out.update(zip(rest[:end], self._together(rest[:end]), strict=True))
+            rest = rest[end:]
+        room = MEMO_WORDS - len(self._memo)
+        if room > 0:
+            self._memo.update([(w, x) for w, x in out.items() if len(w) <= MEMO_CHARS][:room])
+        return out
 
     def encode_bytes(self, text: str) -> bytes:
-        """Ids of ``text`` as little-endian unsigned 32-bit integers."""
+        return next(self.encode_batch([text]))
+
+    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         memo = self._memo
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join([memo[w] if w in memo else self._word(w) for w in words])
+        lists = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        new = self._learn([w for w in set().union(*lists) if w and w not in memo])
+        new[""] = b""
+        for ws in lists:
+            yield b"".join([memo[w] if w in memo else new[w] for w in ws])
 
 
 @lru_cache(maxsize=4)
@@ -108,10 +181,10 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         exclusive("packing", _tokenizer.cache_clear)
-        encode = _tokenizer(tokenizer_path).encode_bytes
+        texts = [x or "" for x in batch.column(1).to_pylist()]
         row, piece, start, length, crc, ids = [], [], [], [], [], []
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            raw = encode(text or "") + end
+        for i, ids_of in enumerate(_tokenizer(tokenizer_path).encode_batch(texts)):
+            raw = ids_of + end
             for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                 part = raw[at : at + 4 * capacity]
                 row.append(i)
@@ -127,15 +200,16 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return map_arrow(df.select(F.col(id_col), F.col(text_col)), run, schema)
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def sum_of_squares(lengths: np.ndarray, capacity: int, new_competes: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Bin number and offset of each length, placed in the given order.
 
     A length goes to the open bin that it fits in, with gap g, such that afterwards the sum over
     residual gaps of the squared count of open bins with that gap is smallest; of equal choices the
     smallest gap. Moving a bin from gap g to g - s changes the sum by
-    2 * (n[g - s] - n[g]) + 2, without the first count if the bin becomes full. A new bin is
-    opened only where no open one fits: letting it compete, as the online form of the rule does,
-    took 1.7 % more sequences on documents in order of length (1306 against 1284, bound 1283).
+    2 * (n[g - s] - n[g]) + 2, without the first count if the bin becomes full. With ``new_competes``, as in
+    the online form of the rule, a new bin is one of the choices; it changes the sum by 2 * n[capacity - s] + 1.
+    Else one is opened only where no open one fits, which took 1.7 % fewer sequences on documents
+    in order of length (1284 against 1306, bound 1283).
     """
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     count = np.zeros(capacity + 1, dtype=np.int64)
@@ -147,7 +221,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         change[0] = 1 - 2 * count[s]
         change[count[s:] == 0] = big
         gap = s + int(change.argmin())
-        if change[gap - s] == big:
+        if change[gap - s] == big or new_competes and s < capacity and 2 * count[capacity - s] + 1 < change[gap - s]:
             gap = capacity  # a new bin
         if gap < capacity:
             b = open_bins[gap].pop()
@@ -161,19 +235,19 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-def pack(pieces: DataFrame, length_col: str = "length", order_cols: tuple[str, ...] = ("doc_id", "piece"), capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(pieces: DataFrame, length_col: str = "length", order_cols: tuple[str, ...] = ("doc_id", "piece"), capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, new_competes: bool = False) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a length of 1 to ``capacity``.
 
     Full-length rows are a sequence each and skip the packing. The others are dealt by a hash of
-    ``order_cols`` into groups of about ``group_pieces`` rows, whose number follows the row count,
+    ``order_cols`` and of the row's place in the table into groups of about ``group_pieces`` rows, whose number follows the row count,
     and each group is packed by ``sum_of_squares``, longest first, in a task of its own; one group
-    leaves at most a few bins part-filled. A hot source or repeated rows cannot fill a group, since
-    the hash takes a row's place among equals into account. Null lengths are an error of the caller.
+    leaves at most a few bins part-filled. Neither a hot source nor rows of one id fill a group. ``pieces`` must
+    read the same rows in the same order each time, as a stored table does. Null lengths are an error of the caller.
     """
     spark = pieces.sparkSession
     n = pieces.filter(F.col(length_col) < capacity).count()
     groups = max(1, round(n / group_pieces))
-    key = F.when(F.col(length_col) < capacity, F.pmod(F.xxhash64(*order_cols), F.lit(groups)).cast("int")).otherwise(F.lit(-1))
+    key = F.when(F.col(length_col) < capacity, F.pmod(F.xxhash64(*order_cols, F.monotonically_increasing_id()), F.lit(groups)).cast("int")).otherwise(F.lit(-1))
     extra = [StructField("sequence_id", LongType()), StructField("offset", LongType())]
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     keyed = pieces.select(*names, key.alias("__group"))
@@ -182,7 +256,7 @@ def pack(pieces: DataFrame, length_col: str = "length", order_cols: tuple[str, .
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([length_col, *order_cols], ascending=[False] + [True] * len(order_cols), kind="stable")
-        bins, offsets = sum_of_squares(pdf[length_col].to_numpy(np.int64), capacity)
+        bins, offsets = sum_of_squares(pdf[length_col].to_numpy(np.int64), capacity, new_competes)
         at = -1 - (np.int64(pdf["__group"].iloc[0]) << 32) - bins  # below zero: apart from the full ones
         return pdf.drop(columns="__group").assign(sequence_id=at, offset=offsets)
 
