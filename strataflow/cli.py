@@ -6,17 +6,18 @@ import argparse
 import json
 import os
 import sys
+import uuid
 from datetime import date
 from pathlib import Path
 
 from pyspark.sql import SparkSession, functions as F
 
+from strataflow.functions.vocabularies import QUOTAS
 from strataflow.operators import screen
 from strataflow.plans import backfill, packets
 from strataflow.plans.store import Store
 from strataflow.sinks.files import export_report
 from strataflow.sources.config import load_registry, load_rules, software_revision
-from strataflow.sources.jsonl import decode
 from strataflow.sources.paged import Remote, Window
 
 
@@ -38,12 +39,12 @@ def parser() -> argparse.ArgumentParser:
     command("validate-registry", "--journal", *source, **usual)
     command("screen", "--db!", "--rules!")
     command("export-llm-queue", "--db!", "--out!")
-    command("create-calibration-sample", "--db!", "--sample-id!", "--seed!", "--prompt-version", prompt_version="v1")
+    command("create-calibration-sample", "--db!", "--sample-id", "--seed", "--prompt-version", seed="calibration-v1", prompt_version="v1")
     command("export-calibration-queue", "--db!", "--calibration-id!", "--out!")
-    command("prepare-web-calibration-batches", "--db!", "--calibration-id!", "--root!", "--prompt!", "--batch-size", "--software-revision", batch_size=20)
+    command("prepare-web-calibration-batches", "--db!", "--calibration-id!", "--out!", "--prompt!", "--schema", "--batch-size", "--software-revision", batch_size=20)
     command("validate-web-calibration-batch", "--db!", "--manifest!", "--output!", "--model-display-name!", "--operator!", "--executed-at!", "--fresh-chat-confirmed?", "--attempt", "--execution-mode", attempt=1, execution_mode="manual")
     command("import-llm-results", "--db!", "--input!")
-    command("sample-no-audit", "--db!", "--sample-id!", "--fraction", "--seed!", fraction=0.10)
+    command("sample-no-audit", "--db!", "--sample-id", "--fraction", "--seed", fraction=0.10, seed="audit-v1")
     command("status", "--db!")
     command("historical-backfill", "--db!", "--raw-dir!", "--resume-id", "--report", "--software-revision", *source, **usual)
     command("coverage-report", "--db!", "--backfill-id!", "--out!")
@@ -87,23 +88,19 @@ def run(a: argparse.Namespace, spark: SparkSession, source: object | None = None
         case "export-llm-queue":
             return {"records": packets.export_queue(store, a.out)}
         case "create-calibration-sample":
-            items = packets.create_sample(store, a.sample_id, a.seed, a.prompt_version)
+            items = packets.create_sample(store, a.sample_id or uuid.uuid4().hex, a.seed, a.prompt_version)
             return {r["stratum"]: {"population": r["p"], "selected": r["n"]} for r in items.groupBy("stratum").agg(F.max("population_size").alias("p"), F.count("*").alias("n")).collect()}
         case "export-calibration-queue":
             return {"records": packets.export_sample(store, a.calibration_id, a.out)}
         case "prepare-web-calibration-batches":
-            return packets.prepare_packets(store, a.calibration_id, a.root, Path(a.prompt).read_text(), a.software_revision or software_revision(), int(a.batch_size))
+            return packets.prepare_packets(store, a.calibration_id, a.out, Path(a.prompt).read_text(), a.software_revision or software_revision(), int(a.batch_size), schema=Path(a.schema).read_text() if a.schema else None)
         case "validate-web-calibration-batch":
-            return packets.validate_answer(store, a.manifest, a.output, a.model_display_name, a.operator, a.fresh_chat_confirmed, a.executed_at, int(a.attempt), a.execution_mode)
+            return packets.validate_answer(store, a.manifest, a.output, a.model_display_name, a.operator, a.fresh_chat_confirmed, a.executed_at, int(a.attempt), a.execution_mode, QUOTAS)
         case "import-llm-results":
-            rows = decode(Path(a.input).read_text().split("\n"), a.input, provenance=True, skip_blank=True)
-            bad = next((r for r in rows if r["error"]), None)
-            if bad:
-                raise packets.InvalidPacket(f"line {bad['line']}: {bad['error']}")
-            came, new = packets.import_records(store, [{k: v for k, v in r.items() if k not in ("path", "line", "error")} for r in rows])
+            came, new = packets.import_file(store, Path(a.input).resolve().as_uri())
             return {"records": came, "inserted": new}
         case "sample-no-audit":
-            population, size = packets.sample_audit(store, float(a.fraction), a.seed, a.sample_id)
+            population, size = packets.sample_audit(store, float(a.fraction), a.seed, a.sample_id or uuid.uuid4().hex)
             return {"population": population, "sample": size}
         case "status":
             return status(store)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -11,6 +11,23 @@ from pyspark.sql import Column, functions as F
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
+@cache
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Characters whose full case folding is not their lower case: those with one character, what they become, and the others."""
+    odd = {c: f for c in map(chr, range(0x80, 0x110000)) if not 0xD800 <= ord(c) < 0xE000 and (f := c.casefold()) != c.lower()}
+    one = {c: f for c, f in odd.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in odd.items() if len(f) > 1}
+
+
+def casefold(value: Column) -> Column:
+    """Full Unicode case folding (FN-16): lower case, and where that is not enough what the rule says, as ``ss`` for sharp s."""
+    one, to, more = _folding()
+    folded = F.translate(value, one, to)
+    odd = "[" + "".join(more) + "]"
+    long = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(more[c])), more, folded)
+    return F.translate(F.lower(F.when(value.rlike(odd), long).otherwise(folded)), "ς", "σ")  # lower case knows a final sigma
+
+
 def collapse_space(value: Column) -> Column:
     """Runs of Unicode white space as one space, trimmed (FN-02)."""
     return F.trim(F.regexp_replace(value, r"(?U)\s+", " "))
@@ -22,7 +39,7 @@ def normalize_doi(value: Column) -> Column:
     bare = F.regexp_replace(bare, r"(?i)^https?://(dx\.)?doi\.org/", "")
     bare = F.regexp_replace(bare, r"(?iU)^doi:\s*", "")
     bare = F.rtrim(F.regexp_replace(bare, r"(?U)^\s+|\s+$", ""), F.lit(". "))
-    return F.nullif(F.lower(bare), F.lit(""))
+    return F.nullif(casefold(bare), F.lit(""))
 
 
 def first_year(value: Column) -> Column:
@@ -73,6 +90,12 @@ def batch_id(sample_id: Column, prompt_version: Column, ids: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("\n", sample_id, prompt_version, F.array_join(ids, "\n")).cast("binary"), 256), 1, 24)
 
 
+def spaced_list(values: Column) -> Column:
+    """A list of strings as JSON with a space behind each comma (FN-12); null for null."""
+    quoted = F.transform(values, lambda x: F.substring(F.to_json(F.array(x)), F.lit(2), F.length(F.to_json(F.array(x))) - 2))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 def ordered_distinct(values: Column) -> Column:
     """Distinct non-empty values in order of first occurrence (FN-23)."""
     return F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))

@@ -33,6 +33,19 @@ SEMANTIC_FIELDS = (
 
 VISIBLE_FIELDS = ("pmid", "doi", "title", "abstract", "article_types", "mesh_terms")
 
+FULL_TEXT_STATUSES = (
+    "downloaded", "downloaded_with_si", "open_access_downloaded",
+    "full_text_html_available", "available_not_downloaded",
+    "carsi_waiting_user", "carsi_resolved_retry_needed",
+    "publisher_verification_waiting_user", "sciencedirect_robot_check",
+    "retry_after_user_verification", "do_not_auto_retry",
+    "url_needs_repair", "library_no_permission", "no_full_text_link",
+    "publisher_blocked_waiting_user", "no_authorized_pdf_found",
+    "pdf_fetch_failed", "failed_after_retry",
+)
+
+SI_STATUSES = ("not_checked", "available_not_downloaded", "downloaded", "not_found")
+
 STATUSES = ("pending", "running", "complete", "failed")
 
 CANCER_RULES = (

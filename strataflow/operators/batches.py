@@ -36,6 +36,12 @@ def global_position(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return table.join(F.broadcast(known), "__range").select(*df.columns, place.alias("position"))
 
 
+def corpus_batches(df: DataFrame, order: Sequence[Column], size: int, key: str = "pmid") -> DataFrame:
+    """The same for a whole corpus (STA-11): its order is dealt by ranges, so that no task holds it."""
+    n = F.col("position") - 1
+    return global_position(df, order).select(key, F.floor(n / size).alias("batch_no"), (n % size + 1).alias("ordinal"))
+
+
 def batch_manifests(assigned: DataFrame, sample_id: str, prompt_version: str, key: str = "pmid") -> DataFrame:
     """A row per batch: id, ordered keys, number of records."""
     listed = assigned.groupBy("batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.col(key).cast("string").alias("k")))), lambda x: x["k"]).alias("ordered_keys"))

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from strataflow.functions.scalars import coverage_status
 
 
-def union_count(slices: DataFrame, membership: DataFrame, by: Sequence[str] = (), key: str = "pmid") -> DataFrame:
-    """Distinct members of complete slices, exact (AGG-01)."""
+def union_count(slices: DataFrame, membership: DataFrame, by: Sequence[str] = (), key: str = "pmid", articles: DataFrame | None = None, year: int | None = None) -> DataFrame:
+    """Distinct members of complete slices, exact (AGG-01); with ``year``, only those that ``articles`` date to it (FLT-02)."""
     done = slices.filter("status = 'complete'").select(*by, F.col("enumeration_run_id").alias("run_id"))
-    return done.join(membership, "run_id").groupBy(*by).agg(F.countDistinct(key).alias("observed_count"))
+    members = done.join(membership, "run_id")
+    if year is not None:
+        members = members.join(articles.filter(F.col("publication_year") == year).select(key), key, "left_semi")
+    return members.groupBy(*by).agg(F.countDistinct(key).alias("observed_count"))
 
 
 def reconcile(expected: DataFrame, observed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strataflow.functions.scalars import hash_rank, share_of
+from strataflow.operators.scratch import stored
 
 
 class ShortStratum(ValueError):
@@ -19,6 +20,7 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, quotas: dict[str, i
     """
     quota = F.create_map(*[F.lit(x) for k, v in quotas.items() for x in (k, v)])
     frame = df.select(key, F.col(stratum).alias("stratum")).filter(F.col("stratum").isin(*quotas)).withColumn("hash_rank", hash_rank(seed, F.col(key)))
+    frame = stored(frame, "frame")  # what tells the strata may cost a scan of all texts
     sizes = frame.groupBy("stratum").agg(F.count("*").alias("population_size"))
     if check:
         have = {r["stratum"]: r["population_size"] for r in sizes.collect()}
@@ -29,10 +31,39 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, quotas: dict[str, i
     return ranked.filter(F.col("rank") <= quota[F.col("stratum")]).join(F.broadcast(sizes), "stratum").select(key, "stratum", "population_size", "hash_rank", F.col("rank").cast("long").alias("rank"))
 
 
-def fraction_sample(df: DataFrame, key: str, fraction: float, seed: str) -> DataFrame:
-    """The ``ceil(n * fraction)`` first rows in hash order; n is counted first, and the cut found by a top-k."""
+def _cut(frame: DataFrame, key: str, k: int, most: int) -> tuple | None:
+    """The ``k``-th (hash_rank, key) of the table: counts of ever longer beginnings of the hash narrow it down until ``most`` rows are left."""
+    begin = ""
+    while True:
+        part = frame.filter(F.col("hash_rank").startswith(begin)) if begin else frame
+        if len(begin) >= 64 or part.count() <= most:
+            return part.select("hash_rank", key).orderBy("hash_rank", key).collect()[k - 1]
+        counts = sorted(part.groupBy(F.substring("hash_rank", 1, len(begin) + 3).alias("b")).count().collect())  # 4096 rows at most
+        for row in counts:
+            if k <= row["count"]:
+                begin = row["b"]
+                break
+            k -= row["count"]
+
+
+def fraction_sample(df: DataFrame, key: str, fraction: float, seed: str, most: int = 10_000) -> DataFrame:
+    """The ``ceil(n * fraction)`` first rows in hash order; n is counted first.
+
+    The last row that belongs to it is found by counts of beginnings of the hash, of which the driver gets
+    4096 at a time, and in the end at most ``most`` rows; then the sample is a filter, however large it is.
+    """
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be above 0 and at most 1")
-    frame = df.select(key).distinct().withColumn("hash_rank", hash_rank(seed, F.col(key)))
+    frame = stored(df.select(key).distinct().withColumn("hash_rank", hash_rank(seed, F.col(key))), "ranked")
     k = frame.agg(share_of(F.count("*"), fraction).cast("long").alias("k")).first()["k"]
-    return frame.orderBy("hash_rank", key).limit(k).select(key, "hash_rank")
+    if not k:
+        return frame.select(key, "hash_rank").limit(0)
+    rank, last = _cut(frame, key, k, most)
+    return frame.filter((F.col("hash_rank") < rank) | (F.col("hash_rank") == rank) & (F.col(key) <= F.lit(last))).select(key, "hash_rank")
+
+
+def human_queue(decisions: DataFrame, key: str, decision: str, fraction: float, seed: str) -> DataFrame:
+    """What people look at (STA-10): every latest YES and MAYBE, and a share of the NO by hash; ``key`` and ``reason``."""
+    sure = decisions.filter(F.col(decision).isin("YES", "MAYBE")).select(key, F.col(decision).alias("reason"))
+    chosen = fraction_sample(decisions.filter(F.col(decision) == "NO"), key, fraction, seed)
+    return sure.union(chosen.select(key, F.lit("NO sample")))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strataflow.functions.scalars import matched
+from strataflow.functions.scalars import casefold, matched
 from strataflow.functions.vocabularies import CANCER_RULES, NON_ORIGINAL_TYPES, OMICS_RULES, ORIGINAL_OR_UNCLEAR_TYPES
 
 
@@ -25,14 +25,14 @@ class RulePack:
 
 
 def has_type(types: Column, wanted: Sequence[str]) -> Column:
-    return F.arrays_overlap(F.transform(F.coalesce(types, F.array().cast("array<string>")), lambda x: F.lower(x)), F.array(*map(F.lit, wanted)))
+    return F.arrays_overlap(F.transform(F.coalesce(types, F.array().cast("array<string>")), casefold), F.array(*map(F.lit, wanted)))
 
 
-def screen(df: DataFrame, rules: RulePack, screened_at: str, key: str = "pmid") -> DataFrame:
-    """Screen row of each record in one scan: terms hit in title, abstract and headings, and the flags."""
+def screen(df: DataFrame, rules: RulePack, screened_at: str, key: str = "pmid", carry: Sequence[str] = ()) -> DataFrame:
+    """Screen row of each record in one scan: terms hit in title, abstract and headings, and the flags; and the columns named in ``carry``."""
     text = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")), F.array_join(F.coalesce("mesh_terms", F.array().cast("array<string>")), "\n"))
-    terms = df.select(key, "article_types", matched(rules.cancer, text).alias("cancer_terms"), matched(rules.omics, text).alias("omics_terms"))
-    hits = terms.select(key, F.lit(rules.version).alias("rules_version"), (F.size("cancer_terms") > 0).alias("cancer_hit"), (F.size("omics_terms") > 0).alias("omics_hit"), has_type(F.col("article_types"), NON_ORIGINAL_TYPES).alias("obvious_non_original_type"), "cancer_terms", "omics_terms")
+    terms = df.select(key, *carry, F.col("article_types").alias("__types"), matched(rules.cancer, text).alias("cancer_terms"), matched(rules.omics, text).alias("omics_terms"))
+    hits = terms.select(key, *carry, F.lit(rules.version).alias("rules_version"), (F.size("cancer_terms") > 0).alias("cancer_hit"), (F.size("omics_terms") > 0).alias("omics_hit"), has_type(F.col("__types"), NON_ORIGINAL_TYPES).alias("obvious_non_original_type"), "cancer_terms", "omics_terms")
     return hits.select("*", (F.col("cancer_hit") & F.col("omics_hit") & ~F.col("obvious_non_original_type")).alias("candidate_priority"), F.lit(screened_at).alias("screened_at"))
 
 

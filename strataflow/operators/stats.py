@@ -28,8 +28,9 @@ def recall_precision(cells: DataFrame) -> DataFrame:
 
 
 def weighted_recall(cells: DataFrame, sizes: DataFrame, stratum: str) -> DataFrame:
-    """Recall in which each stratum weighs as in the population, N/n (STA-02)."""
-    joined = cells.join(sizes.select(stratum, F.col("population_size").alias("big_n")), stratum)
+    """Recall in which each stratum weighs as in the population, N/n (STA-02); records without a stratum are one of their own."""
+    known = sizes.select(F.col(stratum).alias("__stratum"), F.col("population_size").alias("big_n"))
+    joined = cells.join(known, F.col(stratum).eqNullSafe(F.col("__stratum")))
     w = F.col("big_n").cast("double") / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
     return joined.agg(F.round(F.try_divide(F.sum(w * F.col("tp")), F.sum(w * (F.col("tp") + F.col("fn")))), 6).alias("weighted_recall"))
 
@@ -80,7 +81,9 @@ def bootstrap_recall(cells: DataFrame, sizes: DataFrame, stratum: str, replicate
     A stratum's draw depends on its four counts alone: a replicate is one multinomial per stratum,
     from a generator seeded by ``seed`` and its number, so that no partitioning changes it.
     """
-    rows = sorted(tuple(r) for r in cells.join(sizes, stratum).select(stratum, "population_size", "tp", "fp", "fn", "tn").collect())
+    known = sizes.select(F.col(stratum).alias("__stratum"), "population_size")
+    both = cells.join(known, F.col(stratum).eqNullSafe(F.col("__stratum"))).select(stratum, "population_size", "tp", "fp", "fn", "tn")
+    rows = sorted((tuple(r) for r in both.collect()), key=lambda r: (r[0] is not None, r))
     spark = cells.sparkSession
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strataflow.functions.scalars import all_digits
-from strataflow.functions.vocabularies import MODALITIES, RECORD_ENUMS
+from strataflow.functions.record_rules import column_rules
 
 
 def violations(*rules: tuple[str, Column]) -> Column:
@@ -19,33 +18,9 @@ def first_violation(found: Column) -> Column:
     return F.try_element_at(found, F.lit(1))
 
 
-def is_iso_time(value: Column) -> Column:
-    """A calendar date, or a date and a time, with or without zone, as ISO 8601 writes them."""
-    shaped = value.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2}(:\d{2})?)?)?)?\z")
-    return shaped & F.try_to_timestamp(F.regexp_replace(F.substring(F.concat(value, F.lit("")), 1, 19), "T", " ")).isNotNull() | (shaped & (F.length(value) == 10) & value.try_cast("date").isNotNull())
-
-
-def record_rules(provenance: bool = True) -> list[tuple[str, Column]]:
-    """The rules of a typed classifier record, in the order in which they are reported."""
-    rules = [(f"Invalid {name}", F.col(name).isin(*values)) for name, values in RECORD_ENUMS.items()]
-    m = F.col("data_modalities")
-    rules += [
-        ("data_modalities must be a non-empty unique list", (F.size(m) > 0) & (F.size(F.array_distinct(m)) == F.size(m))),
-        ("Invalid data modality", F.size(F.array_except(m, F.array(*map(F.lit, MODALITIES)))) == 0),
-        ("computational_centrality must be an integer from 0 to 3", F.col("computational_centrality").between(0, 3)),
-        ("confidence must be from 0 to 1", F.col("confidence").between(0, 1)),
-    ]
-    texts = ("pmid", "rationale", "model", "prompt_version", "screened_at") if provenance else ("pmid", "rationale")
-    rules += [(f"{name} must be a non-empty string", F.col(name).rlike(r"(?U)\S")) for name in texts]
-    rules.append(("pmid must contain only digits", all_digits(F.col("pmid"))))
-    if provenance:
-        rules.append(("screened_at must be an ISO date-time", is_iso_time(F.col("screened_at"))))
-    return rules
-
-
 def validate_records(df: DataFrame, provenance: bool = True) -> DataFrame:
     """Typed records with all ``violations`` and the ``first_error``, null if there is none."""
-    out = df.withColumn("violations", violations(*record_rules(provenance)))
+    out = df.withColumn("violations", violations(*column_rules(provenance)))
     return out.withColumn("first_error", first_violation(F.col("violations")))
 
 

@@ -11,13 +11,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, functions as F
 
 from strataflow.operators import coverage
+from strataflow.operators.scratch import discard, stored
 from strataflow.operators.slices import plan_slices_by_count
 from strataflow.plans.store import Store
-from strataflow.schemas import TABLES
+from strataflow.schemas import RECORD, TABLES
 from strataflow.sinks.files import write_batch
 from strataflow.sources.config import Journal, Registry
 from strataflow.sources.paged import Source, Window
-from strataflow.sources.xml_records import parse_records
+from strataflow.sources.xml_records import parse_records, read_batches
 
 #: Records that the source gives at most for one query.
 MOST_RESULTS = 9999
@@ -31,6 +32,11 @@ def now() -> str:
     return datetime.now(UTC).isoformat(timespec="seconds").replace("+00:00", "Z")
 
 
+def precise_now() -> str:
+    """The same to the microsecond (FN-13)."""
+    return datetime.now(UTC).isoformat(timespec="microseconds").replace("+00:00", "Z")
+
+
 def enumerate_journal(store: Store, source: Source, registry: Registry, journal: Journal, start: date, end: date, raw: str | Path, size: int = 200, clock: Callable[[], str] = now) -> dict:
     """One window of a journal: pages to raw files, then records, memberships and ledger in one transaction each table.
 
@@ -43,13 +49,12 @@ def enumerate_journal(store: Store, source: Source, registry: Registry, journal:
     store.append("enumeration_runs", [base])
     try:
         pages = []
-        for at, content in source.pages(window, size):
+        for at, content in source.pages(window, size):  # one at a time: the source limits the rate, the files hold the pages
             path = write_batch(raw, run, at, content)
-            pages.append((run, at, content, str(path), len(content), hashlib.sha256(content).hexdigest()))
-        files = store.spark.createDataFrame(pages, "run_id string, retstart bigint, content binary, raw_xml_path string, byte_size bigint, sha256 string")
-        rows = parse_records(files, batch="retstart").withColumn("ordinal", F.col("batch") + F.col("place")).cache()
+            pages.append((run, at, str(path), len(content), hashlib.sha256(content).hexdigest()))
+        rows = stored(_parsed(store, raw, run, bool(pages)), "parsed")
         found = {r["batch"]: r["count"] for r in rows.groupBy("batch").count().collect()}  # a row a page
-        counted = [(*p[:2], found.get(p[1], 0), *p[3:]) for p in pages]
+        counted = [(*p[:2], found.get(p[1], 0), *p[2:]) for p in pages]
         with store.transaction():
             if pages:
                 records = rows.withColumns({"journal_key": F.lit(journal.key), "pubmed_url": F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), "pmid", F.lit("/")), "first_seen_run_id": F.lit(run), "last_seen_run_id": F.lit(run), "source_updated_at": F.lit(clock())})
@@ -64,9 +69,19 @@ def enumerate_journal(store: Store, source: Source, registry: Registry, journal:
         store.upsert("enumeration_runs", [base | {"status": "failed", "error": str(exc), "completed_at": clock()}])
         raise
     store.upsert("enumeration_runs", [done])
+    discard(rows)
     return done
 
 
+def _parsed(store: Store, raw: str | Path, run: str, any_page: bool) -> DataFrame:
+    """Records of a run's raw pages, read from their files, with ``ordinal``: the page's start and the place in it."""
+    if not any_page:
+        return store.spark.createDataFrame([], f"{RECORD}, batch long, place long, ordinal long")
+    files = read_batches(store.spark, (Path(raw).resolve() / run).as_uri())
+    numbered = files.select("content", F.regexp_extract("path", r"batch_(\d+)\.xml$", 1).cast("long").alias("retstart"))
+    return parse_records(numbered, batch="retstart").withColumn("ordinal", F.col("batch") + F.col("place"))
+
+
 def _columns(table: str) -> list[str]:
     from strataflow.sources.xml_records import _fields
 

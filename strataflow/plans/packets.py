@@ -9,14 +9,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, functions as F
 
+from strataflow.functions.record_rules import iso_time
 from strataflow.functions.vocabularies import QUOTAS, VISIBLE_FIELDS
-from strataflow.operators import batches, latest, sample
+from strataflow.operators import batches, latest, sample, upsert
+from strataflow.operators.scratch import discard, stored
 from strataflow.operators.screen import stratum
-from strataflow.plans.backfill import now
+from strataflow.plans.backfill import now, precise_now
 from strataflow.plans.store import Store
-from strataflow.schemas import SEMANTIC, TABLES
+from strataflow.schemas import KEYS, SEMANTIC, TABLES
 from strataflow.sinks.files import export_lines, json_line, outside_code, publish
-from strataflow.sources.jsonl import decode, iso_time
+from strataflow.sources.jsonl import decode, read_records, record_error
 
 SCHEMA_VERSION = "web_semantic_screen_v1"
 IMMUTABLE = ("calibration_id", "batch_id", "ordered_pmids", "record_count", "prompt_version", "schema_version", "sampling_strata", "input_sha256", "web_prompt_sha256", "software_revision")
@@ -72,7 +74,22 @@ def _sha(content: str | bytes) -> str:
     return hashlib.sha256(content.encode() if isinstance(content, str) else content).hexdigest()
 
 
-def prepare_packets(store: Store, sample_id: str, root: str | Path, prompt: str, revision: str, size: int = 20, quotas: dict[str, int] | None = None, clock: Callable[[], str] = now) -> list[dict]:
+def packet_prompt(prompt: str, schema: str | None, text: str, replaced: dict[str, str] | None = None) -> str:
+    """What an external classifier is asked (FN-25): the reviewed prompt, the schema of an answer and the input lines.
+
+    ``replaced`` are literal texts of the prompt and what stands in their place, such as those that ask for
+    provenance. A prompt with ``{input}`` has the lines there; else they follow the schema.
+    """
+    for old, new in (replaced or {}).items():
+        if old not in prompt:
+            raise InvalidPacket(f"the prompt lacks a text to be replaced: {old[:40]!r}")
+        prompt = prompt.replace(old, new)
+    if "{input}" in prompt:
+        return prompt.replace("{input}", text)
+    return "\n\n".join([prompt, *([f"JSON SCHEMA OF A LINE\n{schema}"] if schema else []), f"INPUT JSONL\n{text}"])
+
+
+def prepare_packets(store: Store, sample_id: str, root: str | Path, prompt: str, revision: str, size: int = 20, quotas: dict[str, int] | None = None, schema: str | None = None, replaced: dict[str, str] | None = None, clock: Callable[[], str] = precise_now) -> list[dict]:
     """Write a folder per batch and register a first attempt; a packet that exists must be the same.
 
     The sample has to have the locked shape. Its size bounds what the driver handles.
@@ -94,7 +111,7 @@ def prepare_packets(store: Store, sample_id: str, root: str | Path, prompt: str,
     for no, m in sorted(manifests.items()):
         mine = [r.asDict() for r in rows if r["batch_no"] == no]
         text = "".join(json_line({k: r[k] for k in VISIBLE_FIELDS}) + "\n" for r in mine)
-        ask = prompt.replace("{input}", text)
+        ask = packet_prompt(prompt, schema, text, replaced)
         manifest = {
             "calibration_id": sample_id, "batch_id": m["batch_id"], "ordered_pmids": list(m["ordered_keys"]), "record_count": m["record_count"], "prompt_version": info["prompt_version"], "schema_version": SCHEMA_VERSION,
             "sampling_strata": [r["stratum"] for r in mine], "input_sha256": _sha(text), "web_prompt_sha256": _sha(ask), "software_revision": revision, "created_at": clock(), "status": "prepared", "attempt": 1,
@@ -141,16 +158,52 @@ def check_answer(text: str, ordered: list[str], model: str, prompt_version: str,
         if r["pmid"] != want:
             return [], f"line {r['line']}: id {r['pmid']} where {want} was expected"
         seen.add(r["pmid"])
-    return [{k: r[k] for k in _FIELDS} | {"model": model, "prompt_version": prompt_version, "screened_at": executed_at} for r in rows], None
+    records = [{k: r[k] for k in _FIELDS} | {"model": model, "prompt_version": prompt_version, "screened_at": executed_at} for r in rows]
+    for n, record in enumerate(records, 1):
+        error = record_error(record)
+        if error:
+            return [], f"line {n}: with provenance: {error}"
+    return records, None
 
 
-def validate_answer(store: Store, manifest_path: str | Path, output: str | Path, model: str, operator: str, fresh_chat: bool, executed_at: str, attempt: int = 1, mode: str = "manual", clock: Callable[[], str] = now) -> list[dict]:
+def check_packet(store: Store, manifest: dict, quotas: dict[str, int] | None = None) -> None:
+    """Compare a manifest with the sample in the store, or raise (VAL-06).
+
+    The sample has the manifest's prompt version and, if ``quotas`` are given, their shape; the manifest's
+    1 to 50 ids follow each other in the sample's order without a gap, and their strata are the sample's.
+    """
+    info = store.read("calibration_samples").filter(F.col("calibration_id") == manifest["calibration_id"]).first()
+    if info is None or info["prompt_version"] != manifest["prompt_version"]:
+        raise InvalidPacket("the store's sample is unknown or has another prompt version")
+    items = _items(store, manifest["calibration_id"])
+    if quotas and batches.sample_shape(items, quotas).count():
+        raise InvalidPacket("the sample does not have the locked shape")
+    ids = manifest["ordered_pmids"]
+    if not 1 <= len(ids) <= 50 or len(set(ids)) != len(ids) or len(manifest["sampling_strata"]) != len(ids):
+        raise InvalidPacket("a packet holds 1 to 50 records, each once and with its stratum")
+    whole = batches.assign_batches(items, ["stratum", "hash_rank"], 1 << 40).join(items.select("pmid", "stratum"), "pmid")
+    asked = store.spark.createDataFrame(list(zip(ids, manifest["sampling_strata"], range(1, len(ids) + 1), strict=True)), "pmid string, said string, nth long")
+    found = whole.join(F.broadcast(asked), "pmid").agg(F.count("*").alias("n"), F.countDistinct(F.col("ordinal") - F.col("nth")).alias("shifts"), F.count_if(F.col("stratum") != F.col("said")).alias("wrong")).first()
+    if found["n"] != len(ids):
+        raise InvalidPacket("the manifest has ids that the sample lacks")
+    if found["shifts"] != 1:
+        raise InvalidPacket("the manifest's ids are no contiguous part of the sample's order")
+    if found["wrong"]:
+        raise InvalidPacket("the manifest's strata are not the sample's")
+
+
+def validate_answer(store: Store, manifest_path: str | Path, output: str | Path, model: str, operator: str, fresh_chat: bool, executed_at: str, attempt: int = 1, mode: str = "manual", quotas: dict[str, int] | None = None, clock: Callable[[], str] = precise_now) -> list[dict]:
     """Check an answer against its packet, record the attempt and import it; failures are recorded and raised.
 
-    Checks of the manifest, of the attempts so far and of their files raise without an attempt.
+    Checks of the manifest, by itself and against the store, of the attempts so far and of their files raise without an attempt.
     """
     at = Path(manifest_path)
     m = json.loads(at.read_text())
+    lacking = sorted({*IMMUTABLE, "created_at"} - set(m))
+    if lacking:
+        raise InvalidPacket(f"the manifest lacks {', '.join(lacking)}")
+    if not isinstance(m["prompt_version"], str) or not m["prompt_version"].strip():
+        raise InvalidPacket("the manifest has no prompt version")
     if at.parent.name != m["batch_id"] or m["schema_version"] != SCHEMA_VERSION or len(m["ordered_pmids"]) != m["record_count"]:
         raise InvalidPacket("the manifest does not fit its folder or version")
     if m["batch_id"] != _sha("\n".join([m["calibration_id"], m["prompt_version"], *m["ordered_pmids"]]))[:24]:
@@ -158,6 +211,7 @@ def validate_answer(store: Store, manifest_path: str | Path, output: str | Path,
     for name, key in (("input.jsonl", "input_sha256"), ("web_prompt.txt", "web_prompt_sha256")):
         if _sha((at.parent / name).read_bytes()) != m[key]:
             raise InvalidPacket(f"{name} was changed")
+    check_packet(store, m, quotas)
     if not model.strip() or not operator.strip() or not fresh_chat or not iso_time(executed_at):
         raise InvalidPacket("model, operator, a fresh chat and an ISO time are required")
     had = sorted((r.asDict() for r in store.read("manual_web_attempts").filter(F.col("batch_id") == m["batch_id"]).collect()), key=lambda r: r["attempt"])
@@ -186,12 +240,33 @@ def validate_answer(store: Store, manifest_path: str | Path, output: str | Path,
 
 def import_records(store: Store, records: list[dict], clock: Callable[[], str] = now) -> tuple[int, int]:
     """Insert decisions with unknown keys; returns how many came and how many were new. Unknown articles raise."""
-    known = {r["pmid"] for r in store.read("articles").select("pmid").filter(F.col("pmid").isin([r["pmid"] for r in records])).collect()}
-    missing = [r["pmid"] for r in records if r["pmid"] not in known]
+    names = [f.split(" ")[0] for f in f"{SEMANTIC}, model string, prompt_version string, screened_at string".split(", ")]
+    rows = store.spark.createDataFrame([(n, *[r[k] for k in names]) for n, r in enumerate(records, 1)], f"line long, {SEMANTIC}, model string, prompt_version string, screened_at string")
+    return import_frame(store, rows, clock)
+
+
+def import_file(store: Store, path: str | Path, clock: Callable[[], str] = now) -> tuple[int, int]:
+    """The same for files of JSON lines, read where they are; the first line with an error raises before anything is written (VAL-09)."""
+    rows = stored(read_records(store.spark, str(path)), "import")
+    bad = rows.filter("error is not null").orderBy("path", "line").select("line", "error").first()
+    if bad:
+        raise InvalidPacket(f"line {bad['line']}: {bad['error']}")
+    out = import_frame(store, rows.drop("error"), clock)
+    discard(rows)
+    return out
+
+
+def import_frame(store: Store, rows: DataFrame, clock: Callable[[], str] = now) -> tuple[int, int]:
+    """Insert typed decisions, the first line of a key winning; ids go on from the last one in the order of the lines."""
+    missing = [r["pmid"] for r in upsert.orphans(rows, store.read("articles"), ["pmid"]).select("pmid").limit(5).collect()]
     if missing:
-        raise InvalidPacket(f"unknown articles: {', '.join(missing[:5])}")
+        raise InvalidPacket(f"unknown articles: {', '.join(missing)}")
     table = store.read("llm_screens")
-    before, top = table.count(), table.agg(F.max("id")).first()[0] or 0
-    rows = [r | {"id": top + i, "imported_at": clock()} for i, r in enumerate(records, 1)]
-    store.insert_ignore("llm_screens", store.frame("llm_screens", rows), order=[F.asc("id")])
-    return len(records), store.read("llm_screens").count() - before
+    top = table.agg(F.max("id")).first()[0] or 0
+    order = [F.asc(c) for c in ("path", "line") if c in rows.columns]
+    new = upsert.inserted(table, batches.global_position(rows, order).withColumns({"id": F.col("position") + top, "imported_at": F.lit(clock())}), KEYS["llm_screens"], [F.asc("id")])
+    new = stored(new, "inserted")
+    store.append("llm_screens", new)
+    counts = rows.count(), new.count()
+    discard(new)
+    return counts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from pathlib import Path
@@ -15,34 +16,50 @@ from strataflow.sinks.files import outside_code, publish
 SCHEMA_VERSION = "6"
 
 
+class ConcurrentChange(RuntimeError):
+    """Another writer moved the pointer since this one read it."""
+
+
 class Store:
     """Tables of ``schemas.TABLES`` with versions; changes inside ``transaction`` show together or not at all."""
 
     def __init__(self, spark: SparkSession, folder: str | Path) -> None:
         self.spark, self.folder = spark, outside_code(folder)
-        self._staged: dict[str, int] | None = None
+        self._staged: dict[str, str] | None = None
         if not (self.folder / "CURRENT").exists():
             self._point({})
             self.upsert("schema_meta", [("schema_version", SCHEMA_VERSION)])
 
-    def _versions(self) -> dict[str, int]:
+    def _versions(self) -> dict[str, str]:
         if self._staged is not None:
             return self._staged
-        lines = (self.folder / "CURRENT").read_text().split()
-        return {k: int(v) for k, v in (x.split("=") for x in lines)}
+        return dict(x.split("=") for x in (self.folder / "CURRENT").read_text().split())
 
-    def _point(self, versions: dict[str, int]) -> None:
-        publish(self.folder / "CURRENT", "\n".join(f"{k}={v}" for k, v in sorted(versions.items())) + "\n")
+    def _point(self, versions: dict[str, str], seen: dict[str, str] | None = None) -> None:
+        """Move the pointer, if it still says what was ``seen``; one writer at a time does so."""
+        self.folder.mkdir(parents=True, exist_ok=True)
+        lock = self.folder / "LOCK"
+        try:
+            lock.touch(exist_ok=False)
+        except FileExistsError:
+            raise ConcurrentChange(f"another writer holds {lock}") from None
+        try:
+            if seen is not None and dict(x.split("=") for x in (self.folder / "CURRENT").read_text().split()) != seen:
+                raise ConcurrentChange("the store has changed since it was read")
+            publish(self.folder / "CURRENT", "\n".join(f"{k}={v}" for k, v in sorted(versions.items())) + "\n")
+        finally:
+            lock.unlink()
 
     @contextmanager
     def transaction(self) -> Iterator[None]:
         if self._staged is not None:
             yield
             return
-        self._staged = self._versions().copy()
+        seen = self._versions()
+        self._staged = seen.copy()
         try:
             yield
-            self._point(self._staged)
+            self._point(self._staged, seen)
         finally:
             self._staged = None
 
@@ -57,10 +74,10 @@ class Store:
 
     def _change(self, table: str, rows: DataFrame | Sequence, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         new = rows if isinstance(rows, DataFrame) else self.frame(table, rows)
-        version = self._versions().get(table, 0) + 1
-        path = self.folder / table / f"v={version}"
-        change(self.read(table), new).write.mode("overwrite").parquet(str(path))
-        with self.transaction():
+        with self.transaction():  # what is read and what is replaced are the same version
+            number = int(self._versions().get(table, "0").split("-")[0]) + 1
+            version = f"{number}-{uuid.uuid4().hex[:12]}"  # no other writer has it
+            change(self.read(table), new).write.parquet(str(self.folder / table / f"v={version}"))
             self._staged[table] = version
 
     def upsert(self, table: str, rows: DataFrame | Sequence, order: Sequence | None = None, keep: Sequence[str] = ()) -> None:

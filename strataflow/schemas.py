@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from strataflow.functions.vocabularies import RECORD_ENUMS, STATUSES
+from strataflow.functions.vocabularies import FULL_TEXT_STATUSES, RECORD_ENUMS, SI_STATUSES, STATUSES
 
 AUTHOR = "struct<last:string,fore:string,initials:string,orcid:string,collective:string>"
 
@@ -43,8 +43,8 @@ KEYS: dict[str, tuple[str, ...]] = {
     "manual_web_attempts": ("batch_id", "attempt"), "manual_web_attempt_items": ("batch_id", "attempt", "pmid"),
 }
 
-#: The 18 states of a full-text manifest row are given by its contract file; the columns here.
-FULL_TEXT_MANIFEST = "pmid string, status string, sha256 string, byte_size bigint, source_url string, retrieved_at string"
+#: A row of the manifest of full texts.
+FULL_TEXT_MANIFEST = "pmid string, doi string, status string, source_url string, local_path string, bytes bigint, sha256 string, format_verified boolean, si_status string, checked_at string, notes string"
 
 
 def checks(table: str) -> dict[str, Column]:
@@ -63,4 +63,6 @@ def checks(table: str) -> dict[str, Column]:
         out["decision"] = F.col("decision").isin("INCLUDE", "EXCLUDE", "UNCLEAR")
     if table == "manual_web_attempts":
         out |= {"status": F.col("status").isin("prepared", "valid", "failed"), "execution_mode": F.col("execution_mode").isin("manual", "automated_browser")}
+    if table == "full_text_manifest":
+        out |= {"pmid": F.col("pmid").rlike(r"^[0-9]+\z"), "status": F.col("status").isin(*FULL_TEXT_STATUSES), "bytes": F.col("bytes") >= 0, "sha256": F.col("sha256").rlike(r"^[a-f0-9]{64}\z"), "si_status": F.col("si_status").isin(*SI_STATUSES)}
     return out

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.functions.vocabularies import MODALITIES, PROVENANCE_FIELDS, RECORD_ENUMS, SEMANTIC_FIELDS
+from strataflow.functions.record_rules import broken_rule
+from strataflow.functions.vocabularies import PROVENANCE_FIELDS, SEMANTIC_FIELDS
 from strataflow.schemas import SEMANTIC
 
 PARSED = f"path string, line bigint, error string, {SEMANTIC}, model string, prompt_version string, screened_at string"
@@ -22,35 +22,7 @@ def record_error(record: object, provenance: bool = True) -> str | None:
         return "a record must be an object"
     if set(record) != set(wanted):
         return f"Invalid fields; missing={sorted(set(wanted) - set(record))}, extra={sorted(set(record) - set(wanted))}"
-    number = lambda x, kinds: isinstance(x, kinds) and not isinstance(x, bool)
-    for name, values in RECORD_ENUMS.items():
-        if not isinstance(record[name], str) or record[name] not in values:
-            return f"Invalid {name}: {record[name]!r}"
-    kinds = record["data_modalities"]
-    if not isinstance(kinds, list) or not kinds or len({str(k) for k in kinds}) != len(kinds):
-        return "data_modalities must be a non-empty unique list"
-    if any(not isinstance(k, str) or k not in MODALITIES for k in kinds):
-        return "Invalid data modality"
-    if not number(record["computational_centrality"], int) or not 0 <= record["computational_centrality"] <= 3:
-        return "computational_centrality must be an integer from 0 to 3"
-    if not number(record["confidence"], (int, float)) or not 0 <= record["confidence"] <= 1:
-        return "confidence must be from 0 to 1"
-    for name in ("pmid", "rationale", *(PROVENANCE_FIELDS if provenance else ())):
-        if not isinstance(record[name], str) or not record[name].strip():
-            return f"{name} must be a non-empty string"
-    if not (record["pmid"].isascii() and record["pmid"].isdigit()):
-        return "pmid must contain only digits"
-    if provenance and not iso_time(record["screened_at"]):
-        return "screened_at must be an ISO date-time"
-    return None
-
-
-def iso_time(text: str) -> bool:
-    try:
-        datetime.fromisoformat(text.replace("Z", "+00:00"))
-    except ValueError:
-        return False
-    return True
+    return broken_rule(record, provenance)
 
 
 def decode(lines: list[str], path: str, provenance: bool, skip_blank: bool) -> list[dict]:

@@ -14,6 +14,8 @@ from strataflow.schemas import AUTHOR, RECORD
 
 _DATE = "struct<year:string,month:string,day:string,medline:string>"
 _RAW = f"pmid string, raw_doi string, source_journal_title string, dates array<{_DATE}>, title string, abstract string, article_types array<string>, authors array<{AUTHOR}>, mesh_terms array<string>"
+#: Records that are handed on together, or those of one document if they are more.
+FRAME_ROWS = 2000
 #: Where the four dates of a record are, in the order in which they are tried.
 _DATES = (".//Article/ArticleDate", ".//JournalIssue/PubDate", ".//PubmedData/History/PubMedPubDate[@PubStatus='pubmed']", ".//PubmedData/History/PubMedPubDate[@PubStatus='entrez']")
 
@@ -67,13 +69,19 @@ def parse_records(files: DataFrame, content: str = "content", batch: str | None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["pmid", "raw_doi", "source_journal_title", "dates", "title", "abstract", "article_types", "authors", "mesh_terms", *(["batch", "place"] if batch else [])]
+        made: list[dict] = []
         for pdf in frames:
             for raw, number in zip(pdf[content], pdf[batch] if batch else pdf[content], strict=True):
                 rows = [r for item in ET.fromstring(bytes(raw)).iterfind(".//PubmedArticle") if (r := _record(item))]
                 for place, r in enumerate(rows, 1):
                     r |= {"batch": number, "place": place}
                     r["authors"] = [{k: a.get(k) for k in ("last", "fore", "initials", "orcid", "collective")} for a in r["authors"]]
-                yield pd.DataFrame(rows, columns=names)
+                made += rows
+                if len(made) >= FRAME_ROWS:  # small documents share a frame
+                    yield pd.DataFrame(made, columns=names)
+                    made = []
+        if made:
+            yield pd.DataFrame(made, columns=names)
 
     rows = files.select(content, *([batch] if batch else [])).mapInPandas(run, _RAW + (", batch bigint, place bigint" if batch else ""))
     tried = [F.when(F.get("dates", F.lit(i)).isNotNull(), partial_date(*[F.get("dates", F.lit(i))[f] for f in ("year", "month", "day", "medline")])) for i in range(len(_DATES))]
