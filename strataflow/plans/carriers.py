@@ -8,13 +8,22 @@ and its hits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflow.functions.scalars import batch_id, collapse_space, hash_rank, matched, midpoint, partial_date, year_bounds, years_between
-from strataflow.operators import batches, coverage, latest, sample, slices, stats, upsert, validate
+from strataflow.functions.scalars import batch_id, collapse_space, hash_rank, midpoint, normalize_doi, partial_date, year_bounds, years_between
+from strataflow.functions.vocabularies import FULL_TEXT_STATUSES, MODALITIES, RECORD_ENUMS
+from strataflow.operators import batches, coverage, latest, sample, screen, slices, stats, upsert, validate
+from strataflow.operators.scratch import shared_dir, stored
+from strataflow.operators.screen import RulePack
+from strataflow.schemas import checks
+from strataflow.sources.config import Journal, Registry
+from strataflow.sources.introspect import table_info as info_of
+from strataflow.sources.jsonl import read_records
+from strataflow.sources.xml_records import parse_records
 
 GUARD, TAIL = r"(^|[^\p{L}\p{N}_])", r"([^\p{L}\p{N}_]|$)"
 GROUP_A = tuple(f"{GUARD}{w}{TAIL}" for w in ("the", "of"))
@@ -40,13 +49,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RULES = RulePack("v1", GROUP_A, GROUP_B)
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as articles: the text is the abstract, the language stands for the article type (none for null)."""
+    kind = F.when(F.col("lang") == "de", F.array(F.lit("Review"))).when(F.col("lang") == "es", F.array(F.lit("Unlisted"))).when(F.col("lang").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.lit("Journal Article")))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", F.lit(None).cast("string").alias("title"), F.col("text").alias("abstract"), F.array().cast("array<string>").alias("mesh_terms"), kind.alias("article_types"))
+
+
 def screened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with hits of both groups, flags and stratum, in one scan."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", matched(GROUP_A, F.coalesce("text", F.lit(""))).alias("a"), matched(GROUP_B, F.coalesce("text", F.lit(""))).alias("b"))
-    flags = docs.select("doc_id", "lang", "source", "a", "b", (F.size("a") > 0).alias("a_hit"), (F.size("b") > 0).alias("b_hit"), F.coalesce(F.col("lang") == "de", F.lit(False)).alias("non_original"))
-    flags = flags.withColumn("candidate_priority", F.col("a_hit") & F.col("b_hit") & ~F.col("non_original"))
-    frame = F.when(F.col("candidate_priority"), "candidate_priority").when(F.col("non_original"), "obvious_non_original").when(F.coalesce(F.col("lang"), F.lit("")) != "es", "non_priority_original_or_unclear")
-    return flags.withColumn("stratum", frame)
+    made = screen.screen(articles(spark, sf_dir), RULES, "2026-01-01T00:00:00Z", "doc_id", carry=("lang", "article_types"))
+    return made.withColumn("stratum", screen.stratum(F.col("candidate_priority"), F.col("article_types")))
 
 
 def _hit(patterns: tuple[str, ...]) -> str:
@@ -68,15 +83,14 @@ def stratified_hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SCREENED} SELECT doc_id, a_hit, b_hit, non_original, candidate_priority, array_to_string(a, ';') AS a_terms, array_to_string(b, ';') AS b_terms FROM s")
 def screen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-05, FN-06, PRJ-06, SRC-12."""
-    return screened(spark, sf_dir).select("doc_id", "a_hit", "b_hit", "non_original", "candidate_priority", F.array_join("a", ";").alias("a_terms"), F.array_join("b", ";").alias("b_terms"))
+    flags = {"cancer_hit": "a_hit", "omics_hit": "b_hit", "obvious_non_original_type": "non_original", "candidate_priority": "candidate_priority"}
+    return screened(spark, sf_dir).select("doc_id", *[F.col(k).alias(v) for k, v in flags.items()], F.array_join("cancer_terms", ";").alias("a_terms"), F.array_join("omics_terms", ";").alias("b_terms"))
 
 
 @query(f"WITH {SCREENED} SELECT count(*) AS screened, count(*) FILTER (candidate_priority) AS candidate_priority, count(*) FILTER (non_original) AS obvious_non_original_type, count(*) - count(*) FILTER (candidate_priority) AS unmatched_not_excluded FROM s")
 def screen_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-05."""
-    from strataflow.operators.screen import screen_summary as summary
-
-    return summary(screened(spark, sf_dir).withColumnRenamed("non_original", "obvious_non_original_type"))
+    return screen.screen_summary(screened(spark, sf_dir))
 
 
 @query(f"WITH {SCREENED} SELECT coalesce(stratum, 'outside') AS stratum, count(*) AS population FROM s GROUP BY 1")
@@ -115,7 +129,7 @@ def audit_no_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.fraction_sample(no, "doc_id", 0.1, "audit").withColumn("source_relevance", F.lit("NO"))
 
 
-@query("SELECT d.doc_id, lang, coalesce(quality, 0) = 1 AS candidate_priority, row_number() OVER (ORDER BY coalesce(quality, 0) DESC, n_chars DESC, d.doc_id DESC) AS position FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id QUALIFY position <= 500")
+@query("SELECT d.doc_id, lang, coalesce(quality, 0) = 1 AS candidate_priority, row_number() OVER (ORDER BY coalesce(quality, 0) DESC, n_chars DESC, d.doc_id DESC) AS position FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN-03, PRJ-01..03, SRT-01: every record with its place in the review queue."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), table(spark, sf_dir, "labels")
@@ -133,12 +147,18 @@ def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 MEMBERS = "m AS (SELECT DISTINCT year(l_shipdate) AS y, l_orderkey FROM lineitem)"
 
 
+def year_slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order lines as the members of a slice a ship year, all of them complete: slices and membership."""
+    members = table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").cast("string").alias("run_id"), F.col("l_orderkey").cast("string").alias("pmid")).distinct()
+    return members.select(F.col("run_id").alias("enumeration_run_id"), F.lit("complete").alias("status")).distinct(), members
+
+
 @query(f"WITH {MEMBERS} SELECT count(*) AS slice_members, count(DISTINCT l_orderkey) AS distinct_members FROM m")
 def slice_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-01, AGG-11, SET-01, JOIN-01: members added over slices against their distinct union."""
-    members = table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("y"), "l_orderkey").distinct()
-    per = members.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("slice_members"), F.count("*").alias("distinct_members"))
+    """AGG-01, AGG-11, SET-01, JOIN-01, REC-01: members added over slices against their distinct union."""
+    made, members = year_slices(spark, sf_dir)
+    added = members.agg(F.count("*").alias("slice_members"))
+    return added.crossJoin(F.broadcast(coverage.union_count(made, members).withColumnRenamed("observed_count", "distinct_members")))
 
 
 COVERAGE = """y AS (SELECT CAST(unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS INT) AS y FROM orders), p AS (SELECT DISTINCT o_orderpriority AS p FROM orders),
@@ -172,6 +192,19 @@ def coverage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.status_counts(checks, ("match", "discrepancy", "pending")).crossJoin(F.broadcast(totals))
 
 
+@query(f"""WITH {COVERAGE}, {MEMBERS}, f AS (SELECT priority, sum(expected_count) AS e, sum(observed_count) AS o FROM k GROUP BY priority),
+j AS (SELECT priority, bool_and(status = 'match') AS good FROM k GROUP BY priority)
+SELECT 'b1' AS backfill_id, count(*) FILTER (good) AS completed_journals, count(*) FILTER (NOT good) AS failed_journals, 0::BIGINT AS pending_journals, (SELECT count(DISTINCT l_orderkey) FROM m) AS unique_articles,
+(SELECT count(*) FROM k) AS annual_checks, (SELECT count(*) FROM k WHERE status = 'discrepancy') AS annual_discrepancies, (SELECT count(*) FROM f) AS full_window_checks, (SELECT count(*) FROM f WHERE e <> o) AS full_window_discrepancies FROM j""")
+def backfill_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-03, REC-03, AGG-02: order priorities as journals, their years as annual checks."""
+    annual = stored(coverage_checks(spark, sf_dir), "checks")
+    journals = annual.groupBy("priority").agg(F.when(F.count_if(F.col("status") == "discrepancy") == 0, "complete").otherwise("failed").alias("status"))
+    full = annual.groupBy("priority").agg(F.sum("expected_count").alias("e"), F.sum("observed_count").alias("o")).select(F.lit("full_window").alias("scope"), F.when(F.col("e") == F.col("o"), "match").otherwise("discrepancy").alias("status"))
+    run = spark.createDataFrame([("b1",)], "backfill_id string")
+    return coverage.backfill_summary(run, journals, *year_slices(spark, sf_dir), annual.select(F.lit("annual").alias("scope"), "status").union(full))
+
+
 FIRST, LAST, MOST = date(1995, 1, 1), date(2001, 12, 31), 1000
 
 
@@ -185,11 +218,10 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 DATE_SLICES = f"""WITH RECURSIVE u AS (SELECT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day FROM orders),
-most AS (SELECT greatest((SELECT max(c) FROM (SELECT count(*) AS c FROM u GROUP BY priority)) // 4, (SELECT max(c) FROM (SELECT count(*) AS c FROM u GROUP BY priority, day))) AS m),
 t AS (SELECT p.priority, DATE '{FIRST}' AS a, DATE '{LAST}' AS z, (SELECT count(*) FROM u WHERE u.priority = p.priority AND day BETWEEN DATE '{FIRST}' AND DATE '{LAST}') AS n FROM (SELECT DISTINCT priority FROM u) p
 UNION ALL SELECT h.priority, h.a, h.z, (SELECT count(*) FROM u WHERE u.priority = h.priority AND day BETWEEN h.a AND h.z) FROM (
-  SELECT priority, CASE s WHEN 0 THEN a ELSE a + CAST((z - a) // 2 AS INT) + 1 END AS a, CASE s WHEN 0 THEN a + CAST((z - a) // 2 AS INT) ELSE z END AS z FROM t, (VALUES (0), (1)) v(s), most WHERE n > m) h)
-SELECT priority, CAST(a AS VARCHAR) AS slice_start, CAST(z AS VARCHAR) AS slice_end, n AS planned_count FROM t, most WHERE n <= m"""
+  SELECT priority, CASE s WHEN 0 THEN a ELSE a + CAST((z - a) // 2 AS INT) + 1 END AS a, CASE s WHEN 0 THEN a + CAST((z - a) // 2 AS INT) ELSE z END AS z FROM t, (VALUES (0), (1)) v(s) WHERE n > {MOST}) h)
+SELECT priority, CAST(a AS VARCHAR) AS slice_start, CAST(z AS VARCHAR) AS slice_end, n AS planned_count FROM t WHERE n <= {MOST}"""
 
 
 @query(DATE_SLICES)
@@ -208,9 +240,17 @@ def slice_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event, arg_max(event_type, (ts, event_id)) AS event_type, round(arg_max(coalesce(value, -1), (ts, event_id)), 6) AS value FROM events GROUP BY user_id")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UPS-01, UPS-03, UPS-04: a log replayed into its keys; first seen stays, all else is the last."""
-    log = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_id").alias("first_event"), F.col("event_id").alias("last_event"), "event_type", F.coalesce("value", F.lit(-1.0)).alias("value"))
-    return upsert.first_seen(log, ["user_id"], ["ts", "event_id"], ["first_event"]).select("user_id", "first_event", "last_event", "event_type", F.round("value", 6).alias("value"))
+    """UPS-01, UPS-03, UPS-04: a log put over the first row of each key; first seen stays, all else is the last, nulls included."""
+    log = table(spark, sf_dir, "events").select("user_id", "ts", F.col("event_id").alias("first_event"), F.col("event_id").alias("last_event"), "event_type", F.coalesce("value", F.lit(-1.0)).alias("value"))
+    target = latest.latest_by(log, ["user_id"], [F.asc("ts"), F.asc("last_event")])
+    return upsert.upsert(target, log, ["user_id"], [F.desc("ts"), F.desc("last_event")], keep=["first_event"]).select("user_id", "first_event", "last_event", "event_type", F.round("value", 6).alias("value"))
+
+
+@query("SELECT user_id, arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event FROM events GROUP BY user_id")
+def log_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UPS-10: the same end state from the log alone, by one aggregate."""
+    log = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_id").alias("first_event"), F.col("event_id").alias("last_event"))
+    return upsert.first_seen(log, ["user_id"], ["ts", "event_id"], ["first_event"]).select("user_id", "first_event", "last_event")
 
 
 @query("""WITH t AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, min(event_id) AS first_id FROM events WHERE event_id % 2 = 0 GROUP BY user_id),
@@ -226,10 +266,13 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.upsert(half(0), half(1), ["user_id"], [F.asc("first_id")], keep=["first_id"])
 
 
-@query("SELECT sha256(text) AS digest, min(doc_id) AS doc_id FROM documents GROUP BY 1")
+@query("""WITH d AS (SELECT sha256(text) AS digest, doc_id FROM documents), t AS (SELECT digest, min(doc_id) AS doc_id FROM d WHERE doc_id % 3 = 0 GROUP BY digest)
+SELECT digest, doc_id, false AS inserted FROM t UNION ALL SELECT digest, min(doc_id) AS doc_id, true AS inserted FROM d WHERE doc_id % 3 <> 0 AND digest NOT IN (SELECT digest FROM t WHERE digest IS NOT NULL) GROUP BY digest""")
 def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UPS-02, UPS-05..07: the first row of each natural key, by a partial minimum."""
-    return table(spark, sf_dir, "documents").groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"))
+    """UPS-02, UPS-05..07: rows whose natural key the target lacks, the first of each; what is there stays."""
+    rows = table(spark, sf_dir, "documents").select(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "doc_id")
+    target = rows.filter("doc_id % 3 = 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("inserted", F.lit(False))
+    return upsert.insert_ignore(target, rows.filter("doc_id % 3 <> 0").withColumn("inserted", F.lit(True)), ["digest"], [F.asc("doc_id")])
 
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS status, count(*) FILTER (event_type = 'error') AS attempt_count, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS changed_at FROM events GROUP BY user_id")
@@ -238,12 +281,15 @@ def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.state_of(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_type", "error").withColumn("changed_at", F.date_format("changed_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("SELECT n_nationkey AS key, n_name AS title, count(c_custkey) FILTER (c_acctbal > 9000) AS hit_count, count(c_custkey) FILTER (c_acctbal > 9000) > 0 AS valid FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL")
+@query("SELECT n_nationkey AS key, n_name AS title, count(c_custkey) AS hit_count, count(c_custkey) > 0 AS valid FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL")
 def registry_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """REC-04, PRJ-05, SRC-03: all customers of each nation, 0 where none."""
-    registry = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("title"))
-    hits = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("key"))
-    return coverage.registry_check(registry, hits)
+    """REC-04, PRJ-05, SRC-03: all customers of each nation, 0 where none; nations are a registry's entries, looked up by key."""
+    rows = sorted(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect())  # a registry is a file of a few entries
+    whole = Registry("v1", "", tuple(Journal(str(k), name, name, "Gold", (), float(n)) for n, (k, name) in enumerate(rows)))
+    registry = Registry("v1", "", tuple(whole.by_key(str(k)) for k, _ in rows)).frame(spark)
+    hits = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("key"))
+    kind = table(spark, sf_dir, "nation").schema["n_nationkey"].dataType
+    return coverage.registry_check(registry.select("key", "title"), hits).withColumn("key", F.col("key").cast(kind))
 
 
 @query("SELECT (SELECT count(*) FROM documents) AS articles, (SELECT count(DISTINCT doc_id) FROM labels) AS screened, (SELECT count(*) FROM labels WHERE quality = 1) AS yes, (SELECT count(*) FROM labels WHERE quality = 0) AS no, (SELECT count(DISTINCT user_id) FROM events) AS users, (SELECT count(*) FROM events WHERE event_type IN ('error', 'view')) AS attempts, (SELECT count(DISTINCT conv_id) FROM conversations) AS batches")
@@ -274,17 +320,16 @@ def web_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("batch_no", "record_count", F.array_join("ordered_keys", ",").alias("keys"), "batch_id")
 
 
-@query("SELECT conv_id, count(*) AS attempts, min(turn + 1) = 1 AND max(turn + 1) = count(*) AND count(DISTINCT turn) = count(*) AS consecutive, true AS final_is_last FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
+@query("SELECT conv_id, count(*) AS attempts, min(turn + 1) = 1 AND max(turn + 1) = count(*) AND count(DISTINCT turn) = count(*) AS consecutive, count(*) FILTER (role = 'assistant') = 0 OR (count(*) FILTER (role = 'assistant') = 1 AND max(turn) FILTER (role = 'assistant') = max(turn)) AS final_is_last FROM conversations GROUP BY conv_id")
 def attempt_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-06, VAL-07."""
-    turns = table(spark, sf_dir, "conversations").filter("role = 'assistant'").withColumn("n", F.col("turn") + 1)
-    return batches.sequence_check(turns, ["conv_id"], "n")
+    """WIN-06, VAL-07: turns as attempts, numbered from 1, an answer being final."""
+    return batches.sequence_check(table(spark, sf_dir, "conversations").withColumn("n", F.col("turn") + 1), ["conv_id"], "n", F.col("role") == "assistant")
 
 
-@query("SELECT conv_id, min(turn)::BIGINT AS first_place, max(turn)::BIGINT AS last_place, count(*) AS n, max(turn) - min(turn) + 1 = count(*) AND count(DISTINCT turn) = count(*) AS contiguous FROM conversations WHERE role <> 'system' GROUP BY conv_id")
+@query("SELECT conv_id, min(turn)::BIGINT AS first_place, max(turn)::BIGINT AS last_place, count(*) AS n, max(turn) - min(turn) + 1 = count(*) AND count(DISTINCT turn) = count(*) AS contiguous FROM conversations GROUP BY conv_id")
 def batch_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-07, VAL-06."""
-    return batches.contiguous(table(spark, sf_dir, "conversations").filter("role <> 'system'"), ["conv_id"], "turn")
+    """WIN-07."""
+    return batches.contiguous(table(spark, sf_dir, "conversations"), ["conv_id"], "turn")
 
 
 @query("SELECT doc_id, m AS first_row FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS m FROM documents) WHERE doc_id > m")
@@ -294,15 +339,119 @@ def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.repeats(docs, "digest", "doc_id").select("doc_id", "first_row")
 
 
-RULES = [("Invalid relevance", "quality IN (0, 1) AND toxic = 0"), ("Invalid study", "lang IN ('en', 'de', 'fr')"), ("rationale must be longer", "n_chars >= 500")]
+#: Values of a classifier record made of a document and its label, as text that both engines read.
+RECORD_SQL = {
+    "pmid": "CASE WHEN doc_id % 11 = 0 THEN concat('x', CAST(doc_id AS STRING)) ELSE CAST(doc_id AS STRING) END",
+    "disease": "CASE WHEN toxic = 1 THEN 'cancer' ELSE 'unclear' END",
+    "study": "CASE lang WHEN 'en' THEN 'review' WHEN 'de' THEN 'method' WHEN 'fr' THEN 'commentary' ELSE 'essay' END",
+    "primary_contribution": "'other'",
+    "new_experimental_data": "CASE WHEN quality = 1 THEN 'none' ELSE NULL END",
+    "public_data_reuse": "'minor'",
+    "relevance": "CASE WHEN quality = 1 THEN 'YES' ELSE 'PERHAPS' END",
+    "rationale": "CASE WHEN n_chars >= 500 THEN 'long enough' ELSE ' ' END",
+    "model": "'m'", "prompt_version": "'v1'", "screened_at": "CASE WHEN doc_id % 7 = 0 THEN 'yesterday' ELSE '2026-09-01T00:00:00Z' END",
+}
+NUMBERS_SQL = {"computational_centrality": "CAST(doc_id % 5 AS INT)", "confidence": "CAST(n_chars AS DOUBLE) / 3000"}
 
 
-@query("SELECT doc_id, array_to_string([x for x in [" + ", ".join(f"CASE WHEN NOT coalesce({sql}, false) THEN '{m}' END" for m, sql in RULES) + "] if x IS NOT NULL], '; ') AS violations, [x for x in [" + ", ".join(f"CASE WHEN NOT coalesce({sql}, false) THEN '{m}' END" for m, sql in RULES) + "] if x IS NOT NULL][1] AS first_error FROM documents JOIN labels USING (doc_id)")
-def validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-01, VAL-02, SET-04: the same engine of rules, on the carrier's columns."""
+def _record_rules() -> list[tuple[str, str]]:
+    """Every rule of a record with its condition on the columns above, for the SQL."""
+    rules = [(f"Invalid {name}", f"{name} IN ({', '.join(repr(v) for v in values)})") for name, values in RECORD_ENUMS.items()]
+    rules += [("data_modalities must be a non-empty unique list", "doc_id % 4 NOT IN (0, 1)"), ("Invalid data modality", "doc_id % 4 <> 2"), ("computational_centrality must be an integer from 0 to 3", "computational_centrality BETWEEN 0 AND 3"), ("confidence must be from 0 to 1", "confidence BETWEEN 0 AND 1")]
+    rules += [(f"{name} must be a non-empty string", f"trim({name}) <> ''") for name in ("pmid", "rationale", "model", "prompt_version", "screened_at")]
+    return [*rules, ("pmid must contain only digits", "doc_id % 11 <> 0"), ("screened_at must be an ISO date-time", "doc_id % 7 <> 0")]
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as classifier records, many with one error or more; the list of modalities is empty, doubled, unknown or good."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
-    found = validate.violations(*[(m, F.expr(ok)) for m, ok in RULES])
-    return rows.select("doc_id", found.alias("v")).select("doc_id", F.array_join("v", "; ").alias("violations"), validate.first_violation(F.col("v")).alias("first_error"))
+    lists = [F.array().cast("array<string>"), F.array(F.lit(MODALITIES[0]), F.lit(MODALITIES[0])), F.array(F.lit("unheard of")), F.array(F.lit(MODALITIES[0]), F.lit(MODALITIES[1]))]
+    kinds = F.when(F.col("doc_id") % 4 == 0, lists[0]).when(F.col("doc_id") % 4 == 1, lists[1]).when(F.col("doc_id") % 4 == 2, lists[2]).otherwise(lists[3])
+    return rows.select("doc_id", *[F.expr(x).alias(c) for c, x in (RECORD_SQL | NUMBERS_SQL).items()], kinds.alias("data_modalities"))
+
+
+RECORDS = "rec AS (SELECT doc_id, " + ", ".join(f"{x} AS {c}" for c, x in (RECORD_SQL | NUMBERS_SQL).items()) + " FROM documents JOIN labels USING (doc_id)), bad AS (SELECT *, [x for x in [" + ", ".join(f"CASE WHEN NOT coalesce({sql}, false) THEN '{m}' END" for m, sql in _record_rules()) + "] if x IS NOT NULL] AS v FROM rec)"
+
+
+@query(f"WITH {RECORDS} SELECT doc_id, array_to_string(v, '; ') AS violations, v[1] AS first_error FROM bad")
+def validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-01, VAL-02, SET-04: the rules of a classifier record, all of them and the first that is broken."""
+    return validate.validate_records(records(spark, sf_dir)).select("doc_id", F.array_join("violations", "; ").alias("violations"), "first_error")
+
+
+@query("SELECT doc_id, array_to_string([x for x in [CASE WHEN toxic = 1 AND quality = 0 THEN 'status' END, CASE WHEN quality = 0 THEN 'scope' END] if x IS NOT NULL], ';') AS broken FROM labels WHERE quality = 0")
+def broken_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-11: the check constraints of the coverage table, on labels."""
+    rows = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "annual").otherwise("monthly").alias("scope"), F.when((F.col("toxic") == 1) & (F.col("quality") == 0), "unknown").otherwise("match").alias("status"))
+    named = checks("backfill_coverage_checks")
+    return validate.broken_constraints(rows, {k: named[k] for k in ("status", "scope")}, ["doc_id"]).select("doc_id", F.array_join("broken", ";").alias("broken"))
+
+
+def written(df: DataFrame, name: str) -> str:
+    """Rows of one text column as text files in the shared folder, for the readers of files; the path."""
+    path = f"{shared_dir(df.sparkSession)}/strataflow/{name}-{uuid.uuid4().hex}"
+    df.write.text(path)
+    return f"{path}/part-*"
+
+
+@query(f"WITH {RECORDS} SELECT pmid, model FROM bad WHERE len(v) = 0")
+def jsonl_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-09, VAL-09, FN-26: records written as JSON lines and read back line by line; those without an error."""
+    fields = [f for f in records(spark, sf_dir).columns if f != "doc_id"]
+    lines = records(spark, sf_dir).select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    return read_records(spark, written(lines, "lines")).filter("error is null").select("pmid", "model")
+
+
+@query(f"WITH {RECORDS} SELECT split_part(v[1], ' ', 1) AS said, count(*) AS n FROM bad WHERE len(v) > 0 GROUP BY 1")
+def jsonl_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-01, VAL-02, SRC-10: first words of the first error of each line that has one."""
+    fields = [f for f in records(spark, sf_dir).columns if f != "doc_id"]
+    lines = records(spark, sf_dir).select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    errors = read_records(spark, written(lines, "lines")).filter("error is not null")
+    return errors.groupBy(F.element_at(F.split("error", " "), 1).alias("said")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS pmid, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '10.1000/ord.' || o_orderkey END AS doi, 'Order & ' || trim(o_orderpriority) || ' now' AS title,
+CASE o_orderkey % 2 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(o_orderdate, '%Y') END AS publication_date, CASE o_orderkey % 2 WHEN 0 THEN 'day' ELSE 'year' END AS publication_date_precision, year(o_orderdate)::INT AS publication_year,
+'Journal Article;Order' AS article_types, 'BACKGROUND: One2' || chr(10) || 'Two' AS abstract FROM orders WHERE o_orderkey % 5 <> 0""")
+def xml_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-08, FN-01, FN-03, FN-23: orders as marked-up records and read back; those without an id are left out."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey").cast("string")
+    odd = F.col("o_orderkey") % 2 == 1
+    date_ = F.when(odd, F.concat(F.lit("<MedlineDate>"), F.date_format(day, "yyyy"), F.lit(" Winter</MedlineDate>"))).otherwise(F.concat(F.lit("<Year>"), F.date_format(day, "yyyy"), F.lit("</Year><Month>"), F.date_format(day, "MMM"), F.lit("</Month><Day>"), F.date_format(day, "d"), F.lit("</Day>")))
+    doi = F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit('<PubmedData><ArticleIdList><ArticleId IdType="doi">https://doi.org/10.1000/ORD.'), key, F.lit(".</ArticleId></ArticleIdList></PubmedData>")))
+    pmid = F.when(F.col("o_orderkey") % 5 == 0, F.lit(" ")).otherwise(key)
+    xml = F.concat(
+        F.lit("<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>"), pmid, F.lit("</PMID><Article><Journal><JournalIssue><PubDate>"), date_, F.lit("</PubDate></JournalIssue></Journal><ArticleTitle>Order &amp; <i>"), F.trim("o_orderpriority"),
+        F.lit('</i>\n  now</ArticleTitle><Abstract><AbstractText Label="BACKGROUND">One<sub>2</sub></AbstractText><AbstractText>Two</AbstractText></Abstract><PublicationTypeList><PublicationType>Journal Article</PublicationType><PublicationType>Order</PublicationType><PublicationType>Journal Article</PublicationType></PublicationTypeList></Article></MedlineCitation>'),
+        doi, F.lit("</PubmedArticle></PubmedArticleSet>"),
+    )
+    made = parse_records(table(spark, sf_dir, "orders").select(xml.cast("binary").alias("content")))
+    return made.select("pmid", "doi", "title", "publication_date", "publication_date_precision", "publication_year", F.array_join("article_types", ";").alias("article_types"), "abstract")
+
+
+@query("SELECT column_name AS name, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS type, (ordinal_position)::INT AS position FROM information_schema.columns WHERE table_name = 'documents'")
+def table_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-14."""
+    return info_of(table(spark, sf_dir, "documents")).select("name", "type", "position")
+
+
+@query(f"""WITH m AS (SELECT doc_id, [{', '.join(repr(x) for x in FULL_TEXT_STATUSES)}, 'lost'][CAST(doc_id % {len(FULL_TEXT_STATUSES) + 1} + 1 AS INT)] AS status, n_chars - 100 AS bytes FROM documents)
+SELECT doc_id, array_to_string([x for x in [CASE WHEN status = 'lost' THEN 'status' END, CASE WHEN bytes < 0 THEN 'bytes' END] if x IS NOT NULL], ';') AS broken FROM m WHERE status = 'lost' OR bytes < 0""")
+def full_text_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA-12: manifest rows that break a check, with the names of the broken ones."""
+    states = F.array(*map(F.lit, (*FULL_TEXT_STATUSES, "lost")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("pmid"), F.get(states, (F.col("doc_id") % (len(FULL_TEXT_STATUSES) + 1)).cast("int")).alias("status"), (F.col("n_chars") - 100).alias("bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.lit("not_checked").alias("si_status"))
+    return validate.broken_constraints(rows, checks("full_text_manifest"), ["doc_id"]).select("doc_id", F.array_join("broken", ";").alias("broken"))
+
+
+@query("""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents) SELECT (n // 100)::BIGINT AS batch_no, count(*) AS record_count, min(doc_id) AS first_key, max(doc_id) AS last_key,
+substring(sha256('corpus' || chr(10) || 'v1' || chr(10) || string_agg(CAST(doc_id AS VARCHAR), chr(10) ORDER BY n)), 1, 24) AS batch_id FROM p GROUP BY 1""")
+def corpus_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA-11: the whole corpus in batches of at most 100, each with its manifest."""
+    placed = batches.corpus_batches(table(spark, sf_dir, "documents").select("doc_id"), [F.asc("doc_id")], 100, "doc_id")
+    made = batches.batch_manifests(placed, "corpus", "v1", "doc_id")
+    return made.select("batch_no", "record_count", F.element_at("ordered_keys", 1).cast("long").alias("first_key"), F.element_at("ordered_keys", -1).cast("long").alias("last_key"), "batch_id")
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
@@ -318,23 +467,24 @@ def hash_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("long").alias("byte_size"), hash_rank("ledger", F.col("doc_id")).alias("hash_rank"))
 
 
-@query("SELECT page_id, nullif(rtrim(lower(regexp_replace(regexp_replace(trim(url), '^https?://(www\\.)?', '', 'i'), '(\\?.*|#.*)$', '')), './ '), '') AS normal FROM pages")
+@query(r"""WITH u AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN ' HTTPS://dx.doi.org/' WHEN 1 THEN 'DOI:  ' WHEN 2 THEN '' ELSE ' . ' END AS head, url FROM pages)
+SELECT page_id, CASE page_id % 4 WHEN 3 THEN nullif('. ' || lower(url), '') ELSE lower(url) END AS normal FROM u""")
 def normalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FN-01, FN-16, on URLs: scheme, host prefix, query and fragment go."""
-    bare = F.regexp_replace(F.regexp_replace(F.trim("url"), r"(?i)^https?://(www\.)?", ""), r"(\?.*|#.*)$", "")
-    return table(spark, sf_dir, "pages").select("page_id", F.nullif(F.rtrim(F.lower(bare), F.lit("./ ")), F.lit("")).alias("normal"))
+    """FN-01, FN-16: identifiers behind a resolver, a prefix or nothing, with stops and spaces behind them."""
+    head = F.when(F.col("page_id") % 4 == 0, " HTTPS://dx.doi.org/").when(F.col("page_id") % 4 == 1, "DOI:  ").when(F.col("page_id") % 4 == 2, "").otherwise(" . ")
+    return table(spark, sf_dir, "pages").select("page_id", normalize_doi(F.concat(head, "url", F.lit(" . . "))).alias("normal"))
 
 
 @query("SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<]*)', 1), '\\s+', ' ', 'g')) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, length(html)::BIGINT AS n FROM pages")
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-08, FN-02: fields of a marked-up source."""
+    """FN-02: fields of a marked-up page."""
     html = F.col("html")
     return table(spark, sf_dir, "pages").select("page_id", collapse_space(F.regexp_extract(html, "<title>([^<]*)", 1)).alias("title"), F.regexp_extract(html, '<html lang="([a-z]+)"', 1).alias("lang"), F.length(html).cast("long").alias("n"))
 
 
 @query("""WITH d AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d, o_orderkey % 4 AS k FROM orders)
 SELECT o_orderkey, CASE k WHEN 0 THEN printf('%04d', y) WHEN 1 THEN printf('%04d-%02d', y, m) WHEN 2 THEN printf('%04d-%02d-%02d', y, m, d) ELSE printf('%04d', y) END AS value, CASE k WHEN 0 THEN 'year' WHEN 1 THEN 'month' WHEN 2 THEN 'day' ELSE 'year' END AS precision, y::INT AS year,
-CAST(greatest(make_date(y, 1, 1), DATE '1996-03-01') AS VARCHAR) AS period_start, CAST(least(make_date(y, 12, 31), DATE '1999-06-30') AS VARCHAR) AS period_end, CAST(DATE '1996-01-01' + CAST((make_date(y, m, d) - DATE '1996-01-01') // 2 AS INT) AS VARCHAR) AS middle FROM d WHERE y >= 1996""")
+CAST(greatest(make_date(y, 1, 1), DATE '1996-03-01') AS VARCHAR) AS period_start, CAST(least(make_date(y, 12, 31), DATE '1999-06-30') AS VARCHAR) AS period_end, CAST(DATE '1996-01-01' + CAST(floor((make_date(y, m, d) - DATE '1996-01-01') / 2.0) AS INT) AS VARCHAR) AS middle FROM d""")
 def partial_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-03, FN-04, FN-18, FN-20, FN-24: all orders; the midpoint of one before its start is rounded down, to the earlier day."""
     k, day = F.col("o_orderkey") % 4, F.col("o_orderdate")
@@ -346,26 +496,27 @@ def partial_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT (SELECT count(*) FROM ((SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents))) = 0 AS labels_in_documents,
-(SELECT count(*) FROM ((SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels))) = 0 AS documents_in_labels,
-(SELECT count(*) FROM (SELECT text FROM documents INTERSECT SELECT text FROM benchmark)) = 0 AS disjoint_from_benchmark, (SELECT count(*) = count(DISTINCT doc_id) FROM documents) AS unique_ids""")
+(SELECT count(*) FROM ((SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels))) + (SELECT count(*) FROM ((SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents))) = 0 AS same_ids,
+(SELECT count(*) FROM ((SELECT n_regionkey FROM nation EXCEPT SELECT r_regionkey FROM region))) + (SELECT count(*) FROM ((SELECT r_regionkey FROM region EXCEPT SELECT n_regionkey FROM nation))) = 0 AS same_regions,
+(SELECT count(*) FROM (SELECT text FROM documents INTERSECT SELECT text FROM benchmark)) = 0 AS disjoint_from_benchmark, (SELECT count(*) FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels)) = 0 AS disjoint_from_labels, (SELECT count(*) = count(DISTINCT doc_id) FROM documents) AS unique_ids""")
 def set_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SET-02, SET-05, SET-06."""
     docs, labels, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), table(spark, sf_dir, "benchmark")
-    none = lambda df, name: df.agg((F.count("*") == 0).alias(name))
-    parts = [
-        none(labels.select("doc_id").join(docs.select("doc_id"), "doc_id", "left_anti"), "labels_in_documents"),
-        none(docs.select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti"), "documents_in_labels"),
-        none(docs.select("text").join(bench.select("text"), "text", "left_semi"), "disjoint_from_benchmark"),
-        docs.groupBy("doc_id").count().agg((F.coalesce(F.max("count"), F.lit(1)) == 1).alias("unique_ids")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(F.broadcast(p))
-    return out
+    regions = table(spark, sf_dir, "region").select("r_regionkey")
+    said = (
+        not upsert.orphans(labels.select("doc_id"), docs, ["doc_id"]).limit(1).count(),
+        validate.same_set(docs.select("doc_id"), labels.select("doc_id")),
+        validate.same_set(table(spark, sf_dir, "nation").select("n_regionkey"), regions),
+        validate.disjoint(docs.select("text"), bench.select("text")),
+        validate.disjoint(docs.select("doc_id"), labels.select("doc_id")),
+    )
+    names = "labels_in_documents boolean, same_ids boolean, same_regions boolean, disjoint_from_benchmark boolean, disjoint_from_labels boolean"
+    unique = docs.groupBy("doc_id").count().agg((F.coalesce(F.max("count"), F.lit(1)) == 1).alias("unique_ids"))
+    return spark.createDataFrame([said], names).crossJoin(F.broadcast(unique))
 
 
 CELLS = f"""WITH {SCREENED}, c AS (SELECT s.lang, count(*) FILTER (candidate_priority AND quality = 1) AS tp, count(*) FILTER (candidate_priority AND quality = 0) AS fp, count(*) FILTER (NOT candidate_priority AND quality = 1) AS fn, count(*) FILTER (NOT candidate_priority AND quality = 0) AS tn FROM s JOIN labels USING (doc_id) GROUP BY s.lang),
-n AS (SELECT lang, count(*) AS big FROM documents GROUP BY lang)"""
+n AS (SELECT lang AS big_lang, count(*) AS big FROM documents GROUP BY lang)"""
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,7 +528,7 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("population_size"))
 
 
-@query(f"{CELLS}, w AS (SELECT round(sum(big::DOUBLE / (tp + fp + fn + tn) * tp) / sum(big::DOUBLE / (tp + fp + fn + tn) * (tp + fn)), 6) AS weighted_recall FROM c JOIN n USING (lang)) SELECT w.weighted_recall, round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS recall, round(sum(tp)::DOUBLE / sum(tp + fp), 6) AS precision, sum(fn)::BIGINT AS false_negatives, round(sum(fn)::DOUBLE / sum(fn + tn), 6) AS false_negative_rate FROM c, w GROUP BY ALL")
+@query(f"{CELLS}, w AS (SELECT round(sum(big::DOUBLE / (tp + fp + fn + tn) * tp) / sum(big::DOUBLE / (tp + fp + fn + tn) * (tp + fn)), 6) AS weighted_recall FROM c JOIN n ON c.lang IS NOT DISTINCT FROM n.big_lang) SELECT w.weighted_recall, round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS recall, round(sum(tp)::DOUBLE / sum(tp + fp), 6) AS precision, sum(fn)::BIGINT AS false_negatives, round(sum(fn)::DOUBLE / sum(fn + tn), 6) AS false_negative_rate FROM c, w GROUP BY ALL")
 def weighted_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA-01, STA-02, STA-05."""
     c = cells(spark, sf_dir)
@@ -390,12 +541,22 @@ def agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.agreement(table(spark, sf_dir, "labels"), [("exact", "quality", "toxic")], [("within_one", "quality", "toxic")])
 
 
-@query(f"WITH {NO_SAMPLE} SELECT doc_id, 'YES' AS reason FROM labels WHERE quality = 1 UNION ALL SELECT doc_id, 'NO sample' FROM a")
+DECIDED = "dec AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'YES' WHEN toxic = 1 THEN 'MAYBE' ELSE 'NO' END AS relevance FROM labels), n AS (SELECT DISTINCT doc_id, sha256('audit:' || doc_id) AS hash_rank FROM dec WHERE relevance = 'NO'), c AS (SELECT *, row_number() OVER (ORDER BY hash_rank, doc_id) AS rn, count(*) OVER () AS t FROM n)"
+
+
+@query(f"WITH {DECIDED} SELECT doc_id, relevance AS reason FROM dec WHERE relevance <> 'NO' UNION ALL SELECT doc_id, 'NO sample' AS reason FROM c WHERE rn <= ceil(t * CAST(0.1 AS DOUBLE))")
 def human_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA-10."""
+    decided = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "YES").when(F.col("toxic") == 1, "MAYBE").otherwise("NO").alias("relevance"))
+    return sample.human_queue(decided, "doc_id", "relevance", 0.1, "audit")
+
+
+@query("SELECT doc_id, CASE WHEN quality IS NOT DISTINCT FROM toxic THEN quality ELSE (doc_id % 2)::INT END AS relevance FROM labels")
+def adjudicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA-08: two raters of each label, and a third whose word counts where they differ."""
     labels = table(spark, sf_dir, "labels")
-    chosen = sample.fraction_sample(labels.filter("quality = 0"), "doc_id", 0.1, "audit")
-    return labels.filter("quality = 1").select("doc_id", F.lit("YES").alias("reason")).union(chosen.select("doc_id", F.lit("NO sample")))
+    said = F.array(F.struct(F.lit("r1").alias("reviewer"), F.col("quality").alias("relevance")), F.struct(F.lit("r2").alias("reviewer"), F.col("toxic").alias("relevance")), F.struct(F.lit("r3").alias("reviewer"), (F.col("doc_id") % 2).cast("int").alias("relevance")))
+    return stats.adjudicated(labels.select("doc_id", F.explode(said).alias("s")).select("doc_id", "s.*"), "doc_id", "reviewer", ["relevance"])
 
 
 @query("WITH p AS (SELECT conv_id, arg_min(role = 'assistant', turn) AS f, max(role = 'assistant') AS d, count(*) AS n FROM conversations GROUP BY conv_id) SELECT count(*) AS batches, sum(n)::BIGINT AS attempts, round(avg(f::INT), 6) AS first_attempt_validity, round(avg(d::INT), 6) AS completion, round(avg((n > 1)::INT), 6) AS retry_rate FROM p")
