@@ -57,8 +57,11 @@ class SegmentCounter:
         at = 0
         while at < len(texts):
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= ENCODE_BYTES):
-                size += len(texts[end]) + 1
+            while end < len(texts):
+                more = len(texts[end]) if texts[end].isascii() else len(texts[end].encode())
+                if end > at and size + more > ENCODE_BYTES:
+                    break
+                size += more + 1
                 end += 1
             yield from map(len, self._model.encode(texts[at:end], num_threads=1))
             at = end
