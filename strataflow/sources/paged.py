@@ -51,7 +51,7 @@ class Snapshot:
     def numbered(self, windows: DataFrame) -> DataFrame:
         """Members of all windows (title, slice_start, slice_end, run_id) at once, for planned backfills."""
         days = windows.select("run_id", F.col("title").alias(self.title), F.explode(F.sequence("slice_start", "slice_end")).alias(self.day))
-        return self.records.join(F.broadcast(days), [self.title, self.day])
+        return self.records.join(days, [self.title, self.day])
 
 
 class Remote:
