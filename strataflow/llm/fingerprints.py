@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import BinaryType, BooleanType, DataType, DoubleType, IntegerType, LongType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DataType, DoubleType, IntegerType, IntegralType, LongType, StringType, StructField, StructType
 
 from strataflow.llm.arrow import by_bytes, squeeze, unsqueeze
 from strataflow.llm.segments import paragraph_spans
@@ -173,7 +173,7 @@ def edited(text: str, following: str) -> str:
 
 def _order_key(kind: DataType) -> tuple[DataType, int | str]:
     """Type in which ids are ordered, and what stands for a null one: whole numbers as such, others as strings."""
-    return (LongType(), -(1 << 63)) if isinstance(kind, NumericType) else (StringType(), "")
+    return (LongType(), -(1 << 63)) if isinstance(kind, IntegralType) else (StringType(), "")
 
 
 def ordered_neighbours(df: DataFrame, id_col: str, text_col: str, parts: int | None = None) -> DataFrame:
@@ -238,7 +238,7 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Fingerprint each row's text and an edited text, and compare with that and with the next row.
 
     The next row is the one with the next id (after the last, the first). Rows of equal id follow
-    each other by a hash of their texts; null ids come first; ids that are no numbers are ordered as strings; a
+    each other by a hash of their texts; null ids come first; ids that are no whole numbers are ordered as strings; a
     single row is its own next. Null texts count as empty. Returns ``id_col``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``. One shuffle of the texts; a worker holds
     a block of rows at a time.
