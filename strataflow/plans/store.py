@@ -1,19 +1,23 @@
-"""A folder of snapshot tables: each change writes a new version, and a pointer file moves when it is whole."""
+"""A folder of snapshot tables: each change writes the rows that it brings as a new part, and a pointer file moves when it is whole."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflow.operators.upsert import append, insert_ignore, upsert
+from strataflow.operators.latest import latest_by
+from strataflow.operators.upsert import DuplicateKey, inserted, upsert
 from strataflow.schemas import KEYS, TABLES
 from strataflow.sinks.files import outside_code, publish
 
 SCHEMA_VERSION = "6"
+#: Parts of a table from which on they are written as one; the mark of a part whose rows may replace earlier ones.
+MOST_PARTS, OVER = 16, "~"
 
 
 class ConcurrentChange(RuntimeError):
@@ -21,7 +25,7 @@ class ConcurrentChange(RuntimeError):
 
 
 class Store:
-    """Tables of ``schemas.TABLES`` with versions; changes inside ``transaction`` show together or not at all."""
+    """Tables of ``schemas.TABLES`` as lists of parts, on a path that all executors share; changes inside ``transaction`` show together or not at all."""
 
     def __init__(self, spark: SparkSession, folder: str | Path) -> None:
         self.spark, self.folder = spark, outside_code(folder)
@@ -63,28 +67,60 @@ class Store:
         finally:
             self._staged = None
 
+    def _path(self, table: str, part: str) -> str:
+        return str(self.folder / table / f"v={part.rstrip(OVER)}")
+
     def read(self, table: str) -> DataFrame:
-        version = self._versions().get(table)
-        if version is None:
+        """The table as its parts say: of rows with one key the one in the latest part."""
+        parts = self._versions().get(table, "").split(".")
+        if parts == [""]:
             return self.spark.createDataFrame([], TABLES[table])
-        return self.spark.read.schema(TABLES[table]).parquet(str(self.folder / table / f"v={version}"))
+        reader = self.spark.read.schema(TABLES[table])
+        if not any(p.endswith(OVER) for p in parts):
+            return reader.parquet(*[self._path(table, p) for p in parts])
+        frames = [reader.parquet(self._path(table, p)).withColumn("__part", F.lit(n)) for n, p in enumerate(parts)]
+        return latest_by(reduce(DataFrame.unionByName, frames), KEYS[table], [F.desc("__part")]).drop("__part")
 
     def frame(self, table: str, rows: Sequence) -> DataFrame:
         return self.spark.createDataFrame(list(rows), TABLES[table])
 
-    def _change(self, table: str, rows: DataFrame | Sequence, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        new = rows if isinstance(rows, DataFrame) else self.frame(table, rows)
-        with self.transaction():  # what is read and what is replaced are the same version
-            number = int(self._versions().get(table, "0").split("-")[0]) + 1
-            version = f"{number}-{uuid.uuid4().hex[:12]}"  # no other writer has it
-            change(self.read(table), new).write.parquet(str(self.folder / table / f"v={version}"))
-            self._staged[table] = version
+    def _add(self, table: str, rows: DataFrame, over: bool = False, check: Callable[[DataFrame], None] | None = None) -> None:
+        """Write one part more, which ``check`` may refuse; with ``MOST_PARTS`` of them, all as one."""
+        parts = [p for p in self._versions().get(table, "").split(".") if p]
+        number = int(parts[-1].split("-")[0]) + 1 if parts else 1
+        name = lambda n: f"{n}-{uuid.uuid4().hex[:12]}"  # noqa: E731  no other writer has it
+        part = name(number) + OVER * (over and bool(parts))
+        rows.write.parquet(self._path(table, part))
+        if check:
+            check(self.spark.read.schema(TABLES[table]).parquet(self._path(table, part)))
+        self._staged[table] = ".".join([*parts, part])
+        if len(parts) >= MOST_PARTS:
+            whole = name(number + 1)
+            self.read(table).write.parquet(self._path(table, whole))
+            self._staged[table] = whole
+
+    def _frame(self, table: str, rows: DataFrame | Sequence) -> DataFrame:
+        return rows if isinstance(rows, DataFrame) else self.frame(table, rows)
 
     def upsert(self, table: str, rows: DataFrame | Sequence, order: Sequence | None = None, keep: Sequence[str] = ()) -> None:
-        self._change(table, rows, lambda old, new: upsert(old, new, KEYS[table], order or list(KEYS[table]), keep))
+        """Only the rows that come, and what they keep, are written."""
+        with self.transaction():
+            new, keys = self._frame(table, rows), KEYS[table]
+            met = self.read(table).join(new.select(*keys).distinct(), list(keys), "left_semi")
+            self._add(table, upsert(met.select(*self.frame(table, []).columns), new, keys, order or list(keys), keep), over=True)
 
     def insert_ignore(self, table: str, rows: DataFrame | Sequence, order: Sequence | None = None) -> None:
-        self._change(table, rows, lambda old, new: insert_ignore(old, new, KEYS[table], order or list(KEYS[table])))
+        with self.transaction():
+            self._add(table, inserted(self.read(table), self._frame(table, rows), KEYS[table], order or list(KEYS[table])))
 
     def append(self, table: str, rows: DataFrame | Sequence) -> None:
-        self._change(table, rows, lambda old, new: append(old, new, KEYS[table]))
+        """A key that is there already, or comes twice, raises, and nothing is added."""
+        with self.transaction():
+            before, keys = self.read(table), KEYS[table]
+
+            def unique(new: DataFrame) -> None:
+                twice = new.groupBy(*keys).count().filter("count > 1").select(*keys)
+                if twice.union(new.select(*keys).join(before.select(*keys), list(keys), "left_semi")).limit(1).count():
+                    raise DuplicateKey(f"repeated key in {', '.join(keys)}")
+
+            self._add(table, self._frame(table, rows).select(*before.columns), check=unique)

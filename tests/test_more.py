@@ -185,3 +185,26 @@ def test_windows_are_partitions_of_a_source(spark):
     pages = paged_source.read_windows(spark, windows, size=2, client="tests.test_more:Client")
     assert pages.rdd.getNumPartitions() == 2
     assert sorted((r["title"], r["retstart"], bytes(r["content"])) for r in pages.collect()) == [("A", 0, b"A 0"), ("A", 2, b"A 2"), ("A", 4, b"A 4"), ("B", 0, b"B 0")]
+
+
+def test_a_store_writes_what_comes_and_reads_the_latest(spark, tmp_path, monkeypatch):
+    from strataflow.operators.upsert import DuplicateKey
+    from strataflow.plans import store as module
+
+    for most in (3, 100):
+        monkeypatch.setattr(module, "MOST_PARTS", most)
+        store = Store(spark, tmp_path / f"db{most}")
+        n_range = lambda n: range(n, n + 3)
+        want = {}
+        for n in range(6):
+            batch = [("b", i, 10 * n + i, None, None, None) for i in n_range(n)]
+            store.upsert("enumeration_batches", batch)
+            want |= {b[1]: b[2] for b in batch}
+        store.insert_ignore("enumeration_batches", [("b", 0, 999, None, None, None), ("b", 90, 1, None, None, None)])
+        store.append("enumeration_batches", [("b", 91, 2, None, None, None)])
+        want |= {90: 1, 91: 2}
+        for bad in ([("b", 91, 3, None, None, None)], [("c", 1, 1, None, None, None)] * 2):
+            with pytest.raises(DuplicateKey):
+                store.append("enumeration_batches", bad)
+        assert {r["retstart"]: r["record_count"] for r in store.read("enumeration_batches").collect()} == want
+        assert store.read("enumeration_batches").count() == len(want)
