@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 #: Rows of a batch handed on at once; bounds a worker's memory whatever Spark's batch size is.
-MAX_BATCH_BYTES = 8 << 20
+MAX_BATCH_BYTES = 2 << 20
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _HELD: list[tuple[str, Callable[[], None]]] = []
 
 
@@ -43,6 +45,30 @@ def by_bytes(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES) -> Iterator[pa.
             yield part
 
 
+def _tidy() -> None:
+    """Give freed memory back to the system: an idle worker would keep it while others need it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded bytes.
+
+    Spark's own bound on batches, which its session holds, is set to ``MAX_BATCH_BYTES``: else 10,000 long texts
+    would stand in memory at once, on both sides.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", MAX_BATCH_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            _tidy()
+
+    return df.mapInArrow(run, schema)
+
+
 def squeeze(text: str) -> bytes:
     """``text`` compressed by itself, for a shuffle."""
     raw = text.encode()
@@ -61,7 +87,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
             for part in by_bytes(batch):
                 yield fn(part)
 
-    return df.mapInArrow(run, schema)
+    return df.transform(in_arrow, run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, i: int) -> list[str]:
@@ -78,7 +104,7 @@ def filter_arrow(df: DataFrame, text_col: str, keep: Callable[[list[str]], list[
             for part in by_bytes(batch):
                 yield part.filter(pa.array(keep(texts_of(part, at)), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.transform(in_arrow, run, df.schema)
 
 
 def fitted(sample: DataFrame, fit: Callable[[list, list], Any]) -> Any:
@@ -95,5 +121,5 @@ def fitted(sample: DataFrame, fit: Callable[[list, list], Any]) -> Any:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(x, y))], pa.binary())], names=["model"])
 
     one = sample.repartition(1).sortWithinPartitions(F.xxhash64(*sample.columns), *sample.columns)
-    got = one.mapInArrow(run, "model binary").first()
+    got = one.transform(in_arrow, run, "model binary").first()
     return pickle.loads(got["model"]) if got else fit([], [])

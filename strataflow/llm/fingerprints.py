@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, BooleanType, DataType, DoubleType, IntegerType, IntegralType, LongType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import by_bytes, squeeze, unsqueeze
+from strataflow.llm.arrow import by_bytes, in_arrow, squeeze, unsqueeze
 from strataflow.llm.segments import paragraph_spans
 
 #: Cells that a digest goes to; cells of a fingerprint; factor by which a failed peeling grows the sketch.
@@ -162,7 +162,7 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
                 got = serialized([digests(x or "") for x in part.column(1).to_pylist()], cells)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.string())], names=schema.names)
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return df.select(F.col(id_col), F.col(text_col)).transform(in_arrow, run, schema)
 
 
 def edited(text: str, following: str) -> str:
@@ -207,7 +207,7 @@ def ordered_neighbours(df: DataFrame, id_col: str, text_col: str, parts: int | N
         rows = [(r, *key) for r, key in low.items()]
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int32(), i_type, pa.int64()))], names=names)
 
-    first = keys.mapInArrow(lowest, StructType([StructField("range", IntegerType()), StructField("i", kind), StructField("tie", LongType())]))
+    first = keys.transform(in_arrow, lowest, StructType([StructField("range", IntegerType()), StructField("i", kind), StructField("tie", LongType())]))
     firsts = sorted((r["range"], r["low"]["i"], r["low"]["tie"]) for r in first.groupBy("range").agg(F.min(F.struct("i", "tie")).alias("low")).collect())
     hosts: dict[tuple, list[int]] = {}  # ranges that a row like this one follows
     for before, (_, i, tie) in zip(firsts[-1:] + firsts[:-1], firsts, strict=True):
@@ -230,7 +230,7 @@ def ordered_neighbours(df: DataFrame, id_col: str, text_col: str, parts: int | N
                 yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(guest), part.column(2).take(take), part.column(3).take(take), part.column(0).take(take), packed.take(take)], names=["range", "guest", "i", "tie", id_col, "packed"])
 
     schema = StructType([StructField("range", IntegerType()), StructField("guest", BooleanType()), StructField("i", kind), StructField("tie", LongType()), StructField(id_col, df.schema[id_col].dataType), StructField("packed", BinaryType())])
-    dealt = keyed.withColumn("spread", F.xxhash64(F.monotonically_increasing_id())).mapInArrow(deal, schema)
+    dealt = keyed.withColumn("spread", F.xxhash64(F.monotonically_increasing_id())).transform(in_arrow, deal, schema)
     return dealt.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("guest", "i", "tie")
 
 
@@ -275,4 +275,4 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if len(ids) > 1:
             yield block(ids, texts, sets)
 
-    return ordered_neighbours(df, id_col, text_col).mapInArrow(run, schema)
+    return ordered_neighbours(df, id_col, text_col).transform(in_arrow, run, schema)

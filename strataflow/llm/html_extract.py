@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import by_bytes
+from strataflow.llm.arrow import by_bytes, in_arrow
 from strataflow.llm.scratch import stored
 
 # HTML's elements without an end tag, those whose content is no text, those that
@@ -405,9 +405,9 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
     # A page is compressed by itself before it is dealt: half of what the shuffle's own codec leaves.
     fields = [StructField(id_col, kind), StructField(url_col, StringType()), StructField("packed", BinaryType()), StructField("host", StringType()), StructField("path", StringType()), StructField("tie", LongType())]
-    rows = rows.mapInArrow(pack_pages, StructType(fields))
+    rows = rows.transform(in_arrow, pack_pages, StructType(fields))
     ranged = rows.repartitionByRange(F.col("host"), F.col("path"), F.col(id_col), F.col("tie")).sortWithinPartitions("host", "path", id_col, "tie")
-    table = stored(ranged.mapInArrow(run, schema).withColumn("range", F.spark_partition_id()), "pages", level=12)
+    table = stored(ranged.transform(in_arrow, run, schema).withColumn("range", F.spark_partition_id()), "pages", level=12)
     faces = sorted((r["range"], r["face"], r["at"], r["host"], r["digest"], r["known"]) for r in table.filter("face > 0").select("range", "face", "at", "host", "digest", F.col("near").isNotNull().alias("known")).collect())
     edges = table.filter("edge")
     links = df.sparkSession.createDataFrame(_beside(faces), "range int, at long, other_range int, face long, inner boolean")
@@ -428,5 +428,5 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names=final.names)
 
-    text = table.filter("not edge").select(id_col, url_col, "text").union(open_.mapInArrow(finish, final))
+    text = table.filter("not edge").select(id_col, url_col, "text").union(open_.transform(in_arrow, finish, final))
     return text.select(id_col, url_col, "text", F.length("text").cast("long").alias("n_chars"))

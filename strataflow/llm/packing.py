@@ -20,7 +20,7 @@ from strataflow.llm.scratch import stored
 #: Tokens of a sequence; the id that ends a document; pieces that one packing task gets on average.
 CAPACITY, END_ID, GROUP_PIECES = 2048, 0, 4096
 #: Words whose ids a worker remembers, and the longest that it remembers; new words that are merged together; characters of those that one call of the library gets.
-MEMO_WORDS, MEMO_CHARS, CALL_WORDS, CALL_CHARS = 300_000, 48, 1 << 15, 1 << 18
+MEMO_WORDS, MEMO_CHARS, CALL_WORDS, CALL_CHARS = 200_000, 48, 1 << 15, 1 << 18
 #: Symbols up to which a part is merged here; the library's merges don't slow down with length.
 MOST_SYMBOLS = 64
 #: What the tokenizer's pattern tells apart, for characters up to U+024F without those that NFC or lower-casing treats otherwise than one by one.

@@ -22,7 +22,7 @@ MAX_ROWS, MAX_CHARS, LEAST_SHARE = 4000, 20_000, 1 / 300_000
 #: The network: hidden units, passes over the sample, step, weight decay, share kept for the temperature.
 HIDDEN, EPOCHS, STEP, DECAY, CALIBRATION = 24, 60, 3e-3, 1e-4, 0.2
 #: Vectors that a worker remembers, and the longest word that it remembers; words whose vectors are looked at together.
-MEMO_ENTRIES, MEMO_CHARS, BLOCK = 100_000, 48, 1 << 15
+MEMO_ENTRIES, MEMO_CHARS, BLOCK = 80_000, 48, 1 << 13
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
 #: What a text is pooled to: the mean vector, its norm, and the mean cosine of words one place apart, two places apart and so on.
@@ -172,9 +172,13 @@ def word_model(texts: list[str], least_share: float = LEAST_SHARE) -> QualityMod
 
     The network is left blank.
     """
-    lists = [[spelled(w) for w in _WORD.findall(t)] for t in texts]
-    count = Counter(w for ws in lists for w in ws)
-    least = max(2, least_share * sum(count.values()))
+    written: dict[str, int] = {}  # each word as it is written, and its place in what follows
+    lists = [np.fromiter((written.setdefault(w, len(written)) for w in _WORD.findall(t)), np.int32) for t in texts]
+    called = [spelled(w) for w in written]
+    count: Counter = Counter()
+    for w, c in zip(called, np.bincount(np.concatenate(lists), minlength=len(written)).tolist() if lists else [], strict=True):
+        count[w] += c
+    least = max(2, least_share * count.total())
     names = sorted(w for w, c in count.items() if c >= least)
     n = len(names)
     place = {w: i for i, w in enumerate(names)}
@@ -184,7 +188,9 @@ def word_model(texts: list[str], least_share: float = LEAST_SHARE) -> QualityMod
         return np.bincount((at[:, None] * DIM + spots[of]).ravel(), signs[of].ravel(), n * DIM).reshape(n, DIM)
 
     context = np.zeros((n, DIM))
-    flat = np.array([i for ws in lists for i in (*[place.get(w, -1) for w in ws], *[-1] * WINDOW)], dtype=np.int64)
+    known = np.array([place.get(w, -1) for w in called], dtype=np.int32)
+    gap = np.full(WINDOW, -1, dtype=np.int32)
+    flat = np.concatenate([x for ws in lists for x in (known[ws], gap)]) if lists else gap
     for d in range(1, WINDOW + 1):
         for at in range(0, len(flat) - d, 1 << 18):
             left, right = flat[at : at + (1 << 18)][: len(flat) - d - at], flat[at + d : at + d + (1 << 18)]
