@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from strataflow.llm.arrow import in_arrow
+
 #: Bits of a bitmap: 4 MB, whatever the corpus. A full one lets all rows pass, and the join decides alone.
 BITS = 25
 
@@ -30,12 +32,12 @@ def passing(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def only_passing(df: DataFrame, col: str, bitmap: Broadcast) -> DataFrame:
-    """Rows whose value has its bit set: all that match, and few others."""
+def only_passing(df: DataFrame, col: str, bitmap: Broadcast, bit: bool = True) -> DataFrame:
+    """Rows whose value has its bit set: all that match, and few others; or with ``bit`` False the rows left, none of which match."""
     at = df.columns.index(col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(passing(bitmap.value, batch.column(at).to_numpy())))
+            yield batch.filter(pa.array(passing(bitmap.value, batch.column(at).to_numpy()) == bit))
 
-    return df.mapInArrow(run, df.schema)
+    return df.transform(in_arrow, run, df.schema)

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from strataflow.llm.arrow import exclusive, map_arrow
+from strataflow.llm.bitmaps import bitmap_of, only_passing
 from strataflow.llm.components import connected_components
-from strataflow.llm.scratch import stored
+from strataflow.llm.scratch import discard, stored
 
 #: Words of a shingle, seed of its digest, and differing bits up to which fingerprints link.
 WORDS, SEED, RADIUS = 3, 42, 3
@@ -111,23 +112,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     low = classes.join(of, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
     least = low.groupBy("component").agg(F.min("low").alias("component_id"))
     named = low.select("fp", "component").join(least, "component").select("fp", "component_id")
-    return fps.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = fps.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out._stored_at = (*fps._stored_at, *classes._stored_at, *of._stored_at)  # for whoever has no more use for it
+    return out
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of near-duplicates, that of the smallest id; all columns as they are.
 
     Rows without an id stay if no row with an id is linked to them. Of rows that repeat the smallest
-    id one stays, which takes a shuffle by id only where such rows exist.
+    id one stays. Rows whose id is kept, and found once, pass through the scan; a bitmap of the other
+    ids tells them apart, so that only rows to drop, repeated ones and few others are shuffled.
     """
-    of = stored(near_duplicates(df, id_col, text_col), "components")
-    first = of.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__first"))
-    counts = first.agg(F.count("__first").alias("n"), F.countDistinct("__first").alias("d")).first()
-    kept = df.join(first.filter("__first is not null").distinct(), F.col(id_col) == F.col("__first"), "left_semi")
-    if counts["n"] > counts["d"]:
-        kept = kept.dropDuplicates([id_col])
-    alone = first.filter("__first is null").limit(1).count()
-    if alone:
+    components = near_duplicates(df, id_col, text_col)
+    of = stored(components, "components")
+    discard(components)
+    first = of.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    doubtful = stored(first.filter("not stays or n > 1").select(F.col(id_col).alias("__id"), "stays", F.xxhash64(id_col).alias("__key")), "doubtful")
+    marks = bitmap_of(doubtful, "__key")
+    names = df.columns
+    marked = df.filter(F.col(id_col).isNotNull()).withColumn("__key", F.xxhash64(id_col))
+    sure = only_passing(marked, "__key", marks, False).select(*names)
+    rest = only_passing(marked, "__key", marks).join(doubtful.select("__id", "stays"), F.col(id_col) == F.col("__id"), "left").filter(F.coalesce("stays", F.lit(True))).select(*names).dropDuplicates([id_col])
+    kept = sure.unionByName(rest)
+    if of.filter(F.col(id_col).isNull() & F.col("component_id").isNull()).limit(1).count():
         lone = of.filter(f"`{id_col}` is null and component_id is null").select("fingerprint").distinct()
         null_rows = df.filter(F.col(id_col).isNull())
         marked = fingerprints(null_rows.withColumn("__row", F.monotonically_increasing_id()), "__row", text_col)
