@@ -8,9 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, ByteType, DataType, IntegerType, LongType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, ByteType, DataType, IntegerType, IntegralType, LongType, StringType, StructField, StructType
 
-from strataflow.llm.arrow import by_bytes, exclusive
+from strataflow.llm.arrow import by_bytes, exclusive, in_arrow, squeeze, unsqueeze
 from strataflow.llm.bitmaps import bitmap_of, only_passing, passing
 from strataflow.llm.components import connected_components
 from strataflow.llm.scratch import discard, stored
@@ -26,7 +26,7 @@ RUN_WORDS, SEED_WORDS = 50, 20
 STRETCH, HEAD, LINE = 0, 1, 2
 WINDOW, SHINGLES = 3, 4
 #: Bytes of texts that are cut together.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
 
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -180,7 +180,7 @@ def _sketches(shingles: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 def _key_type(df: DataFrame, id_col: str) -> DataType:
     """Type in which ids are compared: long for whole numbers, else string."""
-    return LongType() if isinstance(df.schema[id_col].dataType, NumericType) else StringType()
+    return LongType() if isinstance(df.schema[id_col].dataType, IntegralType) else StringType()
 
 
 def _least(kind: DataType) -> int | str:
@@ -246,7 +246,7 @@ def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: i
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1) * bands, pa.int32()), _long(keys.ravel()))
                     yield made(LINE, a, z, h=_long(p.digest(a, z)), bands=lists)
 
-    return _keyed(df, id_col, text_col).select("doc", "version", "text").mapInArrow(run_, schema)
+    return _keyed(df, id_col, text_col).select("doc", "version", "text").transform(in_arrow, run_, schema)
 
 
 def details(df: DataFrame, id_col: str, text_col: str, docs: Broadcast, ends: Broadcast, lines: Broadcast, least_words: int = LEAST_WORDS, run: int = RUN_WORDS, k: int = SEED_WORDS) -> DataFrame:
@@ -300,13 +300,17 @@ def details(df: DataFrame, id_col: str, text_col: str, docs: Broadcast, ends: Br
                     sets = pa.ListArray.from_arrays(_int(edge), _long(flat))
                     yield _batch(kinds, len(a), {"kind": pa.array(np.full(len(a), SHINGLES, np.int8)), "h": _long(h), "size": _int(size), "shingles": sets} | {c: pa.array(x) for c, x in zip(SKETCH, _sketches(flat, edge[:-1]), strict=True)})
 
-    return _keyed(df, id_col, text_col).select("doc", "version", "text", "dk").mapInArrow(run_, schema)
+    return _keyed(df, id_col, text_col).select("doc", "version", "text", "dk").transform(in_arrow, run_, schema)
 
 
-def earlier(rows: DataFrame) -> DataFrame:
-    """``doc``, ``version``, ``start``, ``stop`` and ``keeper`` of the rows whose digest a smaller id has too; the smallest is the keeper."""
-    repeated = rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper")
-    return rows.join(repeated, "h").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper")
+def earlier(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``doc``, ``version``, ``start``, ``stop`` and ``keeper`` of the rows whose digest a smaller id has too, the smallest being the keeper; and the table of those digests.
+
+    The digests are a table of their own, so that a join of many rows with one of them can be split.
+    """
+    repeated = stored(rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper"), name)
+    hits = only_passing(rows.select("h", "doc", "version", "start", "stop"), "h", bitmap_of(repeated, "h"))
+    return hits.join(repeated, "h").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper"), repeated
 
 
 def open_ends(stretches: DataFrame) -> DataFrame:
@@ -340,34 +344,38 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def band_members(table: DataFrame) -> DataFrame:
-    """``band``, ``h``, ``low`` and ``doc``: the distinct lines of each band that has two different ones, the smallest of them, and the smallest id that has the line.
+    """``band``, ``h``, ``n`` and ``doc``: the distinct lines of each band that has two different ones, with the number of their rows and the smallest id that has them.
 
     A band's members are first only compared as the smallest and the largest digest, in partial
     aggregates; bands with two different ones, and few others, are read again.
     """
     banded = table.filter(F.col("kind") == LINE).select("h", "doc", F.explode("bands").alias("band"))
-    shared = stored(banded.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high").select("band", "low"), "bands")
-    marks = bitmap_of(shared, "band")
-    members = stored(only_passing(banded, "band", marks).join(shared, "band").groupBy("band", "h", "low").agg(F.min("doc").alias("doc")), "members")
-    discard(shared)
+    marks = bitmap_of(banded.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high"), "band")
+    members = stored(only_passing(banded, "band", marks).groupBy("band", "h").agg(F.count("*").alias("n"), F.min("doc").alias("doc")), "members")
     marks.destroy()
     return members
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """``h`` and ``label`` of each line with a link, equal only for lines that links connect: the smallest of those at most two links away."""
+    both = links.select("a", "b").union(links.select("b", "a"))
+    first = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    return both.join(first.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near")).join(first, "a").select(F.col("a").alias("h"), F.least("near", "label").alias("label"))
+
+
 def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links ``a``, ``b`` between digests of different lines with a Jaccard similarity of at least ``similarity``.
 
     They connect every two such lines that share a band, without a comparison of all pairs of a band. First each
-    member is compared with the smallest of its band. Members linked to the same line need no
-    further comparison; so only bands with members of several such groups go on, and in those each member
-    outside the largest group is compared with those of other groups. A band of n near-equal lines costs n
-    comparisons; one of n lines that are not similar has n² to make, of which few leave the join.
+    member is compared with the most frequent line of its band, which edited copies are nearest to. Members
+    that are then connected need no further comparison; so only bands with members of several such groups go
+    on, and in those each member outside the largest group is compared with those of other groups. A band
+    of n lines that equal or nearly equal one of them costs n comparisons; one of n lines of which none is similar
+    to that one has n² to make, of which few leave the join.
     """
-    first = stored(similar(members.filter("h > low").select(F.col("low").alias("a"), F.col("h").alias("b")).distinct(), sets, similarity), "links")
-    named = first.groupBy(F.col("b").alias("h")).agg(F.min("a").alias("label"))
-    up = named.select(F.col("h").alias("label"), F.col("label").alias("higher"))
-    labels = named.join(up, "label", "left").select("h", F.coalesce("higher", "label").alias("label"))
-    grouped = members.select("band", "h").join(labels, "h", "left").select("band", "h", F.coalesce("label", "h").alias("label"))
+    centres = members.groupBy("band").agg(F.max_by("h", F.struct("n", "h")).alias("a"), F.count("*").alias("lines")).filter("lines > 1").select("band", "a")
+    first = stored(similar(members.join(centres, "band").filter("h != a").select("a", F.col("h").alias("b")).distinct(), sets, similarity), "links")
+    grouped = members.select("band", "h").join(_labels(first), "h", "left").select("band", "h", F.coalesce("label", "h").alias("label"))
     sizes = grouped.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("groups")).filter("groups > 1").select("band", "largest")
     mixed = stored(grouped.join(sizes, "band").join(sets.select("h", "size", *SKETCH), "h"), "mixed")
     x, y = mixed.filter("label != largest").alias("x"), mixed.alias("y")
@@ -403,14 +411,17 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         b.destroy()
     sets = second.filter(F.col("kind") == SHINGLES).dropDuplicates(["h"])  # rows of equal id list a line again
     links = near_lines(members, sets, similarity)
-    named = connected_components(links)
-    lines = table.filter(F.col("kind") == LINE).drop("bands", "seed", "prev").join(named.withColumnRenamed("node", "h"), "h")
-    keepers = lines.groupBy("component").agg(F.min("doc").alias("keeper"))
+    components = connected_components(links)
+    named = stored(components.withColumnRenamed("node", "h"), "named")
+    marks = bitmap_of(named, "h")
+    lines = stored(only_passing(table.filter(F.col("kind") == LINE).select("doc", "version", "start", "stop", "h"), "h", marks).join(named, "h"), "lines")
+    marks.destroy()
+    keepers = stored(lines.groupBy("component").agg(F.min("doc").alias("keeper")), "keepers")
     near = lines.join(keepers, "component").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper")
-    runs = earlier(stretches).union(earlier(second.filter(F.col("kind") == WINDOW)))
-    both = runs.withColumn("line", F.lit(False)).union(near.withColumn("line", F.lit(True)))
+    (whole, first), (ends, second_) = earlier(stretches, "repeated"), earlier(second.filter(F.col("kind") == WINDOW), "ends")
+    both = whole.union(ends).withColumn("line", F.lit(False)).union(near.withColumn("line", F.lit(True)))
     found = stored(both.groupBy("doc", "version").agg(F.collect_set(F.struct("line", "start", "stop", "keeper")).alias("found")), "found")
-    discard(table, stretches, members, asked, second, links, named)
+    discard(table, stretches, members, asked, second, links, components, named, lines, keepers, first, second_)
     return found
 
 
@@ -464,7 +475,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more with a line linked to an earlier row; and exact repeats of ``run_words`` words or more, wherever
     they stand in a line, word for word. Shorter exact repeats stay unless they adjoin others and have as many words
     together. Repeats within a row stay, as do those between rows of equal id. A null text stays null; null
-    ids count as one smallest id; ids that are no numbers are compared as strings; repeated rows are treated
+    ids count as one smallest id; ids that are no whole numbers are compared as strings; repeated rows are treated
     alike; an empty table gives an empty result. Only texts with something to remove, and few others, are
     shuffled, compressed, to their spans; what leads to those shuffles numbers.
     """
@@ -486,7 +497,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = batch.filter(pa.array(passing(touched.value, batch.column(4).to_numpy())))
-            texts = [None if t is None else _squeeze(t) for t in part.column(1).to_pylist()]
+            texts = [None if t is None else squeeze(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), part.column(2), part.column(3)], names=["__own", "packed", "doc", "version"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -494,7 +505,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for part in by_bytes(batch, PART_BYTES):
                 texts, changed, removed, spans, keeper = [], [], [], [], []
                 for small, f in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    text = None if small is None else _unsqueeze(small)
+                    text = None if small is None else unsqueeze(small)
                     s = spans_to_remove(text.encode(), f, run_words) if f and text else []
                     texts.append(without(text, [x[:2] for x in s]) if s else text)
                     changed.append(bool(s))
@@ -503,18 +514,9 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     keeper.append(s[0][3] if s and s[0][3] != _least(kind) else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(changed, pa.bool_()), pa.array(removed, pa.int64()), pa.array(spans, span_kind), pa.array(keeper, _arrow(kind))], names=["__own", "text", "changed", "n_removed_words", "spans", "keeper_id"])
 
-    rest = rows.mapInArrow(plain, StructType([StructField("__own", own_type), StructField("text", StringType())]))
+    rest = rows.transform(in_arrow, plain, StructType([StructField("__own", own_type), StructField("text", StringType())]))
     rest = rest.select("__own", "text", F.lit(False).alias("changed"), F.lit(0).cast("long").alias("n_removed_words"), F.array().cast(span).alias("spans"), F.lit(None).cast(kind).alias("keeper_id"))
-    small = rows.mapInArrow(packed, StructType([StructField("__own", own_type), StructField("packed", BinaryType()), StructField("doc", kind), StructField("version", IntegerType())]))
+    small = rows.transform(in_arrow, packed, StructType([StructField("__own", own_type), StructField("packed", BinaryType()), StructField("doc", kind), StructField("version", IntegerType())]))
     joined = small.join(found, ["doc", "version"], "left").select("__own", "packed", "found")
-    out = rest.union(joined.mapInArrow(cut, schema))
+    out = rest.union(joined.transform(in_arrow, cut, schema))
     return out.select("__own.*", "text", "changed", "n_removed_words", "spans", "keeper_id")
-
-
-def _squeeze(text: str) -> bytes:
-    raw = text.encode()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _unsqueeze(small: bytes) -> str:
-    return pa.decompress(small[8:], decompressed_size=int.from_bytes(small[:8], "little"), codec="zstd", asbytes=True).decode()
