@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflow.llm import language_id, quality_classifier, quality_rules
+from strataflow.llm.alignment import align_documents
 from strataflow.llm.byte_bpe import round_trip_digests
 from strataflow.llm.fingerprints import compare_with_next
 from strataflow.llm.html_extract import extract
+from strataflow.llm.lattice import score_documents
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.simhash import near_duplicates
 from strataflow.llm.substring_dedup import dedup_substrings
 from strataflow.llm.token_counts import token_counts
+from strataflow.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +66,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, model).select("doc_id", quality_classifier.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -74,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE_SQL}
