@@ -137,7 +137,7 @@ def test_edges(spark, nothing):
     got = lattice.score_documents(none)
     assert columns(got) == sorted([(True, 3, 0, 0, 0.0)] * len(held) + [(True, 1, 0, 0, 0.0)])
     assert all(math.isfinite(r["score"]) for r in got.collect())
-    empty = spark.createDataFrame([(1, "", "en", "a", 0), (2, None, "fr", "b", 0)], DDL)
+    empty = spark.createDataFrame([(1, "", "en", "a", 0), (3, None, "fr", "b", 0)], DDL)
     assert columns(lattice.score_documents(empty)) == [(False, 1, 1, 2, round(math.log10(3 / 4), 6))] * 2
     assert lattice.score_documents(empty.drop("lang")).count() == 2
 
