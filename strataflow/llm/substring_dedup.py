@@ -28,6 +28,9 @@ WINDOW, SHINGLES = 3, 4
 #: Bytes of texts that are cut together.
 PART_BYTES = 1 << 19
 
+#: What ``dedup_substrings`` adds to ids and carried columns.
+SPANS = ("text", "changed", "n_removed_words", "spans", "keeper_id")
+
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -189,9 +192,9 @@ def _least(kind: DataType) -> int | str:
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """``doc`` (the id; the least one for null), ``version`` (digest of the text), ``text``, ``dk`` and ``rk`` (digests of doc and of both) and what else is asked for."""
+    """``doc`` (the id; the least one for null), ``version`` (64-bit digest of the text), ``text``, ``dk`` and ``rk`` (digests of doc and of both) and what else is asked for."""
     kind = _key_type(df, id_col)
-    rows = df.select(F.coalesce(F.col(id_col).cast(kind), F.lit(_least(kind))).alias("doc"), F.hash(text_col).alias("version"), F.col(text_col).alias("text"), *more)
+    rows = df.select(F.coalesce(F.col(id_col).cast(kind), F.lit(_least(kind))).alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"), *more)
     return rows.select("*", F.xxhash64("doc").alias("dk"), F.xxhash64("doc", "version").alias("rk"))
 
 
@@ -219,8 +222,8 @@ def passage_table(df: DataFrame, id_col: str, text_col: str, bands: int, rows: i
     first window, ``seed``, and of the stretch before it, ``prev``; a line its ``bands``. Map-only.
     """
     kind = _key_type(df, id_col)
-    schema = StructType([StructField("kind", ByteType()), StructField("doc", kind), StructField("version", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("h", LongType()), StructField("seed", LongType()), StructField("prev", LongType()), StructField("bands", ArrayType(LongType()))])
-    kinds = list(zip(schema.names, [pa.int8(), _arrow(kind), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())], strict=True))
+    schema = StructType([StructField("kind", ByteType()), StructField("doc", kind), StructField("version", LongType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("h", LongType()), StructField("seed", LongType()), StructField("prev", LongType()), StructField("bands", ArrayType(LongType()))])
+    kinds = list(zip(schema.names, [pa.int8(), _arrow(kind), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())], strict=True))
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exclusive("substring dedup", _POWERS.clear)
@@ -259,8 +262,8 @@ def details(df: DataFrame, id_col: str, text_col: str, docs: Broadcast, ends: Br
     and a sketch of them, ``s0`` to ``s3``.
     """
     kind = _key_type(df, id_col)
-    schema = StructType([StructField("kind", ByteType()), StructField("doc", kind), StructField("version", IntegerType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("h", LongType()), StructField("size", IntegerType()), StructField("shingles", ArrayType(LongType())), *[StructField(c, LongType()) for c in SKETCH]])
-    kinds = list(zip(schema.names, [pa.int8(), _arrow(kind), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 4], strict=True))
+    schema = StructType([StructField("kind", ByteType()), StructField("doc", kind), StructField("version", LongType()), StructField("start", IntegerType()), StructField("stop", IntegerType()), StructField("h", LongType()), StructField("size", IntegerType()), StructField("shingles", ArrayType(LongType())), *[StructField(c, LongType()) for c in SKETCH]])
+    kinds = list(zip(schema.names, [pa.int8(), _arrow(kind), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 4], strict=True))
     reach = run - k
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,12 +306,13 @@ def details(df: DataFrame, id_col: str, text_col: str, docs: Broadcast, ends: Br
     return _keyed(df, id_col, text_col).select("doc", "version", "text", "dk").transform(in_arrow, run_, schema)
 
 
-def earlier(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """``doc``, ``version``, ``start``, ``stop`` and ``keeper`` of the rows whose digest a smaller id has too, the smallest being the keeper; and the table of those digests.
+def earlier(rows: DataFrame, name: str, but: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``doc``, ``version``, ``start``, ``stop`` and ``keeper`` of the rows whose digest a smaller id has too, the smallest being the keeper; and the table of those digests, less those of ``but``.
 
     The digests are a table of their own, so that a join of many rows with one of them can be split.
     """
-    repeated = stored(rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper"), name)
+    twice = rows.groupBy("h").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper < last").select("h", "keeper")
+    repeated = stored(twice if but is None else twice.join(but, "h", "left_anti"), name)
     hits = only_passing(rows.select("h", "doc", "version", "start", "stop"), "h", bitmap_of(repeated, "h"))
     return hits.join(repeated, "h").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper"), repeated
 
@@ -389,7 +393,7 @@ def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """What repeats an earlier row: ``doc``, ``version`` and ``found``, an array of (line, start, stop, keeper).
 
-    Those with ``line`` are in a component of near-equal lines; of the others, stretches and windows repeat
+    Those with ``line`` are equal to an earlier line, or in a component of near-equal lines; of the others, stretches and windows repeat
     exactly. The keeper is the smallest id that has them, or a line of the component; it keeps them all.
 
     Every run of ``run_words`` words that two rows share has a chosen window, and from its first
@@ -418,10 +422,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marks.destroy()
     keepers = stored(lines.groupBy("component").agg(F.min("doc").alias("keeper")), "keepers")
     near = lines.join(keepers, "component").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper")
+    same, third = earlier(table.filter(F.col("kind") == LINE), "equal", named)
     (whole, first), (ends, second_) = earlier(stretches, "repeated"), earlier(second.filter(F.col("kind") == WINDOW), "ends")
-    both = whole.union(ends).withColumn("line", F.lit(False)).union(near.withColumn("line", F.lit(True)))
+    both = whole.union(ends).withColumn("line", F.lit(False)).union(near.union(same).withColumn("line", F.lit(True)))
     found = stored(both.groupBy("doc", "version").agg(F.collect_set(F.struct("line", "start", "stop", "keeper")).alias("found")), "found")
-    discard(table, stretches, members, asked, second, links, components, named, lines, keepers, first, second_)
+    discard(table, stretches, members, asked, second, links, components, named, lines, keepers, first, second_, third)
     return found
 
 
@@ -470,17 +475,19 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns ``id_col``, ``text``, ``changed``, ``n_removed_words``, ``spans`` (array of start and stop in
     bytes of the text as it came, words, and keeper, an id) and ``keeper_id`` (of the first span; null
-    if none), and ahead of them the columns named in ``carry``. Two things are removed: lines (paragraphs)
-    of ``least_words`` words or more whose 5-word shingles have a Jaccard similarity of ``similarity`` or
-    more with a line linked to an earlier row; and exact repeats of ``run_words`` words or more, wherever
-    they stand in a line, word for word. Shorter exact repeats stay unless they adjoin others and have as many words
-    together. Repeats within a row stay, as do those between rows of equal id. A null text stays null; null
+    if none), and ahead of them the columns named in ``carry``, which may not be named like these. Two things are removed: lines (paragraphs)
+    of ``least_words`` words or more that equal a line of an earlier row, or whose 5-word shingles have a Jaccard
+    similarity of ``similarity`` or more with a line linked to an earlier row; and exact repeats of ``run_words`` words
+    or more, wherever they stand in a line, word for word. Shorter exact repeats within lines stay unless they adjoin
+    others and have as many words together. Repeats within a row stay, as do those between rows of equal id. A null text stays null; null
     ids count as one smallest id; ids that are no whole numbers are compared as strings; repeated rows are treated
     alike; an empty table gives an empty result. Only texts with something to remove, and few others, are
     shuffled, compressed, to their spans; what leads to those shuffles numbers.
     """
     found = repeated_spans(df, id_col, text_col, similarity, least_words, run_words)
     touched = bitmap_of(found.select(F.xxhash64("doc", "version").alias("rk")), "rk")
+    if clash := {id_col, *SPANS} & {*carry}:
+        raise ValueError(f"columns of the result cannot be carried: {sorted(clash)}")
     rows = _keyed(df, id_col, text_col, F.struct(*[F.col(c) for c in (*carry, id_col)]).alias("__own")).select("__own", "text", "doc", "version", "rk")
     kind = _key_type(df, id_col)
     key = kind.simpleString()
@@ -516,7 +523,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     rest = rows.transform(in_arrow, plain, StructType([StructField("__own", own_type), StructField("text", StringType())]))
     rest = rest.select("__own", "text", F.lit(False).alias("changed"), F.lit(0).cast("long").alias("n_removed_words"), F.array().cast(span).alias("spans"), F.lit(None).cast(kind).alias("keeper_id"))
-    small = rows.transform(in_arrow, packed, StructType([StructField("__own", own_type), StructField("packed", BinaryType()), StructField("doc", kind), StructField("version", IntegerType())]))
+    small = rows.transform(in_arrow, packed, StructType([StructField("__own", own_type), StructField("packed", BinaryType()), StructField("doc", kind), StructField("version", LongType())]))
     joined = small.join(found, ["doc", "version"], "left").select("__own", "packed", "found")
     out = rest.union(joined.transform(in_arrow, cut, schema))
-    return out.select("__own.*", "text", "changed", "n_removed_words", "spans", "keeper_id")
+    return out.select("__own.*", *SPANS)
