@@ -24,7 +24,8 @@ def casefold(value: Column) -> Column:
     one, to, more = _folding()
     folded = F.translate(value, one, to)
     odd = "[" + "".join(more) + "]"
-    long = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(more[c])), more, folded)
+    table = F.create_map(*[F.lit(x) for pair in more.items() for x in pair])  # a constant to the plan: one lookup a character
+    long = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
     return F.translate(F.lower(F.when(value.rlike(odd), long).otherwise(folded)), "ς", "σ")  # lower case knows a final sigma
 
 
@@ -75,6 +76,12 @@ def publication_date(candidates: Sequence[Column]) -> Column:
     return F.coalesce(*candidates, none)
 
 
+def first_date(dates: str) -> Column:
+    """``publication_date`` over an array of structs of ``year``, ``month``, ``day`` and ``medline``, null ones left out."""
+    tried = F.transform(F.filter(dates, lambda d: d.isNotNull()), lambda d: partial_date(d["year"], d["month"], d["day"], d["medline"]))
+    return publication_date([F.get(F.filter(tried, lambda d: d.isNotNull()), F.lit(0))])
+
+
 def matched(patterns: Sequence[str], text: Column) -> Column:
     """The patterns that a text contains, in rule order, without regard to case (FN-05)."""
     return F.array_compact(F.array(*[F.when(text.rlike(f"(?iuU){p}"), F.lit(p)) for p in patterns])) if patterns else F.array().cast("array<string>")

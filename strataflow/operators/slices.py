@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from strataflow.operators.scratch import discard, stored
+
 
 class SliceTooLarge(ValueError):
     """A single day holds more than the limit."""
@@ -60,6 +63,37 @@ def plan_slices_by_count(count: Callable[[date, date], int], start: date, end: d
     return [s for a, b in split(start, end) for s in plan_slices_by_count(count, a, b, most)]
 
 
+def plan_slices_by_level(windows: DataFrame, counts: Callable[[DataFrame], DataFrame], most: int, stuck: bool = True) -> DataFrame:
+    """The same for many windows at once and a source that can only count: one question a level for all of them.
+
+    ``windows`` has ``slice_start``, ``slice_end`` and other columns, which stay; ``counts`` gives a frame of windows back
+    with ``records``, and may add columns. Windows with more than ``most`` records are replaced by their halves, level
+    by level, until none is left: jobs grow with the depth, not with the number of windows. Columns are those
+    of ``counts``, with ``planned_count`` in place of ``records``. Windows that ``counts`` gives no number (null) close
+    as they are. A single day with too many raises ``SliceTooLarge``, or with ``stuck`` False closes with its number.
+    """
+    if most < 1:
+        raise ValueError("the limit must be positive")
+    columns, frontier, levels = windows.columns, windows, []
+    while True:
+        level = stored(counts(frontier), "frontier")
+        large = level.filter(F.col("records") > most)
+        days = large.filter("slice_start = slice_end").limit(5).collect()
+        if days and stuck:
+            raise SliceTooLarge("; ".join(f"{r['records']} rows on {r['slice_start']}, more than {most}" for r in days))
+        large = large.filter("slice_start < slice_end")
+        levels.append(level)
+        if not large.limit(1).count():
+            break
+        middle = F.date_add("slice_start", F.floor(F.datediff("slice_end", "slice_start") / 2).cast("int"))
+        halves = F.explode(F.array(F.struct(F.col("slice_start").alias("a"), middle.alias("z")), F.struct(F.date_add(middle, 1).alias("a"), F.col("slice_end").alias("z"))))
+        frontier = large.withColumn("__half", halves).withColumns({"slice_start": F.col("__half.a"), "slice_end": F.col("__half.z")}).select(*columns)
+    closed = reduce(DataFrame.unionByName, [level.filter(F.col("records").isNull() | (F.col("records") <= most) | F.col("slice_start").eqNullSafe(F.col("slice_end"))) for level in levels])
+    plan = stored(closed.withColumnRenamed("records", "planned_count"), "plan")
+    discard(*levels)
+    return plan
+
+
 def in_slices(df: DataFrame, day: str, key: str, slices: DataFrame) -> DataFrame:
     """Rows with the slice their day falls in (JOIN-08): days are enumerated, and the join is an equality."""
     days = slices.select(F.col(key), "slice_start", "slice_end", F.explode(F.sequence("slice_start", "slice_end")).alias("__day"))

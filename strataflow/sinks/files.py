@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 CODE = Path(__file__).resolve().parents[2]
 
@@ -52,12 +57,62 @@ def export_lines(df: DataFrame, path: str | Path, order: Iterable) -> int:
     return n
 
 
-def write_batch(folder: str | Path, run_id: str, start: int, content: bytes) -> Path:
-    """A raw page, written once."""
-    out = outside_code(folder) / run_id / f"batch_{start:08d}.xml"
-    if out.exists():
-        raise FileExistsError(out)
-    return publish(out, content)
+def folder_uri(path: str | Path) -> str:
+    """A folder as all executors name it; a local one outside the code."""
+    return str(path).rstrip("/") if "://" in str(path) else outside_code(path).as_uri()
+
+
+def write_pages(pages: DataFrame, folder: str | Path, flaw: Callable[[bytes], str | None] = lambda content: None) -> DataFrame:
+    """Executors write the ``content`` of pages (run_id, retstart, error and others) to files and give its place in return.
+
+    ``path``, ``byte_size`` and ``sha256`` replace ``content``; pages with an ``error`` stay without, and a page that has a
+    ``flaw`` is written and gets it as its error. A file's name has the digest of what is in it, and it appears by a rename:
+    a task that runs again, or twice at once, leaves files that no row names if it got other pages, and the same
+    ones otherwise. Which files count is said by the rows alone, which the caller has to store: Spark commits those of
+    one attempt of each task. Any file system that Arrow knows will do.
+    """
+    root = folder_uri(folder)
+    rest = [f for f in pages.schema if f.name not in ("content", "error")]
+    schema = StructType([*rest, StructField("path", StringType()), StructField("byte_size", LongType()), StructField("sha256", StringType()), StructField("error", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            made = []
+            for run_id, at, content, error in zip(*(batch.column(c).to_pylist() for c in ("run_id", "retstart", "content", "error")), strict=True):
+                if content is None:
+                    made.append((None, None, None, error))
+                    continue
+                digest = hashlib.sha256(content).hexdigest()
+                name = f"{run_id}/batch_{at:08d}-{digest[:16]}.xml"
+                if system.get_file_info(f"{base}/{name}").type == fs.FileType.NotFound:
+                    system.create_dir(f"{base}/{run_id}", recursive=True)
+                    partial = f"{base}/{run_id}/{uuid.uuid4().hex}.partial"
+                    with system.open_output_stream(partial) as out:
+                        out.write(content)
+                    system.move(partial, f"{base}/{name}")
+                made.append((f"{root}/{name}", len(content), digest, error or flaw(content)))
+            columns = [pa.array([m[k] for m in made], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *columns], names=schema.names)
+
+    return pages.mapInArrow(run, schema)
+
+
+def read_written(ledger: DataFrame) -> DataFrame:
+    """The ledger's rows with the ``content`` of their files; a file that is gone, or is not what was written, raises."""
+    names = [c for c in ledger.columns if c not in ("path", "byte_size", "sha256")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (path, digest) in enumerate(zip(batch.column("path").to_pylist(), batch.column("sha256").to_pylist(), strict=True)):
+                system, at = fs.FileSystem.from_uri(path)
+                with system.open_input_stream(at) as f:
+                    content = f.read()
+                if hashlib.sha256(content).hexdigest() != digest:
+                    raise ValueError(f"{path} has changed since it was written")
+                yield pa.RecordBatch.from_arrays([*(batch.column(n).slice(i, 1) for n in names), pa.array([content], pa.binary())], names=[*names, "content"])
+
+    return ledger.mapInArrow(run, StructType([*(ledger.schema[n] for n in names), StructField("content", BinaryType())]))
 
 
 def export_report(report: dict, path: str | Path) -> Path:

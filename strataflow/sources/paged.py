@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import json
 import time
 import urllib.error
@@ -31,9 +32,14 @@ class Window:
 
 
 class Source(Protocol):
-    def count(self, window: Window) -> int: ...
+    """What counts and fetches. ``handle`` is what ``opened`` gave, if the source keeps results between requests.
 
-    def pages(self, window: Window, size: int) -> Iterator[tuple[int, bytes]]: ...
+    A source whose requests are limited has ``lane(n)`` too: a client with an n-th of the rate, for one of n tasks.
+    """
+
+    def opened(self, window: Window) -> tuple[int, str | None]: ...
+
+    def page(self, window: Window, at: int, size: int, handle: str | None = None) -> bytes: ...
 
 
 class Snapshot:
@@ -48,6 +54,15 @@ class Snapshot:
     def count(self, window: Window) -> int:
         return self.select(window).count()
 
+    def counts(self, windows: DataFrame) -> DataFrame:
+        """``windows`` (title, slice_start, slice_end) with ``records``, the members of each, all in one plan.
+
+        A day's records are counted once and a window sums its days: no record is joined.
+        """
+        daily = self.records.groupBy(F.col(self.title).alias("title"), F.col(self.day).alias("__day")).agg(F.count("*").alias("__n"))
+        days = windows.withColumn("__day", F.explode(F.sequence("slice_start", "slice_end")))
+        return days.join(daily, ["title", "__day"], "left").groupBy(*windows.columns).agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("records"))
+
     def numbered(self, windows: DataFrame) -> DataFrame:
         """Members of all windows (title, slice_start, slice_end, run_id) at once, for planned backfills."""
         days = windows.select("run_id", F.col("title").alias(self.title), F.explode(F.sequence("slice_start", "slice_end")).alias(self.day))
@@ -57,8 +72,8 @@ class Snapshot:
 class Remote:
     """The public e-utilities API: history queries, rate limit, retries.
 
-    One client serves one task: the limit on requests is per client. Live calls need a network; the
-    transport is a parameter, and tests put a fake in its place.
+    The limit on requests is per client; ``lane`` gives each of several tasks its share. Live calls need a
+    network; the transport is a parameter, and tests put a fake in its place.
     """
 
     BASE = "https://eutils.ncbi.nlm.nih.gov/entrez/eutils"
@@ -90,16 +105,28 @@ class Remote:
                 self.sleep(min(2**attempt, 30))
         raise AssertionError
 
-    def history(self, window: Window) -> tuple[int, str, str]:
+    def lane(self, lanes: int) -> Remote:
+        """A client for one of ``lanes`` tasks that ask at the same time: together they keep to the limit."""
+        one = copy.copy(self)
+        one.gap = self.gap * lanes
+        return one
+
+    def opened(self, window: Window) -> tuple[int, str | None]:
         got = json.loads(self.call("esearch.fcgi", db="pubmed", term=window.query(), usehistory="y", retmax=0, retmode="json"))["esearchresult"]
-        return int(got["count"]), got["querykey"], got["webenv"]
+        return int(got["count"]), f"{got['querykey']} {got['webenv']}"
 
     def count(self, window: Window) -> int:
-        return self.history(window)[0]
+        return self.opened(window)[0]
+
+    def page(self, window: Window, at: int, size: int, handle: str | None = None) -> bytes:
+        if not 1 <= size <= 1000:
+            raise ValueError("a page holds 1 to 1000 records")
+        key, env = (handle or self.opened(window)[1]).split(" ", 1)
+        return self.call("efetch.fcgi", db="pubmed", query_key=key, WebEnv=env, retstart=at, retmax=size, retmode="xml")
 
     def pages(self, window: Window, size: int = 200) -> Iterator[tuple[int, bytes]]:
         if not 1 <= size <= 1000:
             raise ValueError("a page holds 1 to 1000 records")
-        total, key, env = self.history(window)
+        total, handle = self.opened(window)
         for at in range(0, total, size):
-            yield at, self.call("efetch.fcgi", db="pubmed", query_key=key, WebEnv=env, retstart=at, retmax=size, retmode="xml")
+            yield at, self.page(window, at, size, handle)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflow.functions.scalars import normalize_doi, partial_date, publication_date
+from strataflow.functions.scalars import first_date, normalize_doi
 from strataflow.schemas import AUTHOR, RECORD
 
 _DATE = "struct<year:string,month:string,day:string,medline:string>"
@@ -57,24 +57,24 @@ def _record(item: ET.Element) -> dict | None:
     }
 
 
-def parse_records(files: DataFrame, content: str = "content", batch: str | None = None) -> DataFrame:
+def parse_records(files: DataFrame, content: str = "content", batch: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Records of XML documents in a binary column; those without an id are left out.
 
     With ``batch``, a column of numbers, each record has its document's as ``batch`` and its own in the
-    document, from 1, as ``place``.
+    document, from 1, as ``place``. Columns named in ``carry`` go with every record of their document.
 
     The tree is read in Python, since Spark's XML functions lose text around inline markup; identifiers
     and dates are normalised by column functions behind it. A document that is no XML fails the job.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["pmid", "raw_doi", "source_journal_title", "dates", "title", "abstract", "article_types", "authors", "mesh_terms", *(["batch", "place"] if batch else [])]
+        names = ["pmid", "raw_doi", "source_journal_title", "dates", "title", "abstract", "article_types", "authors", "mesh_terms", *(["batch", "place"] if batch else []), *carry]
         made: list[dict] = []
         for pdf in frames:
-            for raw, number in zip(pdf[content], pdf[batch] if batch else pdf[content], strict=True):
+            for raw, number, *own in zip(pdf[content], pdf[batch] if batch else pdf[content], *(pdf[c] for c in carry), strict=True):
                 rows = [r for item in ET.fromstring(bytes(raw)).iterfind(".//PubmedArticle") if (r := _record(item))]
                 for place, r in enumerate(rows, 1):
-                    r |= {"batch": number, "place": place}
+                    r |= {"batch": number, "place": place, **dict(zip(carry, own, strict=True))}
                     r["authors"] = [{k: a.get(k) for k in ("last", "fore", "initials", "orcid", "collective")} for a in r["authors"]]
                 made += rows
                 if len(made) >= FRAME_ROWS:  # small documents share a frame
@@ -83,11 +83,20 @@ def parse_records(files: DataFrame, content: str = "content", batch: str | None
         if made:
             yield pd.DataFrame(made, columns=names)
 
-    rows = files.select(content, *([batch] if batch else [])).mapInPandas(run, _RAW + (", batch bigint, place bigint" if batch else ""))
-    tried = [F.when(F.get("dates", F.lit(i)).isNotNull(), partial_date(*[F.get("dates", F.lit(i))[f] for f in ("year", "month", "day", "medline")])) for i in range(len(_DATES))]
-    dated = rows.withColumn("d", publication_date(tried))
+    kinds = "".join(f", `{c}` {files.schema[c].dataType.simpleString()}" for c in carry)
+    rows = files.select(content, *([batch] if batch else []), *carry).mapInPandas(run, _RAW + (", batch bigint, place bigint" if batch else "") + kinds)
+    dated = rows.withColumn("d", first_date("dates"))  # each date's expressions stand in the plan once
     fields = {"doi": normalize_doi(F.col("raw_doi")), "publication_date": F.col("d.value"), "publication_date_precision": F.col("d.precision"), "publication_year": F.col("d.year")}
-    return dated.select(*[fields[c].alias(c) if c in fields else F.col(c) for c in [f.split(" ")[0] for f in _fields(RECORD)]], *(["batch", "place"] if batch else []))
+    return dated.select(*[fields[c].alias(c) if c in fields else F.col(c) for c in [f.split(" ")[0] for f in _fields(RECORD)]], *(["batch", "place"] if batch else []), *carry)
+
+
+def flaw_of(content: bytes) -> str | None:
+    """What keeps a document from being parsed."""
+    try:
+        ET.fromstring(content)
+    except ET.ParseError as exc:
+        return f"no XML: {exc}"
+    return None
 
 
 def _fields(ddl: str) -> list[str]:

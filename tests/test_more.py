@@ -1,19 +1,20 @@
 """Checks of packets against the store, imports, sources, samples and sinks beyond those of single functions."""
 
 import json
-from datetime import date
+import time
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from strataflow.functions import scalars
 from strataflow.functions.record_rules import broken_rule, column_rules
-from strataflow.operators import batches, coverage, sample, stats
+from strataflow.operators import batches, coverage, sample, slices, stats
 from strataflow.plans import packets
 from strataflow.plans.store import ConcurrentChange, Store
 from strataflow.schemas import TABLES
 from strataflow.sources import introspect, paged_source
-from strataflow.sources.paged import Window
+from strataflow.sources.paged import Remote, Snapshot, Window
 from strataflow.sources.xml_records import _fields
 
 RECORD = {"pmid": "1", "disease": "cancer", "study": "review", "primary_contribution": "other", "data_modalities": ["scRNA"], "computational_centrality": 2, "new_experimental_data": "none", "public_data_reuse": "minor", "relevance": "NO", "confidence": 0.5, "rationale": "why", "model": "m", "prompt_version": "v1", "screened_at": "2026-09-01T00:00:00Z"}
@@ -170,21 +171,70 @@ def test_table_layouts(spark):
 class Client:
     """Pages of a window without a network."""
 
-    def count(self, window):
-        return (window.end - window.start).days + 1
+    def opened(self, window):
+        return (window.end - window.start).days + 1, window.title.lower()
 
-    def pages(self, window, size):
-        for at in range(0, self.count(window), size):
-            yield at, f"{window.title} {at}".encode()
+    def page(self, window, at, size, handle=None):
+        return f"{window.title} {handle} {at}".encode()
 
 
-def test_windows_are_partitions_of_a_source(spark):
+def test_pages_are_dealt_to_lanes_of_a_source(spark):
     windows = [Window("A", date(2023, 1, 1), date(2023, 1, 5)), Window("B", date(2023, 1, 1), date(2023, 1, 2))]
     counts = paged_source.read_windows(spark, windows, "count", client="tests.test_more:Client")
     assert sorted((r["title"], r["records"]) for r in counts.collect()) == [("A", 5), ("B", 2)]
-    pages = paged_source.read_windows(spark, windows, size=2, client="tests.test_more:Client")
-    assert pages.rdd.getNumPartitions() == 2
-    assert sorted((r["title"], r["retstart"], bytes(r["content"])) for r in pages.collect()) == [("A", 0, b"A 0"), ("A", 2, b"A 2"), ("A", 4, b"A 4"), ("B", 0, b"B 0")]
+    pages = paged_source.read_windows(spark, windows, size=2, lanes=3, client="tests.test_more:Client")
+    assert pages.rdd.getNumPartitions() == 3
+    want = [("A", 0, b"A a 0"), ("A", 2, b"A a 2"), ("A", 4, b"A a 4"), ("B", 0, b"B b 0")]
+    assert sorted((r["title"], r["retstart"], bytes(r["content"])) for r in pages.collect()) == want
+    frame = spark.createDataFrame([(w.title, w.start, w.end) for w in windows] + [("C", date(2023, 1, 2), date(2023, 1, 1))], "title string, slice_start date, slice_end date")
+    asked = paged_source.page_requests(paged_source.read_counts(frame, Client(), 2).drop("error"), 2)
+    got = paged_source.read_pages(asked, Client(), 2, 2)
+    assert got.rdd.getNumPartitions() == 2 and sorted((r["title"], r["retstart"], bytes(r["content"])) for r in got.collect()) == want
+    with pytest.raises(ValueError):
+        paged_source.page_requests(frame, 0)
+
+
+def logged_send(url, body, timeout):
+    """A transport that writes down when it was asked, in the folder that the contact address names."""
+    import urllib.parse
+
+    asked = urllib.parse.parse_qs(body.decode())
+    with open(asked["email"][0].split("@")[1], "a") as f:
+        f.write(f"{time.time()}\n")
+    return json.dumps({"esearchresult": {"count": "9", "querykey": "1", "webenv": "w x"}}).encode() if "esearch" in url else f"{asked['retstart'][0]} {asked['WebEnv'][0]}".encode()
+
+
+def test_lanes_keep_to_the_rate_of_the_source_together(spark, tmp_path):
+    source = Remote(f"a@{tmp_path / 'log'}", send=logged_send)
+    source.gap = 0.05
+    windows = [Window(t, date(2023, 1, 1), date(2023, 1, 5)) for t in "ABCD"]
+    frame = spark.createDataFrame([(w.title, w.start, w.end) for w in windows], "title string, slice_start date, slice_end date")
+    counted = paged_source.read_counts(frame, source, 4).drop("error").cache()
+    got = paged_source.read_pages(paged_source.page_requests(counted, 2), source, 2, 4).collect()
+    at = sorted(float(x) for x in (tmp_path / "log").read_text().split())
+    assert len(at) == 4 + 4 * 5
+    assert all(b - a >= 4 * 0.05 - 0.02 for a, b in zip(at[4:], at[8:], strict=False))  # of five requests the last is four shares behind the first
+    want = [(w.title, n, c) for w in windows for n, c in Remote(f"a@{tmp_path / 'other'}", send=logged_send, sleep=lambda s: None).pages(w, 2)]
+    assert sorted((r["title"], r["retstart"], bytes(r["content"])) for r in got) == want
+    assert not [r for r in got if r["error"]]
+
+
+def test_windows_are_counted_and_halved_together(spark):
+    days = [("x", date(2020, 1, 1) + timedelta(days=i * 7 % 200)) for i in range(300)] + [("y", date(2020, 3, 1))] * 3
+    records = spark.createDataFrame([(t, d, str(i)) for i, (t, d) in enumerate(days)], "journal string, day date, pmid string")
+    bounds = (date(2020, 1, 1), date(2020, 12, 31))
+    windows = spark.createDataFrame([(t, *bounds) for t in "xyz"], "title string, slice_start date, slice_end date")
+    asked = []
+
+    def counts(frontier):
+        asked.append(frontier.count())
+        return Snapshot(records).counts(frontier)
+
+    got = {tuple(r) for r in slices.plan_slices_by_level(windows, counts, 20).select("title", "slice_start", "slice_end", "planned_count").collect()}
+    assert got == {(t, *s) for t in "xyz" for s in slices.plan_slices_by_count(lambda a, z: sum(k == t and a <= d <= z for k, d in days), *bounds, 20)}  # noqa: B023
+    assert asked[0] == 3 and len(asked) <= 10
+    with pytest.raises(slices.SliceTooLarge, match="3 rows on 2020-03-01, more than 2"):
+        slices.plan_slices_by_level(windows.filter("title = 'y'"), Snapshot(records).counts, 2)
 
 
 def test_a_store_writes_what_comes_and_reads_the_latest(spark, tmp_path, monkeypatch):

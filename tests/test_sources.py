@@ -94,7 +94,3 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2, "ü", None), (1, "a", "x")], "n int, t string, o string")
     assert files.export_lines(df, tmp_path / "q.jsonl", ["n"]) == 2
     assert (tmp_path / "q.jsonl").read_text().splitlines()[1] == '{"n": 2, "o": null, "t": "ü"}'
-    files.write_batch(tmp_path, "run", 200, b"x")
-    assert (tmp_path / "run" / "batch_00000200.xml").read_bytes() == b"x" and not list(tmp_path.rglob("*.partial"))
-    with pytest.raises(FileExistsError):
-        files.write_batch(tmp_path, "run", 200, b"x")
