@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -65,15 +66,29 @@ def registry_check(registry: DataFrame, hits: DataFrame, key: str = "key") -> Da
     return registry.join(counts, key, "left").withColumn("hit_count", F.coalesce("hit_count", F.lit(0))).withColumn("valid", F.col("hit_count") > 0)
 
 
-def coverage_report(summary: DataFrame, journals: DataFrame, checks: DataFrame, slices: DataFrame) -> dict:
-    """The report object: the summary and four ordered lists, each bounded by journals * years or slices (AGG-10)."""
+def report_rows(journals: DataFrame, checks: DataFrame, slices: DataFrame, key: str = "journal_key") -> DataFrame:
+    """A row per journal: its state, and ``annual_coverage``, ``full_window_coverage`` and ``slices`` as ordered arrays of structs (AGG-10).
+
+    The four sections are dealt by key once and gathered by partial aggregates; what a journal gathers is bounded by its
+    years and slices. A journal that only one section has still has a row, with empty arrays for the others.
+    """
+    sections = {"annual_coverage": (checks.filter("scope = 'annual'").drop("scope"), "period_start"), "full_window_coverage": (checks.filter("scope = 'full_window'").drop("scope"), "period_start"), "slices": (slices, "slice_start")}
+    state = F.struct(*[c for c in journals.columns if c != key])
+    parts = [journals.select(key, state.alias("journal"))]
+    for name, (df, order) in sections.items():
+        rest = [c for c in df.columns if c not in (key, order)]
+        parts.append(df.select(key, F.struct(order, *rest).alias(name)))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.groupBy(key).agg(F.first("journal", ignorenulls=True).alias("journal"), *[F.array_sort(F.collect_list(name)).alias(name) for name in sections])
 
-    def rows(df: DataFrame, *order: str) -> list[dict]:
-        return [r.asDict(recursive=True) for r in df.orderBy(*order).toLocalIterator()]
 
-    out = summary.first().asDict()
-    out["journals"] = rows(journals, "journal_key")
-    out["annual_coverage"] = rows(checks.filter("scope = 'annual'").drop("scope"), "journal_key", "period_start")
-    out["full_window_coverage"] = rows(checks.filter("scope = 'full_window'").drop("scope"), "journal_key")
-    out["slices"] = rows(slices, "journal_key", "slice_start")
+def coverage_report(summary: DataFrame, journals: DataFrame, checks: DataFrame, slices: DataFrame) -> dict:
+    """The report object (SNK-04): the summary, and four ordered lists out of the rows of ``report_rows``, which come one after the other."""
+    out = summary.first().asDict() | {"journals": [], "annual_coverage": [], "full_window_coverage": [], "slices": []}
+    for row in report_rows(journals, checks, slices).orderBy("journal_key").toLocalIterator(prefetchPartitions=True):
+        one = row.asDict(recursive=True)
+        if one["journal"] is not None:
+            out["journals"].append({"journal_key": one["journal_key"], **one["journal"]})
+        for section in ("annual_coverage", "full_window_coverage", "slices"):
+            out[section] += [{"journal_key": one["journal_key"], **r} for r in one[section]]
     return out

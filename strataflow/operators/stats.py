@@ -63,16 +63,48 @@ def exact_interval(k: int, n: int, level: float = 0.95) -> tuple[float, float]:
     return lower, upper
 
 
-def stratum_recall(cells: DataFrame, stratum: str, least: int = 20) -> DataFrame:
-    """Recall per stratum where there are ``least`` positives, else marked as underpowered, with an exact interval (STA-04)."""
+def log_binomial_tail(k: Column, n: Column, p: Column) -> Column:
+    """Logarithm of the chance of k or more successes of n (0 < k <= n, 0 < p < 1), as a column.
+
+    The terms are gone through as logarithms, each from the one before, and summed with the largest taken out: nothing is lost to
+    underflow, whichever side of the mean k is on.
+    """
+    one = F.lit(1.0)
+    whole = F.aggregate(F.sequence(F.lit(1).cast("long"), k), F.lit(0.0), lambda a, j: a + F.log((n - k + j) / j))
+    first = whole + k * F.log(p) + (n - k) * F.log1p(-p)
+    odds = F.log(p) - F.log1p(-p)
+
+    def step(s: Column, i: Column) -> Column:
+        term = s["term"] + F.log((n - i + 1) / i) + odds
+        top = F.greatest(s["top"], term)
+        return F.struct(term.alias("term"), top.alias("top"), (s["sum"] * F.exp(s["top"] - top) + F.exp(term - top)).alias("sum"))
+
+    rest = F.when(k < n, F.sequence(k + 1, n)).otherwise(F.array().cast("array<bigint>"))
+    return F.aggregate(rest, F.struct(first.alias("term"), first.alias("top"), one.alias("sum")), step, lambda s: s["top"] + F.log(s["sum"]))
+
 
-    @F.pandas_udf("lower double, upper double")
-    def interval(k: pd.Series, n: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([[round(x, 6) for x in exact_interval(int(a), int(b))] for a, b in zip(k, n, strict=True)], columns=["lower", "upper"])
+def interval_columns(k: Column, n: Column, level: float = 0.95, rounds: int = 60) -> tuple[Column, Column]:
+    """``exact_interval`` of longs as columns, by bisection on the binomial tail: no Python worker."""
+    alpha = (1 - level) / 2
+
+    def solve(at: Column, limit: float, below: bool) -> Column:
+        def halve(s: Column, _: Column) -> Column:
+            mid = (s["low"] + s["high"]) / 2
+            tail = log_binomial_tail(at, n, mid)
+            up = tail < math.log(limit) if below else tail < math.log1p(-limit)
+            return F.struct(F.when(up, mid).otherwise(s["low"]).alias("low"), F.when(up, s["high"]).otherwise(mid).alias("high"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high")), halve, lambda s: (s["low"] + s["high"]) / 2)
+
+    k, n = k.cast("long"), n.cast("long")
+    return F.when(k == 0, 0.0).otherwise(solve(k, alpha, True)), F.when(k == n, 1.0).otherwise(solve(k + 1, alpha, False))
 
-    positives = F.col("tp") + F.col("fn")
-    out = cells.select(stratum, positives.alias("positives"), F.when(positives >= least, ratio(F.col("tp"), positives)).alias("recall"), (positives < least).alias("underpowered"), interval(F.col("tp"), positives).alias("i"))
-    return out.select(stratum, "positives", "recall", "underpowered", F.col("i.lower").alias("lower"), F.col("i.upper").alias("upper"))
+
+def stratum_recall(cells: DataFrame, stratum: str, least: int = 20) -> DataFrame:
+    """Recall per stratum where there are ``least`` positives, else marked as underpowered, with an exact interval (STA-04)."""
+    counted = cells.select(stratum, F.col("tp").cast("long").alias("tp"), (F.col("tp") + F.col("fn")).cast("long").alias("positives"))
+    lower, upper = interval_columns(F.col("tp"), F.col("positives"))
+    return counted.select(stratum, "positives", F.when(F.col("positives") >= least, ratio(F.col("tp"), F.col("positives"))).alias("recall"), (F.col("positives") < least).alias("underpowered"), F.round(lower, 6).alias("lower"), F.round(upper, 6).alias("upper"))
 
 
 def bootstrap_recall(cells: DataFrame, sizes: DataFrame, stratum: str, replicates: int, seed: int) -> DataFrame:

@@ -14,15 +14,16 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflow.functions.scalars import batch_id, collapse_space, hash_rank, midpoint, normalize_doi, partial_date, year_bounds, years_between
+from strataflow.functions.scalars import batch_id, collapse_space, coverage_status, hash_rank, midpoint, normalize_doi, partial_date, year_bounds, years_between
 from strataflow.functions.vocabularies import FULL_TEXT_STATUSES, MODALITIES, RECORD_ENUMS
-from strataflow.operators import batches, coverage, latest, sample, screen, slices, stats, upsert, validate
+from strataflow.operators import batches, coverage, latest, sample, screen, slices, stats, transitions, upsert, validate
 from strataflow.operators.scratch import shared_dir, stored
 from strataflow.operators.screen import RulePack
 from strataflow.schemas import checks
 from strataflow.sources.config import Journal, Registry
 from strataflow.sources.introspect import table_info as info_of
 from strataflow.sources.jsonl import read_records
+from strataflow.sources.paged import Snapshot
 from strataflow.sources.xml_records import parse_records
 
 GUARD, TAIL = r"(^|[^\p{L}\p{N}_])", r"([^\p{L}\p{N}_]|$)"
@@ -205,6 +206,25 @@ def backfill_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.backfill_summary(run, journals, *year_slices(spark, sf_dir), annual.select(F.lit("annual").alias("scope"), "status").union(full))
 
 
+@query(f"""WITH {COVERAGE}, {MEMBERS}, a AS (SELECT priority, string_agg(concat_ws('/', year, expected_count, observed_count, status), ';' ORDER BY year) AS annual, CASE WHEN bool_and(status = 'match') THEN 'complete' ELSE 'failed' END AS state FROM k GROUP BY priority),
+f AS (SELECT priority, concat_ws('/', sum(expected_count), sum(observed_count), CASE WHEN sum(expected_count) = sum(observed_count) THEN 'match' ELSE 'discrepancy' END) AS full_window FROM k GROUP BY priority),
+yearly AS (SELECT o_orderpriority AS priority, year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY ALL), sl AS (SELECT priority, string_agg(year || ':' || n, ';' ORDER BY year) AS slices FROM yearly GROUP BY priority)
+SELECT a.priority, a.state, a.annual, f.full_window, sl.slices FROM a JOIN f USING (priority) JOIN sl USING (priority)""")
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-10, SNK-04: a row per priority with its state and its years, full window and slices as ordered lists, here written as text."""
+    annual = stored(coverage_checks(spark, sf_dir), "checks")
+    journals = annual.groupBy(F.col("priority").alias("journal_key")).agg(F.when(F.count_if(F.col("status") == "discrepancy") == 0, "complete").otherwise("failed").alias("status"))
+    yearly = annual.select(F.col("priority").alias("journal_key"), F.lit("annual").alias("scope"), F.col("year").alias("period_start"), "expected_count", "observed_count", "status")
+    whole = annual.groupBy(F.col("priority").alias("journal_key")).agg(F.sum("expected_count").alias("expected_count"), F.sum("observed_count").alias("observed_count"))
+    whole = whole.select("journal_key", F.lit("full_window").alias("scope"), F.lit(0).alias("period_start"), "expected_count", "observed_count", coverage_status(F.col("expected_count"), F.col("observed_count")).alias("status"))
+    parts = universe(spark, sf_dir).groupBy(F.col("priority").alias("journal_key"), F.year("day").alias("slice_start")).agg(F.count("*").alias("planned_count"))
+    rows = coverage.report_rows(journals, yearly.unionByName(whole), parts)
+    said = lambda c, *f: F.array_join(F.transform(c, lambda x: F.concat_ws("/", *[x[k].cast("string") for k in f])), ";")
+    counts = ("expected_count", "observed_count", "status")
+    listed = F.array_join(F.transform("slices", lambda x: F.concat_ws(":", x["slice_start"].cast("string"), x["planned_count"].cast("string"))), ";")
+    return rows.select(F.col("journal_key").alias("priority"), F.col("journal.status").alias("state"), said("annual_coverage", "period_start", *counts).alias("annual"), said("full_window_coverage", *counts).alias("full_window"), listed.alias("slices"))
+
+
 FIRST, LAST, MOST = date(1995, 1, 1), date(2001, 12, 31), 1000
 
 
@@ -238,6 +258,14 @@ def slice_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(plan.join(inside, ["priority", "slice_start", "slice_end"]))
 
 
+@query(DATE_SLICES)
+def level_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PLN-02: the same slices from a source that can only count, asked once a level for all priorities."""
+    source = Snapshot(universe(spark, sf_dir), "priority", "day")
+    windows = universe(spark, sf_dir).select(F.col("priority").alias("title")).distinct().select("title", F.lit(FIRST).alias("slice_start"), F.lit(LAST).alias("slice_end"))
+    return as_text(slices.plan_slices_by_level(windows, source.counts, MOST).withColumnRenamed("title", "priority"))
+
+
 @query("SELECT user_id, arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event, arg_max(event_type, (ts, event_id)) AS event_type, round(arg_max(coalesce(value, -1), (ts, event_id)), 6) AS value FROM events GROUP BY user_id")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS-01, UPS-03, UPS-04: a log put over the first row of each key; first seen stays, all else is the last, nulls included."""
@@ -246,6 +274,22 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.upsert(target, log, ["user_id"], [F.desc("ts"), F.desc("last_event")], keep=["first_event"]).select("user_id", "first_event", "last_event", "event_type", F.round("value", 6).alias("value"))
 
 
+#: How a user's log may go on: what is signed up or in error begins anew, a purchase follows a click or another purchase.
+STEPS = (
+    (None, "signup"), (None, "view"), ("signup", "view"), ("signup", "click"), ("view", "view"), ("view", "click"), ("click", "view"), ("click", "click"),
+    ("click", "purchase"), ("purchase", "purchase"), ("purchase", "view"), *((x, "error") for x in ("signup", "view", "click", "purchase")), ("error", "view"), ("error", "signup"),
+)
+
+
+@query(f"""WITH steps(a, b) AS (VALUES {', '.join("(" + ("NULL" if a is None else repr(a)) + f", {b!r})" for a, b in STEPS)}),
+e AS (SELECT event_id, user_id, event_type, lag(event_type) OVER w AS previous, row_number() OVER w = 1 AS is_first FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, user_id, event_type, previous FROM e WHERE NOT EXISTS (SELECT 1 FROM steps WHERE b = event_type AND CASE WHEN is_first THEN a IS NULL ELSE a = previous END)""")
+def illegal_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UPS-11: every event of a user that may not follow the one before it."""
+    log = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return transitions.illegal_transitions(log, ["user_id"], ["ts", "event_id"], "event_type", STEPS).drop("ts")
+
+
 @query("SELECT user_id, arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event FROM events GROUP BY user_id")
 def log_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS-10: the same end state from the log alone, by one aggregate."""
@@ -572,9 +616,18 @@ def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(batch_id(F.lit("s"), F.lit("v1"), F.transform("x", lambda v: v.cast("string"))).alias("batch_id"), "l_orderkey")
 
 
-@query()
+def _tail(at: str, p: str) -> str:
+    """Chance of ``at`` or more successes of n, in SQL."""
+    return f"list_sum(list_transform(range({at}, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p}))))"
+
+
+@query(f"""WITH RECURSIVE {CELLS.removeprefix('WITH ')}, x AS (SELECT lang, tp AS k, tp + fn AS n FROM c),
+b AS (SELECT lang, k, n, 0 AS step, 0.0::DOUBLE AS l1, 1.0::DOUBLE AS l2, 0.0::DOUBLE AS u1, 1.0::DOUBLE AS u2 FROM x
+UNION ALL SELECT lang, k, n, step + 1, CASE WHEN lo < 0.025 THEN (l1 + l2) / 2 ELSE l1 END, CASE WHEN lo < 0.025 THEN l2 ELSE (l1 + l2) / 2 END, CASE WHEN hi < 0.975 THEN (u1 + u2) / 2 ELSE u1 END, CASE WHEN hi < 0.975 THEN u2 ELSE (u1 + u2) / 2 END
+FROM (SELECT *, {_tail("k", "((l1 + l2) / 2)")} AS lo, {_tail("k + 1", "((u1 + u2) / 2)")} AS hi FROM b WHERE step < 50))
+SELECT lang, n AS positives, CASE WHEN n >= 20 THEN round(k::DOUBLE / n, 6) END AS recall, n < 20 AS underpowered, round(CASE WHEN k = 0 THEN 0 ELSE (l1 + l2) / 2 END, 6) AS lower, round(CASE WHEN k = n THEN 1 ELSE (u1 + u2) / 2 END, 6) AS upper FROM b WHERE step = 50""")
 def exact_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA-04: no SQL has the beta quantile; tested against closed forms."""
+    """STA-04: Clopper-Pearson intervals in column functions; in SQL by a recursive query."""
     return stats.stratum_recall(cells(spark, sf_dir), "lang")
 
 

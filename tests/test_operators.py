@@ -145,6 +145,14 @@ def test_sets_and_constraints(spark):
     assert rows(validate.broken_constraints(b, {"small": F.col("x") < 2}, ["x"])) == [(2, ["small"])]
 
 
+def test_interval_columns_equal_the_interval(spark):
+    cases = [(0, 0), (0, 1), (1, 1), (0, 10), (3, 10), (10, 10), (1, 1000), (700, 1000), (999, 1000), (2500, 5000)]
+    lower, upper = stats.interval_columns(F.col("k"), F.col("n"))
+    got = spark.createDataFrame(cases, "k long, n long").select("k", "n", lower.alias("lower"), upper.alias("upper")).collect()
+    for r in got:
+        assert (r["lower"], r["upper"]) == pytest.approx(stats.exact_interval(r["k"], r["n"]), abs=1e-9), (r["k"], r["n"])
+
+
 def test_statistics(spark):
     lower, upper = stats.exact_interval(0, 10)
     assert lower == 0 and abs(upper - (1 - 0.025 ** (1 / 10))) < 1e-9

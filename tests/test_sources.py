@@ -50,6 +50,45 @@ def test_jsonl_files(spark, tmp_path):
     assert jsonl.read_records(spark, str(tmp_path / "x.jsonl"), provenance=False, skip_blank=False).count() == 4
 
 
+def test_a_file_of_lines_is_read_by_several_tasks(spark, tmp_path):
+    """Numbers and errors are those of the file read from its beginning, wherever it is split."""
+    good = json.dumps(RECORD | {"rationale": "größer \u2028 \x0b " + "x" * 70}, ensure_ascii=False)
+    texts = {
+        "a.jsonl": "".join(f"{good}\n" if i % 3 else "\n  \n" if i % 2 else "{broken\r\n" for i in range(200)),
+        "b.jsonl": f"\n\n{good}", "c.jsonl": "", "d.jsonl": "\n", "e.jsonl": f"[]\n{good}\n\n\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, newline="")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "701")
+    try:
+        lines = jsonl.numbered_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 20
+        rows = jsonl.read_records(spark, str(tmp_path), provenance=False).collect()
+        numbered = lines.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    got = sorted((r["path"].rsplit("/", 1)[1], r["line"], r["error"], r["pmid"]) for r in rows)
+    want = sorted((name, d["line"], d["error"], d.get("pmid")) for name, text in texts.items() for d in jsonl.decode(text.split("\n"), "", False, True))
+    assert [(*x[:2], x[2] or "", x[3] or "") for x in got] == [(*x[:2], x[2] or "", x[3] or "") for x in want] and len(got) > 150
+    every = {(name, n): line for name, text in texts.items() for n, line in enumerate(text.split("\n"), 1) if n <= text.count("\n") or line}
+    assert {(r["path"].rsplit("/", 1)[1], r["line"]): bytes(r["value"]).decode() for r in numbered} == every
+
+
+def test_a_line_that_is_no_utf8_is_its_own_error(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_bytes(json.dumps(RECORD).encode() + b"\n\xff\xfe\n" + json.dumps(RECORD).encode())
+    got = jsonl.read_records(spark, str(tmp_path / "x.jsonl"), provenance=False).orderBy("line").collect()
+    assert [(r["line"], (r["error"] or "")[:8]) for r in got] == [(1, ""), (2, "no UTF-8"), (3, "")]
+
+
+def test_dates_are_bound_once_and_the_plan_compiles(spark, caplog):
+    """No date's expressions are repeated for each field that is taken from them."""
+    df = parse_records(spark.createDataFrame([(bytearray(XML.encode()),)], "content binary"))
+    said = df._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [said.apply(i)._3().maxMethodCodeSize() for i in range(said.size())]
+    assert sizes and max(sizes) < 8000, sizes  # beyond, the JVM does not compile a method
+
+
 def test_registry(spark, tmp_path):
     entry = lambda k, t, p: {"key": k, "title": t, "pubmed_title": t, "tier": "Gold", "tracks": [], "priority": p}
     path = tmp_path / "r.json"
