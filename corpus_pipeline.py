@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflow.llm import language_id, quality_classifier
 from strataflow.llm.packing import pack_documents
-from strataflow.llm.scratch import stored
+from strataflow.llm.scratch import discard, stored
 from strataflow.llm.simhash import keep_first
 from strataflow.llm.substring_dedup import dedup_substrings
 
@@ -56,8 +56,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, f"stage{k + 1}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"stage{k + 1}")
+        discard(before)  # nothing reads the stage before the last any more
+    return STAGES[-1][1](spark, docs, sf_dir)

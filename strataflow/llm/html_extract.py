@@ -34,7 +34,7 @@ CLOSED_BY = {"p": BLOCK - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "d
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _STOP = re.compile("[>\"']")
-_ATTR = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
+_ATTR = re.compile(r"""(?<![a-z-])([a-z-]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
 _NAME_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 #: Pairs of equal lines up to which a longest common subsequence is traced pair by pair.
@@ -333,8 +333,8 @@ def _beside(faces: list[tuple[int, int, int, str, int, bool]]) -> list[tuple[int
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, ``text`` and ``n_chars`` of the main text of each page.
 
-    Pages are dealt by ranges of (host, path, id), so that a host with many pages takes many
-    tasks; each is compared with the nearest page before and behind it that has other lines, so that
+    Pages are dealt by ranges of (host, path, id, html, place), so that a host with many pages, or a page
+    that comes many times, takes many tasks; each is compared with the nearest page before and behind it that has other lines, so that
     equal pages in a row have the same two. The first and last such row of a range are compared with
     the ranges beside it in a second step over those pages alone. Pages
     without a host share an empty one; null html is empty text; null ids, repeated rows and equal
@@ -345,7 +345,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         F.col(id_col), F.col(url_col), F.col(html_col),
         F.lower(F.regexp_extract(u, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(u, "^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^#]*)", 1).alias("path"),
-        F.xxhash64(html_col).alias("tie"),
+        F.xxhash64(html_col).alias("tie"), F.monotonically_increasing_id().alias("place"),
     )
     kind = df.schema[id_col].dataType
     arrow_kind = to_arrow_type(kind)
@@ -404,9 +404,9 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                 yield rows_of(done)
 
     # A page is compressed by itself before it is dealt: half of what the shuffle's own codec leaves.
-    fields = [StructField(id_col, kind), StructField(url_col, StringType()), StructField("packed", BinaryType()), StructField("host", StringType()), StructField("path", StringType()), StructField("tie", LongType())]
+    fields = [StructField(id_col, kind), StructField(url_col, StringType()), StructField("packed", BinaryType()), StructField("host", StringType()), StructField("path", StringType()), StructField("tie", LongType()), StructField("place", LongType())]
     rows = rows.transform(in_arrow, pack_pages, StructType(fields))
-    ranged = rows.repartitionByRange(F.col("host"), F.col("path"), F.col(id_col), F.col("tie")).sortWithinPartitions("host", "path", id_col, "tie")
+    ranged = rows.repartitionByRange(F.col("host"), F.col("path"), F.col(id_col), F.col("tie"), F.col("place")).sortWithinPartitions("host", "path", id_col, "tie")
     table = stored(ranged.transform(in_arrow, run, schema).withColumn("range", F.spark_partition_id()), "pages", level=12)
     faces = sorted((r["range"], r["face"], r["at"], r["host"], r["digest"], r["known"]) for r in table.filter("face > 0").select("range", "face", "at", "host", "digest", F.col("near").isNotNull().alias("known")).collect())
     edges = table.filter("edge")

@@ -15,6 +15,8 @@ from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
 GRAMS, BITS = (1, 2, 3), 14
 #: Bounds of the sample that a model is fitted on: rows of a language at most and at least, rows of all languages from which on each gets fewer, characters of a row.
 PER_LANGUAGE, LEAST_PER_LANGUAGE, MAX_ROWS, MAX_CHARS = 300, 8, 60_000, 20_000
+#: Characters of the blocks in which every text is learned from and scored.
+BLOCK_CHARS = 4096
 #: Landmarks of a language at most, of all languages from which on each gets fewer (one at least); ridge; blocks of text scored by one matrix product.
 LANDMARKS, MAX_LANDMARKS, RIDGE, BLOCK = 32, 2048, 1e-2, 128
 UNDETERMINED = "und"
@@ -56,6 +58,14 @@ def presence(text: str) -> np.ndarray | None:
     return np.flatnonzero(seen)
 
 
+def text_blocks(text: str) -> list[str]:
+    """A text in equal blocks of ``BLOCK_CHARS`` characters at most; neighbours overlap, so that no n-gram is lost at a cut."""
+    n = -(-len(text) // BLOCK_CHARS)
+    cut = [len(text) * k // n for k in range(n + 1)] if n else []
+    reach = max(GRAMS) - 1
+    return [text[max(0, a - reach) : b + reach] for a, b in zip(cut, cut[1:], strict=False)]
+
+
 @dataclass
 class KernelModel:
     """One-versus-rest kernel ridge regression on Nyström features.
@@ -82,49 +92,47 @@ class KernelModel:
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; ``und`` and 0 without a letter.
 
-        A text of over ``MAX_CHARS`` characters is scored in blocks of as many, like those the model
-        learned from, and has the mean of their margins by length: else its score would fall as
-        ever more n-grams are present.
+        A text of any length has the mean margins of its blocks with a letter, which are of one size in it.
         """
         exclusive("language ID")
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if not self.languages:
             return lang, score
-        total, weight = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        total, blocks = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         grams: list[np.ndarray] = []
         owner: list[int] = []
-        size: list[int] = []
 
         def add() -> None:
-            w = np.array(size, dtype=np.float64)
-            np.add.at(total, owner, self.margins(grams) * w[:, None])
-            np.add.at(weight, owner, w)
-            for x in (grams, owner, size):
-                x.clear()
+            np.add.at(total, owner, self.margins(grams))
+            np.add.at(blocks, owner, 1)
+            grams.clear()
+            owner.clear()
 
         for i, t in enumerate(texts):
-            for at in range(0, len(t), MAX_CHARS):
-                block = t[at : at + MAX_CHARS]
+            for block in text_blocks(t):
                 g = presence(block)
                 if g is not None:
                     grams.append(g)
                     owner.append(i)
-                    size.append(len(block))
                 if len(grams) == BLOCK:
                     add()
         if grams:
             add()
-        for i in np.flatnonzero(weight).tolist():
-            row = total[i] / weight[i]
+        for i in np.flatnonzero(blocks).tolist():
+            row = total[i] / blocks[i]
             b = int(row.argmax())
             lang[i], score[i] = self.languages[b], min(1.0, max(0.0, (float(row[b]) + 1) / 2))
         return lang, score
 
 
 def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMARKS, ridge: float = RIDGE) -> KernelModel:
-    """Fit on labelled texts, in an order that does not matter; texts without letters are left out."""
+    """Fit on the blocks of labelled texts, in an order that does not matter; blocks without letters are left out. A text's blocks weigh as much as one."""
     rows = sorted((lang, t) for t, lang in zip(texts, langs, strict=True))
-    grams = [(lang, g) for lang, t in rows if (g := presence(t)) is not None]
+    grams, weight = [], []
+    for lang, t in rows:
+        own = [g for block in text_blocks(t) if (g := presence(block)) is not None]
+        grams += [(lang, g) for g in own]
+        weight += [1 / len(own)] * len(own)
     names = sorted({lang for lang, _ in grams})
     if not names:
         return KernelModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0), np.float32))
@@ -144,9 +152,9 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     k_nm = np.array([z[g].sum(axis=0) / np.sqrt(len(g)) for _, g in grams])
     phi = k_nm @ root
     y = np.array([[1.0 if lang == name else -1.0 for name in names] for lang, _ in grams])
-    share = {name: sum(lang == name for lang, _ in grams) for name in names}
-    w = np.array([1 / share[lang] for lang, _ in grams])[:, None]
-    a = phi.T @ (phi * w) + ridge * np.eye(phi.shape[1]) / len(grams)
+    share = {name: sum(w for (lang, _), w in zip(grams, weight, strict=True) if lang == name) for name in names}
+    w = np.array([x / share[lang] for (lang, _), x in zip(grams, weight, strict=True)])[:, None]
+    a = phi.T @ (phi * w) + ridge * np.eye(phi.shape[1]) / sum(weight)
     beta = np.linalg.solve(a, phi.T @ (y * w))
     return KernelModel(names, z.astype(np.float32), (root @ beta).astype(np.float32))
 
@@ -155,19 +163,31 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def candidates(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """``l``, ``h`` (a hash of id and text) and ``most``: at least as many distinct rows of each language as are wanted, and not many more.
+
+    How many different rows a language has is estimated by a sketch, and a share of the hashes that is twice what is
+    wanted of them passes: what a language sends on is bounded by that, not by the number of tasks. Copies pass as one.
+    """
+    rows = df.select(F.col(lang_col).alias("l"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.length(text_col).alias("n"), train.alias("ok")).filter("ok and l is not null")
+    sizes = rows.groupBy("l").agg(F.approx_count_distinct(F.when(F.col("n") <= max_chars, F.col("h"))).alias("size"))
+    languages = sizes.count()
+    most = max(LEAST_PER_LANGUAGE, min(per_language, max_rows // max(1, languages)))
+    share = F.least(F.lit(1.0), F.lit(2.0 * most + 20) / F.greatest("size", F.lit(1)))
+    passing = rows.filter(F.col("n") <= max_chars).join(sizes.select("l", (share * (1 << 53)).cast("long").alias("top")), "l").filter(F.shiftrightunsigned("h", 11) < F.col("top"))
+    return passing.select("l", "h").distinct().withColumn("most", F.lit(most))
+
+
 def training_sample(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Whole texts and languages of at most ``per_language`` rows of each language, every language among them.
+    """Whole texts and languages of at most ``per_language`` different rows of each language, every language among them.
 
-    Rows are taken in the order of a hash of their id; with over ``max_rows / per_language`` languages
+    Rows are taken in the order of a hash of their id and text; with over ``max_rows / per_language`` languages
     each has fewer, down to ``LEAST_PER_LANGUAGE``. Rows with over ``max_chars`` characters are not used.
     """
-    rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"), train.alias("ok")).filter("ok and l is not null")
-    languages = rows.select("l").distinct().count()
-    per_language = max(LEAST_PER_LANGUAGE, min(per_language, max_rows // max(1, languages)))
-    rows = rows.filter(F.col("t").isNotNull() & (F.length("t") <= max_chars))
-    ranked = rows.select("i", "l", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")).alias("r")).filter(F.col("r") <= per_language)
-    bound = ranked.groupBy("l").agg(F.max(F.struct(F.xxhash64("i"), "i")).alias("top"))
-    return rows.join(F.broadcast(bound), "l").filter(F.struct(F.xxhash64("i"), F.col("i")) <= F.col("top")).select("t", "l")
+    few = candidates(df, train, id_col, text_col, lang_col, per_language, max_rows, max_chars)
+    chosen = few.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h"))).filter("r <= most").select("l", "h")
+    rows = df.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), train.alias("ok")).filter("ok and l is not null").filter(F.length("t") <= max_chars)
+    return rows.join(F.broadcast(chosen), ["l", "h"]).groupBy("l", "h").agg(F.first("t").alias("t")).select("t", "l")
 
 
 def identify(df: DataFrame, model: KernelModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,8 +25,8 @@ HIDDEN, EPOCHS, STEP, DECAY, CALIBRATION = 24, 60, 3e-3, 1e-4, 0.2
 MEMO_ENTRIES, MEMO_CHARS, BLOCK = 80_000, 48, 1 << 13
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
-#: What a text is pooled to: the mean vector, its norm, and the mean cosine of words one place apart, two places apart and so on.
-WIDTH = DIM + 1 + WINDOW
+#: What a text is pooled to: the mean of its words' vectors and their spread about it, place by place.
+WIDTH = 2 * DIM
 
 #: Letter runs, digit runs and runs of other characters are the words.
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
@@ -126,33 +126,23 @@ class QualityModel:
         return out
 
     def pooled(self, texts: list[str]) -> np.ndarray:
-        """Mean vector of all words of each text, its norm, and the mean cosines of words near each other; zeros without a word.
+        """Mean and standard deviation of the vectors of all words of each text; zeros without a word.
 
         Long texts are gone through in blocks, short ones share them.
         """
         lists = [_WORD.findall(t) for t in texts]
         n = np.array([len(x) for x in lists], dtype=np.int64)
-        edge = np.concatenate([[0], np.cumsum(n)])
         words = list(chain.from_iterable(lists))
-        total, near = np.zeros((len(texts), DIM)), np.zeros((len(texts), WINDOW))
+        total, squares = np.zeros((len(texts), DIM)), np.zeros((len(texts), DIM))
         doc = np.repeat(np.arange(len(texts)), n)
-        last = np.zeros((0, DIM), dtype=np.float32)
         for at in range(0, len(words), BLOCK):
-            rows = self._rows(words[at : at + BLOCK])
+            rows = self._rows(words[at : at + BLOCK]).astype(np.float64)
             here = doc[at : at + BLOCK]
             cuts = np.concatenate([[0], np.flatnonzero(here[1:] != here[:-1]) + 1])
             total[here[cuts]] += np.add.reduceat(rows, cuts, axis=0)
-            both = np.concatenate([last, rows])
-            owner = doc[at - len(last) : at + BLOCK]
-            for k in range(1, WINDOW + 1):
-                first = max(0, len(last) - k)  # pairs that end in this block
-                left, right = both[first : len(both) - k], both[first + k :]
-                ok = owner[first : len(both) - k] == owner[first + k :]
-                cos = np.where(ok, np.einsum("ij,ij->i", left, right), 0.0)
-                near[:, k - 1] += np.bincount(owner[first + k :], cos, len(texts))
-            last = both[-WINDOW:]
+            squares[here[cuts]] += np.add.reduceat(rows * rows, cuts, axis=0)
         mean = total / np.maximum(n, 1)[:, None]
-        return np.hstack([mean, np.linalg.norm(mean, axis=1, keepdims=True), near / np.maximum(n[:, None] - np.arange(1, WINDOW + 1), 1)])
+        return np.hstack([mean, np.sqrt(np.maximum(squares / np.maximum(n, 1)[:, None] - mean * mean, 0.0))])
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
@@ -220,11 +210,21 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held, used = order[: max(1, int(CALIBRATION * len(y)))], order[max(1, int(CALIBRATION * len(y))) :]
+    model.mean, model.scale = mean, scale
+    _train(model, z[used], y[used], rng)
+    calibrated = temperature(model.logits(x[held]), y[held])
+    _train(model, z, y, rng)
+    model.temperature = calibrated
+    return model
+
+
+def _train(model: QualityModel, z: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> None:
+    """Set the network's weights by gradient steps over scaled rows."""
     theta = [rng.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
     m1, m2 = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
     step = 0
     for _ in range(EPOCHS):
-        for at in np.array_split(rng.permutation(used), max(1, len(used) // 64)):
+        for at in np.array_split(rng.permutation(len(y)), max(1, len(y) // 64)):
             h = np.tanh(z[at] @ theta[0] + theta[1])
             d = (1 / (1 + np.exp(-np.clip(h @ theta[2] + theta[3], -30, 30))) - y[at]) / max(1, len(at))
             back = d[:, None] * theta[2] * (1 - h * h)
@@ -234,12 +234,30 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
                 m1[k] = 0.9 * m1[k] + 0.1 * g
                 m2[k] = 0.999 * m2[k] + 0.001 * g * g
                 theta[k] = theta[k] - STEP * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + 1e-8)
-    model.mean, model.scale, model.w1, model.b1, model.w2, model.b2 = mean, scale, theta[0], theta[1], theta[2], float(theta[3][0])
-    logit = model.logits(x[held])
-    sign = 2 * y[held] - 1
-    grid = np.exp(np.linspace(np.log(0.25), np.log(8), 60))
-    model.temperature = float(grid[np.argmin([np.logaddexp(0, -sign * logit / t).mean() for t in grid])])
-    return model
+    model.w1, model.b1, model.w2, model.b2 = theta[0], theta[1], theta[2], float(theta[3][0])
+
+
+def temperature(logit: np.ndarray, y: np.ndarray) -> float:
+    """What logits are divided by so that they say the labels' chances best, without a bound.
+
+    The loss is convex in the inverse; its slope is halved to its root. Labels count as (n + 1) / (n + 2), as in Platt's scaling,
+    so that logits that part them without an error have a root too. Logits that say the contrary are left as they are.
+    """
+    ones, zeros = float((y == 1).sum()), float((y == 0).sum())
+    target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+
+    def slope(inverse: float) -> float:
+        return float(((1 / (1 + np.exp(-np.clip(inverse * logit, -700, 700))) - target) * logit).sum())
+
+    if slope(0.0) >= 0:
+        return 1.0
+    low, high = 0.0, 1.0
+    while slope(high) < 0:
+        low, high = high, 2 * high
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if slope(middle) < 0 else (low, middle)
+    return 1 / high
 
 
 def held_out(id_col: str) -> Column:
@@ -249,13 +267,17 @@ def held_out(id_col: str) -> Column:
 def training_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
     """Whole texts and labels of at most ``max_rows`` labelled rows that are not held out, by a hash of their id.
 
-    Rows without a label or a text, with labels that contradict each other, and those of over ``max_chars`` characters, are not used.
+    Rows without a label or a text, with labels that contradict each other, and those of over ``max_chars`` characters, are not used;
+    of several texts of one id one is.
     """
     y = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & ~held_out("i"))
-    y = y.groupBy("i").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").select("i", "y")
-    y = y.orderBy(F.xxhash64("i"), "i").limit(max_rows)
+    y = y.groupBy("i").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").select("i", "y", F.xxhash64("i").alias("h"))
+    n = y.count()
+    if n > 2 * max_rows:  # only what is about to be chosen is ordered, whatever the number of labels
+        y = y.filter(F.shiftrightunsigned("h", 11) < int(2 * max_rows / n * (1 << 53)))
+    y = y.orderBy("h", "i").limit(max_rows).drop("h")
     x = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t") <= max_chars)
-    return x.join(F.broadcast(y), "i").select("t", "y")
+    return x.join(F.broadcast(y), "i").groupBy("i").agg(F.min_by("t", F.xxhash64("t")).alias("t"), F.first("y").alias("y")).select("t", "y")
 
 
 def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:

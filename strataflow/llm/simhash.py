@@ -121,24 +121,24 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row of each component of near-duplicates, that of the smallest id; all columns as they are.
 
     Rows without an id stay if no row with an id is linked to them. Of rows that repeat the smallest
-    id one stays. Rows whose id is kept, and found once, pass through the scan; a bitmap of the other
+    id the one with the smallest hash of its text stays. Columns may have any names. Rows whose id is kept, and found once, pass through the scan; a bitmap of the other
     ids tells them apart, so that only rows to drop, repeated ones and few others are shuffled.
     """
     components = near_duplicates(df, id_col, text_col)
     of = stored(components, "components")
     discard(components)
-    first = of.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
-    doubtful = stored(first.filter("not stays or n > 1").select(F.col(id_col).alias("__id"), "stays", F.xxhash64(id_col).alias("__key")), "doubtful")
-    marks = bitmap_of(doubtful, "__key")
-    names = df.columns
-    marked = df.filter(F.col(id_col).isNotNull()).withColumn("__key", F.xxhash64(id_col))
-    sure = only_passing(marked, "__key", marks, False).select(*names)
-    rest = only_passing(marked, "__key", marks).join(doubtful.select("__id", "stays"), F.col(id_col) == F.col("__id"), "left").filter(F.coalesce("stays", F.lit(True))).select(*names).dropDuplicates([id_col])
-    kept = sure.unionByName(rest)
+    first = of.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(id_col) == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    doubtful = stored(first.filter("not stays or n > 1").select("id", "stays", F.xxhash64("id").alias("key")), "doubtful")
+    marks = bitmap_of(doubtful, "key")
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("own"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("key"), F.xxhash64(text_col).alias("tie"))
+    marked = rows.filter("id is not null")
+    sure = only_passing(marked, "key", marks, False).select("own")
+    rest = only_passing(marked, "key", marks).join(doubtful.select("id", "stays"), "id", "left").filter(F.coalesce("stays", F.lit(True)))
+    kept = sure.union(rest.groupBy("id").agg(F.min_by("own", "tie").alias("own")).select("own"))
     if of.filter(F.col(id_col).isNull() & F.col("component_id").isNull()).limit(1).count():
-        lone = of.filter(f"`{id_col}` is null and component_id is null").select("fingerprint").distinct()
-        null_rows = df.filter(F.col(id_col).isNull())
-        marked = fingerprints(null_rows.withColumn("__row", F.monotonically_increasing_id()), "__row", text_col)
-        keys = marked.select("__row", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")).join(lone, "fingerprint", "left_semi").select("__row")
-        kept = kept.unionByName(null_rows.withColumn("__row", F.monotonically_increasing_id()).join(keys, "__row", "left_semi").drop("__row"))
-    return kept
+        lone = of.filter(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
+        null_rows = rows.filter("id is null").select("own", F.monotonically_increasing_id().alias("row"))
+        keys = fingerprints(null_rows.select("row", F.col("own").getField(text_col).alias("text")), "row", "text")
+        alone = keys.select("row", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")).join(lone, "fingerprint", "left_semi").select("row")
+        kept = kept.union(null_rows.join(alone, "row", "left_semi").select("own"))
+    return kept.select("own.*")

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -34,7 +35,7 @@ def slow_pool(model, text):
         return np.zeros(quality_classifier.WIDTH)
     v = [model.word_vectors([w])[0].astype(float) for w in words]
     mean = sum(v) / len(v)
-    return np.array([*mean, np.sqrt((mean**2).sum()), *[sum(float(a @ b) for a, b in zip(v, v[k:], strict=False)) / max(1, len(v) - k) for k in range(1, quality_classifier.WINDOW + 1)]])
+    return np.array([*mean, *np.sqrt(sum((x - mean) ** 2 for x in v) / len(v))])
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,33 @@ def test_quality_pooling_and_network_equal_a_slow_version(quality_rows, monkeypa
     assert np.allclose(model.score(texts), slow, atol=1e-3)
 
 
+def test_the_network_sees_pooled_vectors_alone(quality_rows):
+    """Mean and spread of word vectors: a text's words in any order, or all of them twice, are scored alike."""
+    model = quality_classifier.fit(*zip(*quality_rows, strict=True))
+    assert quality_classifier.WIDTH == 2 * quality_classifier.DIM == len(model.w1)
+    words = quality_rows[1][0].split()
+    shuffled = random.Random(2).sample(words, len(words))
+    assert np.allclose(model.score([" ".join(words)]), model.score([" ".join(shuffled), " ".join(words + words)]), atol=1e-4)
+
+
+def test_temperature_has_no_bound():
+    rng = np.random.default_rng(0)
+    chance = rng.uniform(0.02, 0.98, 4000)
+    y = (rng.uniform(size=4000) < chance).astype(float)
+    logit = np.log(chance / (1 - chance))
+    for scale in (0.001, 0.05, 1.0, 30.0, 5000.0):
+        assert quality_classifier.temperature(logit * scale, y) == pytest.approx(scale, rel=0.1)
+    parted = quality_classifier.temperature(np.array([-2.0, -1.0, 1.0, 2.0]), np.array([0.0, 0.0, 1.0, 1.0]))
+    assert 0 < parted < 10 and quality_classifier.temperature(-logit, y) == 1.0
+
+
+def test_the_labelled_sample_is_bounded_whatever_repeats(spark):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(900)], "doc_id long, quality int, toxic int").repartition(40)
+    df = docs(spark, *[(i, f"text {i}") for i in range(900)], *[(8, f"another {k}") for k in range(300)])
+    got = quality_classifier.training_sample(df, labels, max_rows=100).collect()
+    assert len(got) == 100 and {r["y"] for r in got} == {0, 1}
+
+
 def test_quality_scores_of_rows_not_learned_from(quality_rows):
     held = quality_rows[::5]
     model = quality_classifier.fit(*zip(*[r for i, r in enumerate(quality_rows) if i % 5], strict=True))
@@ -75,7 +103,7 @@ def test_quality_words_are_whole_and_unseen_ones_have_vectors(quality_rows):
 def test_quality_labels_that_contradict_each_other_are_not_learned(spark):
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (2, 1, 0), (2, 1, 0), (3, 7, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     df = docs(spark, (1, "a"), (2, "b"), (3, "c"), (None, "d"))
-    want = {2} - {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5 == 0}
+    want = {2} - {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5 == 0}  # one of each id
     assert [(r["t"], r["y"]) for r in quality_classifier.training_sample(df, labels).collect()] == [("b", 1) for _ in want]
 
 
@@ -124,12 +152,30 @@ def test_no_language_is_left_out_however_many(spark):
     assert sum(x == f"l{k:03d}" for k, x in enumerate(got)) >= 28
 
 
-def test_scores_do_not_fall_with_length():
+def test_a_score_is_the_mean_of_equal_blocks_whatever_the_length():
     model = language_id.fit(*zip(*[(language(k, 100 * k + j, 300), f"l{k}") for k in range(4) for j in range(40)], strict=True))
     r = random.Random(1)
-    long = " ".join(language(2, r.random(), 300) for _ in range(300))
-    (short_lang, long_lang), (short, score) = model.predict([language(2, 777, 300), long])
-    assert short_lang == long_lang == "l2" and len(long) > 20 * language_id.MAX_CHARS and score > short - 0.1
+    for n in (1, 700, 1000, 5000, 90_000):
+        text = " ".join(language(2, r.random(), 300) for _ in range(n // 300 + 1))[: n * 6]
+        blocks = language_id.text_blocks(text)
+        assert max(map(len, blocks)) <= language_id.BLOCK_CHARS + 2 * (max(language_id.GRAMS) - 1) and len(blocks) == -(-len(text) // language_id.BLOCK_CHARS)
+        grams_ = [language_id.presence(b) for b in blocks]
+        want = np.mean([model.margins([g])[0] for g in grams_ if g is not None], axis=0)
+        (lang,), (score,) = model.predict([text])
+        assert lang == model.languages[int(want.argmax())] and abs(score - min(1, max(0, (want.max() + 1) / 2))) < 1e-5
+        assert set().union(*({*g.tolist()} for g in grams_)) >= {*language_id.presence(text).tolist()} - {*language_id.presence(" ").tolist()} if language_id.presence(" ") is not None else True
+        assert lang == "l2" or n == 1
+
+
+def test_a_language_s_sample_is_cut_by_hash_not_by_task(spark):
+    """Rows that meet do not grow with partitions: 5,000 of them send no more than a bounded share each."""
+    df = spark.range(0, 40_000, 1, 400).select(F.col("id").alias("doc_id"), F.concat(F.lit("word number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    cut = language_id.candidates(df, F.lit(True), per_language=50)
+    assert 50 <= cut.count() <= 400
+    same = language_id.candidates(df.withColumn("doc_id", F.lit(1).cast("long")).withColumn("text", F.lit("one text")), F.lit(True), per_language=50)
+    assert same.count() == 1
+    got = language_id.training_sample(df, F.lit(True), per_language=50)
+    assert got.count() == 50 and sorted(map(tuple, got.collect())) == sorted(map(tuple, language_id.training_sample(df.repartition(3), F.lit(True), per_language=50).collect()))
 
 
 # --- packing
@@ -192,6 +238,16 @@ def test_rows_of_one_id_take_several_ranges(spark):
     assert sum(sizes) <= 4000 + 8 * 4 and max(sizes) < 1200
 
 
+def test_first_rows_are_kept_whatever_columns_are_named(spark):
+    rows = [(1, "one two three four"), (2, "one two three four"), (3, "other words are here now"), (3, "completely different text of five"), (None, "one two three four"), (None, "lonely words without an id"), (None, None)]
+    df = spark.createDataFrame([(*r, *"abcdefghijk") for r in rows], "doc_id long, text string, stays string, __id string, id string, own string, key string, tie string, row string, n string, fp string, component_id string, fingerprint string")
+    got = simhash.keep_first(df.repartition(3))
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["stays"], r["fingerprint"]) for r in got.collect() if r["doc_id"] != 3) == [(0, "", "a", "k"), (0, "lonely words without an id", "a", "k"), (1, "one two three four", "a", "k")]
+    first = {tuple(r["text"] for r in simhash.keep_first(df.repartition(n)).filter("doc_id = 3").collect()) for n in (1, 2, 5)}
+    assert len(first) == 1 and len(next(iter(first))) == 1
+
+
 # --- html
 
 SHARED = ["Site menu", "All about us", "Sign up now", "Same words each day"]
@@ -232,9 +288,22 @@ def kept_out(a, b, line):
     return a.index(line) in html_extract.common_lines([ids[x] for x in a], [ids[x] for x in b])
 
 
+def test_equal_rows_take_several_ranges(spark):
+    """A page that comes thousands of times fills no task, and has the same partner everywhere."""
+    body = "<div>menu</div><div>text</div>"
+    rows = [(1, "http://h/a", body)] * 3000 + [(0, "http://h/0", "<div>menu</div><div>other</div>"), (2, "http://h/b", "<div>menu</div><div>third</div>")]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7))
+    assert {(r["page_id"], r["text"]): r["count"] for r in got.groupBy("page_id", "text").count().collect()} == {(0, "other"): 1, (1, "text"): 3000, (2, "third"): 1}
+
+
 def test_odd_pages_take_linear_time():
     for unit in ('<a "', '<a "> " ', "<script ", "<a '\"> ", "<!", "<!--", "</x", "<p>", "<b>", "<svg>"):
         html_extract.page_lines(unit * 20_000)
+    for attribute in ("a" * 300_000, "a-" * 150_000, "class=" * 50_000, "a=" + " " * 300_000, "x='" * 100_000, " " * 300_000):
+        began = time.process_time()
+        html_extract.page_lines(f"<div {attribute}>text</div>")
+        assert time.process_time() - began < 2, attribute[:10]
+    assert html_extract.page_lines('<div 1class="menu" data-x hidden>a</div><div x-y = \'q\' class = "nav">b</div><p id=main>c</p>') == [("a", html_extract.JUNK), ("b", html_extract.JUNK), ("c", html_extract.PLAIN)]
     n = 8000
     assert len(html_extract.common_lines([1] * n, [2] + [1] * (n - 5))) == n - 5
 
