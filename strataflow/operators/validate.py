@@ -51,3 +51,13 @@ def positional_check(lines: DataFrame, expected: DataFrame) -> DataFrame:
     joined = expected.select("ordinal", F.col("pmid").alias("wanted")).join(lines.select("ordinal", "pmid"), "ordinal", "full").join(seen, "pmid", "left")
     error = F.when(F.col("wanted").isNull(), "extra line").when(F.col("pmid").isNull(), "missing line").when(F.col("times") > 1, "duplicate id").when(F.col("pmid") != F.col("wanted"), "unexpected id or order")
     return joined.select("ordinal", "wanted", "pmid", error.alias("error")).filter("error is not null")
+
+
+def file_problems(ledger: DataFrame, path_col: str, sha_col: str, found_col: str = "found_sha256") -> DataFrame:
+    """Rows of a ledger whose file is ``missing``, ``changed``, or ``given twice``: named by another row too (VAL-08).
+
+    A path's rows are counted by partial aggregates and joined back, so that one path in many rows fills no task.
+    """
+    twice = ledger.groupBy(path_col).agg(F.count("*").alias("__n")).filter("__n > 1").select(path_col, F.lit(True).alias("__twice"))
+    problem = F.when(F.col(found_col).isNull(), "missing").when(~F.col(found_col).eqNullSafe(F.col(sha_col)), "changed").when(F.col("__twice"), "given twice")
+    return ledger.join(twice, path_col, "left").withColumn("problem", problem).filter("problem is not null").select(*ledger.columns, "problem")

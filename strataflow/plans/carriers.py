@@ -14,13 +14,16 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflow.functions.scalars import batch_id, collapse_space, coverage_status, hash_rank, midpoint, normalize_doi, partial_date, year_bounds, years_between
+from strataflow.functions.scalars import batch_id, collapse_space, coverage_status, hash_rank, midpoint, normalize_doi, ordered_distinct, partial_date, year_bounds, years_between
 from strataflow.functions.vocabularies import FULL_TEXT_STATUSES, MODALITIES, RECORD_ENUMS
 from strataflow.operators import batches, coverage, latest, sample, screen, slices, stats, transitions, upsert, validate
 from strataflow.operators.scratch import shared_dir, stored
 from strataflow.operators.screen import RulePack
+from strataflow.plans.packets import import_file
+from strataflow.plans.store import Store
 from strataflow.schemas import checks
-from strataflow.sources.config import Journal, Registry
+from strataflow.sinks.files import file_digests, write_pages
+from strataflow.sources.config import Journal, Registry, journal_actions
 from strataflow.sources.introspect import table_info as info_of
 from strataflow.sources.jsonl import read_records
 from strataflow.sources.paged import Snapshot
@@ -419,13 +422,13 @@ RECORDS = "rec AS (SELECT doc_id, " + ", ".join(f"{x} AS {c}" for c, x in (RECOR
 
 @query(f"WITH {RECORDS} SELECT doc_id, array_to_string(v, '; ') AS violations, v[1] AS first_error FROM bad")
 def validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-01, VAL-02, SET-04: the rules of a classifier record, all of them and the first that is broken."""
+    """VAL-01, SET-04: the rules of a classifier record, all of them and the first that is broken."""
     return validate.validate_records(records(spark, sf_dir)).select("doc_id", F.array_join("violations", "; ").alias("violations"), "first_error")
 
 
 @query("SELECT doc_id, array_to_string([x for x in [CASE WHEN toxic = 1 AND quality = 0 THEN 'status' END, CASE WHEN quality = 0 THEN 'scope' END] if x IS NOT NULL], ';') AS broken FROM labels WHERE quality = 0")
 def broken_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-11: the check constraints of the coverage table, on labels."""
+    """Section 1.4: the check constraints of the coverage table, on labels."""
     rows = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "annual").otherwise("monthly").alias("scope"), F.when((F.col("toxic") == 1) & (F.col("quality") == 0), "unknown").otherwise("match").alias("status"))
     named = checks("backfill_coverage_checks")
     return validate.broken_constraints(rows, {k: named[k] for k in ("status", "scope")}, ["doc_id"]).select("doc_id", F.array_join("broken", ";").alias("broken"))
@@ -438,28 +441,64 @@ def written(df: DataFrame, name: str) -> str:
     return f"{path}/part-*"
 
 
+def record_lines(df: DataFrame, *but: str) -> DataFrame:
+    """Records as lines of JSON, less some of their fields."""
+    fields = [f for f in df.columns if f not in ("doc_id", *but)]
+    return df.select("doc_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+
+
 @query(f"WITH {RECORDS} SELECT pmid, model FROM bad WHERE len(v) = 0")
 def jsonl_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-09, VAL-09, FN-26: records written as JSON lines and read back line by line; those without an error."""
-    fields = [f for f in records(spark, sf_dir).columns if f != "doc_id"]
-    lines = records(spark, sf_dir).select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
-    return read_records(spark, written(lines, "lines")).filter("error is null").select("pmid", "model")
+    """SRC-09, FN-26: records written as JSON lines and read back line by line, whatever tasks read them; those without an error."""
+    return read_records(spark, written(record_lines(records(spark, sf_dir)).select("value"), "lines")).filter("error is null").select("pmid", "model")
+
+
+@query(f"""WITH {RECORDS}, good AS (SELECT * FROM bad WHERE len(v) = 0), twice AS (SELECT pmid, model, prompt_version, screened_at, count(*) AS n FROM good GROUP BY ALL)
+SELECT pmid, model, rank() OVER (ORDER BY pmid)::BIGINT AS place, true AS has_id, 0::BIGINT AS orphans FROM twice""")
+def import_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-09, UPS-05, FLT-07: files of valid lines, with every line twice, imported into a store whose articles they refer to; the rows it then has."""
+    good = validate.validate_records(records(spark, sf_dir)).filter("first_error is null").drop("violations", "first_error")
+    lines = record_lines(good).select("value")
+    store = Store(spark, f"{shared_dir(spark)}/strataflow/store-{uuid.uuid4().hex}")
+    names = store.frame("articles", []).columns
+    store.append("articles", good.select("pmid").distinct().select(*[F.col(c) if c == "pmid" else F.lit(None).cast(store.frame("articles", []).schema[c].dataType).alias(c) for c in names]))
+    import_file(store, written(lines.union(lines), "import"))
+    rows = store.read("llm_screens")
+    lone = upsert.orphans(rows, store.read("articles"), ["pmid"]).agg(F.count("*").alias("orphans"))
+    placed = batches.global_position(rows.select("pmid", "model", "id"), [F.asc("pmid")])
+    return placed.crossJoin(F.broadcast(lone)).select("pmid", "model", F.col("position").alias("place"), F.col("id").isNotNull().alias("has_id"), "orphans")
 
 
 @query(f"WITH {RECORDS} SELECT split_part(v[1], ' ', 1) AS said, count(*) AS n FROM bad WHERE len(v) > 0 GROUP BY 1")
 def jsonl_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-01, VAL-02, SRC-10: first words of the first error of each line that has one."""
-    fields = [f for f in records(spark, sf_dir).columns if f != "doc_id"]
-    lines = records(spark, sf_dir).select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
-    errors = read_records(spark, written(lines, "lines")).filter("error is not null")
+    """VAL-01, SRC-09: first words of the first error of each line that has one."""
+    errors = read_records(spark, written(record_lines(records(spark, sf_dir)).select("value"), "lines")).filter("error is not null")
     return errors.groupBy(F.element_at(F.split("error", " "), 1).alias("said")).agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {RECORDS}, own AS (SELECT doc_id, [x for x in v if NOT regexp_matches(x, '^(model|prompt_version|screened_at) ')] AS v FROM bad),
+said AS (SELECT split_part(v[1], ' ', 1) AS said FROM own WHERE len(v) > 0 UNION ALL SELECT 'no' AS said FROM own WHERE doc_id % 3 = 0 UNION ALL SELECT 'valid' AS said FROM own WHERE len(v) = 0)
+SELECT said, count(*) AS n FROM said GROUP BY 1""")
+def answer_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10, VAL-02: raw answers without provenance, read strictly: blank lines are lines, and no JSON."""
+    lines = record_lines(records(spark, sf_dir), "model", "prompt_version", "screened_at").select(F.concat("value", F.when(F.col("doc_id") % 3 == 0, "\n").otherwise("")).alias("value"))
+    got = read_records(spark, written(lines, "answers"), provenance=False, skip_blank=False)
+    return got.groupBy(F.when(F.col("error").isNull(), "valid").otherwise(F.element_at(F.split("error", " "), 1)).alias("said")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey, string_agg(said, ',' ORDER BY first) AS modes FROM (SELECT l_orderkey, said, min(place) AS first FROM (SELECT l_orderkey, l_returnflag || l_linestatus AS said, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag || l_linestatus) AS place FROM lineitem WHERE l_linenumber % 4 <> 0) GROUP BY ALL) GROUP BY l_orderkey")
+def ordered_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-23: the flags of each order's lines, each once and in the order in which they come, empty ones left out."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_linenumber") % 4 == 0, "").otherwise(F.concat("l_returnflag", "l_linestatus")).alias("mode"))
+    listed = rows.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "mode"))), lambda x: x["mode"]).alias("modes"))
+    return listed.select("l_orderkey", F.array_join(ordered_distinct(F.col("modes")), ",").alias("modes")).filter("modes <> ''")
+
+
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS pmid, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '10.1000/ord.' || o_orderkey END AS doi, 'Order & ' || trim(o_orderpriority) || ' now' AS title,
 CASE o_orderkey % 2 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(o_orderdate, '%Y') END AS publication_date, CASE o_orderkey % 2 WHEN 0 THEN 'day' ELSE 'year' END AS publication_date_precision, year(o_orderdate)::INT AS publication_year,
 'Journal Article;Order' AS article_types, 'BACKGROUND: One2' || chr(10) || 'Two' AS abstract FROM orders WHERE o_orderkey % 5 <> 0""")
 def xml_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-08, FN-01, FN-03, FN-23: orders as marked-up records and read back; those without an id are left out."""
+    """SRC-08, FN-01, FN-03: orders as marked-up records and read back; those without an id are left out."""
     day, key = F.col("o_orderdate"), F.col("o_orderkey").cast("string")
     odd = F.col("o_orderkey") % 2 == 1
     date_ = F.when(odd, F.concat(F.lit("<MedlineDate>"), F.date_format(day, "yyyy"), F.lit(" Winter</MedlineDate>"))).otherwise(F.concat(F.lit("<Year>"), F.date_format(day, "yyyy"), F.lit("</Year><Month>"), F.date_format(day, "MMM"), F.lit("</Month><Day>"), F.date_format(day, "d"), F.lit("</Day>")))
@@ -498,6 +537,31 @@ def corpus_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("batch_no", "record_count", F.element_at("ordered_keys", 1).cast("long").alias("first_key"), F.element_at("ordered_keys", -1).cast("long").alias("last_key"), "batch_id")
 
 
+@query("""SELECT page_id, CASE WHEN page_id % 11 = 0 THEN 'missing' WHEN page_id % 7 = 0 THEN 'changed' WHEN page_id % 5 = 0 THEN 'given twice' END AS problem FROM pages
+WHERE page_id % 11 = 0 OR page_id % 7 = 0 OR page_id % 5 = 0 UNION ALL SELECT -1 - page_id AS page_id, 'given twice' AS problem FROM pages WHERE page_id % 5 = 0 AND page_id % 7 <> 0 AND page_id % 11 <> 0""")
+def ledger_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-08, SNK-01, FN-10: executors write every page to a file; a ledger that misses, misquotes or repeats some is held against the files."""
+    pages = table(spark, sf_dir, "pages").select(F.lit("r").alias("run_id"), F.col("page_id").cast("long").alias("retstart"), F.col("html").cast("binary").alias("content"), F.lit(None).cast("string").alias("error"))
+    k = F.col("retstart")
+    written_ = stored(write_pages(pages, f"{shared_dir(spark)}/strataflow/files-{uuid.uuid4().hex}"), "ledger")
+    lost, misquoted = k % 11 == 0, k % 7 == 0
+    ledger = written_.select(k.alias("page_id"), F.when(lost, F.concat("path", F.lit(".gone"))).otherwise(F.col("path")).alias("path"), F.when(misquoted, F.sha2("sha256", 256)).otherwise(F.col("sha256")).alias("sha256"))
+    again = ledger.filter((F.col("page_id") % 5 == 0) & (F.col("page_id") % 7 != 0) & (F.col("page_id") % 11 != 0)).withColumn("page_id", -1 - F.col("page_id"))
+    return validate.file_problems(file_digests(ledger.union(again), "path"), "path", "sha256").select("page_id", "problem")
+
+
+@query("""WITH w AS (SELECT DISTINCT lower(p_name) AS t FROM part WHERE p_partkey % 9 = 0), x AS (SELECT DISTINCT lower(p_name) AS t FROM part WHERE p_partkey % 4 = 0), f AS (SELECT DISTINCT p_brand AS b FROM part WHERE p_brand LIKE '%3')
+SELECT p_partkey, CASE WHEN w.t IS NOT NULL THEN 'include' WHEN x.t IS NOT NULL OR f.b IS NOT NULL THEN 'exclude' ELSE 'include' END AS action,
+CASE WHEN w.t IS NOT NULL THEN 'whitelisted' WHEN x.t IS NOT NULL THEN 'title is excluded' WHEN f.b IS NOT NULL THEN 'publisher family ' || f.b ELSE 'no rule' END AS reason
+FROM part LEFT JOIN w ON w.t = lower(p_name) LEFT JOIN x ON x.t = lower(p_name) LEFT JOIN f ON f.b = p_brand""")
+def journal_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-15, STA-13: parts as journals and brands as publishers; titles and families that are left out, and titles that stay in any case."""
+    part = table(spark, sf_dir, "part")
+    titles = part.select("p_partkey", F.col("p_name").alias("title"), F.col("p_brand").alias("publisher"))
+    rules = part.filter("p_partkey % 4 = 0").select(F.lit("title").alias("kind"), F.upper("p_name").alias("name")).union(part.filter("p_brand like '%3'").select(F.lit("publisher"), "p_brand").distinct())
+    return journal_actions(titles, rules, part.filter("p_partkey % 9 = 0").select(F.initcap("p_name").alias("title")), whitelist_only=False).select("p_partkey", "action", "reason")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-26, PRJ-02."""

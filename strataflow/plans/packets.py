@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from strataflow.functions.record_rules import iso_time
 from strataflow.functions.vocabularies import QUOTAS, VISIBLE_FIELDS
-from strataflow.operators import batches, latest, sample, upsert
+from strataflow.operators import batches, latest, sample, upsert, validate
 from strataflow.operators.scratch import discard, stored
 from strataflow.operators.screen import stratum
 from strataflow.plans.backfill import now, precise_now
 from strataflow.plans.store import Store
 from strataflow.schemas import KEYS, SEMANTIC, TABLES
-from strataflow.sinks.files import export_lines, json_line, outside_code, publish
+from strataflow.sinks.files import export_lines, file_digests, json_line, outside_code, publish
 from strataflow.sources.jsonl import decode, read_records, record_error
 
 SCHEMA_VERSION = "web_semantic_screen_v1"
@@ -192,6 +192,13 @@ def check_packet(store: Store, manifest: dict, quotas: dict[str, int] | None = N
         raise InvalidPacket("the manifest's strata are not the sample's")
 
 
+def check_answers(store: Store, batch_id: str | None = None) -> DataFrame:
+    """Attempts, of one packet or of all, whose answer file is not what the ledger says, in one job (VAL-08)."""
+    closed = store.read("manual_web_attempts").filter("status <> 'prepared'")
+    ledger = (closed if batch_id is None else closed.filter(F.col("batch_id") == batch_id)).select("batch_id", "attempt", "output_path", "output_sha256")
+    return validate.file_problems(file_digests(ledger, "output_path"), "output_path", "output_sha256").select("batch_id", "attempt", "output_path", "problem")
+
+
 def validate_answer(store: Store, manifest_path: str | Path, output: str | Path, model: str, operator: str, fresh_chat: bool, executed_at: str, attempt: int = 1, mode: str = "manual", quotas: dict[str, int] | None = None, clock: Callable[[], str] = precise_now) -> list[dict]:
     """Check an answer against its packet, record the attempt and import it; failures are recorded and raised.
 
@@ -218,9 +225,11 @@ def validate_answer(store: Store, manifest_path: str | Path, output: str | Path,
     closed = [r for r in had if r["status"] != "prepared"]
     if [r["attempt"] for r in closed] != list(range(1, attempt)) or any(r["status"] == "valid" for r in closed):
         raise InvalidPacket("attempts have to follow each other, and none a valid one")
-    for r in closed:
-        if Path(r["output_path"]) == Path(output) or not Path(r["output_path"]).exists() or _sha(Path(r["output_path"]).read_bytes()) != r["output_sha256"]:
-            raise InvalidPacket(f"the answer of attempt {r['attempt']} is missing, changed or given again")
+    if any(Path(r["output_path"]) == Path(output) for r in closed):
+        raise InvalidPacket("the answer of an earlier attempt is given again")
+    odd = check_answers(store, m["batch_id"]).orderBy("attempt").first()
+    if odd:
+        raise InvalidPacket(f"the answer of attempt {odd['attempt']} is {odd['problem']}")
     raw = Path(output).read_bytes()
     records, error = check_answer(raw.decode("utf-8"), m["ordered_pmids"], model, m["prompt_version"], executed_at)
     done = _attempt(m, attempt, "failed" if error else "valid", error=error, output_path=str(output), output_sha256=_sha(raw), model_label=model, operator=operator, execution_mode=mode, fresh_chat_confirmed=True, created_at=m["created_at"], executed_at=executed_at, validated_at=clock(), imported_at=None if error else clock(), input_path=str(at.parent / "input.jsonl"))
@@ -228,8 +237,9 @@ def validate_answer(store: Store, manifest_path: str | Path, output: str | Path,
         store.upsert("manual_web_attempts", [done])
         if not error:
             import_records(store, records, clock)
-            ids = {r["pmid"]: r["id"] for r in store.read("llm_screens").filter((F.col("model") == model) & (F.col("prompt_version") == m["prompt_version"]) & (F.col("screened_at") == executed_at)).collect()}
-            store.upsert("manual_web_attempt_items", [(m["batch_id"], attempt, p, i, ids[p]) for i, p in enumerate(m["ordered_pmids"], 1)])
+            items = store.frame("manual_web_attempt_items", [(m["batch_id"], attempt, p, i, None) for i, p in enumerate(m["ordered_pmids"], 1)])
+            natural = items.withColumns({"model": F.lit(model), "prompt_version": F.lit(m["prompt_version"]), "screened_at": F.lit(executed_at)})
+            store.upsert("manual_web_attempt_items", upsert.back_reference(natural, store.read("llm_screens"), KEYS["llm_screens"]).select(*items.columns))
     report = "validation.json" if attempt == 1 else f"validation.attempt-{attempt}.json"
     publish(at.parent / report, json.dumps({"status": done["status"], "error": error, "records": len(records)}, indent=2, sort_keys=True) + "\n")
     publish(at, json.dumps(m | {"status": done["status"], "attempt": attempt}, indent=2, sort_keys=True) + "\n")

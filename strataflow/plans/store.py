@@ -1,7 +1,8 @@
-"""A folder of snapshot tables: each change writes the rows that it brings as a new part, and a pointer file moves when it is whole."""
+"""A folder of snapshot tables: each change writes the rows that it brings as a new part, and a log of commits says which parts count."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -11,9 +12,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflow.operators.latest import latest_by
-from strataflow.operators.upsert import DuplicateKey, inserted, upsert
-from strataflow.schemas import KEYS, TABLES
-from strataflow.sinks.files import outside_code, publish
+from strataflow.operators.upsert import DuplicateKey, inserted, migrate, orphans, upsert
+from strataflow.operators.validate import broken_constraints
+from strataflow.schemas import KEYS, REFERENCES, RENAMED, TABLES, checks
+from strataflow.sinks.shared_folder import SharedFolder
 
 SCHEMA_VERSION = "6"
 #: Parts of a table from which on they are written as one; the mark of a part whose rows may replace earlier ones.
@@ -21,54 +23,118 @@ MOST_PARTS, OVER = 16, "~"
 
 
 class ConcurrentChange(RuntimeError):
-    """Another writer moved the pointer since this one read it."""
+    """Another writer has changed a table that this one was changing."""
+
+
+class BrokenStore(RuntimeError):
+    """An older store does not keep the rules of the tables that it would become."""
 
 
 class Store:
-    """Tables of ``schemas.TABLES`` as lists of parts, on a path that all executors share; changes inside ``transaction`` show together or not at all."""
+    """Tables of ``schemas.TABLES`` as lists of parts, in a folder of any file system that all executors share.
+
+    What a store is now is the last entry of a log of commits, each a file that appears whole and once. Changes inside
+    ``transaction`` are one commit. A writer that finds its number taken looks at what the others changed: other tables
+    are taken over and the next number is tried, the same table raises ``ConcurrentChange``. Nothing is locked, so that a
+    writer that dies blocks nobody and leaves parts that no entry names.
+
+    A store of an older version is migrated when it is opened: see ``_migrate``.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | Path) -> None:
-        self.spark, self.folder = spark, outside_code(folder)
+        self.spark, self.files = spark, SharedFolder(spark, folder)
         self._staged: dict[str, str] | None = None
-        if not (self.folder / "CURRENT").exists():
-            self._point({})
-            self.upsert("schema_meta", [("schema_version", SCHEMA_VERSION)])
+        self._log: dict[int, dict] = {}
+        if not self._number():
+            old = self._pointed()
+            if old is None:
+                part = f"1-{uuid.uuid4().hex[:12]}"
+                self.frame("schema_meta", [("schema_version", SCHEMA_VERSION)]).write.parquet(self._path("schema_meta", part))
+                old = {"schema_meta": part}
+            self._put(1, old, sorted(old))  # whoever is first begins the log
+        found = self.read("schema_meta").filter("key = 'schema_version'").first()
+        version = found["value"] if found else "0"
+        if int(version) > int(SCHEMA_VERSION):
+            raise BrokenStore(f"the store has version {version}, this code knows {SCHEMA_VERSION}")
+        if int(version) < int(SCHEMA_VERSION):
+            self._migrate()
+
+    def _pointed(self) -> dict[str, str] | None:
+        """Parts of a store that still has a pointer file instead of a log."""
+        return dict(x.split("=") for x in self.files.read("CURRENT").decode().split()) if "CURRENT" in self.files.names("") else None
+
+    def _number(self) -> int:
+        """Number of the last commit, 0 without one."""
+        return max((int(n[:-5]) for n in self.files.names("_log") if n.endswith(".json")), default=0)
+
+    def _entry(self, number: int) -> dict:
+        if number not in self._log:
+            self._log[number] = json.loads(self.files.read(f"_log/{number:020d}.json"))
+        return self._log[number]
+
+    def _put(self, number: int, tables: dict[str, str], changed: list[str]) -> bool:
+        return self.files.put_new(f"_log/{number:020d}.json", json.dumps({"tables": tables, "changed": changed}, sort_keys=True).encode())
 
     def _versions(self) -> dict[str, str]:
-        if self._staged is not None:
-            return self._staged
-        return dict(x.split("=") for x in (self.folder / "CURRENT").read_text().split())
-
-    def _point(self, versions: dict[str, str], seen: dict[str, str] | None = None) -> None:
-        """Move the pointer, if it still says what was ``seen``; one writer at a time does so."""
-        self.folder.mkdir(parents=True, exist_ok=True)
-        lock = self.folder / "LOCK"
-        try:
-            lock.touch(exist_ok=False)
-        except FileExistsError:
-            raise ConcurrentChange(f"another writer holds {lock}") from None
-        try:
-            if seen is not None and dict(x.split("=") for x in (self.folder / "CURRENT").read_text().split()) != seen:
-                raise ConcurrentChange("the store has changed since it was read")
-            publish(self.folder / "CURRENT", "\n".join(f"{k}={v}" for k, v in sorted(versions.items())) + "\n")
-        finally:
-            lock.unlink()
+        return self._staged if self._staged is not None else self._entry(self._number())["tables"]
 
     @contextmanager
     def transaction(self) -> Iterator[None]:
         if self._staged is not None:
             yield
             return
-        seen = self._versions()
-        self._staged = seen.copy()
+        base = self._number()
+        seen = self._entry(base)["tables"]
+        self._staged = dict(seen)
         try:
             yield
-            self._point(self._staged, seen)
+            mine = {t: v for t, v in self._staged.items() if seen.get(t) != v}
+            while mine and not self._put(base + 1, self._entry(base)["tables"] | mine, sorted(mine)):
+                base += 1
+                both = sorted(mine.keys() & set(self._entry(base)["changed"]))
+                if both:
+                    raise ConcurrentChange(f"another writer has changed {', '.join(both)}")
         finally:
             self._staged = None
 
+    def _migrate(self) -> None:
+        """Bring an older store to this layout by one commit, or leave it as it was.
+
+        What is old is read from the parts' footers. Parts that only lack columns stay and are read with nulls, beside
+        newer ones; a part with a column of another type or name is written anew. Tables that have such parts must
+        then keep their checks, and no row may lack the row that it refers to; else ``BrokenStore`` is raised.
+        """
+        with self.transaction():
+            touched = []
+            for table, listed in list(self._versions().items()):
+                if table not in TABLES or not listed:
+                    continue
+                want = self.frame(table, []).schema
+                parts = []
+                for part in listed.split("."):
+                    old = self.spark.read.parquet(self._path(table, part))
+                    have = {f.name: f.dataType for f in old.schema}
+                    names = {o: n for o, n in RENAMED.get(table, {}).items() if o in have}
+                    if {f.name for f in want} != have.keys():
+                        touched.append(table)
+                    if names or any(f.name in have and have[f.name] != f.dataType for f in want):
+                        anew = f"{part.split('-')[0]}-{uuid.uuid4().hex[:12]}" + OVER * part.endswith(OVER)
+                        migrate(old.withColumnsRenamed(names), {f.name: f.dataType.simpleString() for f in want}).write.parquet(self._path(table, anew))
+                        part = anew
+                        touched.append(table)
+                    parts.append(part)
+                self._staged[table] = ".".join(parts)
+            for table in sorted(set(touched)):
+                broken = broken_constraints(self.read(table), checks(table), KEYS[table]).limit(3).collect()
+                if broken:
+                    raise BrokenStore(f"{table}: rows break {', '.join(sorted({c for r in broken for c in r['broken']}))}")
+                for keys, parent in REFERENCES.get(table, ()):
+                    if orphans(self.read(table), self.read(parent), keys).limit(1).count():
+                        raise BrokenStore(f"{table}: rows without their {parent}")
+            self.upsert("schema_meta", [("schema_version", SCHEMA_VERSION)])
+
     def _path(self, table: str, part: str) -> str:
-        return str(self.folder / table / f"v={part.rstrip(OVER)}")
+        return f"{self.files.uri}/{table}/v={part.rstrip(OVER)}"
 
     def read(self, table: str) -> DataFrame:
         """The table as its parts say: of rows with one key the one in the latest part."""

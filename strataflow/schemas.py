@@ -43,6 +43,19 @@ KEYS: dict[str, tuple[str, ...]] = {
     "manual_web_attempts": ("batch_id", "attempt"), "manual_web_attempt_items": ("batch_id", "attempt", "pmid"),
 }
 
+#: Columns that refer to rows of another table.
+REFERENCES: dict[str, tuple[tuple[tuple[str, ...], str], ...]] = {
+    "enumeration_membership": ((("run_id",), "enumeration_runs"), (("pmid",), "articles")), "enumeration_batches": ((("run_id",), "enumeration_runs"),),
+    "deterministic_screens": ((("pmid",), "articles"),), "llm_screens": ((("pmid",), "articles"),), "audit_samples": ((("pmid",), "articles"),),
+    "historical_backfill_journals": ((("backfill_id",), "historical_backfills"),), "historical_backfill_slices": ((("backfill_id", "journal_key"), "historical_backfill_journals"),),
+    "backfill_coverage_checks": ((("backfill_id", "journal_key"), "historical_backfill_journals"),),
+    "calibration_sample_items": ((("calibration_id",), "calibration_samples"), (("pmid",), "articles")), "manual_web_attempts": ((("calibration_id",), "calibration_samples"),),
+    "manual_web_attempt_items": ((("batch_id", "attempt"), "manual_web_attempts"), (("pmid",), "articles")),
+}
+
+#: What columns were called in older stores.
+RENAMED: dict[str, dict[str, str]] = {"manual_web_attempts": {"provider_route": "route", "model_display_name": "model_label", "maximum_output_tokens": "max_tokens", "completed_at": "validated_at"}}
+
 #: A row of the manifest of full texts.
 FULL_TEXT_MANIFEST = "pmid string, doi string, status string, source_url string, local_path string, bytes bigint, sha256 string, format_verified boolean, si_status string, checked_at string, notes string"
 

@@ -115,5 +115,29 @@ def read_written(ledger: DataFrame) -> DataFrame:
     return ledger.mapInArrow(run, StructType([*(ledger.schema[n] for n in names), StructField("content", BinaryType())]))
 
 
+def file_digests(ledger: DataFrame, path_col: str) -> DataFrame:
+    """The ledger with ``found_sha256`` of the file that each row names, null if there is none; executors read the files."""
+
+    names = [*ledger.columns, "found_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(path_col).to_pylist():
+                digest = None
+                if path:
+                    system, at = fs.FileSystem.from_uri(path)
+                    if system.get_file_info(at).type == fs.FileType.File:
+                        with system.open_input_stream(at) as f:
+                            sha = hashlib.sha256()
+                            while block := f.read(1 << 20):
+                                sha.update(block)
+                        digest = sha.hexdigest()
+                found.append(digest)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=names)
+
+    return ledger.mapInArrow(run, StructType([*ledger.schema, StructField("found_sha256", StringType())]))
+
+
 def export_report(report: dict, path: str | Path) -> Path:
     return publish(path, json.dumps(report, ensure_ascii=False, indent=2, sort_keys=True, default=str) + "\n")

@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strataflow.functions.scalars import casefold
 from strataflow.operators.screen import RulePack
 
 
@@ -80,6 +81,48 @@ def without_blacklisted(journals: DataFrame, blacklist: DataFrame, whitelist: Da
     return journals.withColumn("__t", title).join(banned, "__t", "left_anti").drop("__t")
 
 
+@dataclass(frozen=True)
+class JournalPolicy:
+    """Titles and publisher families that are left out, and whether a whitelisted title stays in any case."""
+
+    exact: tuple[str, ...]
+    families: tuple[str, ...]
+    whitelist_precedence: bool = True
+    whitelist_only: bool = True
+
+
+def load_policy(path: str | Path) -> JournalPolicy:
+    raw = read_object(path)
+    said = raw["policy"]
+    return JournalPolicy(tuple(raw["exact_journals"]), tuple(raw["publisher_families"]), bool(said["whitelist_precedence"]), said["mode"] == "whitelist_only")
+
+
+def policy_rules(spark: SparkSession, policy: JournalPolicy) -> DataFrame:
+    """A policy's exclusions as rows of ``kind`` (title or publisher) and ``name``."""
+    return spark.createDataFrame([("title", x) for x in policy.exact] + [("publisher", x) for x in policy.families], "kind string, name string")
+
+
+def journal_actions(journals: DataFrame, rules: DataFrame, whitelist: DataFrame, whitelist_precedence: bool = True, whitelist_only: bool = True) -> DataFrame:
+    """``journals`` (title, publisher and others) with ``action``, include or exclude, and the ``reason`` that decided (SRC-15, STA-13).
+
+    A whitelisted title (``whitelist`` has ``title``) comes first, or with ``whitelist_precedence`` False last; then a title that is
+    left out by name; then its publisher's family; what nothing names is left out only if the policy is a whitelist. Names are
+    compared without regard to case. Each journal is asked for under its title and its publisher, and the rules of all
+    three kinds are found by one join, of which the one that comes first is kept.
+    """
+    first, last = ("a", "d") if whitelist_precedence else ("d", "a")
+    listed = whitelist.select(F.lit("title").alias("__kind"), casefold(F.col("title")).alias("__name"), F.lit(first).alias("__rank"), F.lit("whitelisted").alias("__why")).distinct()
+    rank, why = F.when(F.col("kind") == "title", "b").otherwise("c"), F.when(F.col("kind") == "title", F.lit("title is excluded")).otherwise(F.concat(F.lit("publisher family "), "name"))
+    banned = rules.groupBy("kind", casefold(F.col("name")).alias("__name")).agg(F.min("name").alias("name")).select(F.col("kind").alias("__kind"), "__name", rank.alias("__rank"), why.alias("__why"))
+    rows = journals.withColumn("__row", F.monotonically_increasing_id())
+    asked = rows.select("__row", F.explode(F.array(F.struct(F.lit("title").alias("k"), F.col("title").alias("n")), F.struct(F.lit("publisher").alias("k"), F.col("publisher").alias("n")))).alias("x"))
+    found = asked.select("__row", F.col("x.k").alias("__kind"), casefold(F.col("x.n")).alias("__name")).join(listed.unionByName(banned), ["__kind", "__name"]).groupBy("__row").agg(F.min(F.struct("__rank", "__why")).alias("__rule"))
+    known = rows.join(found, "__row", "left")
+    action = F.when(F.col("__rule.__rank") == first, "include").when(F.col("__rule").isNotNull(), "exclude").otherwise("exclude" if whitelist_only else "include")
+    reason = F.coalesce("__rule.__why", F.lit("not whitelisted" if whitelist_only else "no rule"))
+    return known.select(*journals.columns, action.alias("action"), reason.alias("reason"))
+
+
 def software_revision(folder: str | Path = ".") -> str:
     """Commit of a working copy, ``unknown`` if there is none."""
     try:
