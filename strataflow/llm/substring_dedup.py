@@ -25,6 +25,8 @@ RUN_WORDS, SEED_WORDS = 50, 20
 #: Kinds of rows: a stretch from a chosen window to the end of the next, the stretch ahead of the first one, a line; a single window, a line's shingles.
 STRETCH, HEAD, LINE = 0, 1, 2
 WINDOW, SHINGLES = 3, 4
+#: Lines of a band outside its largest group up to which they are compared with all others of the band.
+HARD_BAND = 64
 #: Bytes of texts that are cut together.
 PART_BYTES = 1 << 19
 
@@ -367,24 +369,44 @@ def _labels(links: DataFrame) -> DataFrame:
     return both.join(first.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near")).join(first, "a").select(F.col("a").alias("h"), F.least("near", "label").alias("label"))
 
 
+def sharing_rare_shingles(lines: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of lines (h, label, size, sketch) with different labels that may be similar: none that is, is lost.
+
+    A line's shingles are ordered by how few of the lines have them. Two lines with a Jaccard similarity of t share at least t of
+    each one's shingles, and so one of the rarest 1 - t and one more of both (prefix filtering). What a shingle's lines have in
+    common among those rarest is never common to many of them.
+    """
+    each = stored(lines.select("h").join(sets.select("h", F.explode("shingles").alias("s")), "h"), "shingles")
+    held = each.join(each.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1"), "s", "left").select("h", "s", F.coalesce("n", F.lit(1)).alias("n"))
+    ordered = held.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("n", "s"))).alias("all"))  # a line's own shingles
+    prefix = F.size("all") - F.ceil(similarity * F.size("all") - 1e-9).cast("int") + 1
+    rare = ordered.select("h", F.explode(F.slice("all", 1, prefix)).alias("r")).filter("r.n > 1").select("h", F.col("r.s").alias("s")).join(lines, "h")
+    x, y = rare.alias("x"), rare.alias("y")
+    met = (F.col("x.s") == F.col("y.s")) & (F.col("x.h") < F.col("y.h")) & (F.col("x.label") != F.col("y.label")) & _close("x", "y", similarity)
+    return x.join(y, met).select(F.col("x.h").alias("a"), F.col("y.h").alias("b"))
+
+
 def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links ``a``, ``b`` between digests of different lines with a Jaccard similarity of at least ``similarity``.
 
     They connect every two such lines that share a band, without a comparison of all pairs of a band. First each
     member is compared with the most frequent line of its band, which edited copies are nearest to. Members
     that are then connected need no further comparison; so only bands with members of several such groups go
-    on, and in those each member outside the largest group is compared with those of other groups. A band
-    of n lines that equal or nearly equal one of them costs n comparisons; one of n lines of which none is similar
-    to that one has n² to make, of which few leave the join.
+    on, and in those each member outside the largest group is compared with those of other groups, if there are no
+    more than ``HARD_BAND`` such; a band with more is gone through by ``sharing_rare_shingles``. So a band
+    of n lines costs some n comparisons, whether they are like one of them or like none.
     """
     centres = members.groupBy("band").agg(F.max_by("h", F.struct("n", "h")).alias("a"), F.count("*").alias("lines")).filter("lines > 1").select("band", "a")
     first = stored(similar(members.join(centres, "band").filter("h != a").select("a", F.col("h").alias("b")).distinct(), sets, similarity), "links")
     grouped = members.select("band", "h").join(_labels(first), "h", "left").select("band", "h", F.coalesce("label", "h").alias("label"))
-    sizes = grouped.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("groups")).filter("groups > 1").select("band", "largest")
+    sizes = grouped.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("groups"), F.sum("count").alias("members"), F.max("count").alias("most")).filter("groups > 1").drop("groups")
     mixed = stored(grouped.join(sizes, "band").join(sets.select("h", "size", *SKETCH), "h"), "mixed")
-    x, y = mixed.filter("label != largest").alias("x"), mixed.alias("y")
+    few = mixed.filter(F.col("members") - F.col("most") <= HARD_BAND)
+    x, y = few.filter("label != largest").alias("x"), few.alias("y")
     other = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.h") < F.col("y.h")))
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & other & _close("x", "y", similarity)).select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
+    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & other & _close("x", "y", similarity)).select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
+    hard = mixed.filter(F.col("members") - F.col("most") > HARD_BAND).dropDuplicates(["h"]).select("h", "label", "size", *SKETCH)
+    rest = rest.union(sharing_rare_shingles(hard, sets, similarity)).distinct()
     links = stored(first.union(similar(rest, sets, similarity)), "links")
     discard(first, mixed)
     return links

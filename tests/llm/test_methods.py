@@ -311,7 +311,9 @@ def test_odd_pages_take_linear_time():
 # --- substring dedup
 
 
-def test_near_lines_connect_what_brute_force_connects(spark):
+@pytest.mark.parametrize("hard", [substring_dedup.HARD_BAND, 0])
+def test_near_lines_connect_what_brute_force_connects(spark, monkeypatch, hard):
+    monkeypatch.setattr(substring_dedup, "HARD_BAND", hard)
     rng = random.Random(8)
     own = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
     lines = []
@@ -350,6 +352,25 @@ def test_near_lines_connect_what_brute_force_connects(spark):
     assert len(similar) > 150 and np.mean([a == b for a, b in zip(want, got, strict=True)]) >= 0.95
 
 
+def test_a_band_of_lines_that_are_unlike_makes_no_square_of_pairs(spark):
+    """Many different lines in one band, some of them edited copies: all near pairs are found, and few others leave the join."""
+    rng = random.Random(4)
+    common = [rng.randrange(1 << 62) for _ in range(12)]  # what brings them into the band
+    lines: list[set] = []
+    for n in range(700):
+        lines.append({*common, *(rng.randrange(1 << 62) for _ in range(28))} if n % 7 else {*sorted(lines[-1])[2:], rng.randrange(1 << 62)} if lines else {*common})
+    near = {(i, j) for i in range(len(lines)) for j in range(i) if len(lines[i] & lines[j]) >= 0.8 * len(lines[i] | lines[j])}
+    rows = []
+    for n, x in enumerate(lines):
+        flat = np.array(sorted(x), dtype=np.uint64)
+        rows.append((n, n, len(x), [int(v) for v in sorted(x)], *(int(w[0]) for w in substring_dedup._sketches(flat, np.array([0])))))
+    df = spark.createDataFrame(rows, "h long, label long, size int, shingles array<long>, " + ", ".join(f"{c} long" for c in substring_dedup.SKETCH))
+    pairs = substring_dedup.sharing_rare_shingles(df.drop("shingles"), df.drop("label"), 0.8).distinct()
+    got = {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in pairs.collect()}
+    assert len(near) > 60 and near <= got and len(got) < 10 * len(lines)
+    assert {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in substring_dedup.similar(pairs, df.drop("label"), 0.8).collect()} == near
+
+
 def test_ids_that_are_no_numbers_and_rows_without_id(spark):
     p = prose(5, 70)
     df = spark.createDataFrame([("b", f"{prose(1, 30)} {p}"), ("a", f"{prose(2, 30)} {p}"), (None, f"{p} {prose(3, 30)}"), (None, f"{p} {prose(3, 30)}"), ("c", None)], "doc_id string, text string")
