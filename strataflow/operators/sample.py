@@ -16,7 +16,7 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, quotas: dict[str, i
     """The ``quotas[s]`` first members of each stratum in hash order, with the stratum's size.
 
     Columns: key, stratum, ``population_size``, ``hash_rank``, ``rank``. Sizes come from a partial
-    aggregate and only ranks up to the largest quota leave a task, so that no stratum is gathered.
+    aggregate, and only rows with hashes small enough for the quota are ranked, so that no stratum is gathered.
     """
     quota = F.create_map(*[F.lit(x) for k, v in quotas.items() for x in (k, v)])
     frame = df.select(key, F.col(stratum).alias("stratum")).filter(F.col("stratum").isin(*quotas)).withColumn("hash_rank", hash_rank(seed, F.col(key)))
@@ -27,10 +27,28 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, quotas: dict[str, i
         short = {s: have.get(s, 0) for s, k in quotas.items() if have.get(s, 0) < k}
         if short:
             raise ShortStratum(f"strata under their quotas: {short}")
-    ranked = frame.withColumn("rank", F.row_number().over(Window.partitionBy("stratum").orderBy("hash_rank", key))).filter(F.col("rank") <= max(quotas.values()))
+    few = _beginnings(frame, sizes, quotas)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("stratum").orderBy("hash_rank", key))).filter(F.col("rank") <= max(quotas.values()))
     return ranked.filter(F.col("rank") <= quota[F.col("stratum")]).join(F.broadcast(sizes), "stratum").select(key, "stratum", "population_size", "hash_rank", F.col("rank").cast("long").alias("rank"))
 
 
+def _beginnings(frame: DataFrame, sizes: DataFrame, quotas: dict[str, int]) -> DataFrame:
+    """Rows of each stratum with the smallest hashes, as many as its quota at least: what meets in a stratum's task does not grow with it.
+
+    Hashes spread evenly, so that a little over twice the quota's share of them is let pass. Strata for which that was too
+    little, as when one key comes many times, have all their rows pass. The driver gets a row a stratum.
+    """
+    wanted = {r["stratum"]: (min(quotas[r["stratum"]], r["population_size"]), r["population_size"]) for r in sizes.collect()}
+    top = {s: f"{min(16**12 - 1, int(16**12 * (2 * k + 40) / n)):012x}" for s, (k, n) in wanted.items() if n > 4 * k + 400}
+    if not top:
+        return frame
+    limit = F.create_map(*[F.lit(x) for pair in top.items() for x in pair])[F.col("stratum")]
+    passing = F.coalesce(F.col("hash_rank") < limit, F.lit(True))
+    enough = {r["stratum"]: r["n"] for r in frame.filter(passing).groupBy("stratum").agg(F.count("*").alias("n")).collect()}
+    short = [s for s in top if enough.get(s, 0) < wanted[s][0]]
+    return frame.filter(passing | F.col("stratum").isin(short) if short else passing)
+
+
 def _cut(frame: DataFrame, key: str, k: int, most: int) -> tuple | None:
     """The ``k``-th (hash_rank, key) of the table: counts of ever longer beginnings of the hash narrow it down until ``most`` rows are left."""
     begin = ""

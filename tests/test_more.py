@@ -122,6 +122,22 @@ def test_samples_by_fraction_are_cut_exactly(spark):
         sample.fraction_sample(df, "k", 0, "s")
 
 
+def test_a_hot_stratum_is_cut_before_it_is_ranked(spark):
+    df = spark.range(0, 30_000, 1, 60).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("s"))
+    quotas = {"hot": 40, "small": 30, "none": 5}
+    order = {s: [] for s in quotas}
+    for r in df.select("k", "s", scalars.hash_rank("x", F.col("k")).alias("h")).collect():
+        order[r["s"]].append((r["h"], r["k"]))
+    got = sample.stratified_sample(df, "k", "s", quotas, "x").collect()
+    assert sorted((r["hash_rank"], r["k"]) for r in got) == sorted(x for s, n in quotas.items() for x in sorted(order[s])[:n])
+    assert {r["stratum"]: r["population_size"] for r in got} == {"hot": 27_000, "small": 3000}
+    frame = df.select("k", F.col("s").alias("stratum"), scalars.hash_rank("x", F.col("k")).alias("hash_rank"))
+    sizes = frame.groupBy("stratum").agg(F.count("*").alias("population_size"))
+    assert sample._beginnings(frame, sizes, quotas).count() < 400
+    same = spark.createDataFrame([(1, "hot")] * 5000 + [(2, "hot")], "k long, s string")  # two keys: no share of the hashes is right
+    assert sample.stratified_sample(same, "k", "s", {"hot": 10}, "x").count() == 10
+
+
 def test_the_human_queue_has_all_three_kinds(spark):
     df = spark.createDataFrame([(i, ("YES", "MAYBE", "NO")[i % 3]) for i in range(90)] + [(99, None)], "k long, d string")
     reasons = {r["reason"]: r["count"] for r in sample.human_queue(df, "k", "d", 0.1, "s").groupBy("reason").count().collect()}
