@@ -132,7 +132,7 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     for lang, t in rows:
         own = [g for block in text_blocks(t) if (g := presence(block)) is not None]
         grams += [(lang, g) for g in own]
-        weight += [1 / len(own)] * len(own)
+        weight += [1 / max(1, len(own))] * len(own)
     names = sorted({lang for lang, _ in grams})
     if not names:
         return KernelModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0), np.float32))

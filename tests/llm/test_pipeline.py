@@ -9,7 +9,7 @@ from .conftest import DDL, ROWS, prose
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert set(QUERIES) | {"pipeline"} <= set(names) and {f"op{n}_" for n in range(1, 11)} == {k[: k.index("_") + 1] for k in QUERIES}
+    assert set(QUERIES) | {"pipeline"} <= set(names) and {f"op{n}_" for n in range(1, 14)} == {k[: k.index("_") + 1] for k in QUERIES}
     assert set(ORACLE_SQL) <= set(QUERIES) and "op2_quality_rules" in __spark_entry__.oracle_sql()
 
 
