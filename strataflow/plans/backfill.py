@@ -85,6 +85,8 @@ def enumerate_slices(store: Store, source: Source, registry: Registry, slices: D
 
 def enumerate_journal(store: Store, source: Source, registry: Registry, journal: Journal, start: date, end: date, raw: str | Path, size: int = 200, clock: Callable[[], str] = now, lanes: int = LANES) -> dict:
     """One window of a journal, as ``enumerate_slices``; raises if the run is not complete. Returns its row."""
+    if start > end:
+        raise ValueError("the window ends before it starts")
     windows = store.spark.createDataFrame([(journal.key, journal.pubmed_title, start, end, uuid.uuid4().hex)], "journal_key string, title string, slice_start date, slice_end date, run_id string")
     counted = stored(read_counts(windows, source, lanes), "counted")
     run = counted.first()

@@ -486,6 +486,16 @@ def answer_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy(F.when(F.col("error").isNull(), "valid").otherwise(F.element_at(F.split("error", " "), 1)).alias("said")).agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {RECORDS}, own AS (SELECT [x for x in v if NOT regexp_matches(x, '^(model|prompt_version|screened_at) ')] AS v FROM bad),
+good AS (SELECT count(*) FILTER (len(v) = 0) AS n FROM own) SELECT 'valid' AS said, n FROM good UNION ALL SELECT 'screened_at must be an ISO date-time' AS said, n FROM good""")
+def provenance_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-03, FN-14: valid answers with provenance added and validated again, once with a time and once with none."""
+    lines = record_lines(records(spark, sf_dir), "model", "prompt_version", "screened_at").select("value")
+    good = read_records(spark, written(lines, "answers"), provenance=False, skip_blank=False).filter("error is null").drop("path", "line", "error")
+    both = [validate.validate_records(validate.with_provenance(good, "m", "v1", when)) for when in ("2026-01-02T03:04:05Z", "some day")]
+    return both[0].unionByName(both[1]).groupBy(F.coalesce("first_error", F.lit("valid")).alias("said")).agg(F.count("*").alias("n"))
+
+
 @query("SELECT l_orderkey, string_agg(said, ',' ORDER BY first) AS modes FROM (SELECT l_orderkey, said, min(place) AS first FROM (SELECT l_orderkey, l_returnflag || l_linestatus AS said, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag || l_linestatus) AS place FROM lineitem WHERE l_linenumber % 4 <> 0) GROUP BY ALL) GROUP BY l_orderkey")
 def ordered_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-23: the flags of each order's lines, each once and in the order in which they come, empty ones left out."""
@@ -643,6 +653,19 @@ def weighted_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.weighted_recall(c, sizes(spark, sf_dir), "lang").crossJoin(F.broadcast(stats.recall_precision(c)))
 
 
+@query(f"""{CELLS}, w AS (SELECT sum(big::DOUBLE / (tp + fp + fn + tn) * tp) / sum(big::DOUBLE / (tp + fp + fn + tn) * (tp + fn)) AS r FROM c JOIN n ON c.lang IS NOT DISTINCT FROM n.big_lang),
+p AS (SELECT min(tp::DOUBLE / (tp + fn)) AS worst FROM c WHERE tp + fn >= 20), d AS (SELECT count(DISTINCT doc_id)::DOUBLE / (SELECT count(DISTINCT doc_id) FROM documents) AS coverage FROM labels)
+SELECT coverage >= 1 AND r >= 0.95 AND coalesce(worst, 1) >= 0.9 AS accepted, true AS perfect_is_accepted, round(coverage, 6) AS coverage, round(worst, 6) AS worst FROM w, p, d""")
+def acceptance_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA-09: coverage, weighted recall and the recall of the worst stratum with enough positives against the limits."""
+    c = cells(spark, sf_dir)
+    recall = stats.weighted_recall(c, sizes(spark, sf_dir), "lang")
+    worst = stats.stratum_recall(c, "lang").agg(F.min("recall").alias("worst"))
+    ids = lambda t: table(spark, sf_dir, t).agg(F.countDistinct("doc_id").alias(t))
+    one = recall.crossJoin(F.broadcast(worst)).crossJoin(F.broadcast(ids("labels"))).crossJoin(F.broadcast(ids("documents"))).withColumn("coverage", F.col("labels") / F.col("documents"))
+    return one.select(stats.gate(F.col("coverage"), F.col("weighted_recall"), F.col("worst")).alias("accepted"), stats.gate(F.lit(1.0), F.lit(0.95), F.lit(None).cast("double")).alias("perfect_is_accepted"), F.round("coverage", 6).alias("coverage"), F.round("worst", 6).alias("worst"))
+
+
 @query("SELECT count(*) AS n, round(avg(CASE WHEN quality IS NOT DISTINCT FROM toxic THEN 1.0 ELSE 0.0 END), 6) AS exact, round(avg(CASE WHEN coalesce(abs(quality - toxic) <= 1, false) THEN 1.0 ELSE 0.0 END), 6) AS within_one FROM labels")
 def agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA-06, STA-08."""
