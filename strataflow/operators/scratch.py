@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,3 +42,12 @@ def discard(*tables: DataFrame) -> None:
         for path in getattr(table, "_stored_at", ()):
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def settle(spark: SparkSession) -> None:
+    """Have garbage collected, here and in the driver's JVM: shuffles, broadcasts and plans of finished steps go only then.
+
+    For operators of many jobs, between their steps; a driver that is not pressed for memory would keep it all.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
