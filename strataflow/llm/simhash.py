@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from strataflow.llm.arrow import exclusive, map_arrow
 from strataflow.llm.bitmaps import bitmap_of, only_passing
 from strataflow.llm.components import connected_components
-from strataflow.llm.scratch import discard, stored
+from strataflow.llm.scratch import discard, settle, stored
 
 #: Words of a shingle, seed of its digest, and differing bits up to which fingerprints link.
 WORDS, SEED, RADIUS = 3, 42, 3
@@ -130,6 +130,7 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = of.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(id_col) == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
     doubtful = stored(first.filter("not stays or n > 1").select("id", "stays", F.xxhash64("id").alias("key")), "doubtful")
     marks = bitmap_of(doubtful, "key")
+    settle(df.sparkSession)
     rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("own"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("key"), F.xxhash64(text_col).alias("tie"))
     marked = rows.filter("id is not null")
     sure = only_passing(marked, "key", marks, False).select("own")

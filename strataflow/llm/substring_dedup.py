@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType, BinaryType, ByteType, DataType, Integer
 from strataflow.llm.arrow import by_bytes, exclusive, in_arrow, squeeze, unsqueeze
 from strataflow.llm.bitmaps import bitmap_of, only_passing, passing
 from strataflow.llm.components import connected_components
-from strataflow.llm.scratch import discard, stored
+from strataflow.llm.scratch import discard, settle, stored
 
 #: Words of a shingle, least Jaccard similarity, least words of a paragraph that is compared.
 SHINGLE, SIMILARITY, LEAST_WORDS = 5, 0.8, 20
@@ -25,8 +25,8 @@ RUN_WORDS, SEED_WORDS = 50, 20
 #: Kinds of rows: a stretch from a chosen window to the end of the next, the stretch ahead of the first one, a line; a single window, a line's shingles.
 STRETCH, HEAD, LINE = 0, 1, 2
 WINDOW, SHINGLES = 3, 4
-#: Lines of a band outside its largest group up to which they are compared with all others of the band.
-HARD_BAND = 64
+#: Lines of a band outside its largest group up to which they are compared with all others of the band: with more, some hundred shingles of each line cost less.
+HARD_BAND = 512
 #: Bytes of texts that are cut together.
 PART_BYTES = 1 << 19
 
@@ -405,8 +405,10 @@ def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     x, y = few.filter("label != largest").alias("x"), few.alias("y")
     other = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.h") < F.col("y.h")))
     rest = x.join(y, (F.col("x.band") == F.col("y.band")) & other & _close("x", "y", similarity)).select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
-    hard = mixed.filter(F.col("members") - F.col("most") > HARD_BAND).dropDuplicates(["h"]).select("h", "label", "size", *SKETCH)
-    rest = rest.union(sharing_rare_shingles(hard, sets, similarity)).distinct()
+    hard = mixed.filter(F.col("members") - F.col("most") > HARD_BAND)
+    if hard.limit(1).count():
+        rest = rest.union(sharing_rare_shingles(hard.dropDuplicates(["h"]).select("h", "label", "size", *SKETCH), sets, similarity))
+    rest = rest.distinct()
     links = stored(first.union(similar(rest, sets, similarity)), "links")
     discard(first, mixed)
     return links
@@ -436,8 +438,10 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for b in bitmaps:
         b.destroy()
     sets = second.filter(F.col("kind") == SHINGLES).dropDuplicates(["h"])  # rows of equal id list a line again
+    settle(df.sparkSession)
     links = near_lines(members, sets, similarity)
     components = connected_components(links)
+    settle(df.sparkSession)
     named = stored(components.withColumnRenamed("node", "h"), "named")
     marks = bitmap_of(named, "h")
     lines = stored(only_passing(table.filter(F.col("kind") == LINE).select("doc", "version", "start", "stop", "h"), "h", marks).join(named, "h"), "lines")
@@ -449,6 +453,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     both = whole.union(ends).withColumn("line", F.lit(False)).union(near.union(same).withColumn("line", F.lit(True)))
     found = stored(both.groupBy("doc", "version").agg(F.collect_set(F.struct("line", "start", "stop", "keeper")).alias("found")), "found")
     discard(table, stretches, members, asked, second, links, components, named, lines, keepers, first, second_, third)
+    settle(df.sparkSession)
     return found
 
 
