@@ -174,7 +174,8 @@ def candidates(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
     languages = sizes.count()
     most = max(LEAST_PER_LANGUAGE, min(per_language, max_rows // max(1, languages)))
     share = F.least(F.lit(1.0), F.lit(2.0 * most + 20) / F.greatest("size", F.lit(1)))
-    passing = rows.filter(F.col("n") <= max_chars).join(sizes.select("l", (share * (1 << 53)).cast("long").alias("top")), "l").filter(F.shiftrightunsigned("h", 11) < F.col("top"))
+    tops = sizes.select("l", (share * (1 << 53)).cast("long").alias("top"))
+    passing = rows.filter(F.col("n") <= max_chars).join(F.broadcast(tops) if languages <= MAX_ROWS else tops, "l").filter(F.shiftrightunsigned("h", 11) < F.col("top"))
     return passing.select("l", "h").distinct().withColumn("most", F.lit(most))
 
 
