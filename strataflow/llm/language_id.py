@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
+from strataflow.llm.scratch import settle
 
 #: n of the n-grams whose presence the kernel blends; bits of the table they are hashed to.
 GRAMS, BITS = (1, 2, 3), 14
@@ -212,6 +213,7 @@ def keep_identified(df: DataFrame, model: KernelModel, text_col: str = "text", l
 
     Null texts and texts without a letter go. A model that has learned no language keeps nothing. Map-only.
     """
+    settle(df.sparkSession)  # what the fit has left
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def keep(texts: list[str]) -> list[bool]:

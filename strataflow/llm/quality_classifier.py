@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from strataflow.llm.arrow import exclusive, filter_arrow, fitted, map_arrow
+from strataflow.llm.scratch import settle
 
 #: Size of a vector, non-zero places of an index vector, words on each side that make a context.
 DIM, NONZERO, WINDOW = 96, 6, 2
@@ -303,5 +304,6 @@ def classify(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_co
 
 def keep_good(df: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows whose whole text scores at least ``threshold``; all columns as they are. Null texts are scored like empty ones. Map-only."""
+    settle(df.sparkSession)  # what the fit has left
     shared = df.sparkSession.sparkContext.broadcast(model)
     return filter_arrow(df, text_col, lambda texts: (shared.value.score(texts) >= threshold).tolist())

@@ -398,6 +398,7 @@ def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     """
     centres = members.groupBy("band").agg(F.max_by("h", F.struct("n", "h")).alias("a"), F.count("*").alias("lines")).filter("lines > 1").select("band", "a")
     first = stored(similar(members.join(centres, "band").filter("h != a").select("a", F.col("h").alias("b")).distinct(), sets, similarity), "links")
+    settle(members.sparkSession)
     grouped = members.select("band", "h").join(_labels(first), "h", "left").select("band", "h", F.coalesce("label", "h").alias("label"))
     sizes = grouped.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("groups"), F.sum("count").alias("members"), F.max("count").alias("most")).filter("groups > 1").drop("groups")
     mixed = stored(grouped.join(sizes, "band").join(sets.select("h", "size", *SKETCH), "h"), "mixed")
@@ -409,6 +410,7 @@ def near_lines(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     if hard.limit(1).count():
         rest = rest.union(sharing_rare_shingles(hard.dropDuplicates(["h"]).select("h", "label", "size", *SKETCH), sets, similarity))
     rest = rest.distinct()
+    settle(members.sparkSession)
     links = stored(first.union(similar(rest, sets, similarity)), "links")
     discard(first, mixed)
     return links
@@ -449,6 +451,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keepers = stored(lines.groupBy("component").agg(F.min("doc").alias("keeper")), "keepers")
     near = lines.join(keepers, "component").filter("doc > keeper").select("doc", "version", "start", "stop", "keeper")
     same, third = earlier(table.filter(F.col("kind") == LINE), "equal", named)
+    settle(df.sparkSession)
     (whole, first), (ends, second_) = earlier(stretches, "repeated"), earlier(second.filter(F.col("kind") == WINDOW), "ends")
     both = whole.union(ends).withColumn("line", F.lit(False)).union(near.union(same).withColumn("line", F.lit(True)))
     found = stored(both.groupBy("doc", "version").agg(F.collect_set(F.struct("line", "start", "stop", "keeper")).alias("found")), "found")

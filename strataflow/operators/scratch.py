@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,9 +46,27 @@ def discard(*tables: DataFrame) -> None:
 
 
 def settle(spark: SparkSession) -> None:
-    """Have garbage collected, here and in the driver's JVM: shuffles, broadcasts and plans of finished steps go only then.
+    """Have garbage collected, here and in the driver's JVM: shuffles, broadcasts and plans of finished steps go only then. What is free goes back to the system.
 
     For operators of many jobs, between their steps; a driver that is not pressed for memory would keep it all.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trim(spark)
+
+
+def trim(spark: SparkSession) -> str:
+    """Have the driver's JVM give back native memory that it has freed, as ``jcmd PID System.trim_native_heap`` does; what it says.
+
+    Its compiler threads and libraries leave their arenas to the C library, which keeps what is freed, some more with each job.
+    Empty, and nothing done, for a JVM without that command (before 17.0.9, or not on glibc).
+    """
+    jvm = spark.sparkContext._jvm
+    # by reflection: the class of the server is not open to py4j, the interface is
+    call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    args = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+    args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:
+        return call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args) or ""
+    except Py4JError:
+        return ""

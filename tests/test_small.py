@@ -3,12 +3,13 @@
 import json
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from strataflow import cli
-from strataflow.operators import stats, upsert
+from strataflow.operators import scratch, stats, upsert
 from strataflow.plans import backfill
 from strataflow.sinks import files
 from strataflow.sources import config
@@ -57,3 +58,22 @@ def test_back_references_follow_the_natural_key(spark):
     screens = spark.createDataFrame([("a", "m", 1), ("b", "other", 2), ("c", "m", 3)], "k string, model string, id long")
     got = upsert.back_reference(items, screens, ["k", "model"])
     assert sorted((r["k"], r["llm_screen_id"]) for r in got.collect()) == [("a", 1), ("b", None), ("c", 3)]
+
+
+def test_settling_gives_freed_native_memory_back(spark):
+    jvm, status = spark.sparkContext._jvm, Path(f"/proc/{spark.sparkContext._gateway.proc.pid}/status")
+
+    def mb():
+        return int(re.search(r"RssAnon:\s+(\d+)", status.read_text())[1]) / 1024
+
+    many = [jvm.java.util.zip.Deflater() for _ in range(600)]  # native memory outside the heap
+    for x in [x for i, x in enumerate(many) if i % 16 < 15]:  # one of 16 stays, so that no end of an arena is free
+        x.end()
+    for _ in range(3):
+        jvm.System.gc()
+    before = mb()
+    scratch.settle(spark)
+    after = mb()
+    for x in many[15::16]:
+        x.end()
+    assert after < before - 30
