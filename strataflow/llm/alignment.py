@@ -7,11 +7,12 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -23,6 +24,8 @@ from strataflow.llm.token_counts import SPACE, SegmentCounter
 MEMO_ENTRIES, MEMO_CHARS = 250_000, 8 << 20
 #: Characters of texts that are gone through at once.
 BLOCK_CHARS = 1 << 19
+#: New segments that are encoded as one text.
+RUN_SEGMENTS = 64
 #: A pair with at least this share of all links is broadcast; no more than its inverse can have it.
 HOT_SHARE = 1 / 65_536
 
@@ -84,7 +87,7 @@ class Aligner:
     """Aligns texts under a byte-level BPE (A, of a space and the text) and a SentencePiece model (B, which puts a space before).
 
     Texts are cut at spaces where both start a new token, if the models allow it (see ``SegmentCounter``), and
-    each different segment is encoded once.
+    each different segment is encoded once, many new ones behind one another.
     """
 
     def __init__(self, a_path: str, b_path: str) -> None:
@@ -100,6 +103,10 @@ class Aligner:
         self._lone = self._b.encode("a ")[len(self._b.encode("a")) :] if self.safe else []
         self._a_bytes = self._byte_level(self._a.get_vocab())
         self._b_bytes = [self._piece(self._b.id_to_piece(i)) for i in range(self._b.get_piece_size())]
+        self._a_size, self._b_size = (np.array([*map(len, x)]) for x in (self._a_bytes, self._b_bytes))
+        ids = np.arange(max(len(self._a_bytes), len(self._b_bytes)))
+        self._names = np.array([f"{i}{sign}" for i in ids.tolist() for sign in ",|;"], dtype="S").view(np.uint8).reshape(3 * len(ids), -1)
+        self._name_size = (self._names > 0).sum(axis=1)
         self._forget()
 
     @staticmethod
@@ -118,7 +125,7 @@ class Aligner:
 
     def _forget(self) -> None:
         self._place: dict[str, int] = {}
-        self._groups: list[str | None] = []
+        self._groups: list[bytes | None] = []
         self._counts = np.zeros((1 << 12, 3), dtype=np.int64)
         self._uses = np.zeros(1 << 12, dtype=np.int64)
         self._edge = np.zeros(1, dtype=np.int64)
@@ -145,7 +152,7 @@ class Aligner:
         self._links = old["_links"][spans]
         self._chars = MEMO_CHARS // 2 - room
 
-    def align_segment(self, segment: str, a: list[int], b: list[int]) -> tuple[str | None, list[int]]:
+    def align_segment(self, segment: str, a: list[int], b: list[int]) -> tuple[bytes | None, list[int]]:
         """Groups as text, and linked ids as ``a << 32 | b``; no groups if the tokens do not spell a space and the segment."""
         want = f" {segment}".encode()
         a_bytes, b_bytes = [self._a_bytes[i] for i in a], [self._b_bytes[i] for i in b]
@@ -157,33 +164,86 @@ class Aligner:
             groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
             links.append(a[x - 1] << 32 | b[y - 1])
             i, j = x, y
-        return ";".join(groups), links
+        return ";".join(groups).encode(), links
+
+    def _encode(self, texts: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+        a = self._a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+        for t, x, y in zip(texts, a, self._b.encode(texts, num_threads=1), strict=True):
+            yield t, x.ids, y if t else self._lone
+
+    def _align_alone(self, segments: list[str]) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
+        """Of each segment its groups and its counts (tokens of both sides, links); the links, one segment's behind the other's."""
+        groups, counts, flat = [], [], []
+        for s, a, b in self._encode(segments):
+            own, links = self.align_segment(s, a, b)
+            groups.append(own)
+            counts.append((len(a), len(b), len(links)))
+            flat += links
+        return groups, np.array(counts, dtype=np.int64).reshape(-1, 3), np.array(flat, dtype=np.int64)
+
+    def _align_runs(self, segments: list[str]) -> tuple[list[str], list[bytes], np.ndarray, np.ndarray, list[str]]:
+        """``_align_alone`` for segments that may follow one another in a text: runs of them are encoded, common ends found in arrays.
+
+        The segments aligned come first, those of runs whose tokens do not spell them last.
+        """
+        runs = [segments[k : k + RUN_SEGMENTS] for k in range(0, len(segments), RUN_SEGMENTS)]
+        done, rest, a_ids, b_ids = [], [], [], []
+        for run, (text, a, b) in zip(runs, self._encode([" ".join(r) for r in runs]), strict=True):
+            want = f" {text}".encode()
+            if b"".join(map(self._a_bytes.__getitem__, a)) == want == b"".join(map(self._b_bytes.__getitem__, b)):
+                done += run
+                a_ids.append(a)
+                b_ids.append(b)
+            else:
+                rest += run
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (a_ids, b_ids))
+        a_ends, b_ends = np.cumsum(self._a_size[a]), np.cumsum(self._b_size[b])
+        edge = np.cumsum(pc.binary_length(pa.array(done, pa.large_string())).to_numpy() + 1)
+        at = np.searchsorted(b_ends, a_ends)
+        a_last = b_ends[at] == a_ends
+        i, j = np.flatnonzero(a_last), at[a_last]
+        ends = a_ends[i]
+        n = np.searchsorted(ends, edge)
+        if not (done and self._a_size[a].all() and self._b_size[b].all() and (ends[n] == edge).all()):
+            return [], [], np.zeros((0, 3), dtype=np.int64), np.zeros(0, dtype=np.int64), segments
+        b_last = np.zeros(len(b), dtype=bool)
+        b_last[j] = True
+        # a token stands behind those of its side, and those of the other side in the groups before (A) or up to its own (B)
+        name = np.empty(len(a) + len(b), dtype=np.int64)
+        name[np.arange(len(a)) + np.concatenate([[0], j + 1])[np.cumsum(a_last) - a_last]] = 3 * a + a_last
+        name[np.arange(len(b)) + i[np.cumsum(b_last) - b_last] + 1] = 3 * b + 2 * b_last
+        signs = self._names[name]
+        text = signs[signs > 0].tobytes()
+        stop = np.cumsum(self._name_size[name])[i[n] + j[n] + 1].tolist()
+        groups = [text[x : y - 1] for x, y in zip([0, *stop], stop)]
+        counts = np.diff(np.stack([i[n], j[n], n], axis=1), axis=0, prepend=-1)
+        return done, groups, counts, a[i] << 32 | b[j], rest
 
     def _learn(self, segments: list[str]) -> None:
         if len(self._place) > MEMO_ENTRIES or self._chars > MEMO_CHARS:
             self._shrink()
-        new = list({s for s in segments if s not in self._place})
+        new = list(set(segments).difference(self._place))
         if not new:
             return
-        coded = zip(new, self._a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False), self._b.encode(new, num_threads=1), strict=True)
-        first, counts, flat, size = len(self._groups), [], [], []
-        for s, a, b in coded:
-            ids, others = a.ids, b if s else self._lone
-            groups, links = self.align_segment(s, ids, others)
-            self._place[s] = len(self._groups)
-            self._groups.append(groups)
-            counts.append((len(ids), len(others), len(links)))
-            flat += links
-            size.append(len(links))
-            self._chars += len(s)
+        # a cut has no white space and no marker before it, and the marker is no text that tokens spell
+        joined = [s for s in new if SPACE not in s and s and not s[-1].isspace()] if self.safe else []
+        alone = [s for s in new if SPACE in s or not s or s[-1].isspace()] if self.safe else new
+        done, groups, counts, links, rest = self._align_runs(joined)
+        alone += rest
+        more_groups, more_counts, more_links = self._align_alone(alone)
+        counts = np.concatenate([counts, more_counts])
+        first = len(self._groups)
+        self._groups += groups + more_groups
+        self._place.update(zip(chain(done, alone), range(first, len(self._groups)), strict=True))
+        self._chars += sum(map(len, new))
         last = len(self._groups)
         if last > len(self._counts):
             more = max(last, 2 * len(self._counts)) - len(self._counts)
             self._counts = np.concatenate([self._counts, np.zeros((more, 3), dtype=np.int64)])
             self._uses = np.concatenate([self._uses, np.zeros(more, dtype=np.int64)])
         self._counts[first:last] = counts
-        self._edge = np.concatenate([self._edge, self._edge[-1] + np.cumsum(size)])
-        self._links = np.concatenate([self._links, np.array(flat, dtype=np.int64)])
+        self._edge = np.concatenate([self._edge, self._edge[-1] + np.cumsum(counts[:, 2])])
+        self._links = np.concatenate([self._links, links, more_links])
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
         """Segments of a text, those of a block at once."""
@@ -234,7 +294,9 @@ class Aligner:
             if not own.ok or None in groups:
                 own.ok = False
                 continue
-            own.digest.update(f"{';' if own.total[0] else ''}{';'.join(groups)}".encode())
+            if own.total[0]:
+                own.digest.update(b";")
+            own.digest.update(b";".join(groups))
             own.total += self._counts[at[edge[k] : edge[k + 1]]].sum(axis=0)
             own.pairs.append(pair[both[cut[k] : cut[k + 1]] % (len(pair) + 1)])
             own.times.append(times[cut[k] : cut[k + 1]])

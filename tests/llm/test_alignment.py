@@ -73,6 +73,40 @@ def test_aligner_equals_whole_text_encoding(slow, monkeypatch, entries, block):
     assert sum(not x.n_a for x in got) > 100  # the marker, and texts that are empty
 
 
+@pytest.mark.parametrize("run", [1, 3, alignment.RUN_SEGMENTS])
+def test_runs_of_segments_equal_single_ones(monkeypatch, run):
+    monkeypatch.setattr(alignment, "RUN_SEGMENTS", run)
+    aligner = alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+    segments = sorted({s for t in TEXTS if len(t) < 5000 and alignment.SPACE not in t for s in alignment._CUT.split(t) if s and not s[-1].isspace()})
+    done, groups, counts, links, rest = aligner._align_runs(segments)
+    want = aligner._align_alone(done)
+    assert done == segments and not rest
+    assert groups == want[0] and (counts == want[1]).all() and (links == want[2]).all()
+    assert aligner._align_runs([])[4] == []
+
+
+def test_new_segments_are_not_aligned_one_by_one(monkeypatch):
+    """What took most CPU seconds of the query: a merge in Python for each different segment."""
+    aligner = alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+    alone = []
+    monkeypatch.setattr(aligner, "align_segment", lambda s, a, b: alone.append(s) or alignment.Aligner.align_segment(aligner, s, a, b))
+    assert all(x.n_a for x in aligner.documents([prose(i, 500) for i in range(5)])) and not alone
+    aligner.documents(["a ", "b\u2581c d"])
+    assert sorted(alone) == ["", "b\u2581c"]
+
+
+def test_a_segment_that_tokens_do_not_spell_leaves_others_alone():
+    texts = [prose(i, 50, "river stone garden") for i in range(3)] + ["the beta of", "the market of beta", "market"]
+    want = alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")).documents(texts)
+    aligner = alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+    for i in aligner._a.encode(" beta", add_special_tokens=False).ids:
+        aligner._a_bytes[i] = b"?"
+    got = aligner.documents(texts)
+    assert all(x.n_a == 0 and not x.groups_sha256 and not len(x.pairs) for x in got[3:5])
+    for x, y in zip([*got[:3], got[5]], [*want[:3], want[5]], strict=True):
+        assert x[:4] == y[:4] and (x.pairs == y.pairs).all() and (x.times == y.times).all()
+
+
 def test_merge_of_ends():
     assert alignment.merge_ends([1, 4, 6], [2, 4, 5, 6]) == [(2, 2), (3, 4)] and alignment.merge_ends([], []) == []
 
