@@ -142,6 +142,14 @@ def test_edges(spark, nothing):
     assert lattice.score_documents(empty.drop("lang")).count() == 2
 
 
+def test_edges_of_empty_texts_by_who_trains(spark):
+    """Of ids 1 and 3, the first is held out: one end is learned from; of 2 and 3, none is: two are."""
+    assert [zlib.crc32(str(i).encode()) % 7 for i in (1, 2, 3)] == [2, 0, 6]
+    for ids, held, n, base in [((1, 3), (False, True), 1, 2 / 3), ((2, 3), (False, False), 2, 3 / 4)]:
+        empty = spark.createDataFrame([(ids[0], "", "en", "a", 0), (ids[1], None, "fr", "b", 0)], DDL)
+        assert columns(lattice.score_documents(empty)) == [(h, 1, 1, n, round(math.log10(base), 6)) for h in held]
+
+
 def test_held_out_text_is_likelier_than_under_the_counts(spark):
     df = spark.createDataFrame([(i, prose(i, 200), "en", "a", 0) for i in range(200)], DDL)
     got = lattice.score_documents(df).filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
